@@ -15,7 +15,10 @@ leave an unlisted file but never change what is read.
 
 from __future__ import annotations
 
+import functools
+import os
 import re
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -29,42 +32,62 @@ from pyspark.sql import functions as F
 from .common import MAX_BUCKETS, bucket_of, partitions, shared_dir, split_points
 
 CHUNK = re.compile(r"[^ \t\n\r\x0b\x0c]+")
-CACHE = 400_000
+PART = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+(?=[.,]?(?:[ \t\n\r\x0b\x0c]|\Z))|[^ \t\n\r\x0b\x0c]+")
+CACHE = 700_000
 FLUSH = 2_000_000
 
 
 class CachedEncoder:
-    """Ids of a text from the ids of its parts between ASCII white space.
+    """Ids of a text from the ids of its parts.
 
-    Exact for tokenizers whose normaliser and splitter never join or look across
-    white space; added tokens hold none. Parts not seen before are encoded
-    together by the tokenizers library; the cache holds at most CACHE parts.
+    For tokenizers that normalise to NFC and lower case, drop white space and
+    split letters from punctuation: then the parts between white space, and a
+    final full stop or comma after a run of Latin letters, are encoded apart.
+    Parts not seen before go through the tokenizers library together; the cache
+    holds their ids as bytes, CACHE parts at most.
     """
 
     def __init__(self, path: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok, self.cache = Tokenizer.from_file(path), {}
         self.vocab = self.tok.get_vocab_size(with_added_tokens=True)
-
-    def encode(self, texts: list[str], end: int | None) -> list[np.ndarray]:
-        cache = self.cache if len(self.cache) < CACHE else {}
-        self.cache = cache
-        parts = [CHUNK.findall(t) for t in texts]
-        new = list({w for p in parts for w in p if w not in cache})
-        for lo in range(0, len(new), 20_000):
-            some = new[lo : lo + 20_000]
-            cache.update(zip(some, (e.ids for e in self.tok.encode_batch_fast(some, add_special_tokens=False)), strict=True))
-        out = []
-        for p in parts:
-            ids = [i for w in p for i in cache[w]]
-            if end is not None:
-                ids.append(end)
-            out.append(np.array(ids, dtype=np.uint32))
-        return out
+        self.dtype = "<u2" if self.vocab <= 65_536 else "<u4"
+
+    @staticmethod
+    def parts(text: str) -> list[str]:
+        """Lower-cased first where that is sure to change no id: ASCII texts, and
+        NFC texts without capital sigma whose lower case is NFC too."""
+        if text.isascii():
+            return PART.findall(text.lower())
+        if "\u03a3" not in text and unicodedata.is_normalized("NFC", text):
+            low = text.lower()
+            if unicodedata.is_normalized("NFC", low):
+                return PART.findall(low)
+        return CHUNK.findall(text)
+
+    def encode(self, texts: list[str], end: int | None) -> list[bytes]:
+        """Ids of each text as little-endian bytes of self.dtype."""
+        if len(self.cache) > CACHE:
+            self.cache = {}
+        cache, parts = self.cache, [self.parts(t) for t in texts]
+        new = list(set().union(*parts).difference(cache)) if parts else []
+        for lo in range(0, len(new), 10_000):
+            some = new[lo : lo + 10_000]
+            got = [e.ids for e in self.tok.encode_batch_fast(some, add_special_tokens=False)]
+            flat = np.array([i for ids in got for i in ids], dtype=self.dtype).tobytes()
+            w, at = int(self.dtype[-1]), 0
+            for part, ids in zip(some, got, strict=True):
+                cache[part] = flat[at : (at := at + w * len(ids))]
+        tail = b"" if end is None else np.array([end], dtype=self.dtype).tobytes()
+        return [b"".join(map(cache.__getitem__, p)) + tail for p in parts]
+
+
+@functools.lru_cache(maxsize=2)
+def encoder(path: str) -> CachedEncoder:
+    """One encoder for all tasks of a Python worker."""
+    return CachedEncoder(path)
 
 
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -79,7 +102,7 @@ def _put(fs: pafs.FileSystem, path: str, data: bytes) -> None:
 def writer(folder: str, make: Callable[[], CachedEncoder], end: int | None) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, (fs, base) = make(), open_fs(folder)
-        dtype = "<u2" if enc.vocab <= 65_536 else "<u4"
+        dtype, width = enc.dtype, int(enc.dtype[-1])
         state: dict = {}
 
         def close():
@@ -103,9 +126,8 @@ def writer(folder: str, make: Callable[[], CachedEncoder], end: int | None) -> C
                     size += len(t or "")
                     if k == len(texts) or size > FLUSH:
                         got = enc.encode([x or "" for x in texts[lo : k + 1]], end)
-                        if got:
-                            state["bin"].write(np.concatenate(got).astype(dtype).tobytes())
-                        state["sizes"] += [len(g) for g in got]
+                        state["bin"].write(b"".join(got))
+                        state["sizes"] += [len(g) // width for g in got]
                         lo, size = k + 1, 0
                 state["ids"] += part["doc_id"].astype("Int64").tolist()
         if state:
@@ -127,7 +149,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end: int | None = 2, fold
     rows = rows.withColumn("_bucket", bucket).repartition(n, "_bucket")
     rows = rows.sortWithinPartitions("_bucket", F.asc_nulls_last("doc_id"), F.asc_nulls_first("text"))
     schema = "bucket int, name string, dtype string, docs long, tokens long"
-    sets = rows.mapInPandas(writer(folder, lambda: CachedEncoder(tokenizer_path), end), schema).checkpoint()
+    sets = rows.mapInPandas(writer(folder, lambda: encoder(tokenizer_path), end), schema).checkpoint()
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row per file set
     return sets.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0))).withColumn("folder", F.lit(folder))
 
