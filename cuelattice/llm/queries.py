@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import fingerprints, mixing, token_files
+from . import fingerprints, language, mixing, simhash, token_files
 from .common import table
 
 
@@ -23,10 +24,19 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict(table(spark, sf_dir, "documents"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(token_files.write_tokens(table(spark, sf_dir, "documents"), word_bpe_path(), end=2))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_fingerprints, op6_token_files)}
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.components(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_fingerprints, op4_language, op6_token_files, op9_simhash)}
 
 ORACLES: dict[str, str] = {}
