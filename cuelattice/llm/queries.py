@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, mixing, simhash, token_files
+from . import fingerprints, language, mixing, neighbours, quality, simhash, token_files
 from .common import table
 
 
@@ -32,11 +32,19 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(token_files.write_tokens(table(spark, sf_dir, "documents"), word_bpe_path(), end=2))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.components(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_fingerprints, op4_language, op6_token_files, op9_simhash)}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_fingerprints, op4_language, op6_token_files, op7_neighbours, op9_simhash, op10_quality)}
 
 ORACLES: dict[str, str] = {}
