@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import materialise, partitions
 
-SAMPLE, CENTROIDS, LIST = 20_000, 4_096, 64
-BOUNDARY, REPLICAS, PRUNE, PROBES = 1.15, 4, 1.35, 48
+SAMPLE, CENTROIDS, LIST = 20_000, 4_096, 256
+BOUNDARY, REPLICAS, PRUNE, PROBES = 1.3, 6, 1.4, 64
 SLICE, DEGREE, BEAM = 2_000, 24, 96
 QUERY_EVERY, NEAREST = 100, 10
 
@@ -105,14 +105,8 @@ class CentroidGraph:
 
 def lists_for(graph: CentroidGraph, v: np.ndarray) -> list[int]:
     """Lists that a vector joins: nearest first, boundary replicas after."""
-    at, d = graph.search(v, beam=24)
-    keep = [0]
-    for k in range(1, len(at)):
-        if len(keep) == REPLICAS or d[k] > BOUNDARY * d[0] + 1e-12:
-            break
-        if all(np.linalg.norm(graph.c[at[k]] - graph.c[at[j]]) > d[k] * 0.7 for j in keep):
-            keep.append(k)
-    return at[keep].tolist()
+    at, d = graph.search(v, beam=32)
+    return at[:REPLICAS][d[:REPLICAS] <= BOUNDARY * d[0] + 1e-12].tolist()
 
 
 def probes_for(graph: CentroidGraph, v: np.ndarray) -> list[int]:

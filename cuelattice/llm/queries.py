@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, mixing, neighbours, quality, simhash, token_files
+from . import fingerprints, language, mixing, neighbours, page_text, passages, quality, simhash, token_files
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.digest_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,10 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"))
 
 
+def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.components(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -45,6 +53,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_fingerprints, op4_language, op6_token_files, op7_neighbours, op9_simhash, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_passages, op3_fingerprints, op4_language, op6_token_files, op7_neighbours, op8_page_text, op9_simhash, op10_quality)}
 
 ORACLES: dict[str, str] = {}
