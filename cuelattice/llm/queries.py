@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, mixing, neighbours, page_text, passages, quality, simhash, token_files
+from . import fingerprints, language, mixing, neighbours, page_text, passages, pieces, quality, simhash, token_files
 from .common import table
 
 
@@ -15,6 +15,12 @@ def word_bpe_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix_sizes(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
@@ -32,6 +38,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(table(spark, sf_dir, "documents"))
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest_round_trip(table(spark, sf_dir, "documents"), piece_model_path())
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(token_files.write_tokens(table(spark, sf_dir, "documents"), word_bpe_path(), end=2))
 
@@ -53,6 +63,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_passages, op3_fingerprints, op4_language, op6_token_files, op7_neighbours, op8_page_text, op9_simhash, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_passages, op3_fingerprints, op4_language, op5_pieces, op6_token_files, op7_neighbours, op8_page_text, op9_simhash, op10_quality)}
 
 ORACLES: dict[str, str] = {}
