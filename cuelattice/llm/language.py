@@ -22,12 +22,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import by_bytes
+
 DOCS_PER_LANG = 3_000
 LANGS = 200
 TABLE = 200_000
 LONGEST = 4
 FLOOR = -6.0
-CACHE = 300_000
+CACHE = 400_000
+SLICE = 8_000_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -58,66 +61,78 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class LanguageModel:
-    """Tables: {gram: log frequency per language} for words (0) and n-grams."""
+    """Words (table 0) and n-grams: position in a table of log frequencies per
+    language. Word scores are kept, at most CACHE of them, and shared by all tasks
+    of a worker."""
 
     def __init__(self, langs: list[str], rows: pd.DataFrame):
         self.langs, at = langs, {x: i for i, x in enumerate(langs)}
-        self.tables: list[dict[str, np.ndarray]] = []
+        self.at: list[dict[str, int]] = []
+        self.logs: list[np.ndarray] = []
+        self.known: dict[str, int] = {}
+        self.vectors = np.zeros((0, len(langs)), np.float32)
         for n in range(LONGEST + 1):
             part = rows[rows["n"] == n]
             total = np.ones(len(langs))
             for lang, times in part.groupby("lang")["times"].sum().items():
                 total[at[lang]] = max(1, times)
-            floor, table = np.log(0.1 / total), {}
+            table = {g: i for i, g in enumerate(dict.fromkeys(part["gram"]))}
+            logs = np.tile(np.log(0.1 / total), (len(table), 1))
             for gram, lang, times in zip(part["gram"], part["lang"], part["times"], strict=True):
-                v = table.setdefault(gram, floor.copy())
-                v[at[lang]] = np.log(times / total[at[lang]])
-            self.tables.append(table)
-
-    def word(self, w: str) -> np.ndarray:
-        """Log posteriors of the languages for one word, floored; zeros if
-        nothing about it is known."""
-        score = self.tables[0].get(w)
-        n = LONGEST
-        while score is None and n:
-            known = [v for g in grams(w, n) if (v := self.tables[n].get(g)) is not None]
-            score = np.mean(known, axis=0) * min(2, len(known)) if known else None
-            n -= 1
-        if score is None:
-            return np.zeros(len(self.langs), np.float32)
-        top = score.max()
-        return np.maximum(score - top - np.log(np.exp(score - top).sum()), FLOOR).astype(np.float32)
-
-
-class _Known(dict):
-    """Word -> row of `vectors`; words are scored when first met."""
-
-    def __init__(self, model: LanguageModel):
-        self.model, self.vectors, self.n = model, np.zeros((4096, len(model.langs)), np.float32), 0
-
-    def __missing__(self, w: str) -> int:
-        if self.n == len(self.vectors):
-            self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
-        self.vectors[self.n] = self.model.word(w)
-        self[w] = self.n
-        self.n += 1
-        return self.n - 1
-
-
-def classify(texts: list[str | None], known: _Known) -> tuple[list[str], np.ndarray]:
+                logs[table[gram], at[lang]] = np.log(times / total[at[lang]])
+            self.at.append(table)
+            self.logs.append(logs)
+
+    def word_scores(self, words: list[str]) -> np.ndarray:
+        """Log posteriors of the languages for each word, floored; zeros for a word
+        of which nothing is known."""
+        score = np.zeros((len(words), len(self.langs)))
+        found = np.array([self.at[0].get(w, -1) for w in words], dtype=np.int64)
+        has = found >= 0
+        score[has] = self.logs[0][found[has]]
+        left = np.flatnonzero(~has)
+        for n in range(LONGEST, 0, -1):
+            get = self.at[n].get
+            per = [[i for g in grams(words[k], n) if (i := get(g)) is not None] for k in left.tolist()]
+            size = np.array([len(x) for x in per], dtype=np.int64)
+            some = np.flatnonzero(size)
+            if len(some):
+                flat = np.array([i for x in per for i in x], dtype=np.int64)
+                begin = np.r_[0, np.cumsum(size[some])[:-1]]
+                sums = np.add.reduceat(self.logs[n][flat], begin, axis=0)
+                score[left[some]] = sums * (np.minimum(2, size[some]) / size[some])[:, None]
+                left = left[size == 0]
+        top = score - score.max(axis=1, keepdims=True)
+        post = np.maximum(top - np.log(np.exp(top).sum(axis=1, keepdims=True)), FLOOR)
+        post[left] = 0
+        return post.astype(np.float32)
+
+    def learn(self, words: list[list[str]]) -> None:
+        """Score the words that are met for the first time."""
+        if len(self.known) > CACHE:
+            self.known, self.vectors = {}, self.vectors[:0]
+        new = list(set().union(*words).difference(self.known))
+        if new:
+            first = len(self.known)
+            self.vectors = np.concatenate([self.vectors, self.word_scores(new)])
+            self.known.update(zip(new, range(first, first + len(new)), strict=True))
+
+
+def classify(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np.ndarray]:
     """Language and score of each text; 'und' and 0 without a letter."""
-    langs, names, scores = known.model.langs, [], np.zeros(len(texts))
-    for k, text in enumerate(texts):
-        words = WORD.findall(text.lower()) if text else []
-        if not langs or not any(any(map(str.isalpha, w)) for w in words):
+    langs, names, scores = model.langs, [], np.zeros(len(texts))
+    if not langs:
+        return ["und"] * len(texts), scores
+    words = [WORD.findall(t.lower()) if t else [] for t in texts]
+    model.learn(words)
+    get = model.known.__getitem__
+    for k, own in enumerate(words):
+        if not any(any(map(str.isalpha, w)) for w in own):
             names.append("und")
             continue
-        if len(known) > CACHE:
-            known.clear()
-            known.n = 0
-        at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-        mean = known.vectors[at].mean(axis=0, dtype=np.float64)
-        p = np.exp((mean - mean.max()) * min(len(words), 10))
+        at = np.fromiter(map(get, own), np.int64, len(own))
+        mean = model.vectors[at].mean(axis=0, dtype=np.float64)
+        p = np.exp((mean - mean.max()) * min(len(own), 10))
         best = int(np.argmax(p))
         names.append(langs[best])
         scores[k] = p[best] / p.sum()
@@ -154,9 +169,14 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        known = _Known(sent.value)
         for batch in batches:
-            names, scores = classify(batch.column(cols.index("text")).to_pylist(), known)
+            texts = batch.column(cols.index("text")).to_pylist()
+            names, scores = [], [np.zeros(0)]
+            for lo, hi in by_bytes(texts, SLICE):
+                some, score = classify(texts[lo:hi], sent.value)
+                names += some
+                scores.append(score)
+            scores = np.concatenate(scores)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores)], names=[*cols, "lang_pred", "score"])
 
     return docs.select(*cols).mapInArrow(run, schema)
