@@ -247,7 +247,9 @@ class Chain:
 def train(pages: DataFrame) -> Chain:
     """Fit on the labelled layouts, filled with block texts of SAMPLE_PAGES pages
     chosen by the hash of their id (plain words where the table has no text)."""
-    rows = pages.select("page_id", "html").filter(F.col("html").isNotNull()).orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_PAGES).collect()
+    ids = [r[0] for r in pages.select("page_id").filter("page_id is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_PAGES).collect()]
+    rows = pages.select("page_id", "html").filter(F.col("html").isNotNull() & F.col("page_id").isin(ids)).limit(2 * SAMPLE_PAGES).collect()
+    rows = sorted(rows, key=lambda r: (r["page_id"], r["html"]))
     texts = [b.text for r in rows for b in blocks(r["html"][:200_000])]
     ready = []
     for page, labels in labelled_pages(texts):
