@@ -65,4 +65,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_passages, op3_fingerprints, op4_language, op5_pieces, op6_token_files, op7_neighbours, op8_page_text, op9_simhash, op10_quality)}
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_mix_sources": r"""
+with w as (select doc_id, source, text, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) size from documents),
+k as (select *, -ln((cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || ':1'), 1, 12) as bigint) + 1) / 281474976710656.0)
+    / (case when size > 0 then 0.5 + 6.0 / (6.0 + abs(length(text) / size - 6.0)) else 0.5 end) key from w),
+s as (select source, cast(sum(size) as bigint) source_size from k group by source),
+t as (select *, ((row_number() over (order by source nulls last) - 1) % 3 + 1)::double wt, source_size * 3 room from s),
+l as (select *, (sum(source_size) over () - coalesce(sum(room) over (order by room / wt, source nulls last rows between unbounded preceding and 1 preceding), 0))
+    / sum(wt) over (order by room / wt, source nulls last rows between current row and unbounded following) lev from t),
+p as (select source, source_size, least(room::double, max(lev) over () * wt) target from l),
+e as (select *, case when source_size > 0 then cast(floor(target / source_size) as bigint) else 0 end epochs from p),
+r as (select k.doc_id, k.size, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size rest,
+    sum(k.size) over (partition by k.source order by k.key, k.doc_id, k.size rows between unbounded preceding and current row) - k.size / 2 mid from k join e on k.source is not distinct from e.source)
+select doc_id, size, source_size, target, cast((epochs + case when mid <= rest then 1 else 0 end) * size as bigint) taken from r""",
+}
