@@ -14,6 +14,7 @@ tables. The model is what is broadcast, so its size never follows the corpus.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -22,14 +23,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_bytes
+from .common import by_bytes, held
 
 DOCS_PER_LANG = 3_000
 LANGS = 200
 TABLE = 200_000
 LONGEST = 4
 FLOOR = -6.0
-CACHE = 400_000
+CACHE = 300_000
 SLICE = 8_000_000
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -62,15 +63,13 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 class LanguageModel:
     """Words (table 0) and n-grams: position in a table of log frequencies per
-    language. Word scores are kept, at most CACHE of them, and shared by all tasks
-    of a worker."""
+    language."""
 
     def __init__(self, langs: list[str], rows: pd.DataFrame):
         self.langs, at = langs, {x: i for i, x in enumerate(langs)}
         self.at: list[dict[str, int]] = []
         self.logs: list[np.ndarray] = []
-        self.known: dict[str, int] = {}
-        self.vectors = np.zeros((0, len(langs)), np.float32)
+        self.token = uuid.uuid4().hex
         for n in range(LONGEST + 1):
             part = rows[rows["n"] == n]
             total = np.ones(len(langs))
@@ -107,15 +106,22 @@ class LanguageModel:
         post[left] = 0
         return post.astype(np.float32)
 
+
+class Known:
+    """Scores of the words met so far, at most about CACHE, kept between tasks."""
+
+    def __init__(self, model: LanguageModel):
+        self.model, self.at, self.vectors = model, {}, np.zeros((0, len(model.langs)), np.float32)
+
     def learn(self, words: list[list[str]]) -> None:
         """Score the words that are met for the first time."""
-        if len(self.known) > CACHE:
-            self.known, self.vectors = {}, self.vectors[:0]
-        new = list(set().union(*words).difference(self.known))
+        if len(self.at) > CACHE:
+            self.at, self.vectors = {}, self.vectors[:0]
+        new = list(set().union(*words).difference(self.at))
         if new:
-            first = len(self.known)
-            self.vectors = np.concatenate([self.vectors, self.word_scores(new)])
-            self.known.update(zip(new, range(first, first + len(new)), strict=True))
+            first = len(self.at)
+            self.vectors = np.concatenate([self.vectors, self.model.word_scores(new)])
+            self.at.update(zip(new, range(first, first + len(new)), strict=True))
 
 
 def classify(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np.ndarray]:
@@ -124,14 +130,15 @@ def classify(texts: list[str | None], model: LanguageModel) -> tuple[list[str],
     if not langs:
         return ["und"] * len(texts), scores
     words = [WORD.findall(t.lower()) if t else [] for t in texts]
-    model.learn(words)
-    get = model.known.__getitem__
+    known = held(("language", model.token), lambda: Known(model))
+    known.learn(words)
+    get = known.at.__getitem__
     for k, own in enumerate(words):
         if not any(any(map(str.isalpha, w)) for w in own):
             names.append("und")
             continue
         at = np.fromiter(map(get, own), np.int64, len(own))
-        mean = model.vectors[at].mean(axis=0, dtype=np.float64)
+        mean = known.vectors[at].mean(axis=0, dtype=np.float64)
         p = np.exp((mean - mean.max()) * min(len(own), 10))
         best = int(np.argmax(p))
         names.append(langs[best])

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bytes, materialise, mix64, partitions, shared_dir, text_views
+from .common import by_bytes, held, materialise, mix64, partitions, shared_dir, text_views
 
 LENGTH, GRAM = 200, 64
 REACH = LENGTH - GRAM + 1
@@ -45,7 +45,6 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _LOW = np.uint64((1 << 21) - 1)
 
 
-@functools.lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, and a word per byte."""
     up = np.full(n, _BASE, np.uint64)
@@ -72,7 +71,7 @@ def spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nd
     n = len(data)
     if n < LENGTH:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
-    up, down, word = _powers(1 << 21)
+    up, down, word = held(("powers",), lambda: _powers(1 << 21))
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(word[data] * up[:n], out=total[1:])
     gram = mix64((total[GRAM:] - total[: n - GRAM + 1]) * down[: n - GRAM + 1])

@@ -17,7 +17,6 @@ Models are loaded from a path, never trained.
 
 from __future__ import annotations
 
-import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -27,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bytes, mix64
+from .common import by_bytes, held, mix64
 
 SPACE = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -256,10 +255,9 @@ class Pieces:
         return text[1:] if self.dummy and text.startswith(" ") else text
 
 
-@functools.lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
     """One model for all tasks of a Python worker."""
-    return Pieces(path)
+    return held(("pieces", path), lambda: Pieces(path))
 
 
 def _encoded(batch: pa.RecordBatch, model: Pieces) -> Iterator[tuple[int, int, list[str], list[np.ndarray]]]:

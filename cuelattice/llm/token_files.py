@@ -15,7 +15,6 @@ leave an unlisted file but never change what is read.
 
 from __future__ import annotations
 
-import functools
 import os
 import re
 import unicodedata
@@ -29,7 +28,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import MAX_BUCKETS, bucket_of, partitions, shared_dir, split_points
+from .common import MAX_BUCKETS, bucket_of, held, partitions, shared_dir, split_points
 
 CHUNK = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 PART = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+(?=[.,]?(?:[ \t\n\r\x0b\x0c]|\Z))|[^ \t\n\r\x0b\x0c]+")
@@ -84,10 +83,9 @@ class CachedEncoder:
         return [b"".join(map(cache.__getitem__, p)) + tail for p in parts]
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str) -> CachedEncoder:
     """One encoder for all tasks of a Python worker."""
-    return CachedEncoder(path)
+    return held(("tokens", path), lambda: CachedEncoder(path))
 
 
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
