@@ -94,7 +94,7 @@ class Pieces:
         self.unk = sp.unk_id()
         self.bytes = {int(t[3:5], 16): i for i, t in enumerate(self.text) if kind[i] == "b"}
         self.raw = [bytes([int(t[3:5], 16)]) if k == "b" else b"" if sp.is_control(i) else b" \xe2\x81\x87 " if sp.is_unknown(i) else t.replace(SPACE, " ").encode() for i, (t, k) in enumerate(zip(self.text, kind, strict=True))]
-        self.score = np.array([sp.get_score(i) for i in range(n)])
+        self.score = np.array([sp.get_score(i) for i in range(n)], np.float32)
         self.own = {t: i for i, (t, k) in enumerate(zip(self.text, kind, strict=True)) if k == "p"}
         self.merges = model_type(sp.serialized_model_proto()) == 2
         if any(re.search(rf"[^{SPACE}]{SPACE}", t) for t in self.own):
@@ -175,12 +175,12 @@ class Pieces:
         if size >= len(self.pow):
             self.pow = _powers(2 * size)
         none = len(self.text)
-        best = np.full((n, size + 1), -np.inf)
+        best = np.full((n, size + 1), -np.inf, np.float32)
         best[:, 0] = 0
         last, back = np.full((n, size + 1), none), np.zeros((n, size + 1), np.int64)
-        floor = self.score.min() - 10.0
+        floor = self.score.min() - np.float32(10)
         for end in range(1, size + 1):
-            for length in range(1, min(end, self.longest) + 1):
+            for length in range(min(end, self.longest), 0, -1):  # ties to the longer last piece
                 start = end - length
                 h = mix64((pre[:, end] - pre[:, start] * self.pow[length]) ^ np.uint64(length))
                 k = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
@@ -193,7 +193,7 @@ class Pieces:
                     if start:
                         apart = self._apart(last[ok, start], piece)
                         ok, piece = ok[apart], piece[apart]
-                    value = best[ok, start] + 1.0
+                    value = best[ok, start] + np.float32(1)
                 else:
                     value = best[ok, start] + np.where(piece == none, floor, self.score[np.minimum(piece, none - 1)])
                 up = value > best[ok, end]
