@@ -5,20 +5,22 @@ of a programme pass through an ordered fold, as a native aggregate()."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 
 ORDER = ("segment_id", "word_index")
-_P = Window.partitionBy("programme_id").orderBy(*ORDER)
+def _order() -> WindowSpec:
+    return Window.partitionBy("programme_id").orderBy(*ORDER)
+
 
 
 def flag_disputes(words: DataFrame) -> DataFrame:
     """Adds stacked (three or more consecutive words with one window), divergence
     from the provider's window, and disputed."""
-    new = ~(F.col("s").eqNullSafe(F.lag("s").over(_P)) & F.col("e").eqNullSafe(F.lag("e").over(_P)) & F.col("s").isNotNull())
-    w = words.withColumn("_island", F.sum(new.cast("int")).over(_P))
+    new = ~(F.col("s").eqNullSafe(F.lag("s").over(_order())) & F.col("e").eqNullSafe(F.lag("e").over(_order())) & F.col("s").isNotNull())
+    w = words.withColumn("_island", F.sum(new.cast("int")).over(_order()))
     w = w.withColumn("stacked", F.count(F.lit(1)).over(Window.partitionBy("programme_id", "_island")) >= 3)
     w = w.withColumn("divergence", F.coalesce(F.greatest(F.abs(F.col("s") - F.col("ps")), F.abs(F.col("e") - F.col("pe"))), F.lit(0)))
     dur, pd, text = F.col("e") - F.col("s"), F.col("pe") - F.col("ps"), F.col("text")
@@ -34,10 +36,10 @@ def disputed_runs(flagged: DataFrame) -> DataFrame:
     """One row per maximal run of disputed words in a segment, with what decides
     it: aligned_ok, prov_ok, threshold T for the end of what came before, the
     undisputed end before it, and the ends that either choice leaves."""
-    change = F.coalesce((F.lag("disputed").over(_P) != F.col("disputed")) | (F.lag("segment_id").over(_P) != F.col("segment_id")), F.lit(True))
-    ahead = _P.rowsBetween(1, Window.unboundedFollowing)
-    w = flagged.withColumn("_run", F.sum(change.cast("int")).over(_P)).withColumn("_next", F.first(F.when(~F.col("disputed"), F.col("s")), True).over(ahead))
-    w = w.withColumn("_before", F.max(F.when(~F.col("disputed"), F.col("e"))).over(_P.rowsBetween(Window.unboundedPreceding, -1)))
+    change = F.coalesce((F.lag("disputed").over(_order()) != F.col("disputed")) | (F.lag("segment_id").over(_order()) != F.col("segment_id")), F.lit(True))
+    ahead = _order().rowsBetween(1, Window.unboundedFollowing)
+    w = flagged.withColumn("_run", F.sum(change.cast("int")).over(_order())).withColumn("_next", F.first(F.when(~F.col("disputed"), F.col("s")), True).over(ahead))
+    w = w.withColumn("_before", F.max(F.when(~F.col("disputed"), F.col("e"))).over(_order().rowsBetween(Window.unboundedPreceding, -1)))
     run = Window.partitionBy("programme_id", "_run").orderBy("word_index")
     w = w.filter("disputed").withColumn("_prev_pe", F.lag("pe").over(run)).withColumn("_last", F.lead("pe").over(run).isNull() & (F.row_number().over(run) == F.count(F.lit(1)).over(Window.partitionBy("programme_id", "_run"))))
     tail = F.when(F.col("_last"), F.col("pe") - F.col("_next"))
@@ -71,7 +73,7 @@ def arbitrate(words: DataFrame) -> DataFrame:
     flagged = flag_disputes(words)
     runs = disputed_runs(flagged)
     decided = decide_runs(runs).withColumnRenamed("segment_id", "_seg").withColumnRenamed("programme_id", "_prog")
-    ahead = _P.rowsBetween(1, Window.unboundedFollowing)
+    ahead = _order().rowsBetween(1, Window.unboundedFollowing)
     w = flagged.withColumn("_next", F.first(F.when(~F.col("disputed"), F.col("s")), True).over(ahead))
     inside = (F.col("_prog") == F.col("programme_id")) & (F.col("_seg") == F.col("segment_id")) & F.col("word_index").between(F.col("first_index"), F.col("last_index")) & F.col("disputed")
     w = w.join(decided, inside, "left").drop("_prog", "_seg")
@@ -87,7 +89,7 @@ def arbitrate(words: DataFrame) -> DataFrame:
 def clamp_onsets(arbitrated: DataFrame) -> DataFrame:
     """Moves the start of words that last longer than their text allows, not before
     the furthest end so far; adds absorbed (milliseconds moved)."""
-    before = F.max("e").over(_P.rowsBetween(Window.unboundedPreceding, -1))
+    before = F.max("e").over(_order().rowsBetween(Window.unboundedPreceding, -1))
     ceiling = X.max_word_ms(F.col("text"))
     move = (F.col("e") > F.col("s")) & ~F.col("outcome").isin("restored", "alignment_collapsed") & (F.col("e") - F.col("s") > ceiling)
     w = arbitrated.withColumn("_s", F.when(move, F.greatest(F.col("e") - ceiling, F.greatest(before, F.col("s")))).otherwise(F.col("s")))

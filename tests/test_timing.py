@@ -64,7 +64,7 @@ def test_matches_sql(spark, name):
         c.execute(f"create view {os.path.basename(f)[:-8]} as select * from read_parquet('{f}')")
     got = registry.QUERIES[name](spark, DATA)
     want = c.sql(registry.ORACLES[name]).df()
-    key = lambda rows: sorted(tuple(round(v, 6) if isinstance(v, float) else str(v) for v in r) for r in rows)
+    key = lambda rows: sorted(tuple(str(round(v, 6)) if isinstance(v, float) else str(v) for v in r) for r in rows)
     cols = sorted(got.columns)
     assert cols == sorted(want.columns)
     clean = lambda v: None if v is None or v != v else (int(v) if isinstance(v, float) and v == int(v) else v)
