@@ -54,7 +54,8 @@ refined as (select *, s-s0 absorbed, case when e-s>=40 then 'untouched' when e-s
 _TURNS = r""",
 segs as (select programme_id, segment_id, role, min(ps) start_ms, max(pe) end_ms, case role when 'user' then 0 when 'assistant' then 1 else 2 end n from words group by all),
 turns as (select programme_id, segment_id, 'SPEAKER_0'||n cluster, start_ms-100 start_ms, end_ms+(segment_id*97)%400 end_ms, ((segment_id*37)%100)::double confidence from segs where (programme_id+segment_id)%11<>0
-  union all select programme_id, segment_id, 'SPEAKER_0'||((n+1)%3), end_ms-(end_ms-start_ms)//3, end_ms+50, ((segment_id*37)%100)::double from segs where (programme_id+segment_id)%4=0)"""
+  union all select programme_id, segment_id, 'SPEAKER_0'||((n+1)%3), end_ms-(end_ms-start_ms)//3, end_ms+50, ((segment_id*37)%100)::double from segs where (programme_id+segment_id)%4=0
+  union all select programme_id, segment_id, 'SPEAKER_0'||((n+2)%3), start_ms-150, start_ms+300, ((segment_id*37)%100)::double from segs where (programme_id+segment_id)%9=0 and (programme_id+segment_id)%11<>0)"""
 
 _EVENTS = r"""
 ev as (select event_id, user_id%150 job_id, 'q'||(user_id%31) queue, case event_type when 'signup' then 'waiting' when 'click' then 'active' when 'view' then 'completed' when 'error' then 'failed' when 'purchase' then 'delayed' end state,

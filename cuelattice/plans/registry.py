@@ -9,7 +9,8 @@ from ..functions import exprs as X
 from ..operators import intervals, rows, timing
 from ..sources import derived as D
 from ..streaming import jobs
-from .oracles import ORACLES  # noqa: F401
+from . import programme, programme_sql
+from . import oracles as base_sql
 
 KEY = ["programme_id", "segment_id", "word_index"]
 
@@ -110,3 +111,6 @@ QUERIES = {
         win_05_sentences, win_12_stems, prd_12_overruns, agg_11_shift_gate, fn_texts, agg_15_queue_states, win_13_recent, prd_17_failures, stm_03_start_rates, stm_04_wait_trend, stm_05_sessions,
     )
 }
+
+QUERIES |= programme.QUERIES
+ORACLES = base_sql.ORACLES | programme_sql.ORACLES

@@ -39,7 +39,8 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Diarization turns: overlapping windows, some words uncovered, some split."""
+    """Diarization turns: overlapping windows, some words uncovered, some split, some
+    first words with another cluster."""
     s = segments(spark, sf_dir)
     n = F.when(F.col("role") == "user", 0).when(F.col("role") == "assistant", 1).otherwise(2)
     key = F.col("programme_id") + F.col("segment_id")
@@ -47,7 +48,8 @@ def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = s.filter(key % 11 != 0).select("programme_id", "segment_id", F.concat(F.lit("SPEAKER_0"), n).alias("cluster"), (F.col("start_ms") - 100).alias("start_ms"), (F.col("end_ms") + (F.col("segment_id") * 97) % 400).alias("end_ms"), conf)
     third = F.floor((F.col("end_ms") - F.col("start_ms")) / 3).cast("long")
     second = s.filter(key % 4 == 0).select("programme_id", "segment_id", F.concat(F.lit("SPEAKER_0"), (n + 1) % 3).alias("cluster"), (F.col("end_ms") - third).alias("start_ms"), (F.col("end_ms") + 50).alias("end_ms"), conf)
-    return first.unionByName(second)
+    odd = s.filter((key % 9 == 0) & (key % 11 != 0)).select("programme_id", "segment_id", F.concat(F.lit("SPEAKER_0"), (n + 2) % 3).alias("cluster"), (F.col("start_ms") - 150).alias("start_ms"), (F.col("start_ms") + 300).alias("end_ms"), conf)
+    return first.unionByName(second).unionByName(odd)
 
 
 def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,3 +63,26 @@ def job_events(events: DataFrame) -> DataFrame:
     state = F.create_map(*[F.lit(x) for x in ("signup", "waiting", "click", "active", "view", "completed", "error", "failed", "purchase", "delayed")])[F.col("event_type")]
     said = F.element_at(F.array(*[F.lit(x) for x in ("HTTP 429", "HTTP 503", "fetch failed", "HTTP 403: auth_required", "without usable speech", "")]), (k % 6 + 1).cast("int"))
     return events.select("event_id", (F.col("user_id") % 150).alias("job_id"), F.concat(F.lit("q"), F.col("user_id") % 31).alias("queue"), state.alias("state"), "ts", (k % 4).alias("attempt"), said.alias("message"), "value")
+
+
+def engine_words(words: DataFrame) -> DataFrame:
+    """Adds what the aligner said of each word: engine_unresolved, engine_reason, exhausted."""
+    k = F.col("programme_id") * 17 + F.col("segment_id") * 29 + F.col("word_index") * 13
+    bad = k % 331 == 0
+    reason = F.when(bad, F.when(k % 5 == 0, "search_region_exhausted").otherwise("no_acoustic_match"))
+    return words.withColumns({"engine_unresolved": bad, "engine_reason": reason, "exhausted": (F.col("programme_id") + F.col("segment_id") * 3 + F.col("word_index") * 7) % 1201 == 0})
+
+
+def segment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source segments as the attribution operator takes them."""
+    src = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(F.col("conv_id").alias("programme_id"), F.col("turn").alias("segment_id"), F.col("text").alias("source_text"))
+    s = segments(spark, sf_dir).join(src, ["programme_id", "segment_id"])
+    k = F.col("programme_id") + F.col("segment_id")
+    status = F.when(k % 7 == 0, "edited").when(k % 13 == 0, "approved").otherwise("machine")
+    music, carried = F.col("role") == "system", k % 5 == 0
+    bare = music | ((k % 7 == 0) & (k % 21 == 0))
+    return s.select(
+        "programme_id", "segment_id", "start_ms", "end_ms", "source_text", status.alias("status"), music.alias("is_music"), (~bare).alias("has_words"),
+        F.when(carried, F.col("start_ms") - 40).alias("carried_start"), F.when(carried, F.col("end_ms") + 40).alias("carried_end"),
+        F.when(carried, "validated_words").alias("boundary_source"), F.when(k % 41 == 0, F.lit("2024-01-01")).alias("override"),
+    )
