@@ -9,7 +9,7 @@ from ..functions import exprs as X
 from ..operators import intervals, rows, timing
 from ..sources import derived as D
 from ..streaming import jobs
-from . import programme, programme_sql
+from . import production, programme, programme_sql
 from . import oracles as base_sql
 
 KEY = ["programme_id", "segment_id", "word_index"]
@@ -112,5 +112,5 @@ QUERIES = {
     )
 }
 
-QUERIES |= programme.QUERIES
-ORACLES = base_sql.ORACLES | programme_sql.ORACLES
+QUERIES |= programme.QUERIES | production.QUERIES
+ORACLES = base_sql.ORACLES | programme_sql.ORACLES | production.ORACLES
