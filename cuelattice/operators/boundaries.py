@@ -22,14 +22,17 @@ def derive_boundaries(rows: DataFrame, duration_ms: str | None = None) -> DataFr
     A row's end never depends on the final end before it, so three window passes do
     what a sequential sweep would."""
     order = Window.partitionBy("programme_id").orderBy("sequence_index")
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    so_far = Window.unboundedPreceding, -1
+    before = order.rowsBetween(*so_far)
+    # Looking ahead is looking back in reverse order: that frame grows row by row.
+    after = Window.partitionBy("programme_id").orderBy(F.desc("sequence_index")).rowsBetween(*so_far)
     core = F.col("core_start").isNotNull()
     lost = ~core & (F.col("n_words") > 0)
     usable = lost & F.coalesce((F.col("pb_end") > F.col("pb_start")) & (F.col("pb_start") >= 0), F.lit(False))
     r = rows.withColumns({"_core": core, "_lost": lost, "recovered": usable})
     r = r.withColumns({"_s0": F.when(usable, F.col("pb_start")).otherwise(F.col("start_ms")), "_e0": F.when(usable, F.col("pb_end")).otherwise(F.col("end_ms"))})
     r = r.withColumns({"_span_end": F.coalesce("core_end", "_e0"), "_span_start": F.coalesce("core_start", "start_ms")})
-    r = r.withColumns({"_prev": F.last("_span_end", True).over(before), "_next": F.first("_span_start", True).over(after)})
+    r = r.withColumns({"_prev": F.last("_span_end", True).over(before), "_next": F.last("_span_start", True).over(after)})
     last_room = F.lit(float(LEAD_OUT_MS)) if duration_ms is None else F.coalesce(F.greatest(F.lit(0.0), (F.col(duration_ms) - F.col("core_end")).cast("double")), F.lit(float(LEAD_OUT_MS)))
     lead_room = F.when(F.col("_prev").isNull(), F.greatest(F.lit(0.0), F.col("core_start").cast("double"))).otherwise(F.greatest(F.lit(0.0), (F.col("core_start") - F.col("_prev")) / 2))
     trail_room = F.when(F.col("_next").isNull(), last_room).otherwise(F.greatest(F.lit(0.0), (F.col("_next") - F.col("core_end")) / 2))

@@ -5,16 +5,25 @@ of a programme pass through an ordered fold, as a native aggregate()."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 
 ORDER = ("segment_id", "word_index")
+
+
 def _order() -> WindowSpec:
     return Window.partitionBy("programme_id").orderBy(*ORDER)
 
 
+def _next_start() -> Column:
+    """Start of the nearest undisputed word after this one. Read backwards, so that
+    the frame grows by a row at a time; a frame to the end of the partition is
+    evaluated anew for every row."""
+    back = Window.partitionBy("programme_id").orderBy(*[F.desc(c) for c in ORDER]).rowsBetween(Window.unboundedPreceding, -1)
+    return F.last(F.when(~F.col("disputed"), F.col("s")), True).over(back)
+
 
 def flag_disputes(words: DataFrame) -> DataFrame:
     """Adds stacked (three or more consecutive words with one window), divergence
@@ -37,8 +46,7 @@ def disputed_runs(flagged: DataFrame) -> DataFrame:
     it: aligned_ok, prov_ok, threshold T for the end of what came before, the
     undisputed end before it, and the ends that either choice leaves."""
     change = F.coalesce((F.lag("disputed").over(_order()) != F.col("disputed")) | (F.lag("segment_id").over(_order()) != F.col("segment_id")), F.lit(True))
-    ahead = _order().rowsBetween(1, Window.unboundedFollowing)
-    w = flagged.withColumn("_run", F.sum(change.cast("int")).over(_order())).withColumn("_next", F.first(F.when(~F.col("disputed"), F.col("s")), True).over(ahead))
+    w = flagged.withColumn("_run", F.sum(change.cast("int")).over(_order())).withColumn("_next", _next_start())
     w = w.withColumn("_before", F.max(F.when(~F.col("disputed"), F.col("e"))).over(_order().rowsBetween(Window.unboundedPreceding, -1)))
     run = Window.partitionBy("programme_id", "_run").orderBy("word_index")
     w = w.filter("disputed").withColumn("_prev_pe", F.lag("pe").over(run)).withColumn("_last", F.lead("pe").over(run).isNull() & (F.row_number().over(run) == F.count(F.lit(1)).over(Window.partitionBy("programme_id", "_run"))))
@@ -73,8 +81,7 @@ def arbitrate(words: DataFrame) -> DataFrame:
     flagged = flag_disputes(words)
     runs = disputed_runs(flagged)
     decided = decide_runs(runs).withColumnRenamed("segment_id", "_seg").withColumnRenamed("programme_id", "_prog")
-    ahead = _order().rowsBetween(1, Window.unboundedFollowing)
-    w = flagged.withColumn("_next", F.first(F.when(~F.col("disputed"), F.col("s")), True).over(ahead))
+    w = flagged.withColumn("_next", _next_start())
     inside = (F.col("_prog") == F.col("programme_id")) & (F.col("_seg") == F.col("segment_id")) & F.col("word_index").between(F.col("first_index"), F.col("last_index")) & F.col("disputed")
     w = w.join(decided, inside, "left").drop("_prog", "_seg")
     back = F.coalesce(F.col("restored"), F.lit(False))

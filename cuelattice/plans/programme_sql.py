@@ -123,10 +123,10 @@ ORACLES = {
     "pipe_04_islands": _I + f" select {_ROW}, island, overlap_ms, suggested, signals from isl",
     "fold_03_overlaps": _D + " select * from hits",
     "pipe_05_audit": _D + f" select {_ROW}, end_ms, defect, defect_ms, repaired, inflation_ms, divergence_ms from aud",
-    "agg_07_integrity": _D + """, h as (select programme_id, count(*) filter (repaired) overlap_repairs, count(*) filter (not repaired) overlap_defects, max(overlap_ms) worst_overlap_ms from hits group by all),
-        g as (select programme_id, count(*) n_rows, count(*) filter (repaired) repaired_rows, count(*) filter (col) collapse_defects, count(*) filter (divergence_ms>1500) divergence_defects, max(inflation_ms) worst_inflation_ms, count(*) filter (inflation_ms>1500) inflated_rows, count(*) filter (onset_moved) onset_rows,
+    "agg_07_integrity": _D + """, hh as (select programme_id, count(*) filter (repaired) overlap_repairs, count(*) filter (not repaired) overlap_defects, max(overlap_ms) worst_overlap_ms from hits group by all),
+        gg as (select programme_id, count(*) n_rows, count(*) filter (repaired) repaired_rows, count(*) filter (col) collapse_defects, count(*) filter (divergence_ms>1500) divergence_defects, max(inflation_ms) worst_inflation_ms, count(*) filter (inflation_ms>1500) inflated_rows, count(*) filter (onset_moved) onset_rows,
         count(*) filter (restored) restored_rows, count(*) filter (rejected) rejected_rows, count(*) filter (conflict_ms>0) conflict_rows, """ + _LIST.format("sequence_index", "defect is not null") + """ defect_sequences from aud group by programme_id)
-        select g.*, coalesce(overlap_repairs,0) overlap_repairs, coalesce(overlap_defects,0) overlap_defects, coalesce(worst_overlap_ms,0) worst_overlap_ms from g left join h on g.programme_id=h.programme_id""",
+        select g.*, coalesce(overlap_repairs,0) overlap_repairs, coalesce(overlap_defects,0) overlap_defects, coalesce(worst_overlap_ms,0) worst_overlap_ms from gg g left join hh h on g.programme_id=h.programme_id""",
     "pipe_06_states": _D + _STATES + f" select {_ROW}, state, cause, overrides, unresolved_timing, unresolved_speaker from states",
     "agg_09_state_summary": _D + _STATES + " select programme_id, count(*) filter (state='VALIDATED') validated, count(*) filter (state='VALIDATED_WITH_OVERRIDE') validated_with_override, count(*) filter (state='UNRESOLVED_TIMING') unresolved_timing, count(*) filter (state='UNRESOLVED_SPEAKER') unresolved_speaker, count(*) filter (state='MANUALLY_OVERRIDDEN') manually_overridden, count(*) filter (state in ('UNRESOLVED_TIMING','UNRESOLVED_SPEAKER')) blocking, count(*) total from states group by all",
 }
