@@ -107,6 +107,12 @@ def deterministic_uuid(seed: Column) -> Column:
     return F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-4"), F.substring(h, 14, 3), F.lit("-"), nibble, F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12))
 
 
-def retry_after_ms(header: Column) -> Column:
-    s = F.when(F.trim(header).rlike(r"^\d+$"), F.trim(header)).try_cast("long")
-    return F.least(F.lit(30_000), s * 1000).cast("long")
+def retry_after_ms(header: Column, now: Column | None = None) -> Column:
+    """Whole seconds, or with `now` (a timestamp) an HTTP date relative to it; at most
+    30 s, never below 0; null where the header is neither."""
+    h = F.trim(header)
+    ms = F.when(h.rlike(r"^\d+$"), h).try_cast("long") * 1000
+    if now is not None:
+        at = F.try_to_timestamp(F.substring(h, 6, 40), F.lit("dd MMM yyyy HH:mm:ss z"))
+        ms = F.coalesce(ms, F.unix_millis(at) - F.unix_millis(now))
+    return F.when(ms.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(30_000), ms))).cast("long")
