@@ -212,12 +212,12 @@ def components(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents of `docs` without near-duplicates: of each component the one
-    with the smallest id stays, whole rows, once."""
-    ids = components(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = materialise(ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")), "simhash-kept").withColumnRenamed("doc_id", "_kept")
-    same = F.col("doc_id").eqNullSafe(F.col("_kept"))
-    kept = docs.join(ids.filter("_n = 1"), same, "left_semi")
-    if ids.filter("_n > 1").isEmpty():
-        return kept
-    return kept.unionByName(docs.join(ids.filter("_n > 1"), same, "left_semi").dropDuplicates(["doc_id"]))
+    """The documents of `docs` without near-duplicates: of each component one row
+    stays whole, that with the smallest id, null ids last. Rows are told apart by
+    a number of their own, so null and repeated ids do no harm."""
+    rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
+    of = components(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "component_id")
+    id_ = F.col("doc_id").cast("long")
+    first = rows.select("_row", id_.alias("doc_id")).join(of, "_row").groupBy("component_id")
+    kept = materialise(first.agg(F.min(F.struct(id_.isNull().alias("none"), id_.alias("id"), "_row")).alias("m")).select("m._row"), "simhash-kept")
+    return rows.join(kept, "_row", "left_semi").drop("_row")

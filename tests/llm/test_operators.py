@@ -212,6 +212,14 @@ def test_simhash(docs, empty, monkeypatch):
     assert simhash.components(empty).count() == 0
 
 
+def test_keep_one_of_null_and_repeated_ids(spark):
+    rng = random.Random(8)
+    a, b, c, d, e = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(5))
+    rows = [(None, a), (None, b), (None, b), (4, c), (4, d), (4, e), (2, e), (2, a.upper() + " x")]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(map(str, got)) == sorted(str(Row(doc_id=i, text=t)) for i, t in [(2, a.upper() + " x"), (None, b), (4, c), (4, d), (2, e)])
+
+
 def test_gray_index():
     rng = np.random.default_rng(4)
     f = rng.integers(0, 2**63, 40, dtype=np.int64).astype(np.uint64)
