@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import copies
 from .common import by_bytes, materialise, partitions, text_views
 from .components import connected_components, local_components
 
@@ -212,12 +213,12 @@ def components(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents of `docs` without near-duplicates: of each component one row
-    stays whole, that with the smallest id, null ids last. Rows are told apart by
+    """The documents of `docs` without near-duplicates (see `copies`: five words,
+    similarity 0.8): of each component one row stays whole, that with the smallest id, null ids last. Rows are told apart by
     a number of their own, so null and repeated ids do no harm."""
     rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
-    of = components(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "component_id")
+    of = copies.components(rows.select("_row", "text"))
     id_ = F.col("doc_id").cast("long")
-    first = rows.select("_row", id_.alias("doc_id")).join(of, "_row").groupBy("component_id")
+    first = rows.select("_row", id_.alias("doc_id")).join(of, "_row").groupBy("component")
     kept = materialise(first.agg(F.min(F.struct(id_.isNull().alias("none"), id_.alias("id"), "_row")).alias("m")).select("m._row"), "simhash-kept")
     return rows.join(kept, "_row", "left_semi").drop("_row")

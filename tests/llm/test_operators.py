@@ -220,6 +220,33 @@ def test_keep_one_of_null_and_repeated_ids(spark):
     assert sorted(map(str, got)) == sorted(str(Row(doc_id=i, text=t)) for i, t in [(2, a.upper() + " x"), (None, b), (4, c), (4, d), (2, e)])
 
 
+def test_keep_one_reaches_similarity(spark):
+    """Copies planted at five-word Jaccard 0.75 to 0.99, against all pairs."""
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    tail, texts = [word() for _ in range(40)], []
+    for k in range(60):
+        base = [word() for _ in range(rng.randint(6, 300))] + (tail if k % 3 == 0 else [])
+        texts.append(base)
+        for edits in range(rng.randint(1, 4)):  # each of the next is an edit of the one before
+            base = list(base)
+            for _ in range(max(1, len(base) * edits // 100)):
+                base[rng.randrange(len(base))] = word()
+            texts.append(base)
+        texts.append(base + [word() for _ in range(len(base) // 5)])
+    sets = [{" ".join(t[i : i + 5]) for i in range(max(1, len(t) - 4))} for t in texts]
+    root, near = list(range(len(texts))), 0
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+            near += 1
+            root = [root[a] if r == root[b] else r for r in root]
+    low = {r: min(i for i, x in enumerate(root) if x == r) for r in set(root)}
+    assert near > 60 and len(low) > 60
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(low.values())
+
+
 def test_gray_index():
     rng = np.random.default_rng(4)
     f = rng.integers(0, 2**63, 40, dtype=np.int64).astype(np.uint64)
