@@ -6,7 +6,7 @@ a wide vector and a document's fingerprint is the lane-wise sum:
 * 4 lanes modulo 2**64, uniformly random per whole paragraph: equal sums mean
   equal multisets of paragraphs, in any order;
 * 128 lanes modulo 2**16, each +1 or -1 for every run of eight words of the
-  paragraph: the squared length of the difference of two such sums estimates how
+  paragraph, overlapping ones too (the whole of a shorter paragraph): the squared length of the difference of two such sums estimates how
   many runs two documents do not share, which gives a likeness.
 
 Both parts are sums, so a paragraph is inserted or deleted by adding or
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -43,7 +44,8 @@ def _pieces(text: str) -> tuple[list[int], list[int]]:
         whole.append(h(p))
         w = p.split()
         if w:
-            runs += [h(" ".join(w[i : i + RUN])) for i in range(0, len(w), RUN)]
+            line, ends = " ".join(w), list(accumulate(len(x) + 1 for x in w))
+            runs += [h(line[i : j - 1]) for i, j in zip([0, *ends], ends[RUN - 1 :] or ends[-1:], strict=False)]
     return whole, runs
 
 

@@ -104,6 +104,13 @@ def test_fingerprints(docs, empty):
     assert fp("a b\nc d") == fp("c d\na b") == fingerprints.combine(fp("a b"), fp("c d")) and fingerprints.combine(fp("a b\nc d"), fp("c d"), -1) == fp("a b")
 
 
+def test_likeness_of_a_shifted_copy():
+    rng = random.Random(7)
+    text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(400))
+    e, l = fingerprints.fingerprint_arrays([text, "new " + text, text.replace(" ", " new ", 1)])
+    assert (fingerprints.likeness(e[:1], l[:1], e[1:], l[1:]) > 0.9).all()
+
+
 def test_language(spark, docs, empty):
     out = {r["doc_id"]: r for r in language.predict(docs).collect()}
     assert out[0]["lang_pred"] == out[3]["lang_pred"] == out[6]["lang_pred"] == "und" and all(0 <= r["score"] <= 1 for r in out.values())
