@@ -2,10 +2,11 @@
 
 Centroids come from balanced k-means on a bounded sample (SAMPLE vectors, at most
 CENTROIDS lists). Every vector joins its nearest list, and lists whose distance is
-within BOUNDARY of that, REPLICAS at most, unless a chosen centroid is nearer to
-theirs than the vector is. Centroids are held in memory as a neighbour graph and
-found by best-first search; a query visits the lists within PRUNE of its nearest
-one, PROBES at most. Lists live in Spark: (list, slice) is a shuffle key, a list
+within BOUNDARY of that, REPLICAS at most. Centroids are held in memory as a
+neighbour graph and found by best-first search; a query visits the lists within
+PRUNE of its nearest one, PROBES at most, but at least LEAST lists, and further
+ones until they hold ENOUGH rows. A query that still finds fewer than NEAREST
+while there are more candidates visits all lists. Lists live in Spark: (list, slice) is a shuffle key, a list
 longer than SLICE vectors is cut in slices, so no list, however many copies of a
 vector it holds, meets in one task.
 """
@@ -26,6 +27,8 @@ SAMPLE, CENTROIDS, LIST = 20_000, 4_096, 256
 BOUNDARY, REPLICAS, PRUNE, PROBES = 1.3, 6, 1.4, 64
 SLICE, DEGREE, BEAM = 2_000, 24, 96
 QUERY_EVERY, NEAREST = 100, 10
+#: A vector is in REPLICAS lists at most, so ENOUGH rows hold twice the vectors needed.
+LEAST, ENOUGH = 8, 2 * REPLICAS * (NEAREST + 1)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -65,6 +68,7 @@ class CentroidGraph:
 
     def __init__(self, c: np.ndarray):
         self.c = c
+        self.held = np.zeros(len(c), np.int64)  # rows of each list, once known
         links: list[set[int]] = [set() for _ in c]
         for lo in range(0, len(c), 1_000):
             d = squares(c[lo : lo + 1_000], c)
@@ -111,7 +115,9 @@ def lists_for(graph: CentroidGraph, v: np.ndarray) -> list[int]:
 
 def probes_for(graph: CentroidGraph, v: np.ndarray) -> list[int]:
     at, d = graph.search(v)
-    return at[: PROBES][d[: PROBES] <= PRUNE * d[0] + 1e-12].tolist()
+    near = int((d[:PROBES] <= PRUNE * d[0] + 1e-12).sum())
+    full = int(np.searchsorted(np.cumsum(graph.held[at]), ENOUGH)) + 1
+    return at[: max(near, LEAST, full)].tolist()
 
 
 def _assign(sent, choose):
@@ -165,16 +171,33 @@ def search(vectors: DataFrame, every: int = QUERY_EVERY) -> DataFrame:
     sample = all_.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toPandas()
     x = np.unique(np.stack(sample["v"].to_numpy()), axis=0)
     k = int(np.clip(first["count"] / LIST, 1, min(CENTROIDS, max(1, len(x) // 8))))
-    sent = spark.sparkContext.broadcast(CentroidGraph(balanced_kmeans(x, k)))
+    graph = CentroidGraph(balanced_kmeans(x, k))
+    sent = spark.sparkContext.broadcast(graph)
     n = partitions(spark)
     schema = "vec_id long, v array<double>, list long"
     posted = materialise(all_.repartition(2 * n).mapInPandas(_assign(sent, lists_for), schema), "postings")
-    size = posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices"))
+    rows = materialise(posted.groupBy("list").agg(F.count(F.lit(1)).alias("rows")), "list-sizes")
+    for r in rows.collect():
+        graph.held[r["list"]] = r["rows"]
+    size = rows.select("list", F.ceil(F.col("rows") / SLICE).cast("int").alias("slices"))
     posted = posted.join(size, "list").withColumn("slice", F.pmod(F.xxhash64("vec_id"), F.col("slices")).cast("int"))
-    asked = all_.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]).repartition(2 * n).mapInPandas(_assign(sent, probes_for), schema)
-    asked = asked.join(size, "list").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    queries = all_.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]).repartition(2 * n)
     cut = ["list", "slice"]
-    found = posted.select("vec_id", "v", *cut).groupBy(*cut).cogroup(asked.select("vec_id", "v", *cut).groupBy(*cut)).applyInPandas(_scan, "query_id long, vec_id long, score double")
-    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= NEAREST).select("query_id", "rank", "vec_id", "score")
+
+    def nearest(asked: DataFrame) -> DataFrame:
+        """Of queries (vec_id, v, list, slices), the nearest in those lists."""
+        asked = asked.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+        found = posted.select("vec_id", "v", *cut).groupBy(*cut).cogroup(asked.select("vec_id", "v", *cut).groupBy(*cut)).applyInPandas(_scan, "query_id long, vec_id long, score double")
+        found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+        order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+        return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= NEAREST).select("query_id", "rank", "vec_id", "score")
+
+    probed = queries.mapInPandas(_assign(spark.sparkContext.broadcast(graph), probes_for), schema)
+    found = materialise(nearest(probed.join(size, "list")), "neighbours")
+    want = min(NEAREST, all_.select("vec_id").distinct().count() - 1)
+    filled = found.groupBy(F.col("query_id").alias("vec_id")).count().filter(F.col("count") >= want)
+    short = materialise(queries.join(filled, "vec_id", "left_anti"), "neighbours-short")
+    if want < 1 or short.isEmpty():
+        return found
+    rest = found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").select(found.columns)
+    return rest.unionByName(nearest(short.crossJoin(F.broadcast(size))))

@@ -185,6 +185,19 @@ def test_neighbours(spark):
     assert neighbours.search(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+def test_neighbours_fill_up(spark, monkeypatch):
+    """Queries alone in their list, on a centroid; probed as usual, and one list only."""
+    monkeypatch.setattr(neighbours, "LIST", 8)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 8)) * 0.01 + rng.integers(0, 5, (400, 1)) * 10
+    x[::20] = rng.normal(size=(20, 8)) * 1000
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    for choose in (neighbours.probes_for, lambda graph, v: graph.search(v)[0][:1].tolist()):
+        monkeypatch.setattr(neighbours, "probes_for", choose)
+        out = neighbours.search(table, every=20).collect()
+        assert sorted((r["query_id"], r["rank"]) for r in out) == [(q, k) for q in range(0, 400, 20) for k in range(1, 11)]
+
+
 def test_page_text(spark):
     pages = [
         (1, "u", "<html><body><nav><ul><li><a href='/'>Home</a></li></ul></nav><div class='ad'>Buy now.</div><article><h1>Title</h1><p>First &amp; main text,\n with <b>bold</b> words.</p><p>Second.</p></article><footer>&copy; x</footer></body></html>"),
