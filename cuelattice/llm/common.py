@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,11 +17,14 @@ MAX_BUCKETS = 10_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or,
-    where that is unset (tests, local mode), a temporary folder of this session."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, where
+    that is unset in local mode (tests), a temporary folder of this session. On a
+    cluster it has to be set."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc._jsc.sc().getCheckpointDir().getOrElse(None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="cuelattice-"))
         found = sc._jsc.sc().getCheckpointDir().get()
     return found.rstrip("/")

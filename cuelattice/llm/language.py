@@ -6,9 +6,11 @@ log frequency in each language; any other word scores by the mean log frequency
 of its longest known n-grams, 4 characters first, then 3, 2, 1. Each word's
 scores become log posteriors over languages, floored, and a text's are summed.
 
-Bounds: at most DOCS_PER_LANG training documents per language, chosen by the hash
-of their id; at most TABLE rows in the model, shared by LANGS languages and five
-tables. The model is what is broadcast, so its size never follows the corpus.
+Bounds: about DOCS_PER_LANG training documents per language, chosen by the hash of
+their id (rows of one id go together). Every learned language has tables of its TABLE
+most frequent words and n-grams, fewer only beyond MODEL_ROWS / (5 * TABLE) languages;
+totals are taken before. The model is what is broadcast, so its size follows the number
+of languages, MODEL_ROWS at most, never that of documents.
 """
 
 from __future__ import annotations
@@ -23,14 +25,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_bytes, held
+from .common import by_bytes, held, materialise
+from .units import gather
 
 DOCS_PER_LANG = 3_000
-LANGS = 200
-TABLE = 200_000
+TABLE, MODEL_ROWS = 10_000, 2_000_000
 LONGEST = 4
 FLOOR = -6.0
-CACHE = 300_000
+CELLS = 1_200_000
 SLICE = 8_000_000
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -62,43 +64,51 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class LanguageModel:
-    """Words (table 0) and n-grams: position in a table of log frequencies per
-    language."""
+    """Words (table 0) and n-grams: per row of a table, the languages that have it and
+    by how much its log frequency there exceeds that of an unknown one."""
 
-    def __init__(self, langs: list[str], rows: pd.DataFrame):
+    def __init__(self, langs: list[str], rows: pd.DataFrame, totals: pd.DataFrame):
         self.langs, at = langs, {x: i for i, x in enumerate(langs)}
-        self.at: list[dict[str, int]] = []
-        self.logs: list[np.ndarray] = []
         self.token = uuid.uuid4().hex
+        self.tables: list[tuple[dict[str, int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         for n in range(LONGEST + 1):
-            part = rows[rows["n"] == n]
+            part = rows[rows["n"] == n].sort_values(["gram", "lang"])
+            own = totals[totals["n"] == n]
             total = np.ones(len(langs))
-            for lang, times in part.groupby("lang")["times"].sum().items():
-                total[at[lang]] = max(1, times)
-            table = {g: i for i, g in enumerate(dict.fromkeys(part["gram"]))}
-            logs = np.tile(np.log(0.1 / total), (len(table), 1))
-            for gram, lang, times in zip(part["gram"], part["lang"], part["times"], strict=True):
-                logs[table[gram], at[lang]] = np.log(times / total[at[lang]])
-            self.at.append(table)
-            self.logs.append(logs)
+            total[[at[x] for x in own["lang"]]] = np.maximum(1, own["times"])
+            unknown = np.log(0.1 / total)
+            lang = np.array([at[x] for x in part["lang"]], np.int64)
+            more = np.log(part["times"].to_numpy(float) / total[lang]) - unknown[lang]
+            first = np.flatnonzero(np.r_[True, part["gram"].to_numpy()[1:] != part["gram"].to_numpy()[:-1]]) if len(part) else np.zeros(0, np.int64)
+            names = {g: i for i, g in enumerate(part["gram"].to_numpy()[first])}
+            self.tables.append((names, np.r_[first, len(part)], lang, more, unknown))
+
+    def _sums(self, n: int, rows: np.ndarray, of: np.ndarray, count: int) -> np.ndarray:
+        """Sum of the log frequencies of table rows, by the word they belong to."""
+        _, first, lang, more, unknown = self.tables[n]
+        size = first[rows + 1] - first[rows]
+        at = gather(np.arange(len(lang)), first[rows], size)
+        cell = np.repeat(of, size) * len(unknown) + lang[at]
+        out = np.bincount(cell, weights=more[at], minlength=count * len(unknown)).reshape(count, -1)
+        return out + np.bincount(of, minlength=count)[:, None] * unknown[None]
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Log posteriors of the languages for each word, floored; zeros for a word
-        of which nothing is known."""
+        of which nothing is known. Overlapping n-grams of a word count as two
+        independent ones at most."""
         score = np.zeros((len(words), len(self.langs)))
-        found = np.array([self.at[0].get(w, -1) for w in words], dtype=np.int64)
-        has = found >= 0
-        score[has] = self.logs[0][found[has]]
-        left = np.flatnonzero(~has)
+        found = np.array([self.tables[0][0].get(w, -1) for w in words], dtype=np.int64)
+        has = np.flatnonzero(found >= 0)
+        score[has] = self._sums(0, found[has], np.arange(len(has)), len(has))
+        left = np.flatnonzero(found < 0)
         for n in range(LONGEST, 0, -1):
-            get = self.at[n].get
+            get = self.tables[n][0].get
             per = [[i for g in grams(words[k], n) if (i := get(g)) is not None] for k in left.tolist()]
             size = np.array([len(x) for x in per], dtype=np.int64)
             some = np.flatnonzero(size)
             if len(some):
                 flat = np.array([i for x in per for i in x], dtype=np.int64)
-                begin = np.r_[0, np.cumsum(size[some])[:-1]]
-                sums = np.add.reduceat(self.logs[n][flat], begin, axis=0)
+                sums = self._sums(n, flat, np.repeat(np.arange(len(some)), size[some]), len(some))
                 score[left[some]] = sums * (np.minimum(2, size[some]) / size[some])[:, None]
                 left = left[size == 0]
         top = score - score.max(axis=1, keepdims=True)
@@ -108,20 +118,29 @@ class LanguageModel:
 
 
 class Known:
-    """Scores of the words met so far, at most about CACHE, kept between tasks."""
+    """Scores of the words met so far, at most about CELLS, kept between tasks. Once
+    there are more, those met in one slice of texts only go."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.at, self.vectors = model, {}, np.zeros((0, len(model.langs)), np.float32)
+        self.model, self.at, self.vectors, self.met = model, {}, np.zeros((0, len(model.langs)), np.float32), np.zeros(0, np.int32)
 
     def learn(self, words: list[list[str]]) -> None:
         """Score the words that are met for the first time."""
-        if len(self.at) > CACHE:
-            self.at, self.vectors = {}, self.vectors[:0]
-        new = list(set().union(*words).difference(self.at))
+        limit = max(1, CELLS // max(1, len(self.model.langs)))
+        if len(self.at) > limit:
+            keep = np.flatnonzero(self.met > 1)
+            keep = keep[np.argsort(-self.met[keep], kind="stable")[: limit // 2]]
+            held_words = list(self.at)
+            self.at = {held_words[i]: k for k, i in enumerate(keep.tolist())}
+            self.vectors, self.met = self.vectors[keep], self.met[keep] // 2
+        met = set().union(*words)
+        new = list(met.difference(self.at))
         if new:
             first = len(self.at)
             self.vectors = np.concatenate([self.vectors, self.model.word_scores(new)])
+            self.met = np.r_[self.met, np.zeros(len(new), np.int32)]
             self.at.update(zip(new, range(first, first + len(new)), strict=True))
+        self.met[np.fromiter(map(self.at.__getitem__, met), np.int64, len(met))] += 1
 
 
 def classify(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np.ndarray]:
@@ -138,8 +157,8 @@ def classify(texts: list[str | None], model: LanguageModel) -> tuple[list[str],
             names.append("und")
             continue
         at = np.fromiter(map(get, own), np.int64, len(own))
-        mean = known.vectors[at].mean(axis=0, dtype=np.float64)
-        p = np.exp((mean - mean.max()) * min(len(own), 10))
+        total = known.vectors[at].sum(axis=0, dtype=np.float64)
+        p = np.exp(total - total.max())
         best = int(np.argmax(p))
         names.append(langs[best])
         scores[k] = p[best] / p.sum()
@@ -149,26 +168,23 @@ def classify(texts: list[str | None], model: LanguageModel) -> tuple[list[str],
 def train(docs: DataFrame) -> LanguageModel:
     """Learn from rows (doc_id, text, lang) that are not held out and have a text
     and a language. Ids and sources choose rows; they are no inputs."""
-    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    pick = F.xxhash64(F.col("doc_id")).alias("h")
-    first = Window.partitionBy("lang").orderBy("h")
-    ranked = usable.select("lang", pick).withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= DOCS_PER_LANG)
-    tops = ranked.groupBy("lang").agg(F.max("h").alias("h"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGS).collect()
-    langs = sorted(r["lang"] for r in tops)
-    if not langs:
-        return LanguageModel([], pd.DataFrame({"lang": [], "n": [], "gram": [], "times": []}))
-    chosen = F.lit(False)
-    for r in tops:
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (F.xxhash64("doc_id") <= r["h"]))
-    parts = usable.filter(chosen).select("lang", "text").mapInPandas(_counts, "lang string, n int, gram string, times long")
-    each = max(200, TABLE // (len(langs) * (LONGEST + 1)))
+    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "text", "lang")
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("_rows"))
+    part = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 20)) < F.lit(DOCS_PER_LANG * (1 << 20)) / F.col("_rows")
+    chosen = usable.join(sizes, "lang").filter(part)
+    parts = chosen.select("lang", "text").mapInPandas(_counts, "lang string, n int, gram string, times long")
+    counts = materialise(parts.groupBy("lang", "n", "gram").agg(F.sum("times").alias("times")), "language-counts")
+    totals = counts.groupBy("lang", "n").agg(F.sum("times").alias("times")).toPandas()
+    langs = sorted(set(totals["lang"]))
+    each = min(TABLE, MODEL_ROWS // max(1, len(langs) * (LONGEST + 1)))
     best = Window.partitionBy("lang", "n").orderBy(F.desc("times"), "gram")
-    rows = parts.groupBy("lang", "n", "gram").agg(F.sum("times").alias("times")).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= each)
-    return LanguageModel(langs, rows.select("lang", "n", "gram", "times").toPandas())
+    rows = counts.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= each)
+    return LanguageModel(langs, rows.select("lang", "n", "gram", "times").toPandas(), totals)
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """Adds lang_pred and score to every row, from the text alone."""
+    """Adds lang_pred and score to every row, from the text alone; columns of these
+    names are replaced."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     cols = [c for c in docs.columns if c not in ("lang_pred", "score")]
     schema = docs.select(*cols).schema.add("lang_pred", "string").add("score", "double")
@@ -194,15 +210,21 @@ def predict(docs: DataFrame) -> DataFrame:
 
     Null texts and texts without a letter are 'und' with score 0, as is every
     text if nothing could be learned; rows may repeat; an empty table gives an
-    empty result; other columns are ignored."""
+    empty result; of equally likely languages the first by name; other columns are
+    ignored."""
     rows = docs.select("doc_id", "text")
     out = identify(rows, train(docs))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The documents whose language is identified with at least that score,
-    with their columns unchanged."""
-    out = identify(docs.select("*"), train(docs))
-    kept = out.filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
-    return kept.select(*docs.columns)
+    """The documents whose language is identified with at least that score, with their
+    columns, whatever their names, as they were.
+
+    Null texts and texts without a letter go, as does every text if no row has a
+    language to learn from; a null id, source or lang is no reason to go; repeated rows
+    stay or go together; an empty table gives an empty result."""
+    cols = docs.columns
+    renamed = docs.select(*[F.col(f"`{c}`").alias("text" if c == "text" else f"c{k}") for k, c in enumerate(cols)])
+    out = identify(renamed, train(docs)).filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    return out.select(*[F.col("text" if c == "text" else f"c{k}").alias(c) for k, c in enumerate(cols)])

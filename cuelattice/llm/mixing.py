@@ -126,11 +126,24 @@ def mix_sizes(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int =
     return out.select("doc_id", "source", F.col("_size").alias("size"), "source_size", "target", "copies", (F.col("copies") * F.col("_size")).alias("taken"))
 
 
-def mix_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, seed: int = 1) -> DataFrame:
+def mix_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, seed: int = 1, quality: str | None = None) -> DataFrame:
     """The mix itself: every taken document as often as it is taken, with the
-    columns of `docs`. Texts are read twice and never shuffled."""
-    keyed = docs.withColumn("_size", n_words(F.col("text"))).withColumn("_id", F.col("doc_id"))
-    keyed = keyed.withColumn("_key", sampling_key(F.col("_id"), text_quality(F.col("text"), F.col("_size")), seed))
+    columns of `docs`, whatever their names. Texts are read twice and never shuffled.
+
+    quality: a column of `docs` with positive weights, such as a classifier's score;
+    without it (and where it is null) the weight is `text_quality`. Null texts have size
+    0; null sources are one source, last in order; documents without words cost nothing
+    and are taken once per complete epoch; rows that agree in id and size, repeated
+    rows too, are taken alike; ties of keys go by id and size; an empty table gives an
+    empty result."""
+    cols = docs.columns
+    own = docs.select(F.struct(*cols).alias("_doc"))
+    size = n_words(F.col("_doc.text"))
+    weight = text_quality(F.col("_doc.text"), size)
+    if quality:
+        weight = F.coalesce(F.col(f"_doc.`{quality}`").cast("double"), weight)
+    keyed = own.select("_doc", F.col("_doc.source").alias("source"), size.alias("_size"), F.col("_doc.doc_id").alias("_id"), sampling_key(F.col("_doc.doc_id"), weight, seed).alias("_key"))
     plan = materialise(plan_mix(materialise(keyed.select("source", "_id", "_size", "_key"), "mix-rows"), weights, cap), "mix-plan")
     out = copies(same_source(keyed, plan)).filter(F.col("copies") > 0)
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    out = out.select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
+    return out.select(*[F.col(f"_doc.`{c}`") for c in cols])

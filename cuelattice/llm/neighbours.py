@@ -1,7 +1,7 @@
 """Approximate nearest neighbours with balanced posting lists.
 
-Centroids come from balanced k-means on a bounded sample (SAMPLE vectors, at most
-CENTROIDS lists). Every vector joins its nearest list, and lists whose distance is
+Centroids come from balanced k-means on a bounded sample: one list for LIST vectors of
+the table, CENTROIDS lists at most, fitted on FIT vectors a list and SAMPLE at least. Every vector joins its nearest list, and lists whose distance is
 within BOUNDARY of that, REPLICAS at most. Centroids are held in memory as a
 neighbour graph and found by best-first search; a query visits the lists within
 PRUNE of its nearest one, PROBES at most, but at least LEAST lists, and further
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, partitions
 
-SAMPLE, CENTROIDS, LIST = 20_000, 4_096, 256
+SAMPLE, FIT, CENTROIDS, LIST = 20_000, 8, 16_384, 256
 BOUNDARY, REPLICAS, PRUNE, PROBES = 1.3, 6, 1.4, 64
 SLICE, DEGREE, BEAM = 2_000, 24, 96
 QUERY_EVERY, NEAREST = 100, 10
@@ -156,8 +156,9 @@ def search(vectors: DataFrame, every: int = QUERY_EVERY) -> DataFrame:
     """query_id, rank, vec_id, score: the nearest vectors found for every query.
 
     Queries are vectors whose id is divisible by `every`; their own id is no
-    candidate. Unusable vectors (see `usable`) take no part. Vectors must have one
-    length; those of another length than the first list's centroids are left out.
+    candidate. Unusable vectors (see `usable`) take no part. Distances need one
+    length: vectors of another than the commonest (of equally common ones the shortest)
+    take no part either.
     Repeated ids count once per candidate list; equal distances go to the smaller
     id; an empty table gives an empty result; other columns are ignored.
     """
@@ -168,9 +169,10 @@ def search(vectors: DataFrame, every: int = QUERY_EVERY) -> DataFrame:
     if first is None:
         return spark.createDataFrame([], empty)
     all_ = all_.filter(F.size("v") == first["n"])
-    sample = all_.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toPandas()
+    k = int(np.clip(first["count"] / LIST, 1, CENTROIDS))
+    sample = all_.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(max(SAMPLE, FIT * k)).select("v").toPandas()
     x = np.unique(np.stack(sample["v"].to_numpy()), axis=0)
-    k = int(np.clip(first["count"] / LIST, 1, min(CENTROIDS, max(1, len(x) // 8))))
+    k = min(k, max(1, len(x) // FIT))
     graph = CentroidGraph(balanced_kmeans(x, k))
     sent = spark.sparkContext.broadcast(graph)
     n = partitions(spark)
@@ -192,7 +194,8 @@ def search(vectors: DataFrame, every: int = QUERY_EVERY) -> DataFrame:
         order = Window.partitionBy("query_id").orderBy("score", "vec_id")
         return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= NEAREST).select("query_id", "rank", "vec_id", "score")
 
-    probed = queries.mapInPandas(_assign(spark.sparkContext.broadcast(graph), probes_for), schema)
+    sizes = spark.sparkContext.broadcast(graph)
+    probed = queries.mapInPandas(_assign(sizes, probes_for), schema)
     found = materialise(nearest(probed.join(size, "list")), "neighbours")
     want = min(NEAREST, all_.select("vec_id").distinct().count() - 1)
     filled = found.groupBy(F.col("query_id").alias("vec_id")).count().filter(F.col("count") >= want)
@@ -200,4 +203,5 @@ def search(vectors: DataFrame, every: int = QUERY_EVERY) -> DataFrame:
     if want < 1 or short.isEmpty():
         return found
     rest = found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").select(found.columns)
-    return rest.unionByName(nearest(short.crossJoin(F.broadcast(size))))
+    every_list = short.select("vec_id", "v", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(len(graph.c) - 1).cast("long"))).alias("list"))
+    return rest.unionByName(nearest(every_list.join(size, "list")))

@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding by batched Viterbi.
 
-Texts are cut into units at word boundaries (a piece never spans one); distinct
-units are encoded once per worker, all units of one length together: a table
-holds, per end position, the best last piece and where it starts. Substrings are
-found by probing the sorted hashes of the pieces.
+Texts are cut into units (`units`) wherever two adjacent bytes stand side by side in
+no piece, word boundaries above all; distinct units are encoded once per worker, all
+units of one length together: a table holds, per end position, the best last piece
+and where it starts. Substrings are found by probing the sorted hashes of the pieces;
+a bit table leaves out most of those that are no piece.
 
 * Unigram models: the best path has the largest sum of piece scores.
 * Merge (BPE) models: the largest sum of scores is not what the merges produce, so
@@ -23,15 +24,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bytes, held, mix64
+from . import units as U
+from .common import held, mix64, text_views
 
 SPACE = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-CACHE = 400_000
-SLICE = 2_000_000
+CACHE = 500_000
+MEMO, SIEVE = 20, 22
 _NEVER = np.int64(1 << 40)
 
 
@@ -102,9 +105,7 @@ class Pieces:
         self.dummy = sp.encode("a", out_type=str)[0].startswith(SPACE)
         if sp.encode("A  béﬁ ", out_type=str) and "".join(sp.encode("A  b ", out_type=str)) != (SPACE if self.dummy else "") + f"A{SPACE}{SPACE}b{SPACE}":
             raise ValueError("only models that leave the text as it is can be used")
-        joined = {c for t in self.own if len(t) > 1 for c in t}
-        apart = "" if "\n" in joined else "\\n"
-        self.unit = re.compile(rf"{SPACE}*[^{SPACE}{apart}]+|{SPACE}+" + (f"|{apart}" if apart else ""))
+        self.apart = self._apart_bytes()
         self.longest = max(map(len, self.own))
         usable = self._split() if self.merges else list(self.own.values())
         self.pow = _powers(4096)
@@ -113,7 +114,27 @@ class Pieces:
         self.keys, self.key_ids = keys[order], np.array(usable)[order]
         if len(np.unique(keys)) != len(keys):
             raise ValueError("two pieces share a hash")
-        self.cache: dict[str, bytes] = {}
+        self.sieve = np.zeros(1 << SIEVE, bool)
+        self.sieve[self.keys >> np.uint64(64 - SIEVE)] = True
+        self.memo_key, self.memo = np.full(1 << MEMO, -1, np.int64), np.zeros(1 << MEMO, bool)
+        self.raw_size = np.array([len(x) for x in self.raw])
+        self.raw_first, self.raw_bytes = np.cumsum(self.raw_size) - self.raw_size, np.frombuffer(b"".join(self.raw), np.uint8)
+        self.cache = U.UnitTable(self._learn, CACHE, np.int32)
+
+    def _apart_bytes(self) -> np.ndarray:
+        """Pairs of bytes that a unit may end between: no piece has them side by side.
+        Characters beyond ASCII stay together, and with what no space parts from them."""
+        apart = np.ones((256, 256), bool)
+        for t in self.own:
+            b = t.replace(SPACE, " ").encode()
+            apart[list(b[:-1]), list(b[1:])] = False
+        apart[128:], apart[:, 128:] = False, False
+        apart[:, 32], apart[32, 32] = True, False
+        if not self.bytes:  # unknown characters in a row become one unknown piece
+            known = np.zeros(256, bool)
+            known[[ord(t.replace(SPACE, " ")) for t in self.own if len(t) == 1 and (t == SPACE or t.isascii())]] = True
+            apart &= known[:, None] | known[None, :]
+        return apart.ravel()
 
     def _hash(self, t: str) -> np.uint64:
         return mix64(_prefix(np.array([[ord(c) for c in t]], np.uint64))[0, -1:] ^ np.uint64(len(t)))[0]
@@ -166,9 +187,9 @@ class Pieces:
             x, y = np.where(undo, self.right[x], x), np.where(undo, y, self.left[y])
         return out
 
-    def viterbi(self, units: list[str]) -> list[list[int]]:
-        """Piece ids of units of one length; id len(text) marks a character that has
-        no piece."""
+    def viterbi(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of pieces of each of some units of one length, and all their ids in a
+        row; id len(text) marks a character that has no piece."""
         n, size = len(units), len(units[0])
         codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4").reshape(n, size).astype(np.uint64)
         pre = _prefix(codes)
@@ -183,12 +204,15 @@ class Pieces:
             for length in range(min(end, self.longest), 0, -1):  # ties to the longer last piece
                 start = end - length
                 h = mix64((pre[:, end] - pre[:, start] * self.pow[length]) ^ np.uint64(length))
-                k = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-                piece = np.where(self.keys[k] == h, self.key_ids[k], none)
-                ok = np.flatnonzero((piece != none) | (length == 1))
+                if length == 1:
+                    ok = np.arange(n)
+                    piece = self._probe(h)
+                else:
+                    ok = np.flatnonzero(self.sieve[h >> np.uint64(64 - SIEVE)])
+                    piece = self._probe(h[ok])
+                    ok, piece = ok[piece != none], piece[piece != none]
                 if not len(ok):
                     continue
-                piece = piece[ok]
                 if self.merges:
                     if start:
                         apart = self._apart(last[ok, start], piece)
@@ -199,33 +223,63 @@ class Pieces:
                 up = value > best[ok, end]
                 ok, piece = ok[up], piece[up]
                 best[ok, end], last[ok, end], back[ok, end] = value[up], piece, start
-        out: list[list[int]] = [[] for _ in units]
+        out, used = np.full((n, size), -1, np.int32), np.zeros(n, np.int64)
         at, rows = np.full(n, size), np.arange(n)
-        while len(rows):
-            for r, p in zip(rows.tolist(), last[rows, at[rows]].tolist(), strict=True):
-                out[r].append(p)
+        while len(rows):  # from the last piece to the first, written from the right
+            used[rows] += 1
+            out[rows, size - used[rows]] = last[rows, at[rows]]
             at[rows] = back[rows, at[rows]]
             rows = rows[at[rows] > 0]
-        return [x[::-1] for x in out]
+        return used, out[out >= 0]
+
+    def _probe(self, h: np.ndarray) -> np.ndarray:
+        """Piece of each hash, len(text) if there is none."""
+        k = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+        return np.where(self.keys[k] == h, self.key_ids[k], len(self.text))
 
     def _apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """side_by_side of the distinct pairs only."""
-        key, inverse = np.unique(a * (len(self.text) + 1) + b, return_inverse=True)
-        return self.side_by_side(key // (len(self.text) + 1), key % (len(self.text) + 1))[inverse]
-
-    def _learn(self, units: list[str]) -> None:
-        by_size: dict[int, list[str]] = {}
-        for u in units:
-            by_size.setdefault(len(u), []).append(u)
-        none = len(self.text)
-        for size, same in by_size.items():
-            step = max(1, 400_000 // (size + 1))
-            for lo in range(0, len(same), step):
-                some = same[lo : lo + step]
-                for u, ids in zip(some, self.viterbi(some), strict=True):
-                    if none in ids:
-                        ids = self._fallback(u, ids)
-                    self.cache[u] = np.array(ids, np.int32).tobytes()
+        """side_by_side, with the pairs decided last kept in a table."""
+        key = a * (len(self.text) + 1) + b
+        slot = (key.astype(np.uint64) * _BASE) >> np.uint64(64 - MEMO)
+        out, miss = self.memo[slot], np.flatnonzero(self.memo_key[slot] != key)
+        if len(miss):
+            new, inverse = np.unique(key[miss], return_inverse=True)
+            found = self.side_by_side(new // (len(self.text) + 1), new % (len(self.text) + 1))
+            out[miss] = found[inverse]
+            at = (new.astype(np.uint64) * _BASE) >> np.uint64(64 - MEMO)
+            at, one = np.unique(at, return_index=True)
+            self.memo_key[at], self.memo[at] = new[one], found[one]
+        return out
+
+    def _learn(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        text = [u.decode().replace(" ", SPACE) for u in units]
+        length = np.array([len(t) for t in text])
+        order = np.argsort(length, kind="stable")
+        none, who, sizes, flat = len(self.text), [], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        ends = np.r_[np.flatnonzero(np.diff(length[order])) + 1, len(order)] if len(order) else []
+        lo = 0
+        for hi in np.asarray(ends, np.int64).tolist():
+            step = max(1, 400_000 // (int(length[order[lo]]) + 1))
+            for k in range(lo, hi, step):
+                some = order[k : min(k + step, hi)]
+                size, ids = self.viterbi([text[i] for i in some.tolist()])
+                bad = np.zeros(len(some), bool)
+                bad[np.repeat(np.arange(len(some)), size)[ids == none]] = True
+                if bad.any():
+                    first = np.cumsum(size) - size
+                    for r in np.flatnonzero(bad).tolist():
+                        own = self._fallback(text[some[r]], ids[first[r] : first[r] + size[r]].tolist())
+                        who.append(some[r : r + 1])
+                        sizes.append(np.array([len(own)]))
+                        flat.append(np.array(own, np.int32))
+                    ids = ids[~np.repeat(bad, size)]
+                who.append(some[~bad])
+                sizes.append(size[~bad])
+                flat.append(ids)
+            lo = hi
+        back = np.argsort(np.concatenate([order[:0], *who]), kind="stable")
+        size, ids = np.concatenate(sizes), np.concatenate(flat)
+        return size[back], U.gather(ids, (np.cumsum(size) - size)[back], size[back])
 
     def _fallback(self, unit: str, ids: list[int]) -> list[int]:
         out, at = [], 0
@@ -241,14 +295,23 @@ class Pieces:
             at += 1
         return out
 
+    def blocks(self, texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(lo, hi, ids, ends): the ids of texts lo to hi in a row, and where each
+        text's end; as the library's encode() gives them."""
+        for lo, hi, data, ends in U.blocks(texts, b" " if self.dummy else b""):
+            ids, upto = self.cache.encode(data, *U.cut(data, ends, self.apart))
+            yield lo, hi, ids, upto
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of whole texts, as the library's encode() gives them."""
-        if len(self.cache) > CACHE:
-            self.cache = {}
-        lead = SPACE if self.dummy else ""
-        units = [self.unit.findall(lead + t.replace(" ", SPACE)) if t else [] for t in texts]
-        self._learn(list(set().union(*units).difference(self.cache)))
-        return [np.frombuffer(b"".join(map(self.cache.__getitem__, u)), np.int32) for u in units]
+        """Ids of whole texts."""
+        return [ids[s:e] for _, _, ids, upto in self.blocks([t.encode() for t in texts]) for s, e in zip([0, *upto[:-1].tolist()], upto.tolist(), strict=True)]
+
+    def decoded(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """Bytes of each text of a block of ids, without the space put before it."""
+        size = self.raw_size[ids]
+        data, upto = U.gather(self.raw_bytes, self.raw_first[ids], size).tobytes(), np.r_[0, np.cumsum(size)][ends].tolist()
+        lead = 1 if self.dummy else 0
+        return [data[s + (lead and data[s : s + 1] == b" ") : e] for s, e in zip([0, *upto[:-1]], upto, strict=True)]
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.raw.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -260,10 +323,8 @@ def pieces(path: str) -> Pieces:
     return held(("pieces", path), lambda: Pieces(path))
 
 
-def _encoded(batch: pa.RecordBatch, model: Pieces) -> Iterator[tuple[int, int, list[str], list[np.ndarray]]]:
-    texts = [t or "" for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
-    for lo, hi in by_bytes(texts, SLICE):
-        yield lo, hi, texts[lo:hi], model.encode(texts[lo:hi])
+def _texts(batch: pa.RecordBatch) -> list[bytes]:
+    return [bytes(v or b"") for v in text_views(batch)]
 
 
 def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
@@ -273,10 +334,9 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(model_path)
         for batch in batches:
-            for lo, hi, _, ids in _encoded(batch, model):
-                n = np.array([len(x) for x in ids], np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.array(np.concatenate(ids)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n), lists], names=["doc_id", "n_tokens", "ids"])
+            for lo, hi, ids, ends in model.blocks(_texts(batch)):
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(ends, prepend=0)), lists], names=["doc_id", "n_tokens", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
 
@@ -295,13 +355,19 @@ def decode_documents(tokens: DataFrame, model_path: str) -> DataFrame:
 
 def digest_round_trip(docs: DataFrame, model_path: str) -> DataFrame:
     """doc_id, n_chars, n_tokens, ids_crc32 (of the ids as little-endian unsigned
-    32-bit integers), round_trip (whether decoding gives the text back)."""
+    32-bit integers), round_trip (whether decoding gives the text back), for every row
+    of (doc_id, text). Null and empty texts have no ids and come back; rows may repeat;
+    an empty table gives an empty result; other columns are ignored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(model_path)
         for batch in batches:
-            for lo, hi, texts, ids in _encoded(batch, model):
-                cols = [pa.array([len(t) for t in texts], pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()), pa.array([model.decode(x) == t for x, t in zip(ids, texts, strict=True)])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *cols], names=["doc_id", "n_chars", "n_tokens", "ids_crc32", "round_trip"])
+            texts = _texts(batch)
+            for lo, hi, ids, ends in model.blocks(texts):
+                some, back, raw, at = texts[lo:hi], model.decoded(ids, ends), ids.astype("<u4"), [0, *ends.tolist()]
+                crc = [zlib.crc32(raw[s:e]) for s, e in zip(at, at[1:], strict=False)]
+                same = [t == b or t.decode() == b.decode("utf-8", "replace") for t, b in zip(some, back, strict=True)]
+                chars = pa.compute.utf8_length(batch.column(1).slice(lo, hi - lo)).fill_null(0).cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), chars, pa.array(np.diff(ends, prepend=0)), pa.array(crc, pa.int64()), pa.array(same)], names=["doc_id", "n_chars", "n_tokens", "ids_crc32", "round_trip"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_chars long, n_tokens long, ids_crc32 long, round_trip boolean")

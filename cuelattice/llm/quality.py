@@ -183,7 +183,8 @@ def train(feats: DataFrame, labels: DataFrame, column: str = "quality") -> Addit
     usable = labels.filter(F.col(column).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     usable = usable.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("_y"))
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "_y").limit(FIT_ROWS)
-    rows = feats.join(sample, "doc_id").limit(2 * FIT_ROWS).toPandas().sort_values(["doc_id", "_y"])
+    rows = feats.join(sample, "doc_id").orderBy(F.xxhash64("doc_id", *FEATURES), "doc_id", "_y").limit(2 * FIT_ROWS)  # more only where ids repeat
+    rows = rows.toPandas().sort_values(["doc_id", "_y", *FEATURES])
     return AdditiveModel(rows[FEATURES].to_numpy(np.float32), rows["_y"].to_numpy(float))
 
 

@@ -7,8 +7,8 @@
    blocks untouched, so every link is inside a group. Groups over LIMIT are dealt
    again by one of five blocks (one of which four differences must spare), and
    what is still over LIMIT is cut into tiles, one task per pair of tiles.
-3. Inside a group, GrayIndex finds the links; a group sends on a spanning forest
-   of its links, never all pairs.
+3. Inside every group, GrayIndex finds the links, many groups at once; a group
+   sends on a spanning forest of its links, never all pairs.
 4. Components over fingerprints, then the smallest doc_id of each.
 """
 
@@ -29,7 +29,7 @@ from .common import by_bytes, materialise, partitions, text_views
 from .components import connected_components, local_components
 
 WORDS, SEED, NEAR = 4, 42, 4
-LIMIT = 4_000
+LIMIT, WORK = 4_000, 4_000_000
 #: (shift, width) of the blocks.
 SIX = [(0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)]
 FIVE = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
@@ -77,7 +77,8 @@ def with_fingerprints(docs: DataFrame) -> DataFrame:
 
 
 class GrayIndex:
-    """Fingerprints in order of Gray rank, in a tree of FAN children a node.
+    """Fingerprints of many groups in order of Gray rank, one tree of FAN children a
+    node for each group; the trees' levels lie side by side in the same arrays.
 
     A node holds the bits that all below it share and that no node above it
     already holds. Down a path, differences in shared bits add up; a node whose
@@ -86,49 +87,59 @@ class GrayIndex:
 
     FAN = 8
 
-    def __init__(self, fps: np.ndarray):
+    def __init__(self, fps: np.ndarray, group: np.ndarray | None = None):
+        """group: numbers 0, 1, ... without a gap; without it all are one group."""
+        group = np.zeros(len(fps), np.int64) if group is None else group
         rank = fps.copy()
         for s in (1, 2, 4, 8, 16, 32):
             rank ^= rank >> np.uint64(s)
-        self.order = np.argsort(rank, kind="stable")
-        value, mask = fps[self.order], np.full(len(fps), 2**64 - 1, np.uint64)
-        levels = [(value, mask)]
-        while len(value) > self.FAN:
-            at = np.arange(0, len(value), self.FAN)
-            ones, zeros = np.bitwise_and.reduceat(value & mask, at), np.bitwise_and.reduceat(~value & mask, at)
-            value, mask = ones, ones | zeros
-            levels.append((value, mask))
+        self.order = np.lexsort((rank, group))
+        value, mask, of = fps[self.order], np.full(len(fps), 2**64 - 1, np.uint64), group[self.order]
         self.levels = []
-        for k, (value, mask) in enumerate(levels):
-            above = np.repeat(levels[k + 1][1], self.FAN)[: len(mask)] if k + 1 < len(levels) else np.uint64(0)
-            self.levels.append((value, mask & ~above))
-
-    def links(self, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions (query, fingerprint) of all pairs within the radius."""
-        top = len(self.levels[-1][0])
-        q, node = np.repeat(np.arange(len(queries)), top), np.tile(np.arange(top), len(queries))
-        sum_ = np.zeros(len(q), np.uint8)
-        for k in range(len(self.levels) - 1, -1, -1):
-            value, own = self.levels[k]
-            sum_ = sum_ + np.bitwise_count((queries[q] ^ value[node]) & own[node])
+        while True:
+            first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+            if len(first) == len(of):  # each group has come to its root
+                break
+            place = np.arange(len(of)) - np.repeat(first, np.diff(np.r_[first, len(of)]))
+            child = np.flatnonzero(place % self.FAN == 0)
+            count = np.diff(np.r_[child, len(of)])
+            ones, zeros = np.bitwise_and.reduceat(value & mask, child), np.bitwise_and.reduceat(~value & mask, child)
+            shared = ones | zeros
+            self.levels.append((value, mask & ~np.repeat(shared, count), child, count))
+            value, mask, of = ones, shared, of[child]
+        self.top = (value, mask)
+
+    def links(self, queries: np.ndarray, radius: int, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Positions (query, fingerprint) of all pairs of one group within the radius."""
+        q, node = np.arange(len(queries)), np.zeros(len(queries), np.int64) if group is None else group
+        value, own = self.top
+        sum_ = np.bitwise_count((queries ^ value[node]) & own[node])
+        for value, own, child, count in reversed(self.levels):
             near = sum_ <= radius
             q, node, sum_ = q[near], node[near], sum_[near]
-            if k:
-                n = len(self.levels[k - 1][0])
-                child = (node[:, None] * self.FAN + np.arange(self.FAN)).ravel()
-                q, sum_, fits = np.repeat(q, self.FAN), np.repeat(sum_, self.FAN), child < n
-                q, node, sum_ = q[fits], child[fits], sum_[fits]
-        return q, self.order[node]
+            n = count[node]
+            end = np.cumsum(n)
+            node = np.arange(end[-1] if len(end) else 0) + np.repeat(child[node] - end + n, n)
+            q, sum_ = np.repeat(q, n), np.repeat(sum_, n)
+            sum_ = sum_ + np.bitwise_count((queries[q] ^ value[node]) & own[node])
+        near = sum_ <= radius
+        return q[near], self.order[node[near]]
 
 
-def forest(fps: np.ndarray, radius: int = NEAR) -> np.ndarray:
-    """Smallest position linked, directly or not, to each fingerprint of a group."""
+def forest(fps: np.ndarray, group: np.ndarray, radius: int = NEAR) -> np.ndarray:
+    """Smallest position linked, directly or not, to each fingerprint inside its
+    group. Queries go through the index in blocks of about WORK pairs at most."""
     label = np.arange(len(fps))
-    index = GrayIndex(fps)
-    for lo in range(0, len(fps), 128):
-        q, x = index.links(fps[lo : lo + 128], radius)
-        pairs = np.unique(np.stack([label[q + lo], label[x]], 1), axis=0)
-        label = local_components(len(fps), pairs[:, 0], pairs[:, 1])[label]
+    index = GrayIndex(fps, group)
+    work = np.cumsum(np.bincount(group)[group])
+    lo = 0
+    while lo < len(fps):
+        hi = max(lo + 1, int(np.searchsorted(work, (work[lo - 1] if lo else 0) + WORK)))
+        q, x = index.links(fps[lo:hi], radius, group[lo:hi])
+        a, b = label[q + lo], label[x]
+        apart = a != b
+        label = local_components(len(fps), a[apart], b[apart])[label]
+        lo = hi
     return label
 
 
@@ -136,38 +147,20 @@ def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows (g, fp) sorted by g -> edges (a, b), a spanning forest per group."""
 
     def edges(g, fp):
-        fp = fp.view(np.uint64)
-        at = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
-        size = np.diff(np.r_[at, len(g)])
-        small = np.repeat(size <= 48, size)
-        found_a, found_b = [], []
-        gs, fs = g[small], fp[small]
-        for d in range(1, 48):  # neighbours d places on, in all small groups at once
-            same = np.flatnonzero(gs[d:] == gs[:-d])
-            if not len(same):
-                break
-            near = same[np.bitwise_count(fs[same] ^ fs[same + d]) <= NEAR]
-            found_a.append(near)
-            found_b.append(near + d)
-        if found_a:
-            root = local_components(len(fs), np.concatenate(found_a), np.concatenate(found_b))
-            moved = np.flatnonzero(root != np.arange(len(root)))
-            yield fs[moved], fs[root[moved]]
-        for s, n in zip(at[size > 48].tolist(), size[size > 48].tolist(), strict=True):
-            own = np.unique(fp[s : s + n])
-            root = forest(own)
-            moved = np.flatnonzero(root != np.arange(len(root)))
-            yield own[moved], own[root[moved]]
+        fp, group = fp.view(np.uint64), np.cumsum(np.r_[False, g[1:] != g[:-1]])
+        root = forest(fp, group)
+        moved = np.flatnonzero(root != np.arange(len(root)))
+        return pd.DataFrame({"a": fp[moved].view(np.int64), "b": fp[root[moved]].view(np.int64)})
 
     held_g, held_f = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for pdf in batches:
         g, f = np.r_[held_g, pdf["g"].to_numpy()], np.r_[held_f, pdf["fp"].to_numpy()]
         cut = int(np.searchsorted(g, g[-1])) if len(g) else 0
         held_g, held_f = g[cut:], f[cut:]
-        for a, b in edges(g[:cut], f[:cut]) if cut else ():
-            yield pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
-    for a, b in edges(held_g, held_f) if len(held_g) else ():
-        yield pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+        if cut:
+            yield edges(g[:cut], f[:cut])
+    if len(held_g):
+        yield edges(held_g, held_f)
 
 
 def _bits(shift: int, width: int):
@@ -214,11 +207,16 @@ def components(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents of `docs` without near-duplicates (see `copies`: five words,
-    similarity 0.8): of each component one row stays whole, that with the smallest id, null ids last. Rows are told apart by
-    a number of their own, so null and repeated ids do no harm."""
-    rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
-    of = copies.components(rows.select("_row", "text"))
+    similarity 0.8), with the columns of `docs`, whatever their names.
+
+    Of each component one row stays whole, that with the smallest id, null ids last; of
+    repeated ids and rows one. Rows are told apart by a number of their own, so null
+    and repeated ids do no harm. Null and empty texts and texts without words are alike;
+    an empty table gives an empty result."""
+    cols = docs.columns
+    rows = materialise(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*cols).alias("_doc")), "simhash-rows")
+    of = copies.components(rows.select("_row", F.col("_doc.text").alias("text")))
     id_ = F.col("doc_id").cast("long")
-    first = rows.select("_row", id_.alias("doc_id")).join(of, "_row").groupBy("component")
+    first = rows.select("_row", F.col("_doc.doc_id").alias("doc_id")).join(of, "_row").groupBy("component")
     kept = materialise(first.agg(F.min(F.struct(id_.isNull().alias("none"), id_.alias("id"), "_row")).alias("m")).select("m._row"), "simhash-kept")
-    return rows.join(kept, "_row", "left_semi").drop("_row")
+    return rows.join(kept, "_row", "left_semi").select(*[F.col(f"_doc.`{c}`") for c in cols])

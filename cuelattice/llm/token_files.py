@@ -16,11 +16,11 @@ leave an unlisted file but never change what is read.
 from __future__ import annotations
 
 import os
-import re
-import unicodedata
+import string
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -28,59 +28,87 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import units as U
 from .common import MAX_BUCKETS, bucket_of, held, partitions, shared_dir, split_points
 
-CHUNK = re.compile(r"[^ \t\n\r\x0b\x0c]+")
-PART = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+(?=[.,]?(?:[ \t\n\r\x0b\x0c]|\Z))|[^ \t\n\r\x0b\x0c]+")
-CACHE = 700_000
-FLUSH = 2_000_000
+CACHE = 500_000
+FLUSH = 8_000_000
+JOIN = 100
+WHITE = b" \t\n\r\x0b\x0c"
+#: Strings whose ids show whether a tokenizer can be used by parts.
+PROBES = ["Some Words, and more.words\n\there;  it's (3,5) A.b\x0b c", "\u00c9t\u00e9 e\u0301t\u00e9, \u0391\u03a3 \u65e5\u672c.\u8a9e x.\u0301y 12.5a", "<|STARTOFTEXT|> a , b . c"]
 
 
 class CachedEncoder:
-    """Ids of a text from the ids of its parts.
+    """Ids of a text from the ids of its parts (`units`), with the tokenizers library.
 
-    For tokenizers that normalise to NFC and lower case, drop white space and
-    split letters from punctuation: then the parts between white space, and a
-    final full stop or comma after a run of Latin letters, are encoded apart.
-    Parts not seen before go through the tokenizers library together; the cache
-    holds their ids as bytes, CACHE parts at most.
-    """
+    For tokenizers that lower case, drop white space and split letters from
+    punctuation, which is tried at the start: a part ends before white space, and
+    between an ASCII letter and a full stop or comma. Parts not met before go through
+    the library together."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tok, self.cache = Tokenizer.from_file(path), {}
+        self.tok = Tokenizer.from_file(path)
         self.vocab = self.tok.get_vocab_size(with_added_tokens=True)
         self.dtype = "<u2" if self.vocab <= 65_536 else "<u4"
-
-    @staticmethod
-    def parts(text: str) -> list[str]:
-        """Lower-cased first where that is sure to change no id: ASCII texts, and
-        NFC texts without capital sigma whose lower case is NFC too."""
-        if text.isascii():
-            return PART.findall(text.lower())
-        if "\u03a3" not in text and unicodedata.is_normalized("NFC", text):
-            low = text.lower()
-            if unicodedata.is_normalized("NFC", low):
-                return PART.findall(low)
-        return CHUNK.findall(text)
+        self.last = np.zeros(1 << 8 * int(self.dtype[-1]) if self.dtype == "<u2" else self.vocab, bool)
+        self.last[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
+        self.table = U.UnitTable(self._learn, CACHE, np.dtype(self.dtype))
+        white, letter, stop = (np.isin(np.arange(256), list(x)) for x in (WHITE, string.ascii_letters.encode(), b".,"))
+        self.apart = ((white[None, :] & ~white[:, None]) | (letter[:, None] & stop[None, :]) | (stop[:, None] & letter[None, :])).ravel()
+        self.lower = np.arange(256, dtype=np.uint8)
+        self.lower[65:91] += 32
+        for probe in PROBES:
+            if self.encode([probe], None)[0] != np.array(self._whole([probe])[0], self.dtype).tobytes():
+                raise ValueError("a tokenizer that doesn't lower case, drop white space and split punctuation can't be used by parts")
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Units of letters only are one word each: JOIN of them go through the library
+        as one text, and a word's last id, marked as such in the vocabulary, parts them."""
+        text = [u.decode().strip() for u in units]
+        word = np.array([t.isalpha() for t in text], bool)
+        who, size, ids = [], [np.zeros(0, np.int64)], [np.zeros(0, self.dtype)]
+
+        def apart(at: list[int]) -> None:
+            got = self._whole([text[i] for i in at])
+            who.append(at)
+            size.append(np.array([len(x) for x in got], np.int64))
+            ids.append(np.fromiter(chain.from_iterable(got), self.dtype))
+
+        words, rest = np.flatnonzero(word).tolist(), np.flatnonzero(~word).tolist()
+        for lo in range(0, len(words), 100 * JOIN):
+            some = words[lo : lo + 100 * JOIN]
+            got = self._whole([" ".join(text[i] for i in some[k : k + JOIN]) for k in range(0, len(some), JOIN)])
+            flat = np.fromiter(chain.from_iterable(got), self.dtype)
+            ends = np.flatnonzero(self.last[flat])
+            if len(ends) != len(some):
+                apart(some)
+                continue
+            who.append(some)
+            size.append(np.diff(ends, prepend=-1))
+            ids.append(flat)
+        for lo in range(0, len(rest), 10_000):
+            apart(rest[lo : lo + 10_000])
+        back = np.argsort(np.array(list(chain.from_iterable(who)), np.int64), kind="stable")
+        n, flat = np.concatenate(size), np.concatenate(ids)
+        return n[back], U.gather(flat, (np.cumsum(n) - n)[back], n[back])
 
     def encode(self, texts: list[str], end: int | None) -> list[bytes]:
         """Ids of each text as little-endian bytes of self.dtype."""
-        if len(self.cache) > CACHE:
-            self.cache = {}
-        cache, parts = self.cache, [self.parts(t) for t in texts]
-        new = list(set().union(*parts).difference(cache)) if parts else []
-        for lo in range(0, len(new), 10_000):
-            some = new[lo : lo + 10_000]
-            got = [e.ids for e in self.tok.encode_batch_fast(some, add_special_tokens=False)]
-            flat = np.array([i for ids in got for i in ids], dtype=self.dtype).tobytes()
-            w, at = int(self.dtype[-1]), 0
-            for part, ids in zip(some, got, strict=True):
-                cache[part] = flat[at : (at := at + w * len(ids))]
-        tail = b"" if end is None else np.array([end], dtype=self.dtype).tobytes()
-        return [b"".join(map(cache.__getitem__, p)) + tail for p in parts]
+        tail, width, out = b"" if end is None else np.array([end], dtype=self.dtype).tobytes(), int(self.dtype[-1]), []
+        for _, _, data, ends in U.blocks([t.encode() for t in texts], b""):
+            if b"<|" not in data.tobytes():  # else capitals may keep a special token's string from being one
+                data = self.lower[data]
+            ids, upto = self.table.encode(data, *U.cut(data, ends, self.apart))
+            raw, at = ids.tobytes(), (np.r_[0, upto] * width).tolist()
+            out += [raw[s:e] + tail for s, e in zip(at, at[1:], strict=False)]
+        return out
 
 
 def encoder(path: str) -> CachedEncoder:
