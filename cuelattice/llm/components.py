@@ -10,6 +10,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialise
+
 ROUNDS = 60
 
 
@@ -32,6 +34,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    least = materialise(least, "components-least")  # apart from its aggregate, so that Spark can split a hub's rows
     out = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return out.filter("u != v").distinct()
 

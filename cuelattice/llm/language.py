@@ -169,7 +169,7 @@ def train(docs: DataFrame) -> LanguageModel:
     """Learn from rows (doc_id, text, lang) that are not held out and have a text
     and a language. Ids and sources choose rows; they are no inputs."""
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "text", "lang")
-    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = materialise(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("_rows")), "language-sizes")  # of known size: texts stay where they are
     part = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 20)) < F.lit(DOCS_PER_LANG * (1 << 20)) / F.col("_rows")
     chosen = usable.join(sizes, "lang").filter(part)
     parts = chosen.select("lang", "text").mapInPandas(_counts, "lang string, n int, gram string, times long")

@@ -122,7 +122,7 @@ def mix_sizes(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int =
     rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("_size"), F.col("text"))
     rows = rows.select("doc_id", "source", "_size", F.col("doc_id").alias("_id"), sampling_key(F.col("doc_id"), text_quality(F.col("text"), F.col("_size")), seed).alias("_key"))
     rows = materialise(rows, "mix-rows")
-    out = copies(same_source(rows, plan_mix(rows, weights, cap)))
+    out = copies(same_source(rows, materialise(plan_mix(rows, weights, cap), "mix-plan")))
     return out.select("doc_id", "source", F.col("_size").alias("size"), "source_size", "target", "copies", (F.col("copies") * F.col("_size")).alias("taken"))
 
 

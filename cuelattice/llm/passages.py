@@ -8,17 +8,17 @@ pieces that together decide every window of LENGTH bytes exactly:
 1. Anchors. Inside each window the GRAM-byte string with the smallest hash is its
    anchor, so equal windows have equal anchors. Consecutive windows with one
    anchor form a span; there is about one span in 70 bytes.
-2. Spans whose anchor occurs once hold no repeat. Whole spans that occur again
-   repeat in all their windows; that settles the inside of copies by counting.
-3. What is left, anchors with several different spans, are the edges of copies.
-   One span of each kind is cut out of its text and sent to its anchor's group.
-   Groups of more than HOT spans are split: each span's windows hold either more
-   text left of the anchor or more right of it, so two longer anchors stand in for
-   one, until groups are small or the anchor is the whole window.
-4. A task builds the suffix array of its groups by prefix doubling to depth
-   LENGTH. With suffixes in order, equal windows are neighbours, and the previous
-   smaller position of each gives its earlier match: its longest previous factor
-   reaches LENGTH exactly if there is one in its class.
+2. Spans whose anchor occurs once hold no repeat. The others are pieces: equal spans
+   (by 128 bits of hashes) are one piece, read first and last at known places.
+3. Each piece is cut out of its text once and sent to its anchor's group. Groups of
+   more than HOT pieces are split: each piece's windows hold either more text left of
+   the anchor or more right of it, so two longer anchors stand in for one, until groups
+   are small or the anchor is the whole window.
+4. A task puts the suffixes of its groups in order to depth LENGTH, and finds each one's
+   longest previous factor from the previous and the next smaller reading position in
+   that order. A window repeats an earlier one if its factor has LENGTH bytes; for
+   `keep="none"` larger reading positions count too. What is found at the last reading
+   of a piece holds for all readings between.
 """
 
 from __future__ import annotations
@@ -115,79 +115,119 @@ def _anchors(only_gram: bool):
     return run
 
 
-def suffix_ranks(data: np.ndarray) -> np.ndarray:
-    """Rank of every suffix by its first LENGTH bytes, by prefix doubling from
-    packed 8-byte words; positions too near the end for that have rank -1."""
+def suffix_ranks(data: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(depth, rank of every position by its first `depth` bytes), from packed 8-byte
+    words to LENGTH, three ranks at a time; lexicographic, zeros after the end."""
     n = len(data)
-    padded = np.zeros(n + 8, np.uint64)
+    padded = np.zeros(n + LENGTH + 8, np.uint64)
     padded[:n] = data
-    word = np.zeros(n, np.uint64)
+    word = np.zeros(n + LENGTH, np.uint64)
     for k in range(8):
-        word = (word << np.uint64(8)) | padded[k : k + n]
-    rank = np.unique(word, return_inverse=True)[1].astype(np.int64)
-    depth = 8
+        word = (word << np.uint64(8)) | padded[k : k + n + LENGTH]
+    rank = np.unique(word, return_inverse=True)[1]
+    out, depth = [(8, rank)], 8
     while depth < LENGTH:
-        step = min(depth, LENGTH - depth)
-        pair = rank[: len(rank) - step] * (n + 1) + rank[step:]
-        rank = np.unique(pair, return_inverse=True)[1].astype(np.int64)
-        depth += step
-    out = np.full(n, -1, np.int64)
-    out[: len(rank)] = rank
+        deeper = min(3 * depth, LENGTH)
+        steps = [min(depth, (deeper - depth) // 2), deeper - depth]
+        m = len(rank) - steps[1]
+        bits = max(1, int(rank.max()).bit_length())
+        key = ((rank[:m] << bits | rank[steps[0] : steps[0] + m]) << bits) | rank[steps[1] : steps[1] + m]
+        rank, depth = np.unique(key, return_inverse=True)[1], deeper
+        out.append((depth, rank))
     return out
 
 
-def previous_factor(rank: np.ndarray, when: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For suffixes with a rank and a reading position: whether an earlier one has
-    the same first LENGTH bytes, and whether any other one has. In suffix order
-    (by rank, then position) an element's previous smaller position of its class is
-    the element before it, its next one the element after."""
-    order = np.lexsort((when, rank))
-    r = rank[order]
-    same = r[1:] == r[:-1]
-    earlier, other = np.zeros(len(r), bool), np.zeros(len(r), bool)
-    earlier[order] = np.r_[False, same]
-    other[order] = np.r_[False, same] | np.r_[same, False]
-    return earlier, other
+def nearest_smaller(x: np.ndarray) -> np.ndarray:
+    """Position of the nearest smaller value before each value, -1 if there is none.
+    A position that is larger hands on its own candidate, so steps double."""
+    at = np.arange(len(x)) - 1
+    open_ = np.flatnonzero(at >= 0)
+    open_ = open_[x[at[open_]] > x[open_]]
+    while len(open_):
+        at[open_] = at[at[open_]]
+        open_ = open_[at[open_] >= 0]
+        open_ = open_[x[at[open_]] > x[open_]]
+    return at
+
+
+def common_prefix(data: np.ndarray, ranks: list[tuple[int, np.ndarray]], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Bytes, up to LENGTH, that the suffixes at i and at j begin with alike."""
+    size = np.zeros(len(i), np.int64)
+    for depth, rank in reversed(ranks):
+        for _ in range(1 if depth >= LENGTH else 2):
+            x, y = (np.minimum(p + size, len(rank) - 1) for p in (i, j))
+            size += depth * (rank[x] == rank[y])
+    for _ in range(7):  # below the shallowest rank, byte by byte
+        x, y = (np.minimum(p + size, len(data) - 1) for p in (i, j))
+        size += (data[x] == data[y]) & (size < LENGTH)
+    return np.minimum(size, LENGTH)
+
+
+def previous_factor(data: np.ndarray, at: np.ndarray, when: np.ndarray, later: bool = False) -> np.ndarray:
+    """Longest previous factor of each suffix (starting at `at`, LENGTH bytes long or
+    more; `when`: distinct reading positions), up to LENGTH: how much of it also begins
+    at an earlier reading position. In suffix order the previous and the next smaller
+    reading position are the two earlier suffixes most like it. later: the same of
+    larger reading positions."""
+    ranks = suffix_ranks(data)
+    order = np.lexsort((when, ranks[-1][1][at]))
+    place = when[order] if not later else -when[order]
+    n = len(order)
+    before = nearest_smaller(place)
+    after = n - 1 - nearest_smaller(place[::-1])[::-1]
+    out = np.zeros(n, np.int64)
+    for near in (before, after):
+        ok = np.flatnonzero((near >= 0) & (near < n))
+        out[order[ok]] = np.maximum(out[order[ok]], common_prefix(data, ranks, at[order[ok]], at[order[near[ok]]]))
+    return out
 
 
 def _shard(keep: str):
-    """Rows (key, ctx, lo, hi, rid, a, c), sorted by key -> rid, s, e: byte ranges
-    whose windows repeat. Whole groups are gathered to about BLOCK bytes."""
-
-    def decide(rows: list[tuple]):
-        data = np.frombuffer(b"".join(r[1] for r in rows), np.uint8)
-        size = np.array([len(r[1]) for r in rows])
-        base = np.r_[0, np.cumsum(size)[:-1]]
-        lo, hi = np.array([r[2] for r in rows]), np.array([r[3] for r in rows])
-        per = hi - lo + 1
-        row = np.repeat(np.arange(len(rows)), per)
+    """Rows (key, ctx, lo, hi, rid, a, c, last_rid, last_a, gram, span), sorted by key ->
+    what repeats. Whole groups are gathered to about BLOCK bytes. A piece that occurs
+    several times stands in the order of suffixes twice, where it is read first and
+    where it is read last. Output: rid, s, e, ranges of first occurrences whose windows
+    have a factor of LENGTH bytes; and gram, span with s, e from the piece's start, of
+    the others."""
+
+    def decide(rows: pd.DataFrame) -> pd.DataFrame:
+        data = np.frombuffer(b"".join(rows["ctx"]), np.uint8)
+        size = rows["ctx"].map(len).to_numpy()
+        base = np.cumsum(size) - size
+        again = np.flatnonzero(rows["c"].to_numpy() > 1)
+        piece = np.r_[np.arange(len(rows)), again]  # a row of its own for the last occurrence
+        copy = np.arange(len(piece)) >= len(rows)
+        lo, per = rows["lo"].to_numpy()[piece], (rows["hi"] - rows["lo"] + 1).to_numpy()[piece]
+        rid = np.where(copy, rows["last_rid"].to_numpy()[piece], rows["rid"].to_numpy()[piece])
+        a = np.where(copy, rows["last_a"].to_numpy()[piece], rows["a"].to_numpy()[piece])
+        row = np.repeat(np.arange(len(piece)), per)
         off = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per) + lo[row]
-        group = np.unique([r[0] for r in rows], return_inverse=True)[1]
-        rank = suffix_ranks(data)[base[row] + off] + group[row] * (len(data) + 1)
-        rid, a, c = (np.array([r[k] for r in rows]) for k in (4, 5, 6))
-        when = np.unique(rid, return_inverse=True)[1][row] * (1 << 40) + a[row] + off
-        earlier, other = previous_factor(rank, when)
-        hit = earlier if keep == "first" else other & (c[row] == 1)
-        at = np.flatnonzero(hit)
-        if not len(at):
-            return None
-        run = np.r_[True, (np.diff(at) > 1) | (row[at][1:] != row[at][:-1])]
-        s, e = at[run], at[np.r_[run[1:], True]]
-        return pd.DataFrame({"rid": rid[row[s]], "s": a[row[s]] + off[s], "e": a[row[e]] + off[e] + LENGTH})
+        at, when = base[piece][row] + off, np.unique(rid, return_inverse=True)[1][row] * (1 << 40) + a[row] + off
+        factor = previous_factor(data, at, when)
+        if keep != "first":
+            factor = np.maximum(factor, previous_factor(data, at, when, later=True))
+        hit = np.flatnonzero(factor >= LENGTH)
+        new = np.r_[True, (np.diff(hit) > 1) | (np.diff(row[hit]) != 0)] if len(hit) else np.zeros(0, bool)
+        s, e = hit[new], hit[np.r_[new[1:], True]] if len(hit) else hit
+        of, other = row[s], copy[row[s]]
+        begin = np.where(other, 0, a[of])
+        return pd.DataFrame({"rid": np.where(other, -1, rid[of]), "s": begin + off[s], "e": begin + off[e] + LENGTH, **{c: rows[k].to_numpy()[piece[of]] for c, k in (("gram", "gram"), ("span", "span"), ("first_rid", "rid"), ("first_a", "a"))}})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[tuple] = []
+        parts: list[pd.DataFrame] = []
         size, last = 0, None
         for pdf in batches:
-            for r in pdf[["key", "ctx", "lo", "hi", "rid", "a", "c"]].itertuples(index=False, name=None):
-                if size > BLOCK and r[0] != last:
-                    if (got := decide(rows)) is not None:
-                        yield got
-                    rows, size = [], 0
-                rows.append(r)
-                size, last = size + len(r[1]), r[0]
-        if rows and (got := decide(rows)) is not None:
-            yield got
+            key, upto = pdf["key"].to_numpy(), np.r_[0, np.cumsum(pdf["ctx"].map(len).to_numpy())]
+            begin = 0
+            for k in np.flatnonzero(np.r_[len(key) > 0 and key[0] != last, key[1:] != key[:-1]]).tolist():
+                if size + upto[k] - upto[begin] > BLOCK:
+                    yield decide(pd.concat([*parts, pdf.iloc[begin:k]], ignore_index=True))
+                    parts, size, begin = [], 0, k
+            if len(key):
+                parts.append(pdf.iloc[begin:])
+                size, last = size + int(upto[-1] - upto[begin]), key[-1]
+        if parts:
+            yield decide(pd.concat(parts, ignore_index=True))
 
     return run
 
@@ -222,38 +262,51 @@ def repeated_ranges(texts: DataFrame, keep: str = "none") -> DataFrame:
     n = partitions(spark)
     body = texts.select("rid", "text")
     again = body.mapInArrow(_anchors(True), "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("gram")
+    again = materialise(again, "passages-again")  # apart from its aggregate, so that Spark can split a frequent anchor's rows
     seen = body.mapInArrow(_anchors(False), "rid long, a long, more short, off short, gram long, span long").join(again, "gram")
     seen = materialise(seen, "passages-seen")
-    kinds = seen.groupBy("gram", "span").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("rid", "a", "more", "off")).alias("first"))
-    kinds = materialise(kinds, "passages-kinds")
+    at = F.struct("rid", "a")
+    kinds = seen.groupBy("gram", "span").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("rid", "a", "more", "off")).alias("first"), F.max(at).alias("last"))
+    kinds = materialise(kinds.select("gram", "span", "c", "first.*", F.col("last.rid").alias("last_rid"), F.col("last.a").alias("last_a")), "passages-kinds")
 
-    several = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    edges = kinds.join(several, "gram").select("gram", "c", "n", "first.*")
     cut = F.expr("substring(cast(text as binary), cast(a + 1 as int), more + 200)")
-    items = body.join(edges.hint("shuffle_hash"), "rid").select(
-        F.col("gram").alias("key"), cut.alias("ctx"), F.lit(0).alias("lo"), F.col("more").cast("int").alias("hi"),
-        F.col("off").cast("int").alias("core"), F.lit(GRAM).alias("n_core"), "rid", "a", "c", "n")
-    items = materialise(items, "passages-edges")
-
-    ready, hot, found = items.filter(F.col("n") <= HOT), items.filter(F.col("n") > HOT), []
-    while not hot.isEmpty():
-        parts = _split(hot.drop("n"))
-        sizes = parts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("all"), F.min(F.struct("rid", F.col("a") + F.col("lo"))).alias("low")).filter("n > 1")
-        parts = materialise(parts.join(sizes, "key"), "passages-hot")
-        whole = parts.filter(F.col("n_core") >= LENGTH)
-        mine = ~F.struct(F.col("rid"), F.col("a") + F.col("lo")).eqNullSafe(F.col("low")) if keep == "first" else F.col("c") == 1
-        found.append(whole.filter(mine).select("rid", (F.col("a") + F.col("lo")).alias("s"), (F.col("a") + F.col("hi") + LENGTH).alias("e")))
-        parts = parts.filter(F.col("n_core") < LENGTH).drop("all", "low")
-        ready = ready.unionByName(parts.filter(F.col("n") <= HOT))
-        hot = parts.filter(F.col("n") > HOT)
-
-    shards = ready.select("key", "ctx", "lo", "hi", "rid", "a", "c").repartition(4 * n, "key").sortWithinPartitions("key", "rid", "a")
-    found.append(shards.mapInPandas(_shard(keep), "rid long, s long, e long"))
-    copies = seen.join(kinds.filter("c > 1").select("gram", "span", "first"), ["gram", "span"])
+    whose = ["rid", "a", "c", "last_rid", "last_a", "gram", "span"]
+
+    def items(some: DataFrame) -> DataFrame:
+        return body.join(some.hint("shuffle_hash"), "rid").select(
+            F.col("gram").alias("key"), cut.alias("ctx"), F.lit(0).alias("lo"), F.col("more").cast("int").alias("hi"),
+            F.col("off").cast("int").alias("core"), F.lit(GRAM).alias("n_core"), *whose)
+
+    schema = "rid long, s long, e long, gram long, span long, first_rid long, first_a long"
+    frequent = materialise(kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT).select("gram"), "passages-frequent")
+    found = []
+    if frequent.isEmpty():
+        ready = items(kinds)
+    else:
+        ready, hot = items(kinds.join(frequent, "gram", "left_anti")), items(kinds.join(frequent, "gram"))
+        while True:
+            parts = _split(hot)
+            sizes = parts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("all"), F.min(F.struct("rid", F.col("a") + F.col("lo"))).alias("low"))
+            parts = materialise(parts.join(sizes.filter(F.col("all") > 1), "key"), "passages-hot")
+            whole = parts.filter(F.col("n_core") >= LENGTH)  # one window: all of a group are equal
+            mine = ~F.struct(F.col("rid"), F.col("a") + F.col("lo")).eqNullSafe(F.col("low")) if keep == "first" else F.lit(True)
+            of = [F.col("gram"), F.col("span"), F.col("rid").alias("first_rid"), F.col("a").alias("first_a")]
+            found.append(whole.filter(mine).select("rid", (F.col("a") + F.col("lo")).alias("s"), (F.col("a") + F.col("hi") + LENGTH).alias("e"), *of))
+            found.append(whole.filter("c > 1").select(F.lit(-1).cast("long").alias("rid"), F.col("lo").cast("long").alias("s"), (F.col("hi") + LENGTH).cast("long").alias("e"), *of))
+            parts = parts.filter(F.col("n_core") < LENGTH)
+            ready = ready.unionByName(parts.filter(F.col("n") <= HOT).select(ready.columns))
+            hot = parts.filter(F.col("n") > HOT).select(ready.columns)
+            if hot.isEmpty():
+                break
+    shards = ready.repartition(4 * n, "key").sortWithinPartitions("key", "rid", "a")
+    found.append(shards.mapInPandas(_shard(keep), schema))
+    decided = materialise(functools.reduce(DataFrame.unionByName, found), "passages-decided")
+    rest = decided.filter("rid < 0").select("gram", "span", "s", "e", "first_rid", "first_a")
+    others = seen.select("gram", "span", "rid", "a").join(rest, ["gram", "span"])
     if keep == "first":
-        copies = copies.filter(~((F.col("rid") == F.col("first.rid")) & (F.col("a") == F.col("first.a"))))
-    found.append(copies.select("rid", F.col("a").alias("s"), (F.col("a") + F.col("more") + LENGTH).alias("e")))
-    ranges = functools.reduce(DataFrame.unionByName, found)
+        others = others.filter(~((F.col("rid") == F.col("first_rid")) & (F.col("a") == F.col("first_a"))))
+    others = others.select("rid", (F.col("a") + F.col("s")).alias("s"), (F.col("a") + F.col("e")).alias("e"))
+    ranges = decided.filter("rid >= 0").select("rid", "s", "e").unionByName(others)
     return ranges.groupBy("rid").agg(F.collect_list(F.struct("s", "e")).alias("cuts"))
 
 
