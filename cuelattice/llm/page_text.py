@@ -6,9 +6,10 @@ their class and id attributes, text statistics, and the same of its neighbours);
 a two-state chain (boilerplate, main) is trained by conditional likelihood and
 decoded by Viterbi.
 
-Labelled pages are the layouts in `layouts.py`, whose blocks carry their labels,
-filled with text of a bounded sample of the given pages (SAMPLE_PAGES), so the
-model meets the table's own language but needs no label column.
+Labelled pages are drawn from the grammar in `layouts.py`, whose blocks carry their
+labels, filled with block texts of the given pages, so the model meets the table's own
+language but needs no label column. Bound: SAMPLE_BLOCKS blocks of SAMPLE_CHARS
+characters at most, chosen by the hash of their text from SAMPLE_PAGES pages.
 """
 
 from __future__ import annotations
@@ -25,20 +26,22 @@ from pyspark.sql import functions as F
 
 from .layouts import labelled_pages
 
-SAMPLE_PAGES = 200
-DIM = 1 << 14
-EPOCHS = 12
+SAMPLE_PAGES, SAMPLE_BLOCKS, SAMPLE_CHARS = 200, 3_000, 2_000
+DIM = 1 << 15
+EPOCHS = 6
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.S)
 ATTR = re.compile(r"\b(class|id|role|itemprop|aria-label|hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 SPACE = re.compile(r"\s+")
 WORD = re.compile(r"[a-z]+")
-#: Tags whose content is never text.
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "object", "select", "math", "canvas", "audio", "video"}
+#: Tags whose content is never text of the page: scripts, styles, the head's title, form fields, frames.
+RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "select"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark",
     "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "button", "input",
+    "math", "mi", "mo", "mn", "mrow", "msup", "msub", "mfrac", "mtext", "msqrt", "semantics", "annotation", "svg", "g", "text", "tspan", "path",
+    "object", "audio", "video", "canvas", "picture", "ruby", "rt", "rp", "output", "meter", "progress",
 }
 #: An opening tag closes an open one of these, within the nearest container.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -162,20 +165,23 @@ def _slots(names: list[str]) -> list[int]:
 
 def block_features(found: list[Block]) -> list[list[int]]:
     """Hashed binary features of each block, with those of its neighbours."""
-    own = []
-    for b in found:
-        size = len(b.text)
-        words = b.text.count(" ") + 1
+    own, n = [], len(found)
+    inside = any("article" in b.path or "main" in b.path for b in found)
+    for k, b in enumerate(found):
+        words = min(6, (b.text.count(" ") + 1).bit_length())
+        leaf, link = b.path[-1] if b.path else "", int(b.linked * 3.99)
+        end = b.text[-1] if b.text[-1] in ".!?:;" else "x"
+        where = "none" if not inside else "in" if "article" in b.path or "main" in b.path else "out"
         f = [f"t:{t}" for t in set(b.path)] + [f"m:{w}" for w in set(b.marks)]
-        f += [f"leaf:{b.path[-1] if b.path else ''}", f"pair:{'/'.join(b.path[-2:])}", f"n:{min(6, words.bit_length())}", f"link:{int(b.linked * 3.99)}"]
-        f.append(f"end:{b.text[-1] if b.text[-1] in '.!?:;' else 'x'}")
-        if "©" in b.text or size < 200 and re.search(r"(?i)copyright|all rights|cookie|subscribe|sign in|log in", b.text):
+        f += [f"pair:{'/'.join(b.path[-2:])}", f"at:{4 * k // n}", f"far:{min(k, 3)}/{min(n - 1 - k, 3)}", f"where:{where}", f"where:{where}/{words}/{link}", f"named:{bool(b.marks)}"]
+        if "©" in b.text or len(b.text) < 200 and re.search(r"(?i)copyright|all rights|cookie|subscribe|sign in|log in", b.text):
             f.append("notice")
+        f += [f"leaf:{leaf}", f"n:{words}", f"link:{link}", f"end:{end}", f"look:{words}/{link}/{end}/{leaf}"]
         own.append(f)
     out = []
     for k, f in enumerate(own):
         around = [f"prev:{x}" for x in own[k - 1][-5:]] if k else ["first"]
-        around += [f"next:{x}" for x in own[k + 1][-5:]] if k + 1 < len(own) else ["last"]
+        around += [f"next:{x}" for x in own[k + 1][-5:]] if k + 1 < n else ["last"]
         out.append(_slots(["bias", *f, *around]))
     return out
 
@@ -244,23 +250,40 @@ class Chain:
         return path[::-1]
 
 
+def sample_texts(pages: DataFrame) -> list[str]:
+    """Texts of blocks for training: see the bound above. Ties and repeated pages count
+    once."""
+    ids = pages.select("page_id").filter("page_id is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_PAGES).collect()
+    rows = pages.select("html").filter(F.col("html").isNotNull() & F.col("page_id").isin(sorted({r[0] for r in ids})))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"text": [b.text for h in pdf["html"] for b in blocks(h) if len(b.text) <= SAMPLE_CHARS]}, dtype="object")
+
+    found = rows.mapInPandas(run, "text string").distinct().orderBy(F.xxhash64("text"), "text").limit(SAMPLE_BLOCKS)
+    return [r[0] for r in found.collect()]
+
+
 def train(pages: DataFrame) -> Chain:
-    """Fit on the labelled layouts, filled with block texts of SAMPLE_PAGES pages
-    chosen by the hash of their id (plain words where the table has no text)."""
-    ids = [r[0] for r in pages.select("page_id").filter("page_id is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_PAGES).collect()]
-    rows = pages.select("page_id", "html").filter(F.col("html").isNotNull() & F.col("page_id").isin(ids)).limit(2 * SAMPLE_PAGES).collect()
-    rows = sorted(rows, key=lambda r: (r["page_id"], r["html"]))
-    texts = [b.text for r in rows for b in blocks(r["html"][:200_000])]
-    ready = []
-    for page, labels in labelled_pages(texts):
+    """Fit on the labelled layouts, filled with texts of the table (plain words where
+    it has none)."""
+    return fit(sample_texts(pages))
+
+
+def labelled(texts: list[str], **how) -> Iterator[tuple[list[Block], list[int]]]:
+    """Blocks of the labelled layouts and their labels."""
+    for page, labels in labelled_pages(texts, **how):
         found = blocks(page)
         marked = [labels[k] for b in found if (k := b.text.split(" ", 1)[0]) in labels]
         if len(marked) != len(found):
             raise ValueError("a layout has a block without a label")
         for b in found:  # the key word is no part of the text
             b.text = b.text.split(" ", 1)[1] if " " in b.text else b.text
-        ready.append((block_features(found), marked))
-    return Chain().fit(ready)
+        yield found, marked
+
+
+def fit(texts: list[str]) -> Chain:
+    return Chain().fit([(block_features(found), marked) for found, marked in labelled(texts) if found])
 
 
 def main_text(page: str | None, model: Chain) -> str:
