@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: At most so many ordered buckets are planned; each costs one row of splits.
 MAX_BUCKETS = 10_000
+#: At most so many keys are broadcast (32 MB).
+BROADCAST = 4_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,7 +37,23 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def release(*written: DataFrame) -> None:
+    """Delete what `materialise` wrote, once nothing that is still to run reads it."""
+    for df in written:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._written)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def narrowed(df: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
+    """Semi or anti join with a column of 8-byte keys: up to BROADCAST of them are
+    counted and sent to all executors, so that df stays where it is; more are shuffled."""
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST else ids, key, how)
 
 
 def partitions(spark: SparkSession) -> int:

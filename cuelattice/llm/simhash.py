@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import copies
-from .common import by_bytes, materialise, partitions, text_views
+from .common import by_bytes, materialise, narrowed, partitions, text_views
 from .components import connected_components, local_components
 
 WORDS, SEED, NEAR = 4, 42, 4
@@ -219,4 +219,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
     id_ = F.col("doc_id").cast("long")
     first = rows.select("_row", F.col("_doc.doc_id").alias("doc_id")).join(of, "_row").groupBy("component")
     kept = materialise(first.agg(F.min(F.struct(id_.isNull().alias("none"), id_.alias("id"), "_row")).alias("m")).select("m._row"), "simhash-kept")
-    return rows.join(kept, "_row", "left_semi").select(*[F.col(f"_doc.`{c}`") for c in cols])
+    gone = materialise(of.select("_row").join(kept, "_row", "left_anti"), "simhash-gone")
+    return narrowed(rows, gone, "_row", "left_anti").select(*[F.col(f"_doc.`{c}`") for c in cols])
