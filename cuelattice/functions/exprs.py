@@ -59,7 +59,7 @@ def timecode(ms: Column, fps: int = 25) -> Column:
 
 
 def sentence_end(text: Column) -> Column:
-    return text.rlike(r"""[.!?…。！？]["'”’)\]]*$""")
+    return text.rlike(r"""[.!?…。！？]["'”’)\]]*\z""")
 
 
 def punctuation_only(text: Column) -> Column:
@@ -84,17 +84,65 @@ def fnv1a32(text: Column) -> Column:
 
 
 def slug(label: Column) -> Column:
-    return F.substring(F.regexp_replace(label, "[^A-Za-z0-9]+", "_"), 1, 40)
+    """Every character but ASCII letters and digits becomes `_`; 40 characters."""
+    named = F.when(F.coalesce(label, F.lit("")) == "", F.lit("speaker")).otherwise(label)
+    return F.substring(F.regexp_replace(named, "[^A-Za-z0-9]", "_"), 1, 40)
 
 
-def failure_class(message: Column) -> Column:
-    """Class of a failed job by its message."""
+def safe_name(name: Column) -> Column:
+    """A file name without path characters and leading dots, of 180 characters at most."""
+    clean = F.substring(F.regexp_replace(F.regexp_replace(F.coalesce(name, F.lit("")), r"""[\\/:*?"<>|\x00-\x1f]""", "_"), r"^\.+", ""), 1, 180)
+    return F.when(clean == "", F.lit("segment.wav")).otherwise(clean)
+
+
+def speaker_label(cluster: Column, index: Column) -> Column:
+    """`Speaker n`: the cluster's trailing number plus one, else the place plus one."""
+    digits = F.regexp_extract(F.coalesce(cluster, F.lit("")), r"(\d+)$", 1)
+    return F.concat(F.lit("Speaker "), F.when(digits != "", (digits.try_cast("decimal(38,0)") + 1).cast("string")).otherwise((index + 1).cast("string")))
+
+
+def provider_speaker_label(ref: Column, index: Column) -> Column:
+    """`speaker_n` by its number plus one, any other reference as it is."""
+    ref = F.coalesce(ref, F.lit(""))
+    digits = F.regexp_extract(ref, r"(?i)^speaker[_\s]?(\d+)$", 1)
+    named = F.when(ref != "", ref).otherwise((index + 1).cast("string"))
+    return F.concat(F.lit("Speaker "), F.when(digits != "", (digits.try_cast("decimal(38,0)") + 1).cast("string")).otherwise(named))
+
+
+def job_key(kind: Column | str, *ids: Column) -> Column:
+    """Deterministic job id: the kind and its ids; a kind without ids is a singleton."""
+    kind = F.lit(kind) if isinstance(kind, str) else kind
+    return F.concat_ws("-", kind, *[i.cast("string") for i in ids]) if ids else F.concat(kind, F.lit("-singleton"))
+
+
+def count_words(text: Column, words: Column | None = None) -> Column:
+    """Size of the word list where there is one, else words of the text."""
+    said = F.size(F.filter(F.split(F.trim(F.coalesce(text, F.lit(""))), r"(?U)\s+"), lambda w: w != ""))
+    return (said if words is None else F.when(words.isNotNull(), F.size(words)).otherwise(said)).cast("long")
+
+
+def failure_class(message: Column, status: Column | None = None) -> Column:
+    """Class of a failed call by its message and, where known, its HTTP status:
+    stand_down (409 with `"stand_down": true` at the top of a JSON body), then
+    rate_limited, gateway_timeout, auth_rejected, transient, none (no message), terminal."""
+    said = F.coalesce(message, F.lit(""))
+    code = F.regexp_extract(said, r"(?i)\bHTTP (\d{3})\b", 1)
+    code = code if status is None else F.coalesce(status.cast("string"), code)
+    body = F.when(said.startswith("{"), said).otherwise(F.regexp_extract(said, r"(?s)(\{.*\})", 1))
+    stands = F.coalesce(F.from_json(body, "stand_down boolean")["stand_down"], F.lit(False))
     return (
-        F.when(message.rlike("429"), "rate_limited").when(message.rlike("50[234]|524"), "gateway_timeout")
-        .when(message.rlike("403"), "auth_rejected").when(message.rlike("(?i)fetch failed|timeout|socket"), "transient")
-        .when(message == "", "none").otherwise("terminal")
-    )
+        F.when((code == "409") & stands, "stand_down").when((code == "429") | said.rlike("(?i)rate limit"), "rate_limited")
+        .when(code.isin("502", "503", "504", "524"), "gateway_timeout").when((code == "403") & said.rlike("auth_required|(?i)This app is private"), "auth_rejected")
+        .when(said.rlike("(?i)timeout|timed out|ECONNRESET|fetch failed|network|socket"), "transient").when(said == "", "none").otherwise("terminal")
+    )
 
 
 def backoff_ms(base: Column, factor: float, attempt: Column, cap: int) -> Column:
     return F.least(F.lit(float(cap)), base * F.pow(F.lit(factor), attempt - 1)).cast("long")
+
+
+def jittered_backoff_ms(attempt: Column, seed: Column) -> Column:
+    """Between 500 ms and min(20 s, 1 s doubled per attempt), chosen by the seed's hash."""
+    ceiling = F.least(F.lit(20_000.0), F.lit(1000.0) * F.pow(F.lit(2.0), attempt - 1))
+    share = F.conv(F.substring(F.sha2(seed.cast("string"), 256), 1, 8), 16, 10).cast("double") / float(1 << 32)
+    return F.greatest(F.lit(500), F.floor(share * ceiling)).cast("long")

@@ -77,6 +77,13 @@ def would_erase(words: Column, boundary: Column) -> Column:
     return F.coalesce(F.exists(words, lambda w: F.coalesce(w["start_ms"] >= boundary, F.lit(False))), F.lit(False))
 
 
+def recompute_max_shift(words: Column) -> Column:
+    """Largest distance of a word's start or end from the provider's, absent ones 0."""
+    gap = lambda w, a, b: F.coalesce(F.abs(w[a] - w[b]), F.lit(0))
+    worst = lambda a, w: F.greatest(a, gap(w, "start_ms", "provider_start_ms"), gap(w, "end_ms", "provider_end_ms"))
+    return F.coalesce(F.aggregate(words, F.lit(0).cast("long"), worst), F.lit(0))
+
+
 def integrity_report(audited: DataFrame, hits: DataFrame) -> DataFrame:
     """One row per programme over audited rows; hits is the overlap sweep of the
     rows before repairs."""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +21,23 @@ def token(text: Column) -> Column:
     return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]", "")
 
 
+def token_nfkd(column: str) -> Column:
+    """Lower-case letters and digits of the text's compatibility form (NFKD), in which
+    accents are characters of their own and go. ASCII text takes the native way; the
+    rest, in Arrow batches, a function of Python's Unicode tables."""
+    text = F.coalesce(F.col(column), F.lit(""))
+    ascii_ = ~text.rlike(r"[^\x00-\x7F]")
+    return F.when(ascii_, token(F.col(column))).otherwise(token(_decomposed(F.when(~ascii_, text))))
+
+
+def _decomposed(text: Column) -> Column:
+    @F.pandas_udf("string")
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(lambda t: unicodedata.normalize("NFKD", t), na_action="ignore")
+
+    return run(text)
+
+
 def secondary_words(stream: DataFrame) -> DataFrame:
     """(programme_id, n, kind, text, start_s, end_s) -> key `s:{count of kept}`, ms."""
     kept = stream.filter(~F.coalesce("kind", F.lit("word")).isin("spacing", "audio_event") & ~X.punctuation_only(F.col("text")))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .evidence import deterministic_uuid
+
 
 def plan_chunks(items: DataFrame, size: int) -> DataFrame:
     """items (run_id, item_id) numbered in order of item_id; chunk_key `chunk:{i}`."""
@@ -46,7 +48,8 @@ def stale(events: DataFrame, ceiling_seconds: int) -> DataFrame:
     order = Window.partitionBy("job_id").orderBy("ts", "event_id")
     latest = events.agg(F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("_now"))
     at = F.unix_micros(F.col("ts").cast("timestamp"))
-    e = events.withColumns({"_at": at, "_next": F.lead(at).over(order)}).join(F.broadcast(latest))  # latest is one row
+    e = events.withColumns({"_at": at, "_next": F.lead(at).over(order), "_one": F.lit(1)})
+    e = e.join(F.broadcast(latest.withColumn("_one", F.lit(1))), "_one").drop("_one")  # latest is one row
     late = e.filter((F.col("state") == "active") & (F.coalesce("_next", "_now") - F.col("_at") > ceiling_seconds * 1_000_000))
     return late.select("job_id", "event_id", F.when(F.row_number().over(order) == 1, "dispatch_again").otherwise("terminal").alias("action"))
 
@@ -56,16 +59,28 @@ def latency(events: DataFrame) -> DataFrame:
     return events.groupBy("queue").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("longest"), p(0.5).alias("p50"), p(0.95).alias("p95"), p(0.99).alias("p99"))
 
 
-def stage_and_flip(active: DataFrame, staged: DataFrame, run_id: str) -> DataFrame:
-    """active (row_id, import_run_id, is_active, superseded_by), staged (row_id):
-    staged rows become active under run_id and replace active rows of their id. A
-    second application changes nothing, since rows of that run are not staged again."""
+def stage_and_flip(active: DataFrame, staged: DataFrame, run_id: str, at: Column) -> DataFrame:
+    """active (row_id, import_run_id, is_active, superseded_by, superseded_at), staged
+    (row_id): staged rows become active under run_id and replace active rows of their id,
+    which keep who superseded them and when. A second application changes nothing, since
+    rows of that run are not staged again."""
     done = active.filter(F.col("import_run_id") == run_id).select("row_id")
     new = staged.select("row_id").distinct().join(done, "row_id", "left_anti")
     flag = new.select("row_id", F.lit(True).alias("_hit"))
     old = active.join(flag, "row_id", "left").withColumn("_hit", F.coalesce("_hit", F.lit(False)) & F.col("is_active"))
-    old = old.withColumns({"superseded_by": F.when(F.col("_hit"), F.lit(run_id)).otherwise(F.col("superseded_by")), "is_active": F.col("is_active") & ~F.col("_hit")}).drop("_hit")
-    return old.unionByName(new.select("row_id", F.lit(run_id).alias("import_run_id"), F.lit(True).alias("is_active"), F.lit(None).cast("string").alias("superseded_by")))
+    old = old.withColumns({"superseded_by": F.when(F.col("_hit"), F.lit(run_id)).otherwise(F.col("superseded_by")), "superseded_at": F.when(F.col("_hit"), at).otherwise(F.col("superseded_at")), "is_active": F.col("is_active") & ~F.col("_hit")}).drop("_hit")
+    fresh = new.select("row_id", F.lit(run_id).alias("import_run_id"), F.lit(True).alias("is_active"), F.lit(None).cast("string").alias("superseded_by"), F.lit(None).cast("timestamp").alias("superseded_at"))
+    return old.unionByName(fresh)
+
+
+def reseed(existing: DataFrame, segments: DataFrame, languages: tuple[str, ...], seed: Column) -> DataFrame:
+    """existing and the result: (programme_id, segment_id, lang, row_id). Rows of the
+    programmes of `segments` go, and each segment gets one row a language under an id
+    that `seed` (over programme_id, segment_id, lang) decides, so that doing it again
+    gives the same rows."""
+    others = existing.join(segments.select("programme_id").distinct(), "programme_id", "left_anti")
+    new = segments.select("programme_id", "segment_id").distinct().withColumn("lang", F.explode(F.array(*[F.lit(x) for x in languages])))
+    return others.select("programme_id", "segment_id", "lang", "row_id").unionByName(new.withColumn("row_id", deterministic_uuid(seed)))
 
 
 def retained(snapshots: DataFrame, keep: int) -> DataFrame:

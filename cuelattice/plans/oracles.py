@@ -81,15 +81,16 @@ ORACLES = {
         select programme_id, cluster, speaker_index, speaker_index%8 colour, floor(m*1e6+0.5)/1e6 mean_confidence, turn_count from i""",
     "win_05_sentences": _W + r""", c as (select *, case when coalesce(regexp_matches(lag(text) over o, '[.!?…。！？]["''”’)\]]*$') or ps - lag(pe) over o >= 650, false) then 1 else 0 end cut from words window o as (partition by programme_id, segment_id order by word_index)),
         d as (select *, cast(sum(cut) over (partition by programme_id, segment_id order by word_index) as bigint) piece from c)
-        select programme_id, segment_id, piece, min(ps) start_ms, max(pe) end_ms, count(*) n_words from d group by all""",
+        select programme_id, segment_id, piece, min(ps) start_ms, max(pe) end_ms, count(*) n_words, trim(regexp_replace(regexp_replace(string_agg(trim(text),' ' order by word_index),'\s+([,.;:!?])','\1','g'),'\s+',' ','g')) as text from d group by all""",
     "win_12_stems": _W + _TURNS + """, c as (select programme_id, role speaker_id, segment_id clip_no, end_ms-start_ms d from segs),
         k as (select *, cast(coalesce(sum(d+500) over (partition by programme_id, speaker_id order by clip_no rows between unbounded preceding and 1 preceding),0) as bigint) start_ms from c)
-        select programme_id, speaker_id, clip_no, start_ms, start_ms+d end_ms from k""",
+        select programme_id, speaker_id, clip_no, start_ms, start_ms+d end_ms, greatest(1, max(start_ms+d) over (partition by programme_id, speaker_id)) total_ms from k""",
     "prd_12_overruns": _W + _TURNS + " select programme_id, count(*) late_clips from segs where (programme_id*13+segment_id*7)%160-40>80 group by all",
-    "agg_11_shift_gate": _W + """, d as (select programme_id, greatest(abs(s-ps),abs(e-pe))::double d from words), g as (select programme_id, count(*) word_count, quantile_cont(d,0.5) median_shift, quantile_cont(d,0.95) p95_shift, quantile_cont(d,0.99) p99_shift, max(d) max_shift, count(*) filter (d>1500) outliers from d group by all)
-        select *, case when p99_shift<=30000 and outliers/word_count<=0.005 then 'pass' when p99_shift>30000 then 'p99_shift' else 'outlier_ratio' end verdict from g""",
+    "agg_11_shift_gate": _W + """, d as (select programme_id, segment_id, word_index, greatest(abs(s-ps),abs(e-pe))::double d from words), g as (select programme_id, count(*) word_count, quantile_cont(d,0.5) median_shift, quantile_cont(d,0.95) p95_shift, quantile_cont(d,0.99) p99_shift, max(d) max_shift, count(*) filter (d>1500) outliers,
+        coalesce(array_to_string(list_slice(list(segment_id||':'||word_index order by d desc, segment_id, word_index) filter (d>1500),1,5),','),'') outlier_sample from d group by programme_id)
+        select *, case when p99_shift is null then 'unmeasured' when p99_shift>30000 then 'p99_shift' when outliers/word_count>0.005 then 'outlier_ratio' else 'pass' end verdict from g""",
     "fn_texts": r"""select conv_id, turn, lpad(cast(m//3600000 as varchar),2,'0')||':'||lpad(cast(m//60000%60 as varchar),2,'0')||':'||lpad(cast(m//1000%60 as varchar),2,'0')||';'||lpad(cast(m%1000//40 as varchar),2,'0') tc,
-        not regexp_matches(text,'[\p{L}\p{N}]') punct, substr(regexp_replace(text,'[^A-Za-z0-9]+','_','g'),1,40) slug, regexp_matches(split_part(text,chr(10),1),'[.!?…。！？]["''”’)\]]*$') ends from (select *, conv_id*7919+turn*104729 m from conversations)""",
+        not regexp_matches(text,'[\p{L}\p{N}]') punct, substr(regexp_replace(text,'[^A-Za-z0-9]','_','g'),1,40) slug, regexp_matches(text,'[.!?…。！？]["''”’)\]]*$') ends, len(list_filter(regexp_split_to_array(trim(text),'\s+'), lambda x: x<>'')) n_words from (select *, conv_id*7919+turn*104729 m from conversations)""",
     "agg_15_queue_states": "with " + _EVENTS + " select queue, state, count(*) jobs from (select queue, job_id, arg_max(state, {'a': ts, 'b': event_id}) state from jobs group by all) group by all",
     "win_13_recent": "with " + _EVENTS + " select queue, state, rank, event_id from (select *, row_number() over (partition by queue, state order by ts desc, event_id desc) rank from jobs) where rank<=10",
     "prd_17_failures": "with " + _EVENTS + """ select case when contains(message,'429') then 'rate_limited' when regexp_matches(message,'50[234]|524') then 'gateway_timeout' when contains(message,'403') then 'auth_rejected' when regexp_matches(message,'(?i)fetch failed|timeout|socket') then 'transient' when message='' then 'none' else 'terminal' end failure,

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators import evidence as E
-from ..operators import rows, runs
+from ..operators import lines, rows, runs
+from ..operators.transcripts import RATES
 from ..sources import derived as D
 from .oracles import _EVENTS, _TURNS, _W
 
@@ -50,7 +51,7 @@ def jn_12_resume(spark, sf_dir):
 
 def jn_11_harvest(spark, sf_dir):
     r = _results(spark, sf_dir)
-    return runs.harvest(r.filter("chunk_index < 50").select("run_id", "chunk_key"), r.filter("status is not null"))
+    return runs.harvest(r.select("run_id", "chunk_key"), r.filter("status is not null"))
 
 
 def agg_13_run_counters(spark, sf_dir):
@@ -76,10 +77,11 @@ def prd_18_trigger(spark, sf_dir):
 
 def pipe_10_stage_and_flip(spark, sf_dir):
     o = _t(spark, sf_dir, "customer")
-    active = o.select(F.col("c_custkey").alias("row_id"), F.lit("run-0").alias("import_run_id"), F.lit(True).alias("is_active"), F.lit(None).cast("string").alias("superseded_by"))
-    staged = o.filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("row_id"))
-    once = runs.stage_and_flip(active, staged, "run-1")
-    return runs.stage_and_flip(once, staged, "run-1")
+    active = o.select(F.col("c_custkey").alias("row_id"), F.lit("run-0").alias("import_run_id"), F.lit(True).alias("is_active"), F.lit(None).cast("string").alias("superseded_by"), F.lit(None).cast("timestamp").alias("superseded_at"))
+    staged, at = o.filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("row_id")), F.lit("2024-03-01 10:00:00").cast("timestamp")
+    once = runs.stage_and_flip(active, staged, "run-1", at)
+    twice = runs.stage_and_flip(once, staged, "run-1", F.lit("2024-03-02 10:00:00").cast("timestamp"))
+    return twice.withColumn("superseded_at", F.date_format("superseded_at", "yyyy-MM-dd HH:mm:ss"))
 
 
 def jn_15_cascade(spark, sf_dir):
@@ -97,23 +99,20 @@ def snk_03_retention(spark, sf_dir):
 
 def prd_13_missing_duration(spark, sf_dir):
     c = D.clips(spark, sf_dir).withColumn("audio_dur_ms", F.when((F.col("programme_id") + F.col("clip_no")) % 19 != 0, F.col("audio_dur_ms")))
-    return c.filter(~F.coalesce(F.col("audio_dur_ms") > 0, F.lit(False))).select("programme_id", "speaker_id", "clip_no")
+    return lines.missing_durations(c).select("programme_id", "speaker_id", "clip_no")
 
 
-def prd_15_rewrite(spark, sf_dir, low=10.0, high=14.0):
-    t = _t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("programme_id"), F.col("turn").alias("segment_id"), F.length("text").alias("n"))
+def prd_15_rewrite(spark, sf_dir, low=10.0, high=14.0, most_fit=1.1):
+    t = _t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("programme_id"), F.col("turn").alias("segment_id"), "text")
     s = D.segments(spark, sf_dir).join(t, ["programme_id", "segment_id"])
-    rate = F.col("n") * 1000.0 / (F.col("end_ms") - F.col("start_ms"))
-    return s.filter((rate < low) | (rate > high)).select("programme_id", "segment_id", X.half_up(rate * 1000).alias("rate_milli"))
+    k = F.col("programme_id") + F.col("segment_id")
+    s = s.withColumn("audio_dur_ms", F.when(k % 3 != 0, (F.col("end_ms") - F.col("start_ms")) * (90 + k % 40) / 100.0))
+    return lines.rewrite_candidates(s, low, high, most_fit).select("programme_id", "segment_id", X.half_up(F.col("chars_per_second") * 1000).alias("rate_milli"), X.half_up(F.col("fit") * 1000).alias("fit_milli"))
 
 
 def prd_14_floors(spark, sf_dir):
-    # Floors are a parameter table of one row a kind.
-    floors = spark.createDataFrame([("signup", 0.2), ("click", 0.4), ("view", 0.6), ("error", 0.8)], "event_type string, floor double")
-    e = _t(spark, sf_dir, "events").withColumn("confidence", (F.col("event_id") * 37 % 100) / 100.0)
-    j = e.join(F.broadcast(floors), "event_type", "left")
-    ok = F.col("confidence") >= F.coalesce("floor", F.lit(0.0))
-    return j.groupBy("event_type").agg(F.count_if(ok).alias("kept"), F.count_if(~ok).alias("dropped"))
+    e = _t(spark, sf_dir, "events").select(F.col("event_type").alias("kind"), ((F.col("event_id") * 37 % 100) / 100.0).alias("confidence"))
+    return lines.above_floor(e, {"signup": 0.2, "click": 0.4, "view": 0.6, "error": 0.8})[1].withColumnRenamed("kind", "event_type")
 
 
 def prd_16_language_codes(spark, sf_dir):
@@ -124,43 +123,42 @@ def prd_16_language_codes(spark, sf_dir):
 
 
 def agg_16_clip_groups(spark, sf_dir):
-    g = D.clips(spark, sf_dir).groupBy("programme_id", "speaker_id").agg(F.count(F.lit(1)).alias("clips"), F.sum("audio_dur_ms").alias("d"))
-    return g.select("programme_id", "speaker_id", "clips", F.greatest(F.lit(1), F.col("d") + (F.col("clips") - 1) * 500).cast("long").alias("stem_ms"), F.concat(X.slug(F.col("speaker_id")), F.lit("_en_gap0.5s.wav")).alias("file_name"))
+    g = lines.clip_groups(D.clips(spark, sf_dir), 500)
+    return g.select("programme_id", "speaker_id", "clips", "stem_ms", F.concat(X.slug(F.col("speaker_id")), F.lit("_en_gap0.5s.wav")).alias("file_name"))
 
 
 def agg_17_cost(spark, sf_dir):
-    # Dollars per audio second.
-    rates = F.create_map(F.lit(0), F.lit(0.00004583), F.lit(1), F.lit(0.000076389), F.lit(2), F.lit(0.000111))
+    rates = F.array(*[F.lit(r) for r in RATES.values()])
     p = D.segments(spark, sf_dir).groupBy("programme_id").agg(F.max("end_ms").alias("ms"))
-    x = F.col("ms") / 1000.0 * F.element_at(rates, (F.col("programme_id") % 3).cast("int"))
-    return p.select("programme_id", (F.floor(x * 10000 + 0.5) / 10000).cast("double").alias("usd"))
+    rate = F.element_at(rates, (F.col("programme_id") % 3 + 1).cast("int"))
+    return p.select("programme_id", lines.transcription_cost(F.col("ms") / 1000.0, rate).alias("usd"))
 
 
 def jn_13_stale_source(spark, sf_dir):
-    c = _t(spark, sf_dir, "conversations")
+    c = _t(spark, sf_dir, "conversations").withColumn("source_segment_id", F.concat_ws(":", "conv_id", "turn"))
     k = F.col("conv_id") + F.col("turn")
     stored = F.when(k % 10 != 0, X.fnv1a32(F.when(k % 6 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))))
-    return c.select("conv_id", "turn", X.fnv1a32(F.col("text")).alias("hash"), (stored != X.fnv1a32(F.col("text"))).alias("stale"))
+    out = lines.stale_from_source(c.select("source_segment_id", "conv_id", "turn", stored.alias("translated_from_source_hash")), c.select("source_segment_id", F.col("text").alias("source_text")))
+    return out.select("conv_id", "turn", F.col("source_hash").alias("hash"), "stale")
 
 
 def jn_14_reseed(spark, sf_dir):
-    s = _t(spark, sf_dir, "conversations").select("conv_id", "turn").withColumn("lang", F.explode(F.array(*[F.lit(x) for x in LANGUAGES])))
-    return s.withColumn("row_id", E.deterministic_uuid(F.concat_ws(":", "conv_id", "turn", "lang")))
+    s = _t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("programme_id"), F.col("turn").alias("segment_id"))
+    seed = F.concat_ws(":", "programme_id", "segment_id", "lang")
+    old = s.withColumn("programme_id", F.col("programme_id") - 1).select("programme_id", "segment_id", F.lit("it").alias("lang"), F.lit("old").alias("row_id"))
+    once = runs.reseed(old, s, LANGUAGES, seed)
+    return runs.reseed(once, s, LANGUAGES, seed).select(F.col("programme_id").alias("conv_id"), F.col("segment_id").alias("turn"), "lang", "row_id")
 
 
 def win_16_neighbours(spark, sf_dir):
-    from pyspark.sql import Window
-
-    o = Window.partitionBy("conv_id").orderBy("turn")
-    return _t(spark, sf_dir, "conversations").select("conv_id", "turn", F.md5(F.lag("text").over(o)).alias("before"), F.md5(F.lead("text").over(o)).alias("after"))
+    c = _t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("programme_id"), F.col("turn").alias("segment_id"), "text")
+    return lines.context_neighbours(c).select(F.col("programme_id").alias("conv_id"), F.col("segment_id").alias("turn"), F.md5("previous_text").alias("before"), F.md5("next_text").alias("after"))
 
 
 def win_06_speaker_runs(spark, sf_dir):
-    from pyspark.sql import Window
-
-    o = Window.partitionBy("conv_id").orderBy("turn")
-    c = _t(spark, sf_dir, "conversations").withColumn("run", F.sum(F.coalesce((F.col("role") != F.lag("role").over(o)).cast("long"), F.lit(0))).over(o))
-    return c.groupBy("conv_id", "run", "role").agg(F.min("turn").alias("first_turn"), F.count(F.lit(1)).alias("turns"))
+    c = _t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("programme_id"), F.col("turn").alias("segment_id"), F.col("role").alias("speaker"))
+    g = lines.speaker_runs(c).groupBy(F.col("programme_id").alias("conv_id"), "run", F.col("speaker").alias("role"))
+    return g.agg(F.min("segment_id").alias("first_turn"), F.count(F.lit(1)).alias("turns"))
 
 
 def _primary(spark, sf_dir):
@@ -198,6 +196,18 @@ def jn_05_lineage(spark, sf_dir):
     return E.lineage_errors(asked, back)
 
 
+def agg_14_run_latency(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    day = lambda c: F.unix_date(F.col(c).cast("date")) * 1000
+    c = li.select((F.col("l_suppkey") % 25).alias("run_id"), day("l_shipdate").alias("queued_ms"), (day("l_shipdate") + F.col("l_partkey") % 977).alias("started_ms"), (day("l_shipdate") + F.col("l_partkey") % 977 + F.col("l_orderkey") % 4001).cast("long").alias("finished_ms"), (F.col("l_orderkey") % 3001).alias("provider_ms"))
+    out = lines.latency_summary(c, exact=True)
+    return out.select(*[(F.floor(F.col(x) * 1000 + 0.5) / 1000).alias(x) if x.endswith("_mean") else F.col(x) for x in out.columns])
+
+
+def fn_02_tokens(spark, sf_dir):
+    return D.words(spark, sf_dir).select("programme_id", "segment_id", "word_index", E.token_nfkd("text").alias("token"))
+
+
 def agg_10_alignment_gate(spark, sf_dir):
     r = rows.shift_report(D.words(spark, sf_dir)).drop("verdict")
     p = F.col("programme_id")
@@ -222,7 +232,7 @@ _FNV = "lpad(printf('%x', list_reduce(list_transform(string_split({0},''), lambd
 ORACLES = {
     "win_15_chunk_plan": "with " + _CH + " select run_id, chunk_index, 'chunk:'||chunk_index chunk_key, count(*) n_items, min(item_id) first_item from ch0 group by all",
     "jn_12_resume": "with " + _CH + " select run_id, chunk_key from res where status is distinct from 'ok'",
-    "jn_11_harvest": "with " + _CH + " select run_id, chunk_key, status from res where chunk_index<50",
+    "jn_11_harvest": "with " + _CH + " select run_id, chunk_key, status from res",
     "agg_13_run_counters": "with " + _CH + """, g as (select run_id, count(*) chunks, count(*) filter (status='ok') ok, count(*) filter (status='failed') failed, cast(sum(characters) as bigint) characters, sum(cost)::double as "cost", coalesce(string_agg(chunk_key, ',' order by chunk_key) filter (status='failed'),'') failed_keys from res group by all)
         select *, case when ok+failed<chunks then 'running' when failed=0 then 'completed' when ok=0 then 'failed' else 'partial' end run_status from g""",
     "win_14_cost_stop": "with " + _CH + " select run_id, chunk_index, coalesce(sum(cost) over (partition by run_id order by chunk_index rows between unbounded preceding and 1 preceding),0)<5000000 dispatched from res",
@@ -230,18 +240,18 @@ ORACLES = {
     "stm_06_stale": "with " + _EVENTS + """, l as (select *, epoch_us(ts) at_, lead(epoch_us(ts)) over (partition by job_id order by ts, event_id) nx, (select max(epoch_us(ts)) from jobs) now_ from jobs), s as (select * from l where state='active' and coalesce(nx,now_)-at_>36000000000)
         select job_id, event_id, case when row_number() over (partition by job_id order by ts, event_id)=1 then 'dispatch_again' else 'terminal' end as "action" from s""",
     "prd_18_trigger": "select o_custkey, count(*) n, case when o_custkey%3=0 then 'initial_generation' when count(*)>1 then 'bulk_regenerate' else 'operator_regenerate' end kind from orders group by o_custkey",
-    "pipe_10_stage_and_flip": "select c_custkey row_id, 'run-0' import_run_id, c_custkey%3<>0 is_active, case when c_custkey%3=0 then 'run-1' end superseded_by from customer union all select distinct c_custkey, 'run-1', true, null from customer where c_custkey%3=0",
+    "pipe_10_stage_and_flip": "select c_custkey row_id, 'run-0' import_run_id, c_custkey%3<>0 is_active, case when c_custkey%3=0 then 'run-1' end superseded_by, case when c_custkey%3=0 then '2024-03-01 10:00:00' end superseded_at from customer union all select distinct c_custkey, 'run-1', true, null, null from customer where c_custkey%3=0",
     "jn_15_cascade": "with c as (select c_custkey from customer where c_custkey%20=0), o as (select o_orderkey from orders where o_custkey in (from c)) select 'customer' table_name, count(*) n_rows from c union all select 'orders', count(*) from o union all select 'lineitem', count(*) from lineitem where l_orderkey in (from o)",
     "snk_03_retention": "with s as (select event_type table_name, strftime(ts,'%Y-%m-%d') dt, count(*) n_rows from events group by all) select *, dense_rank() over (partition by table_name order by dt desc)<=7 kept from s",
     "prd_13_missing_duration": _R + _TURNS + " select programme_id, role speaker_id, segment_id clip_no from segs where (programme_id+segment_id)%19=0 or end_ms<=start_ms",
-    "prd_15_rewrite": _R + _TURNS + ", r as (select programme_id, segment_id, length(text)*1000.0::double/(end_ms-start_ms) r from segs s join conversations c on c.conv_id=s.programme_id and c.turn=s.segment_id) select programme_id, segment_id, cast(floor(r*1000+0.5) as bigint) rate_milli from r where r<10 or r>14",
+    "prd_15_rewrite": _R + _TURNS + ", r as (select programme_id, segment_id, programme_id+segment_id k, length(text)*1000.0::double/(end_ms-start_ms) r, end_ms-start_ms w from segs s join conversations c on c.conv_id=s.programme_id and c.turn=s.segment_id), f as (select *, case when k%3<>0 then w*(90+k%40)/100.0::double/w end f from r) select programme_id, segment_id, cast(floor(r*1000+0.5) as bigint) rate_milli, cast(floor(f*1000+0.5) as bigint) fit_milli from f where (r<10 or r>14) and (f is null or f>1.1::double)",
     "prd_14_floors": "with e as (select *, (event_id*37%100)/100.0::double c, case event_type when 'signup' then 0.2 when 'click' then 0.4 when 'view' then 0.6 when 'error' then 0.8 else 0 end::double f from events) select event_type, count(*) filter (c>=f) kept, count(*) filter (c<f) dropped from e group by all",
     "prd_16_language_codes": """with t as (select doc_id, lower(replace(trim(coalesce(['auto','en_US','en-GB','nb','iw','pt-BR',' '][cast(doc_id%9+1 as int)], lang)),'_','-')) t from documents)
         select doc_id, case when t in ('','auto') then null when t='en-us' then 'en_us' when t='en-gb' then 'en_uk' when t='en-au' then 'en_au' when t in ('nb','nn','no') then 'no' when t in ('he','iw') then 'he' else split_part(t,'-',1) end code from t""",
     "agg_16_clip_groups": _R + _TURNS + " select programme_id, role speaker_id, count(*) clips, cast(greatest(1, sum(end_ms-start_ms)+(count(*)-1)*500) as bigint) stem_ms, substr(regexp_replace(role,'[^A-Za-z0-9]+','_','g'),1,40)||'_en_gap0.5s.wav' file_name from segs group by programme_id, role",
     "agg_17_cost": _R + _TURNS + " select programme_id, floor(max(end_ms)/1000.0::double*(case programme_id%3 when 0 then 0.00004583 when 1 then 0.000076389 else 0.000111 end)::double*10000+0.5)/10000 usd from segs group by programme_id",
     "jn_13_stale_source": "with h as (select conv_id, turn, conv_id+turn k, " + _FNV.format("text") + " as \"hash\", " + _FNV.format("text||'!'") + " h2 from conversations) select conv_id, turn, \"hash\", case when k%10<>0 then (case when k%6=0 then h2 else \"hash\" end)<>\"hash\" end stale from h",
-    "jn_14_reseed": "with s as (select conv_id, turn, unnest(['de','es','fr']) lang from conversations), h as (select *, sha256(conv_id||':'||turn||':'||lang) h from s) select conv_id, turn, lang, substr(h,1,8)||'-'||substr(h,9,4)||'-4'||substr(h,14,3)||'-'||substr('89ab',(strpos('0123456789abcdef',substr(h,17,1))-1)%4+1,1)||substr(h,18,3)||'-'||substr(h,21,12) row_id from h",
+    "jn_14_reseed": "with s as (select conv_id, turn, unnest(['de','es','fr']) lang from conversations), h as (select *, sha256(conv_id||':'||turn||':'||lang) h from s) select conv_id, turn, lang, substr(h,1,8)||'-'||substr(h,9,4)||'-4'||substr(h,14,3)||'-'||substr('89ab',(strpos('0123456789abcdef',substr(h,17,1))-1)%4+1,1)||substr(h,18,3)||'-'||substr(h,21,12) row_id from h union all select conv_id-1, turn, 'it', 'old' from conversations where conv_id-1 not in (select conv_id from conversations)",
     "win_16_neighbours": "select conv_id, turn, md5(lag(text) over o) before, md5(lead(text) over o) as \"after\" from conversations window o as (partition by conv_id order by turn)",
     "win_06_speaker_runs": "with c as (select *, case when role<>lag(role) over (partition by conv_id order by turn) then 1 else 0 end ch from conversations), d as (select *, cast(sum(ch) over (partition by conv_id order by turn) as bigint) run from c) select conv_id, run, role, min(turn) first_turn, count(*) turns from d group by all",
     "src_04_secondary_words": _R + _SEC + ' select programme_id, key2 as "key", t2 as text, s2 s, e2 e from secn',
@@ -250,6 +260,9 @@ ORACLES = {
         union all select programme_id, null, key2, 'unmatched' from secn x where not exists (select 1 from hit h where h.programme_id=x.programme_id and h.key2=x.key2)""",
     "jn_05_lineage": _R + """, a as (select programme_id, segment_id*100000+word_index pos, segment_id*31+word_index k, s, e from words)
         select * from (select programme_id, pos, case when k%97=0 then 'missing' when k%89=0 then 'key' when k%17=0 then 'text' when not (e>s) then 'window' end fault from a) where fault is not null""",
+    "agg_14_run_latency": """with c as (select l_suppkey%25 run_id, l_partkey%977 w, l_orderkey%4001 k, l_orderkey%3001 p from lineitem) select run_id, count(*) n_chunks,
+        """ + ", ".join(f"cast(sum({c}) as bigint) {n}_sum, floor(avg({c})*1000+0.5)/1000 {n}_mean, quantile_cont({c}::double,0.5) {n}_p50, quantile_cont({c}::double,0.95) {n}_p95" for c, n in (("w", "wait_ms"), ("k", "work_ms"), ("p", "provider_ms"))) + " from c group by run_id",
+    "fn_02_tokens": _R + r""" select programme_id, segment_id, word_index, regexp_replace(lower(strip_accents(text)),'[^\p{L}\p{N}]','','g') token from words""",
     "agg_10_alignment_gate": _R + """, d as (select programme_id, greatest(abs(s-ps),abs(e-pe))::double d from words), g as (select programme_id, quantile_cont(d,0.99) p99, max(d) mx, case when programme_id%5<>0 then count(*) filter (d>1500)/count(*) end ratio from d group by programme_id)
         select programme_id, case when programme_id%7=0 then 'not_verified' when not ((programme_id%10)/10.0::double+0.2>=0.5) then 'mean_confidence' when ratio is not null and p99>30000 then 'p99_shift' when ratio is not null and ratio>0.005 then 'outlier_ratio' when ratio is null and mx>30000 then 'max_shift' else 'pass' end verdict from g""",
     "fold_02_fragments": _R + r""", c as (select *, case when coalesce(regexp_matches(lag(text) over o, '[.!?…。！？]["''”’)\]]*$') or ps - lag(pe) over o >= 100, false) then 1 else 0 end cut from words window o as (partition by programme_id, segment_id order by word_index)),

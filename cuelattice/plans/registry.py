@@ -9,7 +9,7 @@ from ..functions import exprs as X
 from ..operators import intervals, rows, timing
 from ..sources import derived as D
 from ..streaming import jobs
-from . import production, programme, programme_sql
+from . import intake, production, programme, programme_sql
 from . import oracles as base_sql
 
 KEY = ["programme_id", "segment_id", "word_index"]
@@ -55,7 +55,7 @@ def agg_01_speaker_plan(spark, sf_dir):
 
 
 def win_05_sentences(spark, sf_dir):
-    return rows.sentence_segments(D.words(spark, sf_dir)).select("programme_id", "segment_id", F.col("piece").cast("long").alias("piece"), "start_ms", "end_ms", "n_words")
+    return rows.sentence_segments(D.words(spark, sf_dir)).select("programme_id", "segment_id", F.col("piece").cast("long").alias("piece"), "start_ms", "end_ms", "n_words", "text")
 
 
 def win_12_stems(spark, sf_dir):
@@ -73,7 +73,7 @@ def agg_11_shift_gate(spark, sf_dir):
 def fn_texts(spark, sf_dir):
     c = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     t = F.col("text")
-    return c.select("conv_id", "turn", X.timecode(F.col("conv_id") * 7919 + F.col("turn") * 104729).alias("tc"), X.punctuation_only(t).alias("punct"), X.slug(t).alias("slug"), X.sentence_end(F.substring_index(t, "\n", 1)).alias("ends"))
+    return c.select("conv_id", "turn", X.timecode(F.col("conv_id") * 7919 + F.col("turn") * 104729).alias("tc"), X.punctuation_only(t).alias("punct"), X.slug(t).alias("slug"), X.sentence_end(t).alias("ends"), X.count_words(t).alias("n_words"))
 
 
 def agg_15_queue_states(spark, sf_dir):
@@ -112,5 +112,5 @@ QUERIES = {
     )
 }
 
-QUERIES |= programme.QUERIES | production.QUERIES
-ORACLES = base_sql.ORACLES | programme_sql.ORACLES | production.ORACLES
+QUERIES |= programme.QUERIES | production.QUERIES | intake.QUERIES
+ORACLES = base_sql.ORACLES | programme_sql.ORACLES | production.ORACLES | intake.ORACLES

@@ -3,7 +3,7 @@ and job events. Real deployments read these tables from Parquet as they are."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -86,3 +86,58 @@ def segment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(carried, F.col("start_ms") - 40).alias("carried_start"), F.when(carried, F.col("end_ms") + 40).alias("carried_end"),
         F.when(carried, "validated_words").alias("boundary_source"), F.when(k % 41 == 0, F.lit("2024-01-01")).alias("override"),
     )
+
+
+def _listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words with their place n in their programme, text with music tags, confidence."""
+    n = F.row_number().over(Window.partitionBy("programme_id").orderBy("segment_id", "word_index")) - 1
+    k = F.col("segment_id") * 31 + F.col("word_index")
+    tag = (F.col("word_index") == 0) & ((F.col("programme_id") + F.col("segment_id")) % 6 == 0)
+    w = words(spark, sf_dir).withColumns({"n": n.cast("long"), "k": k, "conf": F.when(k % 7 != 0, (k % 100) / 100.0)})
+    return w.withColumn("said", F.when(tag, F.concat(F.lit("[MUSIC] "), "text")).otherwise(F.col("text")))
+
+
+def utterance_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """programme_id, raw: JSON of utterances over one list of words, in milliseconds."""
+    w = _listed(spark, sf_dir)
+    item = F.struct("n", F.struct(F.col("said").alias("text"), F.col("ps").alias("start"), F.col("pe").alias("end"), F.col("conf").alias("confidence")).alias("w"))
+    lists = w.groupBy("programme_id").agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["w"]).alias("words"), (F.max("pe") / 1000.0).alias("audio_duration"))
+    u = w.groupBy("programme_id", "segment_id").agg(F.min("ps").alias("start"), (F.max("pe") + F.when(F.col("segment_id") % 10 == 0, 600).otherwise(0)).alias("end"))
+    one = F.struct(F.chr(F.lit(65) + F.col("segment_id") % 3).alias("speaker"), "start", "end", (F.lit(0.5) + F.col("segment_id") % 5 / 10.0).alias("confidence"))
+    u = u.groupBy("programme_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("segment_id", one.alias("u")))), lambda x: x["u"]).alias("utterances"))
+    model = F.when(F.col("programme_id") % 2 == 0, "universal-2").otherwise("universal-3-5-pro")
+    return lists.join(u, "programme_id").select("programme_id", F.to_json(F.struct("words", "utterances", "audio_duration", model.alias("speech_model_used"))).alias("raw"))
+
+
+def stream_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """programme_id, raw: JSON of one stream of typed words, in seconds."""
+    k = F.col("k")
+    kind = F.when(k % 29 == 0, "spacing").when(k % 41 == 0, "audio_event").otherwise("word")
+    text = F.when(kind == "audio_event", F.when(k % 82 == 0, "(music playing)").otherwise("(laughter)")).otherwise(F.col("text"))
+    speaker = F.when(F.col("segment_id") % 3 != 0, F.concat(F.lit("speaker_"), F.col("segment_id") % 3))
+    item = F.struct("n", F.struct(text.alias("text"), (F.col("ps") / 1000.0).alias("start"), (F.col("pe") / 1000.0).alias("end"), F.col("conf").alias("confidence"), kind.alias("type"), speaker.alias("speaker_id")).alias("w"))
+    lists = _listed(spark, sf_dir).groupBy("programme_id").agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["w"]).alias("words"))
+    return lists.select("programme_id", F.to_json(F.struct("words")).alias("raw"))
+
+
+def diarizations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """programme_id, raw: JSON of speaker turns in seconds, some without speaker or end."""
+    item = F.struct("start_ms", "end_ms", "cluster", "confidence", "programme_id")
+
+    def turn(x):
+        return F.struct(
+            F.when((x["programme_id"] + x["start_ms"]) % 50 != 0, x["cluster"]).alias("speaker"), (x["start_ms"] / 1000.0).alias("start"),
+            F.when(x["start_ms"] % 37 != 0, x["end_ms"] / 1000.0).alias("end"), F.create_map(x["cluster"], x["confidence"]).alias("confidence"))
+
+    lists = turns(spark, sf_dir).groupBy("programme_id").agg(F.transform(F.sort_array(F.collect_list(item)), turn).alias("diarization"))
+    return lists.select("programme_id", F.to_json(F.struct("diarization")).alias("raw"))
+
+
+def timed_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments with their words nested; some lack them, some words are blank."""
+    k = F.col("programme_id") + F.col("segment_id")
+    text = F.when((F.col("segment_id") * 31 + F.col("word_index")) % 97 == 0, F.lit("  ")).otherwise(F.col("text"))
+    item = F.struct("word_index", F.struct(text.alias("text"), F.col("ps").alias("start_ms"), F.col("pe").alias("end_ms")).alias("w"))
+    lists = words(spark, sf_dir).groupBy("programme_id", "segment_id").agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["w"]).alias("word_timings"))
+    s = segment_table(spark, sf_dir).join(lists, ["programme_id", "segment_id"])
+    return s.select("programme_id", "segment_id", "status", "is_music", F.when(F.col("has_words") & (k % 17 != 0), F.col("word_timings")).alias("word_timings"))

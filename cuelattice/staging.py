@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's spark.checkpoint.dir. A
+    folder of this session is set where it is unset in local mode (tests); on a cluster
+    it has to be set."""
+    sc = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not found:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+        found = sc.getCheckpointDir()
+    return found.rstrip("/")
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """df written to the checkpoint folder and read from there, so that later steps
-    that use it more than once don't repeat what made it, and a lost executor costs
-    no more than its own tasks. The folder is the session's spark.checkpoint.dir; a
-    local one is set only where neither it nor a context's folder is set."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    """df written to the shared folder and read from there, so that later steps that use
+    it more than once don't repeat what made it, and a lost executor costs no more than
+    its own tasks."""
+    folder(df.sparkSession)
     return df.checkpoint()
