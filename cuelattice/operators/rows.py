@@ -75,3 +75,12 @@ def liveness(events: DataFrame, gap_seconds: int) -> DataFrame:
     order, at = Window.partitionBy("job_id").orderBy("ts", "event_id"), F.col("ts").cast("timestamp")
     new = F.coalesce(F.unix_micros(at) - F.unix_micros(F.lag(at).over(order)) > gap_seconds * 1_000_000, F.lit(True))
     return events.withColumn("session", F.sum(new.cast("int")).over(order)).groupBy("job_id", "session").agg(F.count(F.lit(1)).alias("n_events")).withColumn("session", F.col("session").cast("long"))
+
+
+def liveness_verdicts(events: DataFrame, gap_seconds: int, most: int = 2) -> DataFrame:
+    """Per job, how often nothing was heard of it for longer than the gap while it was
+    active, and what that makes of it: alive, stalled, or failed after `most` stalls."""
+    order, at = Window.partitionBy("job_id").orderBy("ts", "event_id"), F.col("ts").cast("timestamp")
+    stall = (F.lag("state").over(order) == "active") & (F.unix_micros(at) - F.unix_micros(F.lag(at).over(order)) > gap_seconds * 1_000_000)
+    g = events.withColumn("_stall", F.coalesce(stall, F.lit(False))).groupBy("job_id").agg(F.count_if("_stall").alias("stalls"))
+    return g.withColumn("verdict", F.when(F.col("stalls") > most, "failed").when(F.col("stalls") > 0, "stalled").otherwise("alive"))

@@ -96,7 +96,7 @@ ORACLES = {
     "prd_17_failures": "with " + _EVENTS + """ select case when contains(message,'429') then 'rate_limited' when regexp_matches(message,'50[234]|524') then 'gateway_timeout' when contains(message,'403') then 'auth_rejected' when regexp_matches(message,'(?i)fetch failed|timeout|socket') then 'transient' when message='' then 'none' else 'terminal' end failure,
         count(*) n, cast(sum(cast(least(20000.0, 1000*pow(2.0, attempt)) as bigint)) as bigint) backoff_ms from jobs where state='failed' group by all""",
     "stm_03_start_rates": "with " + _EVENTS + " select queue, time_bucket(interval '1 hour', ts, timestamp '1970-01-01') window_start, count(*) starts, count(*)>2 as \"over\" from jobs where state='active' group by 1,2",
-    "stm_04_wait_trend": "with " + _EVENTS + """ select queue, b - interval (o) hour window_start, count(*) n_events, max(value) longest from (select *, time_bucket(interval '1 hour', ts, timestamp '1970-01-01') b from jobs), (values (0),(1)) x(o) group by 1,2""",
+    "stm_04_wait_trend": "with " + _EVENTS + """ select queue, b - interval (o) hour window_start, count(*) n_events, max(value) longest, floor(avg(value) filter (state in ('waiting','delayed'))*1000+0.501)/1000 mean_wait, floor(avg(value) filter (state not in ('waiting','delayed'))*1000+0.501)/1000 mean_work from (select *, time_bucket(interval '1 hour', ts, timestamp '1970-01-01') b from jobs), (values (0),(1)) x(o) group by 1,2""",
     "stm_05_sessions": "with " + _EVENTS + """, l as (select *, case when coalesce(epoch_us(ts)-epoch_us(lag(ts) over (partition by job_id order by ts, event_id))>3600000000, true) then 1 else 0 end nw from jobs),
         m as (select *, cast(sum(nw) over (partition by job_id order by ts, event_id) as bigint) session from l) select job_id, session, count(*) n_events from m group by all""",
 }

@@ -9,7 +9,7 @@ from ..functions import exprs as X
 from ..operators import intervals, rows, timing
 from ..sources import derived as D
 from ..streaming import jobs
-from . import intake, production, programme, programme_sql
+from . import intake, production, programme, programme_sql, streams
 from . import oracles as base_sql
 
 KEY = ["programme_id", "segment_id", "word_index"]
@@ -93,7 +93,8 @@ def stm_03_start_rates(spark, sf_dir):
 
 
 def stm_04_wait_trend(spark, sf_dir):
-    return jobs.wait_trend(_events(spark, sf_dir), "2 hours", "1 hour")
+    w = jobs.wait_trend(_events(spark, sf_dir), "2 hours", "1 hour")
+    return w.withColumns({c: F.floor(F.col(c) * 1000 + 0.501) / 1000 for c in ("mean_wait", "mean_work")})
 
 
 def stm_05_sessions(spark, sf_dir):
@@ -112,5 +113,5 @@ QUERIES = {
     )
 }
 
-QUERIES |= programme.QUERIES | production.QUERIES | intake.QUERIES
-ORACLES = base_sql.ORACLES | programme_sql.ORACLES | production.ORACLES | intake.ORACLES
+QUERIES |= programme.QUERIES | production.QUERIES | intake.QUERIES | streams.QUERIES
+ORACLES = base_sql.ORACLES | programme_sql.ORACLES | production.ORACLES | intake.ORACLES | streams.ORACLES

@@ -1,15 +1,38 @@
-"""Structured Streaming operators over job events; each works on a batch table too."""
+"""Structured Streaming operators over job events. Those that only transform work on a
+batch table too; those that keep state over a stream have a batch twin in `operators`."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from ..operators import timing
 
 SCHEMA = "event_id long, user_id long, event_type string, ts timestamp, value double, props string"
 
 
 def read_events(spark: SparkSession, path: str, schema=SCHEMA) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    """Stream of the Parquet files in a folder; a path that is one file is read by its
+    name from the folder it lies in."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isFile():
+        return reader.option("pathGlobFilter", at.getName()).parquet(at.getParent().toString())
+    return reader.parquet(path)
+
+
+def drain(writer, checkpoint: str, seconds: int = 3600) -> None:
+    """Run a stream over what is there now and stop; fails if it takes longer."""
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    try:
+        if not query.awaitTermination(seconds):
+            raise TimeoutError(f"the stream took more than {seconds} s")
+    finally:
+        query.stop()
 
 
 def once_per_job(events: DataFrame, late: str = "10 minutes") -> DataFrame:
@@ -23,10 +46,98 @@ def start_rates(events: DataFrame, window: str = "1 minute", most: int = 100, la
 
 
 def wait_trend(events: DataFrame, window: str = "10 minutes", slide: str = "5 minutes", late: str = "10 minutes") -> DataFrame:
+    """Per queue and sliding window: events, the longest value, and the mean value of
+    events that wait (waiting, delayed) and that work (active, completed, failed)."""
+    waits = F.col("state").isin("waiting", "delayed")
     g = events.withWatermark("ts", late).groupBy("queue", F.window("ts", window, slide))
-    return g.agg(F.count(F.lit(1)).alias("n_events"), F.max("value").alias("longest")).select("queue", F.col("window.start").alias("window_start"), "n_events", "longest")
+    out = g.agg(F.count(F.lit(1)).alias("n_events"), F.max("value").alias("longest"), F.avg(F.when(waits, F.col("value"))).alias("mean_wait"), F.avg(F.when(~waits, F.col("value"))).alias("mean_work"))
+    return out.select("queue", F.col("window.start").alias("window_start"), "n_events", "longest", "mean_wait", "mean_work")
 
 
 def sessions(events: DataFrame, gap: str, late: str = "10 minutes") -> DataFrame:
     g = events.withWatermark("ts", late).groupBy("job_id", F.session_window("ts", gap))
     return g.agg(F.count(F.lit(1)).alias("n_events")).select("job_id", F.col("session_window.start").alias("started"), "n_events")
+
+
+def reclaim_stale(events: DataFrame, ceiling_seconds: int, late: str = "0 seconds") -> DataFrame:
+    """Streaming form of `runs.stale`: an active event that nothing follows within the
+    ceiling, by event time, is dispatched again the first time and ends the job the next.
+    A job's state is its last active event and how often it was reclaimed."""
+    limit = ceiling_seconds * 1_000_000
+
+    def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        event, at, n = state.get if state.exists else (-1, -1, 0)
+        found = []
+
+        def claim():
+            nonlocal n
+            found.append((key[0], event, "terminal" if n else "dispatch_again"))
+            n += 1
+
+        if state.hasTimedOut:
+            claim()
+            event = at = -1
+        else:
+            new = pd.concat(list(pdfs)).sort_values(["at", "event_id"])
+            for i, t, s in zip(new["event_id"].tolist(), new["at"].tolist(), new["state"].tolist(), strict=True):
+                if event >= 0 and t - at > limit:
+                    claim()
+                event, at = (i, t) if s == "active" else (-1, -1)
+        state.update((event, at, n))
+        if event >= 0:
+            due = (at + limit) // 1000
+            if due > state.getCurrentWatermarkMs():
+                state.setTimeoutTimestamp(due)
+            else:
+                claim()
+                state.update((-1, -1, n))
+        yield pd.DataFrame(found, columns=["job_id", "event_id", "action"])
+
+    rows = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
+    rows = rows.select("job_id", "event_id", "state", "ts", F.unix_micros("ts").alias("at"))
+    return rows.groupBy("job_id").applyInPandasWithState(step, "job_id long, event_id long, action string", "event long, at long, n int", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def keep_states(events: DataFrame, path: str, checkpoint: str) -> None:
+    """Latest state per job over the stream: each micro-batch writes the jobs it changed
+    under its own number, so that a repeated batch replaces its own rows."""
+    latest = events.groupBy("queue", "job_id").agg(F.max(F.struct("ts", "event_id", "state")).alias("last"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.select("queue", "job_id", "last.*").write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    drain(latest.writeStream.outputMode("update").foreachBatch(write), checkpoint)
+
+
+def running_states(spark: SparkSession, path: str) -> DataFrame:
+    """Jobs per queue and latest state, from what `keep_states` wrote."""
+    last = spark.read.parquet(path).groupBy("queue", "job_id").agg(F.max_by("state", F.struct("ts", "event_id")).alias("state"))
+    return last.groupBy("queue", "state").agg(F.count(F.lit(1)).alias("jobs"))
+
+
+def refine_incrementally(arrivals: DataFrame, words: DataFrame, path: str, checkpoint: str) -> None:
+    """arrivals: a stream with programme_id of new words; words: the table that holds them.
+    Only programmes with arrivals are refined again, whole, each micro-batch under its own
+    number; a repeated batch replaces its own rows."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        ids = batch.select("programme_id").distinct()
+        timing.refine_timing(words.join(ids, "programme_id", "left_semi")).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    drain(arrivals.writeStream.foreachBatch(write), checkpoint)
+
+
+def refined(spark: SparkSession, path: str) -> DataFrame:
+    """Each programme's words as its last micro-batch left them."""
+    rows = spark.read.parquet(path)
+    last = rows.groupBy("programme_id").agg(F.max("batch").alias("batch"))
+    return rows.join(last, ["programme_id", "batch"], "left_semi").drop("batch")
+
+
+def late_rows(events: DataFrame, late_seconds: int, arrival: str = "arrival") -> DataFrame:
+    """Batch recount of what a watermark drops: per queue, events whose time lies more
+    than late_seconds behind the latest one that arrived before them."""
+    before = Window.partitionBy("queue").orderBy(arrival, "event_id").rowsBetween(Window.unboundedPreceding, -1)
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    e = events.withColumn("_late", F.coalesce(F.max(at).over(before) - at > late_seconds * 1_000_000, F.lit(False)))
+    return e.groupBy("queue").agg(F.count(F.lit(1)).alias("n_events"), F.count_if("_late").alias("late_events"))

@@ -3,6 +3,7 @@
 import glob
 import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,7 +68,7 @@ def test_matches_sql(spark, name):
     key = lambda rows: sorted(tuple(str(round(v, 6)) if isinstance(v, float) else str(v) for v in r) for r in rows)
     cols = sorted(got.columns)
     assert cols == sorted(want.columns)
-    clean = lambda v: None if v is None or v != v else (int(v) if isinstance(v, float) and v == int(v) else v)
+    clean = lambda v: None if v is None or pd.isna(v) else (int(v) if isinstance(v, float) and v == int(v) else v)
     a = key([clean(v) for v in r] for r in got.select(*cols).toPandas()[cols].astype(object).values.tolist())
     b = key([clean(v) for v in r] for r in want[cols].astype(object).values.tolist())
     assert a == b
