@@ -66,19 +66,26 @@ def fill_clusters(words: DataFrame) -> DataFrame:
     return w.withColumn("group_no", F.sum(F.coalesce((F.col("filled") != F.lag("filled").over(order)).cast("long"), F.lit(0))).over(order)).drop("_next")
 
 
+def grouped_words(words: DataFrame, turns: DataFrame, segments: DataFrame) -> DataFrame:
+    """Words of segments that have them, with their cluster, what fills its gaps, the
+    number of their speaker group in the segment, and the segment's number of groups."""
+    first = rows.speaker_plan(turns).filter("speaker_index = 0").select("programme_id", F.col("cluster").alias("first_cluster"))
+    info = segments.filter("has_words").join(first, "programme_id", "left").select("programme_id", "segment_id", "status", "first_cluster")
+    w = fill_clusters(intervals.best_overlap(words, turns).join(info, ["programme_id", "segment_id"]))
+    per = Window.partitionBy("programme_id", "segment_id")
+    return w.withColumn("_groups", F.max("group_no").over(per) + 1).withColumn("group_no", F.when(authoritative(F.col("status")), F.lit(0)).otherwise(F.col("group_no")))
+
+
 def attribute(words: DataFrame, turns: DataFrame, segments: DataFrame) -> DataFrame:
-    """Reconciled words, turns and segments (programme_id, segment_id, start_ms,
+    """Reconciled words (with confidence, expansion_ms and alignment_pass), turns and segments (programme_id, segment_id, start_ms,
     end_ms, source_text, status, is_music, has_words, carried_start, carried_end,
     boundary_source, override) -> one row per output row: split by speaker unless
     the text is authored; music and unworded authored rows pass through."""
+    words = words.withColumns({c: F.lit(None).cast(t) for c, t in (("confidence", "double"), ("expansion_ms", "long"), ("alignment_pass", "int")) if c not in words.columns})
     plan = rows.speaker_plan(turns).select("programme_id", "cluster", "speaker_index")
     first = plan.filter("speaker_index = 0").select("programme_id", F.col("cluster").alias("first_cluster"))
     seg = segments.join(first, "programme_id", "left")
-    info = seg.select("programme_id", "segment_id", "status", "first_cluster").filter("has_words")
-    w = fill_clusters(intervals.best_overlap(words, turns).join(info, ["programme_id", "segment_id"]))
-    whole = authoritative(F.col("status"))
-    per = Window.partitionBy("programme_id", "segment_id")
-    w = w.withColumn("_groups", F.max("group_no").over(per) + 1).withColumn("group_no", F.when(whole, F.lit(0)).otherwise(F.col("group_no")))
+    w = grouped_words(words, turns, segments)
     # An authored row keeps one group: the cluster with most measured time.
     length = F.greatest(F.lit(0), F.coalesce(F.col("e") - F.col("s"), F.lit(0)))
     clusters = w.groupBy("programme_id", "segment_id", "group_no", "filled").agg(F.sum(length).alias("_ms"), F.min("word_index").alias("_at"))
@@ -92,6 +99,8 @@ def attribute(words: DataFrame, turns: DataFrame, segments: DataFrame) -> DataFr
         F.min(F.when(ok, F.col("s"))).alias("core_start"), F.max(F.when(ok, F.col("e"))).alias("core_end"),
         n(F.col("unresolved")).alias("unresolved_words"), n(F.coalesce("exhausted", F.lit(False))).alias("exhausted_words"),
         n(F.col("reason").startswith(BARRED_PREFIXES[1]) | (F.col("reason") == BARRED[0])).alias("near_zero_words"), n(F.col("cleared").isNotNull()).alias("cleared_words"),
+        n(F.col("reason").startswith(BARRED_PREFIXES[1])).alias("below_floor_words"), F.avg("confidence").alias("mean_confidence"), F.max("expansion_ms").alias("expansion_ms"), F.max("alignment_pass").alias("alignment_pass"),
+        F.max(F.when(F.col("outcome") == "restored", F.col("divergence"))).alias("restored_ms"), F.max(F.when(F.col("outcome") == "provider_timing_rejected", F.col("divergence"))).alias("rejected_ms"),
         n(F.col("cluster").isNull()).alias("uncovered_words"), F.max("absorbed").alias("absorbed_ms"), F.max(shift).alias("max_shift_ms"),
         F.max(F.when(F.col("outcome") != "provider_timing_rejected", shift)).alias("gap_ms"),
         F.bool_or(F.col("outcome") == "restored").alias("restored"), F.bool_or(F.col("outcome") == "provider_timing_rejected").alias("rejected"),
@@ -104,7 +113,7 @@ def attribute(words: DataFrame, turns: DataFrame, segments: DataFrame) -> DataFr
     bare = intervals.best_overlap(bare, turns).withColumn("cluster", F.coalesce("cluster", "first_cluster"))
     bare = bare.withColumns({"group_no": F.lit(0), "n_words": F.lit(0), "_s": F.col("start_ms"), "_e": F.col("end_ms"), "_split": F.lit(False), "span_unresolved": F.lit(False)}).drop("word_index", "s", "e", "overlap_ms")
     out = worded.unionByName(bare, allowMissingColumns=True)
-    counts = ["unresolved_words", "exhausted_words", "near_zero_words", "cleared_words", "uncovered_words", "absorbed_ms", "max_shift_ms", "gap_ms"]
+    counts = ["unresolved_words", "exhausted_words", "near_zero_words", "below_floor_words", "cleared_words", "uncovered_words", "absorbed_ms", "max_shift_ms", "gap_ms", "restored_ms", "rejected_ms", "expansion_ms"]
     out = out.fillna(0, counts).fillna(False, ["restored", "rejected", "collapsed", "onset_moved"])
     out = out.withColumn("provider", provider_boundary(F.col("_split"), F.col("start_ms"), F.col("end_ms"), F.col("carried_start"), F.col("carried_end"), F.col("boundary_source")))
     out = out.withColumns({"pb_start": F.col("provider.start_ms"), "pb_end": F.col("provider.end_ms"), "start_ms": F.col("_s"), "end_ms": F.col("_e"), "text": output_text(F.col("status"), F.col("source_text"), F.col("machine_text"))})

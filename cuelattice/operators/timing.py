@@ -77,7 +77,8 @@ def decide_runs(runs: DataFrame) -> DataFrame:
 def arbitrate(words: DataFrame) -> DataFrame:
     """Adds outcome (undisputed, restored, provider_timing_rejected,
     alignment_collapsed, unresolved) and the chosen window s, e; the aligned one
-    stays as prior_s, prior_e."""
+    stays as prior_s, prior_e. A decided dispute tells its arbitration_reason and the
+    ceiling, provider's and aligned durations it was judged by."""
     flagged = flag_disputes(words)
     runs = disputed_runs(flagged)
     decided = decide_runs(runs).withColumnRenamed("segment_id", "_seg").withColumnRenamed("programme_id", "_prog")
@@ -90,7 +91,62 @@ def arbitrate(words: DataFrame) -> DataFrame:
     new_e = F.when((tail > 0) & (tail <= X.SEAM_MS), F.col("_next")).otherwise(F.col("pe"))
     new_s = F.when((F.col("word_index") == F.col("first_index")) & (F.col("f_in") > F.col("ps")), F.col("f_in")).otherwise(F.col("ps"))
     w = w.withColumns({"outcome": outcome, "prior_s": F.col("s"), "prior_e": F.col("e"), "_s": F.when(back, new_s).otherwise(F.col("s")), "_e": F.when(back, new_e).otherwise(F.col("e"))})
-    return w.withColumns({"s": F.col("_s"), "e": F.col("_e")}).drop("_s", "_e", "_next", "first_index", "last_index", "aligned_ok", "restored", "f_in")
+    return _disclosed(w.withColumns({"s": F.col("_s"), "e": F.col("_e")}).drop("_s", "_e", "_next", "first_index", "last_index", "aligned_ok", "restored", "f_in"))
+
+
+def _disclosed(w: DataFrame) -> DataFrame:
+    out, pd, dur = F.col("outcome"), F.col("pe") - F.col("ps"), F.col("prior_e") - F.col("prior_s")
+    reason = (
+        F.when((out == "restored") & (dur < X.MIN_WORD_MS), "aligned_window_below_evidence_floor").when(out == "restored", "aligned_window_inflated_beyond_evidence")
+        .when((out == "provider_timing_rejected") & pd.isNotNull() & ~X.credible(F.col("text"), pd), "provider_capture_too_short_to_be_credible").when(out == "provider_timing_rejected", "provider_capture_not_a_possible_utterance")
+        .when(out == "unresolved", "neither_timeline_usable_dispute_unresolved")
+    )
+    said = reason.isNotNull()
+    return w.withColumns({
+        "arbitration_reason": reason, "arbitration_ceiling_ms": F.when(said, X.evidence_ceiling(F.col("text"), pd)).cast("long"),
+        "arbitration_provider_ms": F.when(said, pd), "arbitration_aligned_ms": F.when(said, dur),
+    })
+
+
+def first_keys(chosen: Column, most: int = 200) -> Column:
+    """Aggregate: keys `segment:index` of the first chosen words, in order, at most `most`."""
+    kept = F.sort_array(F.collect_list(F.when(chosen, F.struct(*ORDER))))
+    return F.transform(F.slice(kept, 1, most), lambda k: F.concat_ws(":", k["segment_id"], k["word_index"]))
+
+
+def capture_report(arbitrated: DataFrame) -> DataFrame:
+    """Per programme what arbitration decided: words of each outcome, the worst
+    divergences, and the first keys."""
+    out = F.col("outcome")
+    names = {"restored": "capture_restored_words", "provider_timing_rejected": "provider_timing_rejected_words", "alignment_collapsed": "alignment_collapse_words", "unresolved": "unresolved_dispute_words"}
+    keys = {"restored": "restored_keys", "provider_timing_rejected": "rejected_keys", "alignment_collapsed": "collapsed_keys", "unresolved": "unresolved_dispute_keys"}
+    worst = lambda o: F.coalesce(F.max(F.when(out == o, F.col("divergence"))), F.lit(0))
+    return arbitrated.groupBy("programme_id").agg(
+        *[F.count_if(out == o).alias(n) for o, n in names.items()], F.count_if(out == "alignment_collapsed").alias("unrestorable_words"),
+        worst("restored").alias("worst_restored_divergence_ms"), worst("provider_timing_rejected").alias("worst_rejected_provider_divergence_ms"),
+        *[first_keys(out == o).alias(n) for o, n in keys.items()],
+    )
+
+
+def onset_report(clamped: DataFrame) -> DataFrame:
+    moved = F.col("absorbed") > 0
+    return clamped.groupBy("programme_id").agg(F.count_if(moved).alias("onset_absorption_repairs"), F.coalesce(F.max(F.when(moved, F.col("absorbed"))), F.lit(0)).alias("worst_onset_absorbed_ms"), first_keys(moved).alias("repaired_keys"))
+
+
+def acceptance_report(accepted: DataFrame) -> DataFrame:
+    zero, ok, bad = (F.col("final") == x for x in ("zero_width_final_window", "corroborated", "final_window_below_evidence_floor_uncorroborated"))
+    return accepted.groupBy("programme_id").agg(
+        F.count_if(zero).alias("zero_width_words"), F.count_if(ok | bad).alias("near_zero_words"), F.count_if(ok).alias("near_zero_corroborated_words"), F.count_if(bad).alias("near_zero_unresolved_words"),
+        first_keys(zero).alias("zero_width_keys"), first_keys(bad).alias("near_zero_unresolved_keys"), first_keys(ok).alias("near_zero_corroborated_keys"),
+    )
+
+
+def reconciliation_report(reconciled: DataFrame) -> DataFrame:
+    done = F.col("cleared").isNotNull()
+    return reconciled.groupBy("programme_id").agg(
+        F.count_if(done).alias("unresolved_cleared_words"), F.count_distinct(F.when(done, F.col("segment_id"))).alias("unresolved_cleared_rows"),
+        F.count_if(F.col("cleared") == "resolved_by_capture_restore").alias("cleared_by_restore"), F.count_if(F.col("cleared") == "resolved_by_provider_corroboration").alias("cleared_by_corroboration"), first_keys(done).alias("cleared_keys"),
+    )
 
 
 def clamp_onsets(arbitrated: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ fold as (select programme_id, run, n, pok and not aok and coalesce(bef<=t,true)
   from f7 x join fold y on x.programme_id=y.programme_id and x.n=y.n+1),
 arb0 as (select w.*, z.restored, z.aok, z.fin, g.pend, g.k from f2 w left join fold z on w.programme_id=z.programme_id and w.run=z.run and w.disputed
   left join f5 g on w.programme_id=g.programme_id and w.segment_id=g.segment_id and w.word_index=g.word_index),
-arb as (select programme_id, segment_id, word_index, text, ps, pe, pd, max_ms, near_zero,
+arb as (select programme_id, segment_id, word_index, text, ps, pe, pd, max_ms, near_zero, credible, ceiling, divergence, e-s adur,
   case when not disputed then 'undisputed' when restored then 'restored' when aok then 'provider_timing_rejected' when stacked then 'alignment_collapsed' else 'unresolved' end outcome,
   case when coalesce(restored,false) then (case when k=1 and fin>ps then fin else ps end) else s end s, case when coalesce(restored,false) then pend else e end e from arb0),
 cl0 as (select *, max(e) over (partition by programme_id order by segment_id, word_index rows between unbounded preceding and 1 preceding) be from arb),
@@ -68,7 +68,9 @@ _W = "with recursive " + _WORDS
 ORACLES = {
     "prd_word_rules": _W + _RULES + f" select {_KEY}, max_ms, credible, ceiling, near_zero, (e-s>=40 and e-s<=ceiling) plausible from rules",
     "prd_08_disputed": _W + _RULES + _DISPUTED + f" select {_KEY}, stacked, divergence, disputed from flagged",
-    "fold_01_arbitration": _W + _RULES + _DISPUTED + _FOLD + f" select {_KEY}, outcome, s, e from arb",
+    "fold_01_arbitration": _W + _RULES + _DISPUTED + _FOLD + f""" select {_KEY}, outcome, s, e, case when outcome='restored' then (case when adur<40 then 'aligned_window_below_evidence_floor' else 'aligned_window_inflated_beyond_evidence' end)
+        when outcome='provider_timing_rejected' then (case when pd is not null and not credible then 'provider_capture_too_short_to_be_credible' else 'provider_capture_not_a_possible_utterance' end) when outcome='unresolved' then 'neither_timeline_usable_dispute_unresolved' end arbitration_reason,
+        case when outcome in ('restored','provider_timing_rejected','unresolved') then ceiling end arbitration_ceiling_ms, case when outcome in ('restored','provider_timing_rejected','unresolved') then pd end arbitration_provider_ms, case when outcome in ('restored','provider_timing_rejected','unresolved') then adur end arbitration_aligned_ms from arb""",
     "pipe_01_refine_timing": _W + _RULES + _DISPUTED + _FOLD + f" select {_KEY}, outcome, final, s, e, absorbed from refined",
     "agg_05_outcomes": _W + _RULES + _DISPUTED + _FOLD + " select programme_id, outcome, final, count(*) n_words, cast(sum(absorbed) as bigint) absorbed_ms from refined group by all",
     "jn_01_points_in_turns": _W + _TURNS + f" select w.programme_id, w.segment_id, w.word_index, t.cluster, t.start_ms from words w join turns t on w.programme_id=t.programme_id and w.s>=t.start_ms and w.s<t.end_ms",

@@ -43,6 +43,27 @@ def agg_06_word_report(spark, sf_dir):
     return w.groupBy("programme_id").agg(F.count_if("unresolved").alias("unresolved_words"), F.count_if(F.col("cleared").isNotNull()).alias("cleared_words"), touched.alias("cleared_rows"), F.count_if(F.col("final") == "zero_width_final_window").alias("zero_width_words"), F.max("absorbed").alias("worst_absorbed_ms"))
 
 
+def _flat(report: DataFrame) -> DataFrame:
+    """Lists as text, for comparison."""
+    return report.withColumns({c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",") for c, kind in report.dtypes if kind.startswith("array")})
+
+
+def agg_05_capture_report(spark, sf_dir):
+    return _flat(timing.capture_report(timing.arbitrate(D.words(spark, sf_dir))))
+
+
+def agg_06_onset_report(spark, sf_dir):
+    return _flat(timing.onset_report(reconciled(spark, sf_dir)))
+
+
+def agg_06_acceptance_report(spark, sf_dir):
+    return _flat(timing.acceptance_report(reconciled(spark, sf_dir)))
+
+
+def agg_06_reconciliation_report(spark, sf_dir):
+    return _flat(timing.reconciliation_report(reconciled(spark, sf_dir)))
+
+
 def agg_04_word_evidence(spark, sf_dir):
     e = speakers.word_evidence(reconciled(spark, sf_dir))
     return e.select("programme_id", "segment_id", F.size("words").cast("long").alias("n"), F.array_join(F.transform("words", lambda w: w["word_index"].cast("string")), ",").alias("word_indexes"))
@@ -53,7 +74,7 @@ def pipe_02_attribution(spark, sf_dir):
 
 
 def agg_03_row_rollups(spark, sf_dir):
-    return attributed(spark, sf_dir).select(*ROW, "unresolved_words", "exhausted_words", "near_zero_words", "cleared_words", "uncovered_words", "absorbed_ms", "max_shift_ms", "restored", "rejected", "collapsed")
+    return attributed(spark, sf_dir).select(*ROW, "unresolved_words", "exhausted_words", "near_zero_words", "cleared_words", "uncovered_words", "absorbed_ms", "max_shift_ms", "restored", "rejected", "collapsed", "below_floor_words", "restored_ms", "rejected_ms", "expansion_ms", "alignment_pass", (F.floor(F.col("mean_confidence") * 1e6 + 0.501) / 1e6).alias("mean_confidence"))
 
 
 def agg_02_cluster_counts(spark, sf_dir):
@@ -87,8 +108,20 @@ def agg_07_integrity(spark, sf_dir):
     return out.withColumn("defect_sequences", F.array_join(F.transform("defect_sequences", lambda x: x.cast("string")), ","))
 
 
+def agg_07_run_report(spark, sf_dir):
+    r = stage(audit.own_defects(bounded(spark, sf_dir)))
+    return _flat(audit.run_report(audit.audit(r), audit.overlap_sweep(r), reconciled(spark, sf_dir)))
+
+
+def fold_03_repairs(spark, sf_dir):
+    words = stage(reconciled(spark, sf_dir))
+    grouped = speakers.grouped_words(words, D.turns(spark, sf_dir), D.segment_table(spark, sf_dir))
+    out = audit.repaired_rows(audit.audit(stage(audit.own_defects(bounded(spark, sf_dir)))), grouped)
+    return out.select(*ROW, "end_ms", "tc_out", "clamped_words", "max_provider_shift_ms")
+
+
 def pipe_06_states(spark, sf_dir):
-    return refined_rows(spark, sf_dir).select(*ROW, "state", "cause", "overrides", "unresolved_timing", "unresolved_speaker")
+    return refined_rows(spark, sf_dir).select(*ROW, "state", "cause", "overrides", "unresolved_timing", "unresolved_speaker", "state_reason")
 
 
 def agg_09_state_summary(spark, sf_dir):
@@ -99,6 +132,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         rec_reconciliation, agg_06_word_report, agg_04_word_evidence, pipe_02_attribution, agg_03_row_rollups, agg_02_cluster_counts, pipe_03_boundaries, agg_08_boundary_report,
-        pipe_04_islands, fold_03_overlaps, pipe_05_audit, agg_07_integrity, pipe_06_states, agg_09_state_summary,
+        pipe_04_islands, fold_03_overlaps, pipe_05_audit, agg_07_integrity, agg_07_run_report, fold_03_repairs, pipe_06_states, agg_09_state_summary, agg_05_capture_report, agg_06_onset_report, agg_06_acceptance_report, agg_06_reconciliation_report,
     )
 }

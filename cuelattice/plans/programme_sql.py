@@ -1,5 +1,6 @@
 """DuckDB SQL of the programme queries, as one chain of named steps."""
 
+from ..operators import audit
 from .oracles import _DISPUTED, _FOLD, _RULES, _TURNS, _W
 
 _P = "partition by programme_id"
@@ -7,7 +8,7 @@ _PS = "partition by programme_id, segment_id order by word_index"
 _SEQ = "partition by programme_id order by sequence_index"
 
 _REC = r""",
-rc0 as materialized (select *, k%331=0 bad, case when k%331<>0 then '' when k%5=0 then 'search_region_exhausted' else 'no_acoustic_match' end er, (programme_id+segment_id*3+word_index*7)%1201=0 exhausted,
+rc0 as materialized (select *, case when k%10<>0 then (k%64)/64.0::double end conf, case when k%211=0 then 300+k%700 else 0 end exp_, case when k%211=0 then 2 else 1 end pas, k%331=0 bad, case when k%331<>0 then '' when k%5=0 then 'search_region_exhausted' else 'no_acoustic_match' end er, (programme_id+segment_id*3+word_index*7)%1201=0 exhausted,
   final in ('zero_width_final_window','final_window_below_evidence_floor_uncorroborated') below from (select *, programme_id*17+segment_id*29+word_index*13 k from refined)),
 rc1 as (select *, below or outcome='unresolved' or bad u0, case when below then final when outcome='unresolved' then (case when er<>'' then er else 'arbitration_unresolved_two_timeline_conflict' end) else er end r0 from rc0),
 rc2 as (select *, case when u0 and outcome<>'alignment_collapsed' and not exhausted and e-s>=16 and not (r0 in ('zero_width_final_window','alignment_collapse_no_usable_window','arbitration_unresolved_two_timeline_conflict')
@@ -33,12 +34,12 @@ dom as (select *, row_number() over (partition by programme_id, segment_id, grou
 gr as (select programme_id, segment_id, group_no, count(*) n_words, arg_min(s,word_index) ws, arg_max(e,word_index) we, max(n_groups) n_groups, min(s) filter (not unresolved) core_start, max(e) filter (not unresolved) core_end,
   count(*) filter (unresolved) unresolved_words, count(*) filter (exhausted) exhausted_words, count(*) filter (starts_with(reason,'final_window_below_evidence_floor') or reason='zero_width_final_window') near_zero_words,
   count(*) filter (cleared is not null) cleared_words, count(*) filter (cluster is null) uncovered_words, max(absorbed) absorbed_ms, max(shift) max_shift_ms, coalesce(max(shift) filter (outcome<>'provider_timing_rejected'),0) gap_ms,
-  bool_or(outcome='restored') restored, bool_or(outcome='provider_timing_rejected') rejected, bool_or(outcome='alignment_collapsed') collapsed, bool_or(absorbed>0) onset_moved, arg_max(pe,word_index)-arg_min(ps,word_index) capture_ms, max(greatest(s,ps)) lws,
+  bool_or(outcome='restored') restored, bool_or(outcome='provider_timing_rejected') rejected, bool_or(outcome='alignment_collapsed') collapsed, bool_or(absorbed>0) onset_moved, arg_max(pe,word_index)-arg_min(ps,word_index) capture_ms, max(greatest(s,ps)) lws, count(*) filter (starts_with(reason,'final_window_below_evidence_floor')) below_floor_words, avg(conf) mean_confidence, max(exp_) expansion_ms, max(pas) alignment_pass, coalesce(max(divergence) filter (outcome='restored'),0) restored_ms, coalesce(max(divergence) filter (outcome='provider_timing_rejected'),0) rejected_ms,
   trim(regexp_replace(regexp_replace(string_agg(trim(text),' ' order by word_index),'\s+([,.;:!?])','\1','g'),'\s+',' ','g')) mt from w6 group by all),
 u1 as (select x.programme_id, x.segment_id, g.group_no, d.cluster, n_words, ws s_, we e_, n_groups>1 and x.status='machine' split, n_groups>1 and x.status<>'machine' span_unresolved, core_start, core_end, unresolved_words, exhausted_words, near_zero_words, cleared_words, uncovered_words,
-    absorbed_ms, max_shift_ms, gap_ms, restored, rejected, collapsed, onset_moved, capture_ms, lws, case when x.status<>'machine' and trim(source_text)<>'' then source_text when mt<>'' then mt else source_text end as text, x.* exclude (programme_id, segment_id)
+    absorbed_ms, max_shift_ms, gap_ms, restored, rejected, collapsed, onset_moved, capture_ms, lws, below_floor_words, mean_confidence, expansion_ms, alignment_pass, restored_ms, rejected_ms, case when x.status<>'machine' and trim(source_text)<>'' then source_text when mt<>'' then mt else source_text end as text, x.* exclude (programme_id, segment_id)
     from gr g join st x on g.programme_id=x.programme_id and g.segment_id=x.segment_id join dom d on d.k=1 and d.programme_id=g.programme_id and d.segment_id=g.segment_id and d.group_no=g.group_no
-  union all select x.programme_id, x.segment_id, 0, coalesce(o.cluster,p.cluster), 0, start_ms, end_ms, false, false, null, null, 0,0,0,0,0,0,0,0, false,false,false,false, null, null, source_text, x.* exclude (programme_id, segment_id)
+  union all select x.programme_id, x.segment_id, 0, coalesce(o.cluster,p.cluster), 0, start_ms, end_ms, false, false, null, null, 0,0,0,0,0,0,0,0, false,false,false,false, null, null, 0, null, 0, null, 0, 0, source_text, x.* exclude (programme_id, segment_id)
     from st x left join bo o on o.programme_id=x.programme_id and o.segment_id=x.segment_id and o.word_index=-1 left join pl p on p.programme_id=x.programme_id and p.speaker_index=0 where not has_words),
 rows_ as materialized (select u.* exclude (start_ms, end_ms, s_, e_), s_ start_ms, e_ end_ms, case when split then null when ce>cs then cs when refined_before then null when u.end_ms>u.start_ms then u.start_ms end pb_start,
   case when split then null when ce>cs then ce when refined_before then null when u.end_ms>u.start_ms then u.end_ms end pb_end, n_words=0 and not is_music authored_preserved, pl.speaker_index,
@@ -97,10 +98,32 @@ aud as materialized (select w.* exclude (end_ms), coalesce(ne,end_ms) end_ms, ne
 _STATES = r""",
 z0 as (select *, case when authored_preserved then 'unmeasured_text' when unresolved_words>0 then 'unplaced_words' when exhausted_words>0 then 'window_edge' when near_zero_words>0 then 'too_short' when collapsed or defect='alignment_collapse' then 'collapse' when defect='same_speaker_overlap' then 'overlap' when conflict_ms>0 then 'chronology' when defect='provider_capture_divergence' then 'divergence' end tm,
   case when uncovered_words>0 then 'no_turn' when span_unresolved and not island then 'several_speakers' when island then 'island' end sp,
-  array_to_string(list_filter([case when rejected then 'provider_timing_rejected' end, case when restored then 'capture_restored' end, case when onset_moved then 'onset_reconstructed' end, case when cleared_words>0 then 'unresolved_cleared' end, case when boundary='validated_words' then 'boundary_derived' end], lambda x: x is not null),',') overrides from aud),
+  array_to_string(list_filter([case when rejected then 'provider_timing_rejected' end, case when restored then 'capture_restored' end, case when onset_moved then 'onset_reconstructed' end, case when cleared_words>0 then 'unresolved_cleared' end, case when expansion_ms>0 then 'search_extended' end, case when boundary='validated_words' then 'boundary_derived' end], lambda x: x is not null),',') overrides from aud),
 z1 as (select *, case when override then 'MANUALLY_OVERRIDDEN' when tm is not null then 'UNRESOLVED_TIMING' when sp is not null then 'UNRESOLVED_SPEAKER' when is_music then 'VALIDATED' when overrides<>'' then 'VALIDATED_WITH_OVERRIDE' else 'VALIDATED' end state from z0),
 states as (select *, tm is not null unresolved_timing, sp is not null unresolved_speaker, case when override then 'operator' when tm is not null then tm || case when conflict_ms>0 and tm<>'chronology' then '+chronology' else '' end when sp is not null then sp when is_music then 'no_dialogue' when overrides<>'' then 'overrides' else 'evidence' end cause from z1)"""
 
+
+
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _sentence() -> str:
+    """The sentence of a row's state, from the fixed texts."""
+    s, o = audit.SENTENCES, audit.OVERRIDES
+    said = ", ".join((
+        f"case when rejected then {_q(o['provider_timing_rejected'])} end", f"case when restored then {_q(o['capture_restored'])} end", f"case when onset_moved then {_q(o['onset_reconstructed'])} end", f"case when cleared_words>0 then cleared_words||{_q(o['unresolved_cleared'])} end",
+        f"case when expansion_ms>0 then {_q(o['search_extended'][0])}||expansion_ms||{_q(o['search_extended'][1])} end", f"case when boundary='validated_words' then {_q(o['boundary_derived'])} end",
+    ))
+    plain = {"unmeasured_text", "collapse", "overlap", "chronology", "divergence"}
+    timing = " ".join(f"when tm='{c}' then {_q(s[c])}" for c in sorted(plain)) + f" when tm='unplaced_words' then unresolved_words||{_q(s['unplaced_words'])} when tm='window_edge' then exhausted_words||{_q(s['window_edge'])} when tm='too_short' then near_zero_words||{_q(s['too_short'])}"
+    late = f"case when conflict_ms>0 and tm<>'chronology' then {_q(audit.OUT_OF_ORDER[0])}||conflict_ms||{_q(audit.OUT_OF_ORDER[1])} else '' end"
+    return (
+        f"case when override then {_q(s['operator'])} when tm is not null then (case {timing} end)||{late} when sp='no_turn' then {_q(s['no_turn'][0])}||uncovered_words||{_q(s['no_turn'][1])} when sp='several_speakers' then {_q(s['several_speakers'])} when sp='island' then {_q(s['island'])} "
+        f"when is_music then {_q(s['no_dialogue'])} when overrides<>'' then 'Delivered with disclosed evidence-based overrides: '||array_to_string(list_filter([{said}], lambda x: x is not null),'; ')||'.' else {_q(s['evidence'])} end"
+    )
+
+
 _R = _W + _RULES + _DISPUTED + _FOLD + _REC
 _A = _R + _ATTR
 _B = _A + _BOUNDS
@@ -109,12 +132,32 @@ _D = _I + _AUDIT
 _ROW = "programme_id, segment_id, group_no"
 _LIST = "coalesce(array_to_string(list_sort(list({0}) filter ({1})),','),'')"
 
+_KEYS = "array_to_string(list_slice(coalesce(list(segment_id||':'||word_index order by segment_id, word_index) filter ({0}),[]),1,200),',')"
+_ZERO, _OKAY, _BAD = "'zero_width_final_window'", "'corroborated'", "'final_window_below_evidence_floor_uncorroborated'"
+
 ORACLES = {
     "rec_reconciliation": _R + " select programme_id, segment_id, word_index, unresolved, reason, cleared, prior_reason from rec",
     "agg_06_word_report": _R + " select programme_id, count(*) filter (unresolved) unresolved_words, count(*) filter (cleared is not null) cleared_words, count(distinct case when cleared is not null then segment_id end) cleared_rows, count(*) filter (final='zero_width_final_window') zero_width_words, max(absorbed) worst_absorbed_ms from rec group by all",
     "agg_04_word_evidence": _R + ", k as (select *, row_number() over (partition by programme_id, segment_id order by word_index) n_ from rec where unresolved) select programme_id, segment_id, count(*) n, string_agg(word_index::varchar,',' order by word_index) word_indexes from k where n_<=100 group by all",
+    "agg_05_capture_report": _W + _RULES + _DISPUTED + _FOLD + " select programme_id, count(*) filter (outcome='restored') capture_restored_words, count(*) filter (outcome='provider_timing_rejected') provider_timing_rejected_words, count(*) filter (outcome='alignment_collapsed') alignment_collapse_words, count(*) filter (outcome='unresolved') unresolved_dispute_words, count(*) filter (outcome='alignment_collapsed') unrestorable_words, "
+        + "coalesce(max(divergence) filter (outcome='restored'),0) worst_restored_divergence_ms, coalesce(max(divergence) filter (outcome='provider_timing_rejected'),0) worst_rejected_provider_divergence_ms, " + ", ".join(_KEYS.format(f"outcome='{o}'") + f" {n}" for o, n in (("restored", "restored_keys"), ("provider_timing_rejected", "rejected_keys"), ("alignment_collapsed", "collapsed_keys"), ("unresolved", "unresolved_dispute_keys"))) + " from arb group by programme_id",
+    "agg_06_onset_report": _R + " select programme_id, count(*) filter (absorbed>0) onset_absorption_repairs, coalesce(max(absorbed) filter (absorbed>0),0) worst_onset_absorbed_ms, " + _KEYS.format("absorbed>0") + " repaired_keys from rec group by programme_id",
+    "agg_06_acceptance_report": _R + " select programme_id, " + ", ".join(f"count(*) filter (final in ({x})) {n}" for n, x in (("zero_width_words", _ZERO), ("near_zero_words", f"{_OKAY},{_BAD}"), ("near_zero_corroborated_words", _OKAY), ("near_zero_unresolved_words", _BAD))) + ", " + ", ".join(_KEYS.format(f"final={x}") + f" {n}" for n, x in (("zero_width_keys", _ZERO), ("near_zero_unresolved_keys", _BAD), ("near_zero_corroborated_keys", _OKAY))) + " from rec group by programme_id",
+    "agg_06_reconciliation_report": _R + " select programme_id, count(cleared) unresolved_cleared_words, count(distinct case when cleared is not null then segment_id end) unresolved_cleared_rows, count(*) filter (cleared='resolved_by_capture_restore') cleared_by_restore, count(*) filter (cleared='resolved_by_provider_corroboration') cleared_by_corroboration, " + _KEYS.format("cleared is not null") + " cleared_keys from rec group by programme_id",
+    "fold_03_repairs": _D + """, cw as (select w.programme_id, w.segment_id, w.group_no, a.end_ms b, w.ps, w.pe, w.s, w.e, case when w.e>a.end_ms and w.s<a.end_ms then a.end_ms else w.e end e2 from aud a left join w6 w on w.programme_id=a.programme_id and w.segment_id=a.segment_id and w.group_no=a.group_no where a.repaired),
+        cg as (select programme_id, segment_id, group_no, count(*) filter (e<>e2) clamped_words, max(greatest(abs(s-ps),abs(e2-pe))) shift from cw group by all)
+        select a.programme_id, a.segment_id, a.group_no, a.end_ms, lpad((a.end_ms//3600000)::varchar,2,'0')||':'||lpad((a.end_ms//60000%60)::varchar,2,'0')||':'||lpad((a.end_ms//1000%60)::varchar,2,'0')||';'||lpad((a.end_ms%1000//40)::varchar,2,'0') tc_out, coalesce(clamped_words,0) clamped_words, coalesce(shift,0) max_provider_shift_ms
+        from aud a left join cg on cg.programme_id=a.programme_id and cg.segment_id=a.segment_id and cg.group_no=a.group_no where a.repaired""",
+    "agg_07_run_report": _D + """, hh as (select programme_id, count(*) filter (repaired) rp, count(*) filter (not repaired) df, max(overlap_ms) wo from hits group by all),
+        gg as (select programme_id, count(*) filter (divergence_ms>1500) provider_capture_defects, count(*) filter (col) alignment_collapse_defects, count(*) filter (onset_moved) onset_reconstructed_rows, count(*) filter (restored) capture_restored_rows, count(*) filter (rejected) provider_timing_rejected_rows,
+        coalesce(max(divergence_ms) filter (divergence_ms>1500),0) worst_provider_divergence_ms, max(inflation_ms) worst_acoustic_inflation_ms, count(*) filter (inflation_ms>1500) inflated_row_count, count(*) filter (conflict_ms>0) chronology_conflict_rows, max(conflict_ms) worst_chronology_inversion_ms,
+        array_to_string(list_slice(coalesce(list(sequence_index order by sequence_index) filter (conflict_ms>0),[]),1,500),',') chronology_conflict_sequences, array_to_string(coalesce(list(sequence_index order by sequence_index) filter (defect is not null),[]),',') defect_sequences from aud group by programme_id),
+        ww as (select programme_id, count(*) filter (outcome='restored') capture_restored_words, count(*) filter (outcome='provider_timing_rejected') provider_timing_rejected_words, count(*) filter (outcome='alignment_collapsed') alignment_collapse_words, count(*) filter (outcome='alignment_collapsed') unrestorable_capture_words, count(*) filter (outcome='unresolved') unresolved_dispute_words,
+        coalesce(max(divergence) filter (outcome='restored'),0) worst_restored_divergence_ms, coalesce(max(divergence) filter (outcome='provider_timing_rejected'),0) worst_rejected_provider_divergence_ms, count(*) filter (absorbed>0) onset_absorption_repairs, coalesce(max(absorbed) filter (absorbed>0),0) worst_onset_absorbed_ms,
+        """ + ", ".join(f"count(*) filter (final in ({x})) {n}" for n, x in (("zero_width_words", _ZERO), ("near_zero_words", f"{_OKAY},{_BAD}"), ("near_zero_corroborated_words", _OKAY), ("near_zero_unresolved_words", _BAD))) + """, count(cleared) unresolved_cleared_words, count(distinct case when cleared is not null then segment_id end) unresolved_cleared_rows from rec group by programme_id)
+        select gg.*, ww.* exclude (programme_id), coalesce(rp,0) same_speaker_overlap_repairs, coalesce(df,0) same_speaker_overlap_defects, coalesce(wo,0) worst_same_speaker_overlap_ms, 9 policy_version, 250 auto_repair_ceiling_ms, 1500 provider_divergence_threshold_ms, 40 min_plausible_word_ms from gg left join hh on hh.programme_id=gg.programme_id left join ww on ww.programme_id=gg.programme_id""",
     "pipe_02_attribution": _A + f" select {_ROW}, sequence_index, cluster, speaker_index, start_ms, end_ms, core_start, core_end, pb_start, pb_end, n_words, span_unresolved, authored_preserved, is_music from rows_",
-    "agg_03_row_rollups": _A + f" select {_ROW}, unresolved_words, exhausted_words, near_zero_words, cleared_words, uncovered_words, absorbed_ms, max_shift_ms, restored, rejected, collapsed from rows_",
+    "agg_03_row_rollups": _A + f" select {_ROW}, unresolved_words, exhausted_words, near_zero_words, cleared_words, uncovered_words, absorbed_ms, max_shift_ms, restored, rejected, collapsed, below_floor_words, restored_ms, rejected_ms, expansion_ms, alignment_pass, floor(mean_confidence*1e6+0.501)/1e6 mean_confidence from rows_",
     "agg_02_cluster_counts": _A + " select programme_id, cluster, count(*) n_rows from rows_ group by all",
     "pipe_03_boundaries": _B + f" select {_ROW}, start_ms, end_ms, boundary, lead_in_ms, lead_out_ms, delta_start_ms, delta_end_ms, contradicted, recovered, conflict_ms from bounds",
     "agg_08_boundary_report": _B + """ select programme_id, count(*) filter (boundary='validated_words') validated_words, count(*) filter (boundary='validated_words_stable') validated_words_stable, count(*) filter (boundary='music_preserved') music_preserved, count(*) filter (boundary='authored_preserved') authored_preserved,
@@ -127,6 +170,6 @@ ORACLES = {
         gg as (select programme_id, count(*) n_rows, count(*) filter (repaired) repaired_rows, count(*) filter (col) collapse_defects, count(*) filter (divergence_ms>1500) divergence_defects, max(inflation_ms) worst_inflation_ms, count(*) filter (inflation_ms>1500) inflated_rows, count(*) filter (onset_moved) onset_rows,
         count(*) filter (restored) restored_rows, count(*) filter (rejected) rejected_rows, count(*) filter (conflict_ms>0) conflict_rows, """ + _LIST.format("sequence_index", "defect is not null") + """ defect_sequences from aud group by programme_id)
         select g.*, coalesce(overlap_repairs,0) overlap_repairs, coalesce(overlap_defects,0) overlap_defects, coalesce(worst_overlap_ms,0) worst_overlap_ms from gg g left join hh h on g.programme_id=h.programme_id""",
-    "pipe_06_states": _D + _STATES + f" select {_ROW}, state, cause, overrides, unresolved_timing, unresolved_speaker from states",
+    "pipe_06_states": _D + _STATES + f" select {_ROW}, state, cause, overrides, unresolved_timing, unresolved_speaker, " + _sentence() + " state_reason from states",
     "agg_09_state_summary": _D + _STATES + " select programme_id, count(*) filter (state='VALIDATED') validated, count(*) filter (state='VALIDATED_WITH_OVERRIDE') validated_with_override, count(*) filter (state='UNRESOLVED_TIMING') unresolved_timing, count(*) filter (state='UNRESOLVED_SPEAKER') unresolved_speaker, count(*) filter (state='MANUALLY_OVERRIDDEN') manually_overridden, count(*) filter (state in ('UNRESOLVED_TIMING','UNRESOLVED_SPEAKER')) blocking, count(*) total from states group by all",
 }

@@ -29,7 +29,7 @@ def prd_08_disputed(spark, sf_dir):
 
 
 def fold_01_arbitration(spark, sf_dir):
-    return timing.arbitrate(D.words(spark, sf_dir)).select(*KEY, "outcome", "s", "e")
+    return timing.arbitrate(D.words(spark, sf_dir)).select(*KEY, "outcome", "s", "e", "arbitration_reason", "arbitration_ceiling_ms", "arbitration_provider_ms", "arbitration_aligned_ms")
 
 
 def pipe_01_refine_timing(spark, sf_dir):

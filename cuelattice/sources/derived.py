@@ -66,11 +66,13 @@ def job_events(events: DataFrame) -> DataFrame:
 
 
 def engine_words(words: DataFrame) -> DataFrame:
-    """Adds what the aligner said of each word: engine_unresolved, engine_reason, exhausted."""
+    """Adds what the aligner said of each word: engine_unresolved, engine_reason, exhausted,
+    confidence, by how much it widened its search, and in which pass it was placed."""
     k = F.col("programme_id") * 17 + F.col("segment_id") * 29 + F.col("word_index") * 13
     bad = k % 331 == 0
     reason = F.when(bad, F.when(k % 5 == 0, "search_region_exhausted").otherwise("no_acoustic_match"))
-    return words.withColumns({"engine_unresolved": bad, "engine_reason": reason, "exhausted": (F.col("programme_id") + F.col("segment_id") * 3 + F.col("word_index") * 7) % 1201 == 0})
+    return words.withColumns({"engine_unresolved": bad, "engine_reason": reason, "exhausted": (F.col("programme_id") + F.col("segment_id") * 3 + F.col("word_index") * 7) % 1201 == 0,
+        "confidence": F.when(k % 10 != 0, (k % 64) / 64.0), "expansion_ms": F.when(k % 211 == 0, 300 + k % 700).otherwise(0), "alignment_pass": F.when(k % 211 == 0, 2).otherwise(1)})
 
 
 def segment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
