@@ -115,28 +115,29 @@ def _anchors(only_gram: bool):
     return run
 
 
-def suffix_ranks(data: np.ndarray) -> list[tuple[int, np.ndarray]]:
+def prefix_ranks(data: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """(depth, rank of every position by its first `depth` bytes), from packed 8-byte
-    words to LENGTH, three ranks at a time; lexicographic, zeros after the end."""
+    words, three ranks at a time, up to below LENGTH; lexicographic, zeros after the
+    end."""
     n = len(data)
     padded = np.zeros(n + LENGTH + 8, np.uint64)
     padded[:n] = data
     word = np.zeros(n + LENGTH, np.uint64)
     for k in range(8):
         word = (word << np.uint64(8)) | padded[k : k + n + LENGTH]
-    rank = np.unique(word, return_inverse=True)[1]
-    out, depth = [(8, rank)], 8
-    while depth < LENGTH:
-        deeper = min(3 * depth, LENGTH)
-        steps = [min(depth, (deeper - depth) // 2), deeper - depth]
-        m = len(rank) - steps[1]
-        bits = max(1, int(rank.max()).bit_length())
-        key = ((rank[:m] << bits | rank[steps[0] : steps[0] + m]) << bits) | rank[steps[1] : steps[1] + m]
-        rank, depth = np.unique(key, return_inverse=True)[1], deeper
-        out.append((depth, rank))
+    out = [(8, np.unique(word, return_inverse=True)[1])]
+    while 3 * out[-1][0] < LENGTH:
+        depth, rank = out[-1]
+        out.append((3 * depth, np.unique(_joined_ranks(rank, np.arange(len(rank) - 2 * depth), depth, 2 * depth), return_inverse=True)[1]))
     return out
 
 
+def _joined_ranks(rank: np.ndarray, at: np.ndarray, first: int, second: int) -> np.ndarray:
+    """Ranks at three places of each position as one number."""
+    bits = max(1, int(rank.max()).bit_length())
+    return ((rank[at] << bits | rank[at + first]) << bits) | rank[at + second]
+
+
 def nearest_smaller(x: np.ndarray) -> np.ndarray:
     """Position of the nearest smaller value before each value, -1 if there is none.
     A position that is larger hands on its own candidate, so steps double."""
@@ -154,7 +155,7 @@ def common_prefix(data: np.ndarray, ranks: list[tuple[int, np.ndarray]], i: np.n
     """Bytes, up to LENGTH, that the suffixes at i and at j begin with alike."""
     size = np.zeros(len(i), np.int64)
     for depth, rank in reversed(ranks):
-        for _ in range(1 if depth >= LENGTH else 2):
+        for _ in range(2):
             x, y = (np.minimum(p + size, len(rank) - 1) for p in (i, j))
             size += depth * (rank[x] == rank[y])
     for _ in range(7):  # below the shallowest rank, byte by byte
@@ -163,22 +164,27 @@ def common_prefix(data: np.ndarray, ranks: list[tuple[int, np.ndarray]], i: np.n
     return np.minimum(size, LENGTH)
 
 
-def previous_factor(data: np.ndarray, at: np.ndarray, when: np.ndarray, later: bool = False) -> np.ndarray:
+def longest_factors(data: np.ndarray, at: np.ndarray, when: np.ndarray, both: bool = False) -> np.ndarray:
     """Longest previous factor of each suffix (starting at `at`, LENGTH bytes long or
     more; `when`: distinct reading positions), up to LENGTH: how much of it also begins
     at an earlier reading position. In suffix order the previous and the next smaller
-    reading position are the two earlier suffixes most like it. later: the same of
-    larger reading positions."""
-    ranks = suffix_ranks(data)
-    order = np.lexsort((when, ranks[-1][1][at]))
-    place = when[order] if not later else -when[order]
-    n = len(order)
-    before = nearest_smaller(place)
-    after = n - 1 - nearest_smaller(place[::-1])[::-1]
-    out = np.zeros(n, np.int64)
-    for near in (before, after):
-        ok = np.flatnonzero((near >= 0) & (near < n))
-        out[order[ok]] = np.maximum(out[order[ok]], common_prefix(data, ranks, at[order[ok]], at[order[near[ok]]]))
+    reading position are the two earlier suffixes most like it. both: where that is below
+    LENGTH, later reading positions count as well."""
+    ranks = prefix_ranks(data)
+    depth, deepest = ranks[-1]
+    whole = np.unique(_joined_ranks(deepest, at, min(depth, (LENGTH - depth) // 2), LENGTH - depth), return_inverse=True)[1]
+    order = np.lexsort((when, whole))
+    n, whole, at = len(order), whole[order], at[order]
+    factor = np.zeros(n, np.int64)
+    for place in (when[order], -when[order])[: 1 + both]:
+        for near in (nearest_smaller(place), n - 1 - nearest_smaller(place[::-1])[::-1]):
+            ok = np.flatnonzero((near >= 0) & (near < n) & (factor < LENGTH))
+            same = whole[ok] == whole[near[ok]]
+            factor[ok[same]] = LENGTH
+            ok = ok[~same]
+            factor[ok] = np.maximum(factor[ok], common_prefix(data, ranks, at[ok], at[near[ok]]))
+    out = np.empty(n, np.int64)
+    out[order] = factor
     return out
 
 
@@ -203,10 +209,7 @@ def _shard(keep: str):
         row = np.repeat(np.arange(len(piece)), per)
         off = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per) + lo[row]
         at, when = base[piece][row] + off, np.unique(rid, return_inverse=True)[1][row] * (1 << 40) + a[row] + off
-        factor = previous_factor(data, at, when)
-        if keep != "first":
-            factor = np.maximum(factor, previous_factor(data, at, when, later=True))
-        hit = np.flatnonzero(factor >= LENGTH)
+        hit = np.flatnonzero(longest_factors(data, at, when, both=keep != "first") >= LENGTH)
         new = np.r_[True, (np.diff(hit) > 1) | (np.diff(row[hit]) != 0)] if len(hit) else np.zeros(0, bool)
         s, e = hit[new], hit[np.r_[new[1:], True]] if len(hit) else hit
         of, other = row[s], copy[row[s]]
