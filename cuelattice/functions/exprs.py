@@ -73,8 +73,8 @@ def join_words(words: Column) -> Column:
 
 
 def confidence_norm(x: Column) -> Column:
-    """0..1; values above 1 are percentages."""
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.when(x > 1, x / 100).otherwise(x)))
+    """0..1; values above 1 are percentages; null stays null."""
+    return F.when(x.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.when(x > 1, x / 100).otherwise(x))))
 
 
 def fnv1a32(text: Column) -> Column:
