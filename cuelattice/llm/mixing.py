@@ -137,7 +137,7 @@ def mix_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: in
     rows too, are taken alike; ties of keys go by id and size; an empty table gives an
     empty result."""
     cols = docs.columns
-    own = docs.select(F.struct(*cols).alias("_doc"))
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_doc"))
     size = n_words(F.col("_doc.text"))
     weight = text_quality(F.col("_doc.text"), size)
     if quality:

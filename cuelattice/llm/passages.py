@@ -360,10 +360,14 @@ def digest_repeats(docs: DataFrame, keep: str = "none") -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, keep: str = "first") -> DataFrame:
-    """The documents with their repeated passages cut out of `text`, other columns
-    as they were. A code point that a cut goes through is dropped with it."""
+    """The documents with their repeated passages cut out of `text`, other columns as
+    they were, whatever their names. A code point that a cut goes through is dropped with
+    it. With keep="first" the copy that is read first stays, rows in the order of the
+    input's partitions. Null texts stay null, texts under LENGTH bytes as they are; null
+    and repeated ids do no harm, equal rows are copies of one another; an empty table
+    gives an empty result."""
     cols = docs.columns
-    plain = docs.select(*[F.col(c).alias(f"c{k}") if c != "text" else F.col(c) for k, c in enumerate(cols)])
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") if c != "text" else F.col(c) for k, c in enumerate(cols)])
     names = plain.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

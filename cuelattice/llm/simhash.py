@@ -214,7 +214,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     and repeated ids do no harm. Null and empty texts and texts without words are alike;
     an empty table gives an empty result."""
     cols = docs.columns
-    rows = materialise(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*cols).alias("_doc")), "simhash-rows")
+    rows = materialise(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_doc")), "simhash-rows")
     of = copies.components(rows.select("_row", F.col("_doc.text").alias("text")))
     id_ = F.col("doc_id").cast("long")
     first = rows.select("_row", F.col("_doc.doc_id").alias("doc_id")).join(of, "_row").groupBy("component")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from .common import by_bytes
 
 #: Bytes of text that are worked on at once; a longer text is a block of its own.
-BLOCK = 8_000_000
+BLOCK = 4_000_000
 
 
 def blocks(texts: list[bytes], lead: bytes) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
