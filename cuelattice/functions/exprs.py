@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,7 +23,17 @@ def half_up(x: Column) -> Column:
     return F.floor(x + F.lit(0.5)).cast("long")
 
 
-def n_chars(text: Column) -> Column:
+@dataclass(frozen=True)
+class Counted:
+    """Stands for a text in the rules below where its characters are counted already."""
+
+    chars: Column
+
+
+def n_chars(text: Column | Counted) -> Column:
+    """Characters but white space, at least 1."""
+    if isinstance(text, Counted):
+        return text.chars
     return F.greatest(F.length(F.regexp_replace(text, r"(?U)\s+", "")), F.lit(1))
 
 

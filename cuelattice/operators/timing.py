@@ -25,85 +25,99 @@ def _next_start() -> Column:
     return F.last(F.when(~F.col("disputed"), F.col("s")), True).over(back)
 
 
+def _counted(words: DataFrame) -> DataFrame:
+    """Adds _chars once, so that no rule counts a text again."""
+    return words if "_chars" in words.columns else words.withColumn("_chars", X.n_chars(F.col("text")))
+
+
+def _text() -> X.Counted:
+    return X.Counted(F.col("_chars"))
+
+
 def flag_disputes(words: DataFrame) -> DataFrame:
     """Adds stacked (three or more consecutive words with one window), divergence
     from the provider's window, and disputed."""
-    new = ~(F.col("s").eqNullSafe(F.lag("s").over(_order())) & F.col("e").eqNullSafe(F.lag("e").over(_order())) & F.col("s").isNotNull())
-    w = words.withColumn("_island", F.sum(new.cast("int")).over(_order()))
-    w = w.withColumn("stacked", F.count(F.lit(1)).over(Window.partitionBy("programme_id", "_island")) >= 3)
+    at = lambda c, k: F.lag(c, k).over(_order()) if k >= 0 else F.lead(c, -k).over(_order())
+    like = lambda k: F.coalesce((F.col("s") == at("s", k)) & (F.col("e") == at("e", k)), F.lit(False))
+    w = _counted(words).withColumn("stacked", (like(1) & like(2)) | (like(1) & like(-1)) | (like(-1) & like(-2)))
     w = w.withColumn("divergence", F.coalesce(F.greatest(F.abs(F.col("s") - F.col("ps")), F.abs(F.col("e") - F.col("pe"))), F.lit(0)))
-    dur, pd, text = F.col("e") - F.col("s"), F.col("pe") - F.col("ps"), F.col("text")
+    dur, pd, text = F.col("e") - F.col("s"), F.col("pe") - F.col("ps"), _text()
     disputed = (
         F.when(dur.isNull(), False).when(F.col("stacked"), True).when(F.col("divergence") > X.DIVERGENCE_MS, True)
         .when(dur > X.evidence_ceiling(text, pd), True).when(pd.isNull(), False).when(dur >= X.MIN_WORD_MS, False).when(dur < 0, False)
         .when(~X.plausible(text, F.col("ps"), F.col("pe")), False).when(dur < X.DEGENERATE_MS, True).otherwise(~X.near_zero_corroborated(pd))
     )
-    return w.withColumn("disputed", disputed).drop("_island")
-
-
-def disputed_runs(flagged: DataFrame) -> DataFrame:
-    """One row per maximal run of disputed words in a segment, with what decides
-    it: aligned_ok, prov_ok, threshold T for the end of what came before, the
-    undisputed end before it, and the ends that either choice leaves."""
-    change = F.coalesce((F.lag("disputed").over(_order()) != F.col("disputed")) | (F.lag("segment_id").over(_order()) != F.col("segment_id")), F.lit(True))
-    w = flagged.withColumn("_run", F.sum(change.cast("int")).over(_order())).withColumn("_next", _next_start())
-    w = w.withColumn("_before", F.max(F.when(~F.col("disputed"), F.col("e"))).over(_order().rowsBetween(Window.unboundedPreceding, -1)))
-    run = Window.partitionBy("programme_id", "_run").orderBy("word_index")
-    w = w.filter("disputed").withColumn("_prev_pe", F.lag("pe").over(run)).withColumn("_last", F.lead("pe").over(run).isNull() & (F.row_number().over(run) == F.count(F.lit(1)).over(Window.partitionBy("programme_id", "_run"))))
+    return w.withColumn("disputed", disputed)
+
+
+def number_runs(flagged: DataFrame) -> DataFrame:
+    """Adds _run (numbers the stretches of disputed and other words in a segment), whether
+    a word is its run's first or last, _next (start of the next undisputed word), _before
+    (furthest undisputed end so far), and prov_end, the provider's end clamped to _next."""
+    w = flagged.withColumn("_next", _next_start())
+    turn = F.struct("disputed", "segment_id")
+    change = lambda other: ~other.eqNullSafe(turn)
+    w = w.withColumns({"_first": change(F.lag(turn).over(_order())), "_last": change(F.lead(turn).over(_order())), "_before": F.max(F.when(~F.col("disputed"), F.col("e"))).over(_order().rowsBetween(Window.unboundedPreceding, -1)), "_prev_pe": F.lag("pe").over(_order())})
+    w = w.withColumn("_run", F.sum(F.col("_first").cast("long")).over(_order()))
     tail = F.when(F.col("_last"), F.col("pe") - F.col("_next"))
-    end = F.when((tail > 0) & (tail <= X.SEAM_MS), F.col("_next")).otherwise(F.col("pe"))
-    w = w.withColumn("prov_end", end).withColumn("_fits", X.plausible(F.col("text"), F.col("ps"), F.col("pe")) & X.plausible(F.col("text"), F.col("ps"), end) & F.coalesce(F.col("ps") >= F.col("_prev_pe"), F.lit(True)) & F.coalesce(tail <= X.SEAM_MS, F.lit(True)))
-    w = w.withColumn("_ok", ~F.col("stacked") & X.plausible(F.col("text"), F.col("s"), F.col("e"), F.col("pe") - F.col("ps")))
-    first = F.struct("word_index", "ps", "prov_end", "_before")
-    return w.groupBy("programme_id", "segment_id", "_run").agg(
-        F.min("word_index").alias("first_index"), F.max("word_index").alias("last_index"), F.bool_and("_ok").alias("aligned_ok"), F.bool_and("_fits").alias("prov_ok"),
-        F.min(first).alias("_f"), F.max("prov_end").alias("prov_max"), F.max("e").alias("aligned_max"), F.min_by("_before", "word_index").alias("before"),
-    ).withColumn("t", F.least(F.col("_f.ps") + X.SEAM_MS, F.col("_f.prov_end") - X.MIN_WORD_MS)).drop("_f", "_run")
+    return w.withColumns({"_tail": tail, "prov_end": F.when((tail > 0) & (tail <= X.SEAM_MS), F.col("_next")).otherwise(F.col("pe"))})
+
+
+def disputed_runs(numbered: DataFrame) -> DataFrame:
+    """One row per run of disputed words, with what decides it: aligned_ok, prov_ok,
+    threshold t for the end of what came before, the undisputed end before it, and the
+    ends that either choice leaves."""
+    text, ps, pe, end = _text(), F.col("ps"), F.col("pe"), F.col("prov_end")
+    in_order = F.col("_first") | F.coalesce(ps >= F.col("_prev_pe"), F.lit(True))
+    fits = X.plausible(text, ps, pe) & X.plausible(text, ps, end) & in_order & F.coalesce(F.col("_tail") <= X.SEAM_MS, F.lit(True))
+    ok = ~F.col("stacked") & X.plausible(text, F.col("s"), F.col("e"), pe - ps)
+    return numbered.filter("disputed").groupBy("programme_id", "_run").agg(
+        F.bool_and(ok).alias("aligned_ok"), F.bool_and(fits).alias("prov_ok"), F.max("prov_end").alias("prov_max"), F.max("e").alias("aligned_max"),
+        F.max(F.when(F.col("_first"), F.col("_before"))).alias("before"), F.max(F.when(F.col("_first"), F.least(ps + X.SEAM_MS, end - X.MIN_WORD_MS))).alias("t"),
+    )
 
 
 def decide_runs(runs: DataFrame) -> DataFrame:
-    """programme_id, segment_id, first_index, last_index, aligned_ok, restored,
-    f_in: the runs of a programme in order, each seeing the furthest end before it."""
-    item = F.struct("segment_id", "first_index", "last_index", "aligned_ok", "prov_ok", "t", "before", "prov_max", "aligned_max")
+    """programme_id, decided: map of run to (aligned_ok, restored, f_in). A programme's
+    runs are decided in order, each seeing the furthest end before it."""
+    item = F.struct("_run", "aligned_ok", "prov_ok", "t", "before", "prov_max", "aligned_max")
     per = runs.groupBy("programme_id").agg(F.sort_array(F.collect_list(item)).alias("runs"))
-    out = "array<struct<segment_id:bigint,first_index:bigint,last_index:bigint,aligned_ok:boolean,restored:boolean,f_in:bigint>>"
+    back = "(r.prov_ok and not r.aligned_ok and coalesce(greatest(a.f, r.before) <= r.t, true))"
+    out = "array<struct<run:bigint,aligned_ok:boolean,restored:boolean,f_in:bigint>>"
     fold = f"""aggregate(runs, named_struct('f', cast(null as bigint), 'out', cast(array() as {out})), (a, r) -> named_struct(
-        'f', greatest(a.f, r.before, if(r.prov_ok and not r.aligned_ok and coalesce(greatest(a.f, r.before) <= r.t, true), r.prov_max, r.aligned_max)),
-        'out', array_append(a.out, named_struct('segment_id', r.segment_id, 'first_index', r.first_index, 'last_index', r.last_index, 'aligned_ok', r.aligned_ok,
-            'restored', r.prov_ok and not r.aligned_ok and coalesce(greatest(a.f, r.before) <= r.t, true), 'f_in', greatest(a.f, r.before)))), a -> a.out)"""
-    return per.select("programme_id", F.explode(F.expr(fold)).alias("r")).select("programme_id", "r.*")
+        'f', greatest(a.f, r.before, if({back}, r.prov_max, r.aligned_max)),
+        'out', array_append(a.out, named_struct('run', r._run, 'aligned_ok', r.aligned_ok, 'restored', {back}, 'f_in', greatest(a.f, r.before)))), a -> a.out)"""
+    folded = per.select("programme_id", F.expr(fold).alias("d"))
+    return folded.select("programme_id", F.map_from_arrays(F.transform("d", lambda x: x["run"]), "d").alias("decided"))
 
 
 def arbitrate(words: DataFrame) -> DataFrame:
     """Adds outcome (undisputed, restored, provider_timing_rejected,
     alignment_collapsed, unresolved) and the chosen window s, e; the aligned one
     stays as prior_s, prior_e. A decided dispute tells its arbitration_reason and the
-    ceiling, provider's and aligned durations it was judged by."""
-    flagged = flag_disputes(words)
-    runs = disputed_runs(flagged)
-    decided = decide_runs(runs).withColumnRenamed("segment_id", "_seg").withColumnRenamed("programme_id", "_prog")
-    w = flagged.withColumn("_next", _next_start())
-    inside = (F.col("_prog") == F.col("programme_id")) & (F.col("_seg") == F.col("segment_id")) & F.col("word_index").between(F.col("first_index"), F.col("last_index")) & F.col("disputed")
-    w = w.join(decided, inside, "left").drop("_prog", "_seg")
-    back = F.coalesce(F.col("restored"), F.lit(False))
-    outcome = F.when(~F.col("disputed"), "undisputed").when(back, "restored").when(F.col("aligned_ok"), "provider_timing_rejected").when(F.col("stacked"), "alignment_collapsed").otherwise("unresolved")
-    tail = F.when(F.col("word_index") == F.col("last_index"), F.col("pe") - F.col("_next"))
-    new_e = F.when((tail > 0) & (tail <= X.SEAM_MS), F.col("_next")).otherwise(F.col("pe"))
-    new_s = F.when((F.col("word_index") == F.col("first_index")) & (F.col("f_in") > F.col("ps")), F.col("f_in")).otherwise(F.col("ps"))
-    w = w.withColumns({"outcome": outcome, "prior_s": F.col("s"), "prior_e": F.col("e"), "_s": F.when(back, new_s).otherwise(F.col("s")), "_e": F.when(back, new_e).otherwise(F.col("e"))})
-    return _disclosed(w.withColumns({"s": F.col("_s"), "e": F.col("_e")}).drop("_s", "_e", "_next", "first_index", "last_index", "aligned_ok", "restored", "f_in"))
+    ceiling, provider's and aligned durations it was judged by. Words stay in their
+    programme's partition throughout: decisions come back by programme."""
+    numbered = number_runs(flag_disputes(words))
+    decided = decide_runs(disputed_runs(numbered))
+    w = numbered.join(decided, "programme_id", "left").withColumn("_d", F.when(F.col("disputed"), F.try_element_at("decided", F.col("_run")))).drop("decided")
+    back = F.coalesce(F.col("_d.restored"), F.lit(False))
+    outcome = F.when(~F.col("disputed"), "undisputed").when(back, "restored").when(F.col("_d.aligned_ok"), "provider_timing_rejected").when(F.col("stacked"), "alignment_collapsed").otherwise("unresolved")
+    new_s = F.when(F.col("_first") & (F.col("_d.f_in") > F.col("ps")), F.col("_d.f_in")).otherwise(F.col("ps"))
+    w = w.withColumns({"outcome": outcome, "prior_s": F.col("s"), "prior_e": F.col("e"), "_s": F.when(back, new_s).otherwise(F.col("s")), "_e": F.when(back, F.col("prov_end")).otherwise(F.col("e"))})
+    w = w.withColumns({"s": F.col("_s"), "e": F.col("_e")})
+    return _disclosed(w.drop("_s", "_e", "_d", "_next", "_first", "_last", "_before", "_prev_pe", "_run", "_tail", "prov_end"))
 
 
 def _disclosed(w: DataFrame) -> DataFrame:
     out, pd, dur = F.col("outcome"), F.col("pe") - F.col("ps"), F.col("prior_e") - F.col("prior_s")
     reason = (
         F.when((out == "restored") & (dur < X.MIN_WORD_MS), "aligned_window_below_evidence_floor").when(out == "restored", "aligned_window_inflated_beyond_evidence")
-        .when((out == "provider_timing_rejected") & pd.isNotNull() & ~X.credible(F.col("text"), pd), "provider_capture_too_short_to_be_credible").when(out == "provider_timing_rejected", "provider_capture_not_a_possible_utterance")
+        .when((out == "provider_timing_rejected") & pd.isNotNull() & ~X.credible(_text(), pd), "provider_capture_too_short_to_be_credible").when(out == "provider_timing_rejected", "provider_capture_not_a_possible_utterance")
         .when(out == "unresolved", "neither_timeline_usable_dispute_unresolved")
     )
     said = reason.isNotNull()
     return w.withColumns({
-        "arbitration_reason": reason, "arbitration_ceiling_ms": F.when(said, X.evidence_ceiling(F.col("text"), pd)).cast("long"),
+        "arbitration_reason": reason, "arbitration_ceiling_ms": F.when(said, X.evidence_ceiling(_text(), pd)).cast("long"),
         "arbitration_provider_ms": F.when(said, pd), "arbitration_aligned_ms": F.when(said, dur),
     })
 
@@ -153,9 +167,9 @@ def clamp_onsets(arbitrated: DataFrame) -> DataFrame:
     """Moves the start of words that last longer than their text allows, not before
     the furthest end so far; adds absorbed (milliseconds moved)."""
     before = F.max("e").over(_order().rowsBetween(Window.unboundedPreceding, -1))
-    ceiling = X.max_word_ms(F.col("text"))
+    ceiling = X.max_word_ms(_text())
     move = (F.col("e") > F.col("s")) & ~F.col("outcome").isin("restored", "alignment_collapsed") & (F.col("e") - F.col("s") > ceiling)
-    w = arbitrated.withColumn("_s", F.when(move, F.greatest(F.col("e") - ceiling, F.greatest(before, F.col("s")))).otherwise(F.col("s")))
+    w = _counted(arbitrated).withColumn("_s", F.when(move, F.greatest(F.col("e") - ceiling, F.greatest(before, F.col("s")))).otherwise(F.col("s")))
     return w.withColumn("absorbed", F.col("_s") - F.col("s")).withColumn("s", F.col("_s")).drop("_s")
 
 
@@ -166,7 +180,7 @@ def accept(clamped: DataFrame) -> DataFrame:
         F.when(dur.isNull() | (dur >= X.MIN_WORD_MS), "untouched").when(dur <= 0, "zero_width_final_window")
         .when(X.near_zero_corroborated(pd), "corroborated").otherwise("final_window_below_evidence_floor_uncorroborated")
     )
-    return clamped.withColumn("final", final)
+    return clamped.withColumn("final", final).drop("_chars")
 
 
 def refine_timing(words: DataFrame) -> DataFrame:
