@@ -89,7 +89,7 @@ class LanguageModel:
         size = first[rows + 1] - first[rows]
         at = gather(np.arange(len(lang)), first[rows], size)
         cell = np.repeat(of, size) * len(unknown) + lang[at]
-        out = np.bincount(cell, weights=more[at], minlength=count * len(unknown)).reshape(count, -1)
+        out = np.bincount(cell, weights=more[at], minlength=count * len(unknown)).reshape(count, len(unknown))
         return out + np.bincount(of, minlength=count)[:, None] * unknown[None]
 
     def word_scores(self, words: list[str]) -> np.ndarray:

@@ -104,6 +104,7 @@ def test_language_held_out(spark):
     model = language.train(many)
     assert len(model.langs) > 250  # no cap on languages
     names, score = language.classify([f"{word(7)} {word(7)}", "", "12", None], model)
+    assert model.word_scores(["zzz", "qqq"]).shape == (2, len(model.langs)) and model.word_scores([]).shape == (0, len(model.langs))
     assert names[0] == "l7" and names[1:] == ["und"] * 3 and score[1:].tolist() == [0, 0, 0]
 
 
