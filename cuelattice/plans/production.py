@@ -88,8 +88,8 @@ def jn_15_cascade(spark, sf_dir):
     gone = _t(spark, sf_dir, "customer").filter("c_custkey % 20 = 0").select("c_custkey")
     o = runs.cascade(gone, _t(spark, sf_dir, "orders"), "o_custkey", "c_custkey")
     li = runs.cascade(o, _t(spark, sf_dir, "lineitem"), "l_orderkey", "o_orderkey")
-    n = lambda df, name: df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(name))
-    return n(li, "lineitem").unionByName(n(o, "orders")).unionByName(n(gone, "customer"))
+    rows_ = lambda df, name, step, *key: df.select(F.lit(step).alias("step"), F.lit(name).alias("table_name"), F.concat_ws(":", *key).alias("row_key"))
+    return rows_(li, "lineitem", 1, "l_orderkey", "l_linenumber", "l_partkey").unionByName(rows_(o, "orders", 2, "o_orderkey")).unionByName(rows_(gone, "customer", 3, "c_custkey"))
 
 
 def snk_03_retention(spark, sf_dir):
@@ -241,7 +241,7 @@ ORACLES = {
         select job_id, event_id, case when row_number() over (partition by job_id order by ts, event_id)=1 then 'dispatch_again' else 'terminal' end as "action" from s""",
     "prd_18_trigger": "select o_custkey, count(*) n, case when o_custkey%3=0 then 'initial_generation' when count(*)>1 then 'bulk_regenerate' else 'operator_regenerate' end kind from orders group by o_custkey",
     "pipe_10_stage_and_flip": "select c_custkey row_id, 'run-0' import_run_id, c_custkey%3<>0 is_active, case when c_custkey%3=0 then 'run-1' end superseded_by, case when c_custkey%3=0 then '2024-03-01 10:00:00' end superseded_at from customer union all select distinct c_custkey, 'run-1', true, null, null from customer where c_custkey%3=0",
-    "jn_15_cascade": "with c as (select c_custkey from customer where c_custkey%20=0), o as (select o_orderkey from orders where o_custkey in (from c)) select 'customer' table_name, count(*) n_rows from c union all select 'orders', count(*) from o union all select 'lineitem', count(*) from lineitem where l_orderkey in (from o)",
+    "jn_15_cascade": "with c as (select c_custkey from customer where c_custkey%20=0), o as (select o_orderkey from orders where o_custkey in (from c)) select 3 step, 'customer' table_name, c_custkey::varchar row_key from c union all select 2, 'orders', o_orderkey::varchar from o union all select 1, 'lineitem', l_orderkey||':'||l_linenumber||':'||l_partkey from lineitem where l_orderkey in (from o)",
     "snk_03_retention": "with s as (select event_type table_name, strftime(ts,'%Y-%m-%d') dt, count(*) n_rows from events group by all) select *, dense_rank() over (partition by table_name order by dt desc)<=7 kept from s",
     "prd_13_missing_duration": _R + _TURNS + " select programme_id, role speaker_id, segment_id clip_no from segs where (programme_id+segment_id)%19=0 or end_ms<=start_ms",
     "prd_15_rewrite": _R + _TURNS + ", r as (select programme_id, segment_id, programme_id+segment_id k, length(text)*1000.0::double/(end_ms-start_ms) r, end_ms-start_ms w from segs s join conversations c on c.conv_id=s.programme_id and c.turn=s.segment_id), f as (select *, case when k%3<>0 then w*(90+k%40)/100.0::double/w end f from r) select programme_id, segment_id, cast(floor(r*1000+0.5) as bigint) rate_milli, cast(floor(f*1000+0.5) as bigint) fit_milli from f where (r<10 or r>14) and (f is null or f>1.1::double)",

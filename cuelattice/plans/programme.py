@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import audit, boundaries, islands, speakers, timing
+from ..operators import audit, boundaries, islands, refine, speakers, timing
 from ..sources import derived as D
 from ..staging import stage
 
@@ -21,16 +21,16 @@ def attributed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return boundaries.mark_chronology(boundaries.derive_boundaries(stage(attributed(spark, sf_dir))))
+    return refine.bounded_rows(D.engine_words(D.words(spark, sf_dir)), stage(D.turns(spark, sf_dir)), D.segment_table(spark, sf_dir))
 
 
 def with_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return islands.detect_islands(stage(bounded(spark, sf_dir)), stage(D.turns(spark, sf_dir)))
+    turns = stage(D.turns(spark, sf_dir))
+    return islands.detect_islands(stage(refine.bounded_rows(D.engine_words(D.words(spark, sf_dir)), turns, D.segment_table(spark, sf_dir))), turns)
 
 
 def refined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole chain: one row per output row with its final window and state."""
-    return audit.derive_state(audit.audit(stage(audit.own_defects(stage(with_islands(spark, sf_dir))))))
+    return refine.refine_programmes(D.engine_words(D.words(spark, sf_dir)), D.turns(spark, sf_dir), D.segment_table(spark, sf_dir))
 
 
 def rec_reconciliation(spark, sf_dir):
@@ -66,11 +66,12 @@ def agg_06_reconciliation_report(spark, sf_dir):
 
 def agg_04_word_evidence(spark, sf_dir):
     e = speakers.word_evidence(reconciled(spark, sf_dir))
-    return e.select("programme_id", "segment_id", F.size("words").cast("long").alias("n"), F.array_join(F.transform("words", lambda w: w["word_index"].cast("string")), ",").alias("word_indexes"))
+    shown = F.transform("words", lambda w: F.concat_ws("|", w["word_index"].cast("string"), w["text"], w["ps"].cast("string"), w["pe"].cast("string"), w["s"].cast("string"), w["e"].cast("string"), w["reason"]))
+    return e.select("programme_id", "segment_id", F.size("words").cast("long").alias("n"), F.array_join(shown, ",").alias("words"))
 
 
 def pipe_02_attribution(spark, sf_dir):
-    return attributed(spark, sf_dir).select(*ROW, "sequence_index", "cluster", "speaker_index", "start_ms", "end_ms", "core_start", "core_end", "pb_start", "pb_end", "n_words", "span_unresolved", "authored_preserved", "is_music")
+    return attributed(spark, sf_dir).select(*ROW, "sequence_index", "cluster", "speaker_index", "start_ms", "end_ms", "core_start", "core_end", "pb_start", "pb_end", "n_words", "span_unresolved", "authored_preserved", "is_music", "text")
 
 
 def agg_03_row_rollups(spark, sf_dir):
@@ -124,6 +125,10 @@ def pipe_06_states(spark, sf_dir):
     return refined_rows(spark, sf_dir).select(*ROW, "state", "cause", "overrides", "unresolved_timing", "unresolved_speaker", "state_reason")
 
 
+def pipe_07_export_gate(spark, sf_dir):
+    return refine.export_gate(refined_rows(spark, sf_dir)).select("programme_id", "blocking", "total", "exportable")
+
+
 def agg_09_state_summary(spark, sf_dir):
     return audit.state_summary(refined_rows(spark, sf_dir))
 
@@ -132,6 +137,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         rec_reconciliation, agg_06_word_report, agg_04_word_evidence, pipe_02_attribution, agg_03_row_rollups, agg_02_cluster_counts, pipe_03_boundaries, agg_08_boundary_report,
-        pipe_04_islands, fold_03_overlaps, pipe_05_audit, agg_07_integrity, agg_07_run_report, fold_03_repairs, pipe_06_states, agg_09_state_summary, agg_05_capture_report, agg_06_onset_report, agg_06_acceptance_report, agg_06_reconciliation_report,
+        pipe_04_islands, fold_03_overlaps, pipe_05_audit, agg_07_integrity, agg_07_run_report, fold_03_repairs, pipe_06_states, pipe_07_export_gate, agg_09_state_summary, agg_05_capture_report, agg_06_onset_report, agg_06_acceptance_report, agg_06_reconciliation_report,
     )
 }

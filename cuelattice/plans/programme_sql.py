@@ -138,7 +138,7 @@ _ZERO, _OKAY, _BAD = "'zero_width_final_window'", "'corroborated'", "'final_wind
 ORACLES = {
     "rec_reconciliation": _R + " select programme_id, segment_id, word_index, unresolved, reason, cleared, prior_reason from rec",
     "agg_06_word_report": _R + " select programme_id, count(*) filter (unresolved) unresolved_words, count(*) filter (cleared is not null) cleared_words, count(distinct case when cleared is not null then segment_id end) cleared_rows, count(*) filter (final='zero_width_final_window') zero_width_words, max(absorbed) worst_absorbed_ms from rec group by all",
-    "agg_04_word_evidence": _R + ", k as (select *, row_number() over (partition by programme_id, segment_id order by word_index) n_ from rec where unresolved) select programme_id, segment_id, count(*) n, string_agg(word_index::varchar,',' order by word_index) word_indexes from k where n_<=100 group by all",
+    "agg_04_word_evidence": _R + ", k as (select *, row_number() over (partition by programme_id, segment_id order by word_index) n_ from rec where unresolved) select programme_id, segment_id, count(*) n, string_agg(concat_ws('|',word_index,text,ps,pe,s,e,reason),',' order by word_index) words from k where n_<=100 group by all",
     "agg_05_capture_report": _W + _RULES + _DISPUTED + _FOLD + " select programme_id, count(*) filter (outcome='restored') capture_restored_words, count(*) filter (outcome='provider_timing_rejected') provider_timing_rejected_words, count(*) filter (outcome='alignment_collapsed') alignment_collapse_words, count(*) filter (outcome='unresolved') unresolved_dispute_words, count(*) filter (outcome='alignment_collapsed') unrestorable_words, "
         + "coalesce(max(divergence) filter (outcome='restored'),0) worst_restored_divergence_ms, coalesce(max(divergence) filter (outcome='provider_timing_rejected'),0) worst_rejected_provider_divergence_ms, " + ", ".join(_KEYS.format(f"outcome='{o}'") + f" {n}" for o, n in (("restored", "restored_keys"), ("provider_timing_rejected", "rejected_keys"), ("alignment_collapsed", "collapsed_keys"), ("unresolved", "unresolved_dispute_keys"))) + " from arb group by programme_id",
     "agg_06_onset_report": _R + " select programme_id, count(*) filter (absorbed>0) onset_absorption_repairs, coalesce(max(absorbed) filter (absorbed>0),0) worst_onset_absorbed_ms, " + _KEYS.format("absorbed>0") + " repaired_keys from rec group by programme_id",
@@ -156,7 +156,7 @@ ORACLES = {
         coalesce(max(divergence) filter (outcome='restored'),0) worst_restored_divergence_ms, coalesce(max(divergence) filter (outcome='provider_timing_rejected'),0) worst_rejected_provider_divergence_ms, count(*) filter (absorbed>0) onset_absorption_repairs, coalesce(max(absorbed) filter (absorbed>0),0) worst_onset_absorbed_ms,
         """ + ", ".join(f"count(*) filter (final in ({x})) {n}" for n, x in (("zero_width_words", _ZERO), ("near_zero_words", f"{_OKAY},{_BAD}"), ("near_zero_corroborated_words", _OKAY), ("near_zero_unresolved_words", _BAD))) + """, count(cleared) unresolved_cleared_words, count(distinct case when cleared is not null then segment_id end) unresolved_cleared_rows from rec group by programme_id)
         select gg.*, ww.* exclude (programme_id), coalesce(rp,0) same_speaker_overlap_repairs, coalesce(df,0) same_speaker_overlap_defects, coalesce(wo,0) worst_same_speaker_overlap_ms, 9 policy_version, 250 auto_repair_ceiling_ms, 1500 provider_divergence_threshold_ms, 40 min_plausible_word_ms from gg left join hh on hh.programme_id=gg.programme_id left join ww on ww.programme_id=gg.programme_id""",
-    "pipe_02_attribution": _A + f" select {_ROW}, sequence_index, cluster, speaker_index, start_ms, end_ms, core_start, core_end, pb_start, pb_end, n_words, span_unresolved, authored_preserved, is_music from rows_",
+    "pipe_02_attribution": _A + f" select {_ROW}, sequence_index, cluster, speaker_index, start_ms, end_ms, core_start, core_end, pb_start, pb_end, n_words, span_unresolved, authored_preserved, is_music, text from rows_",
     "agg_03_row_rollups": _A + f" select {_ROW}, unresolved_words, exhausted_words, near_zero_words, cleared_words, uncovered_words, absorbed_ms, max_shift_ms, restored, rejected, collapsed, below_floor_words, restored_ms, rejected_ms, expansion_ms, alignment_pass, floor(mean_confidence*1e6+0.501)/1e6 mean_confidence from rows_",
     "agg_02_cluster_counts": _A + " select programme_id, cluster, count(*) n_rows from rows_ group by all",
     "pipe_03_boundaries": _B + f" select {_ROW}, start_ms, end_ms, boundary, lead_in_ms, lead_out_ms, delta_start_ms, delta_end_ms, contradicted, recovered, conflict_ms from bounds",
@@ -171,5 +171,6 @@ ORACLES = {
         count(*) filter (restored) restored_rows, count(*) filter (rejected) rejected_rows, count(*) filter (conflict_ms>0) conflict_rows, """ + _LIST.format("sequence_index", "defect is not null") + """ defect_sequences from aud group by programme_id)
         select g.*, coalesce(overlap_repairs,0) overlap_repairs, coalesce(overlap_defects,0) overlap_defects, coalesce(worst_overlap_ms,0) worst_overlap_ms from gg g left join hh h on g.programme_id=h.programme_id""",
     "pipe_06_states": _D + _STATES + f" select {_ROW}, state, cause, overrides, unresolved_timing, unresolved_speaker, " + _sentence() + " state_reason from states",
+    "pipe_07_export_gate": _D + _STATES + " select programme_id, count(*) filter (state in ('UNRESOLVED_TIMING','UNRESOLVED_SPEAKER')) blocking, count(*) total, count(*) filter (state in ('UNRESOLVED_TIMING','UNRESOLVED_SPEAKER'))=0 exportable from states group by all",
     "agg_09_state_summary": _D + _STATES + " select programme_id, count(*) filter (state='VALIDATED') validated, count(*) filter (state='VALIDATED_WITH_OVERRIDE') validated_with_override, count(*) filter (state='UNRESOLVED_TIMING') unresolved_timing, count(*) filter (state='UNRESOLVED_SPEAKER') unresolved_speaker, count(*) filter (state='MANUALLY_OVERRIDDEN') manually_overridden, count(*) filter (state in ('UNRESOLVED_TIMING','UNRESOLVED_SPEAKER')) blocking, count(*) total from states group by all",
 }

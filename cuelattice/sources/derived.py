@@ -40,16 +40,19 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Diarization turns: overlapping windows, some words uncovered, some split, some
-    first words with another cluster."""
+    first words with another cluster. A segment has up to three."""
     s = segments(spark, sf_dir)
     n = F.when(F.col("role") == "user", 0).when(F.col("role") == "assistant", 1).otherwise(2)
     key = F.col("programme_id") + F.col("segment_id")
-    conf = ((F.col("segment_id") * 37) % 100).cast("double").alias("confidence")
-    first = s.filter(key % 11 != 0).select("programme_id", "segment_id", F.concat(F.lit("SPEAKER_0"), n).alias("cluster"), (F.col("start_ms") - 100).alias("start_ms"), (F.col("end_ms") + (F.col("segment_id") * 97) % 400).alias("end_ms"), conf)
     third = F.floor((F.col("end_ms") - F.col("start_ms")) / 3).cast("long")
-    second = s.filter(key % 4 == 0).select("programme_id", "segment_id", F.concat(F.lit("SPEAKER_0"), (n + 1) % 3).alias("cluster"), (F.col("end_ms") - third).alias("start_ms"), (F.col("end_ms") + 50).alias("end_ms"), conf)
-    odd = s.filter((key % 9 == 0) & (key % 11 != 0)).select("programme_id", "segment_id", F.concat(F.lit("SPEAKER_0"), (n + 2) % 3).alias("cluster"), (F.col("start_ms") - 150).alias("start_ms"), (F.col("start_ms") + 300).alias("end_ms"), conf)
-    return first.unionByName(second).unionByName(odd)
+    turn = lambda k, start, end: F.struct(F.concat(F.lit("SPEAKER_0"), (n + k) % 3).alias("cluster"), start.cast("long").alias("start_ms"), end.cast("long").alias("end_ms"))
+    start, end = F.col("start_ms"), F.col("end_ms")
+    found = F.array_compact(F.array(
+        F.when(key % 11 != 0, turn(0, start - 100, end + (F.col("segment_id") * 97) % 400)), F.when(key % 4 == 0, turn(1, end - third, end + 50)),
+        F.when((key % 9 == 0) & (key % 11 != 0), turn(2, start - 150, start + 300)),
+    ))
+    out = s.select("programme_id", "segment_id", F.explode(found).alias("t"))
+    return out.select("programme_id", "segment_id", "t.*", ((F.col("segment_id") * 37) % 100).cast("double").alias("confidence"))
 
 
 def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
