@@ -18,7 +18,6 @@ def bounded_rows(words: DataFrame, turns: DataFrame, segments: DataFrame) -> Dat
 
 def refine_programmes(words: DataFrame, turns: DataFrame, segments: DataFrame) -> DataFrame:
     """One row per output row with its final window, speaker, defects and state."""
-    turns = stage(turns)
     rows = islands.detect_islands(stage(bounded_rows(words, turns, segments)), turns)
     return audit.derive_state(audit.audit(stage(audit.own_defects(rows))))
 

@@ -16,21 +16,27 @@ def reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speakers.reconcile(timing.refine_timing(D.engine_words(D.words(spark, sf_dir))))
 
 
+def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Words, turns and segments, which a deployment has as tables, written once."""
+    return stage(D.engine_words(D.words(spark, sf_dir))), stage(D.turns(spark, sf_dir)), stage(D.segment_table(spark, sf_dir))
+
+
 def attributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return speakers.attribute(stage(reconciled(spark, sf_dir)), stage(D.turns(spark, sf_dir)), D.segment_table(spark, sf_dir))
+    words, turns, segments = _inputs(spark, sf_dir)
+    return speakers.attribute(stage(speakers.reconcile(timing.refine_timing(words))), turns, segments)
 
 
 def bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refine.bounded_rows(D.engine_words(D.words(spark, sf_dir)), stage(D.turns(spark, sf_dir)), D.segment_table(spark, sf_dir))
+    return refine.bounded_rows(*_inputs(spark, sf_dir))
 
 
 def with_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = stage(D.turns(spark, sf_dir))
-    return islands.detect_islands(stage(refine.bounded_rows(D.engine_words(D.words(spark, sf_dir)), turns, D.segment_table(spark, sf_dir))), turns)
+    words, turns, segments = _inputs(spark, sf_dir)
+    return islands.detect_islands(stage(refine.bounded_rows(words, turns, segments)), turns)
 
 
 def refined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refine.refine_programmes(D.engine_words(D.words(spark, sf_dir)), D.turns(spark, sf_dir), D.segment_table(spark, sf_dir))
+    return refine.refine_programmes(*_inputs(spark, sf_dir))
 
 
 def rec_reconciliation(spark, sf_dir):
