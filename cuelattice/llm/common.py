@@ -121,6 +121,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def let_go() -> None:
+    """Forget what an earlier operator kept in this Python worker."""
+    _HELD.clear()
+
+
 _HELD: dict = {}
 
 

@@ -32,7 +32,7 @@ DOCS_PER_LANG = 3_000
 TABLE, MODEL_ROWS = 10_000, 2_000_000
 LONGEST = 4
 FLOOR = -6.0
-CELLS = 1_200_000
+CELLS = 800_000
 SLICE = 4_000_000
 WORD = re.compile(r"[^\W\d_]+")
 
