@@ -59,11 +59,13 @@ def latency(events: DataFrame) -> DataFrame:
     return events.groupBy("queue").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("longest"), p(0.5).alias("p50"), p(0.95).alias("p95"), p(0.99).alias("p99"))
 
 
-def stage_and_flip(active: DataFrame, staged: DataFrame, run_id: str, at: Column) -> DataFrame:
-    """active (row_id, import_run_id, is_active, superseded_by, superseded_at), staged
+def stage_and_flip(active: DataFrame, staged: DataFrame, run_id: str, at: Column | None = None) -> DataFrame:
+    """active (row_id, import_run_id, is_active, superseded_by, superseded_at if any), staged
     (row_id): staged rows become active under run_id and replace active rows of their id,
-    which keep who superseded them and when. A second application changes nothing, since
+    which keep who superseded them and when (`at`, null if not given). A second application changes nothing, since
     rows of that run are not staged again."""
+    at = F.lit(None).cast("timestamp") if at is None else at
+    active = active if "superseded_at" in active.columns else active.withColumn("superseded_at", F.lit(None).cast("timestamp"))
     done = active.filter(F.col("import_run_id") == run_id).select("row_id")
     new = staged.select("row_id").distinct().join(done, "row_id", "left_anti")
     flag = new.select("row_id", F.lit(True).alias("_hit"))
