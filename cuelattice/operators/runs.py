@@ -1,4 +1,4 @@
-"""Chunked runs: plans, resume, harvest, counters, cost stop, versions."""
+"""Chunked runs: resume, harvest, counters, cost stop, versions (plans: `chunked`)."""
 
 from __future__ import annotations
 
@@ -8,12 +8,6 @@ from pyspark.sql import functions as F
 from .evidence import deterministic_uuid
 
 
-def plan_chunks(items: DataFrame, size: int) -> DataFrame:
-    """items (run_id, item_id) numbered in order of item_id; chunk_key `chunk:{i}`."""
-    n = F.row_number().over(Window.partitionBy("run_id").orderBy("item_id")) - 1
-    return items.withColumn("chunk_index", F.floor(n / size)).withColumn("chunk_key", F.concat(F.lit("chunk:"), "chunk_index"))
-
-
 def pending(chunks: DataFrame, completed: DataFrame) -> DataFrame:
     """Chunks of a run that no completed row names (null keys name none)."""
     return chunks.join(completed.select("run_id", "chunk_key"), ["run_id", "chunk_key"], "left_anti")
@@ -24,15 +18,18 @@ def harvest(in_flight: DataFrame, results: DataFrame) -> DataFrame:
     return in_flight.join(results.select("run_id", "chunk_key", "status"), ["run_id", "chunk_key"], "left")
 
 
-def counters(results: DataFrame) -> DataFrame:
-    """Per run: sums, failed keys in order, and status: running until every chunk is
-    final, then completed, failed, or partial."""
+def counters(results: DataFrame, most_failed: int = 200) -> DataFrame:
+    """Per run: sums, the first failed keys in order of chunk_index, and status: running
+    until every chunk is final, then completed, failed, or partial."""
     g = results.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("chunks"), F.count_if(F.col("status") == "ok").alias("ok"), F.count_if(F.col("status") == "failed").alias("failed"),
-        F.sum("characters").alias("characters"), F.sum("cost").alias("cost"), F.array_join(F.sort_array(F.collect_list(F.when(F.col("status") == "failed", F.col("chunk_key")))), ",").alias("failed_keys"),
+        F.sum("characters").alias("characters"), F.sum("cost").alias("cost"),
     )
+    rank = F.row_number().over(Window.partitionBy("run_id").orderBy("chunk_index"))
+    first = results.filter("status = 'failed'").withColumn("_k", rank).filter(F.col("_k") <= most_failed)
+    keys = first.groupBy("run_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk_index", "chunk_key"))), lambda x: x["chunk_key"]), ",").alias("failed_keys"))
     status = F.when(F.col("ok") + F.col("failed") < F.col("chunks"), "running").when(F.col("failed") == 0, "completed").when(F.col("ok") == 0, "failed").otherwise("partial")
-    return g.withColumn("run_status", status)
+    return g.join(keys, "run_id", "left").withColumns({"failed_keys": F.coalesce("failed_keys", F.lit("")), "run_status": status})
 
 
 def cost_stop(chunks: DataFrame, cap: float) -> DataFrame:

@@ -161,7 +161,7 @@ def fn_10_file_names(spark, sf_dir):
 
 def fn_15_job_keys(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
-    return o.select("o_orderkey", "o_custkey", X.job_key("gltv-cascade", F.col("o_orderkey")).alias("key"), X.job_key(F.lower("o_orderpriority"), F.col("o_custkey"), F.col("o_orderkey")).alias("key2"))
+    return o.select("o_orderkey", "o_custkey", X.job_key("cascade", F.col("o_orderkey")).alias("key"), X.job_key(F.lower("o_orderpriority"), F.col("o_custkey"), F.col("o_orderkey")).alias("key2"))
 
 
 def fn_16_backoff(spark, sf_dir):
@@ -329,7 +329,7 @@ ORACLES = {
         'Speaker '||case when regexp_matches(r,'(?i)^speaker[_\s]?(\d+)$') then (regexp_extract(r,'(\d+)$',1)::hugeint+1)::varchar when r<>'' then r else (i+1)::varchar end provider_label from r""",
     "fn_10_file_names": r"""with r as (select p_partkey, p_name, case when p_partkey%11=0 then '' when p_partkey%5=0 then '..a/b:c*'||p_name when p_partkey%7=0 then repeat(p_name,9) else p_name end r from part)
         select p_partkey, substr(regexp_replace(case when r='' then 'speaker' else r end,'[^A-Za-z0-9]','_','g'),1,40) slug, case when r='' then 'segment.wav' else substr(regexp_replace(regexp_replace(r,'[\\/:*?"<>|]','_','g'),'^\.+',''),1,180) end safe, len(list_filter(regexp_split_to_array(trim(p_name),'\s+'), lambda x: x<>'')) n_words from r""",
-    "fn_15_job_keys": "select o_orderkey, o_custkey, 'gltv-cascade-'||o_orderkey \"key\", lower(o_orderpriority)||'-'||o_custkey||'-'||o_orderkey key2 from orders",
+    "fn_15_job_keys": "select o_orderkey, o_custkey, 'cascade-'||o_orderkey \"key\", lower(o_orderpriority)||'-'||o_custkey||'-'||o_orderkey key2 from orders",
     "fn_16_backoff": "with e as (select event_id, event_id%7+1 n from events) select event_id, cast(least(600000.0, 2000*pow(5.0,n-1)) as bigint) fixed, greatest(500, cast(floor(list_reduce(list_transform(string_split(substr(sha256(event_id::varchar),1,8),''), lambda c: (strpos('0123456789abcdef',c)-1)::bigint), lambda a, c: a*16+c)/4294967296.0::double*least(20000.0,1000*pow(2.0,n-1))) as bigint)) jittered from e",
     "fn_14_word_clamps": _R + """, b as (select programme_id, segment_id, max(e)-120 b from words group by all), c as (select w.*, b, case when e>b and s<b then b else e end e2 from words w join b using (programme_id, segment_id))
         select programme_id, segment_id, bool_or(s>=b) erases, max(greatest(abs(s-ps),abs(e2-pe))) max_shift, cast(sum(e2) as bigint) ends from c group by all""",

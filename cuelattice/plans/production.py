@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators import evidence as E
-from ..operators import lines, rows, runs
+from ..operators import chunked, lines, rows, runs
 from ..operators.transcripts import RATES
 from ..sources import derived as D
 from .oracles import _EVENTS, _TURNS, _W
@@ -27,7 +27,7 @@ def _events(spark, sf_dir):
 def _chunks(spark, sf_dir):
     """Chunks of runs: orders of a customer group, twenty a chunk."""
     items = _t(spark, sf_dir, "orders").select((F.col("o_custkey") % 10).alias("run_id"), F.col("o_orderkey").alias("item_id"), F.col("o_totalprice").cast("decimal(20,2)").alias("cost"))
-    return runs.plan_chunks(items, 20)
+    return chunked.plan_run(items, 20)
 
 
 def _results(spark, sf_dir):
@@ -233,7 +233,7 @@ ORACLES = {
     "win_15_chunk_plan": "with " + _CH + " select run_id, chunk_index, 'chunk:'||chunk_index chunk_key, count(*) n_items, min(item_id) first_item from ch0 group by all",
     "jn_12_resume": "with " + _CH + " select run_id, chunk_key from res where status is distinct from 'ok'",
     "jn_11_harvest": "with " + _CH + " select run_id, chunk_key, status from res",
-    "agg_13_run_counters": "with " + _CH + """, g as (select run_id, count(*) chunks, count(*) filter (status='ok') ok, count(*) filter (status='failed') failed, cast(sum(characters) as bigint) characters, sum(cost)::double as "cost", coalesce(string_agg(chunk_key, ',' order by chunk_key) filter (status='failed'),'') failed_keys from res group by all)
+    "agg_13_run_counters": "with " + _CH + """, g as (select run_id, count(*) chunks, count(*) filter (status='ok') ok, count(*) filter (status='failed') failed, cast(sum(characters) as bigint) characters, sum(cost)::double as "cost", coalesce(array_to_string(list_slice(list(chunk_key order by chunk_index) filter (status='failed'),1,200),','),'') failed_keys from res group by all)
         select *, case when ok+failed<chunks then 'running' when failed=0 then 'completed' when ok=0 then 'failed' else 'partial' end run_status from g""",
     "win_14_cost_stop": "with " + _CH + " select run_id, chunk_index, coalesce(sum(cost) over (partition by run_id order by chunk_index rows between unbounded preceding and 1 preceding),0)<5000000 dispatched from res",
     "agg_14_latency": "with " + _EVENTS + " select queue, count(*) n, max(value) longest, quantile_cont(value,0.5) p50, quantile_cont(value,0.95) p95, quantile_cont(value,0.99) p99 from jobs group by all",

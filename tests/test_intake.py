@@ -95,7 +95,7 @@ def test_failure_classes(spark):
 def test_text_rules(spark):
     assert one(spark, X.safe_name(F.lit("..a/b\x01c"))) == "a_b_c" and one(spark, X.safe_name(F.lit(None).cast("string"))) == "segment.wav"
     assert one(spark, X.speaker_label(F.lit("SPEAKER_03"), F.lit(9))) == "Speaker 4" and one(spark, X.provider_speaker_label(F.lit("B"), F.lit(0))) == "Speaker B"
-    assert one(spark, X.job_key("me-poll")) == "me-poll-singleton" and one(spark, X.count_words(F.lit("a  b"), F.array())) == 0
+    assert one(spark, X.job_key("poll")) == "poll-singleton" and one(spark, X.count_words(F.lit("a  b"), F.array())) == 0
     df = spark.createDataFrame([("Straße!",), ("Été",), ("ﬁn",), (None,)], "t string")
     assert [r[0] for r in df.select(evidence.token_nfkd("t")).collect()] == ["straße", "ete", "fin", ""]
     assert {one(spark, X.jittered_backoff_ms(F.lit(9), F.lit(s))) <= 20_000 for s in range(5)} == {True}
