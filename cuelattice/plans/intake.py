@@ -170,6 +170,14 @@ def fn_16_backoff(spark, sf_dir):
     return e.select("event_id", X.backoff_ms(F.lit(2000), 5.0, n, 600_000).alias("fixed"), X.jittered_backoff_ms(n, F.col("event_id")).alias("jittered"))
 
 
+def fn_12_retry_after(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    k = F.col("event_id") % 4
+    header = F.when(k == 0, (F.col("event_id") % 60).cast("string")).when(k == 1, F.lit("soon")).otherwise(F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss 'GMT'"))
+    now = F.date_trunc("minute", "ts")
+    return e.select("event_id", evidence.retry_after_ms(header, now).alias("retry_ms"))
+
+
 def fn_14_word_clamps(spark, sf_dir):
     item = F.struct("word_index", F.col("s").alias("start_ms"), F.col("e").alias("end_ms"), F.col("ps").alias("provider_start_ms"), F.col("pe").alias("provider_end_ms"))
     g = D.words(spark, sf_dir).groupBy("programme_id", "segment_id").agg(F.sort_array(F.collect_list(item)).alias("words"), (F.max("e") - 120).alias("boundary"))
@@ -331,6 +339,7 @@ ORACLES = {
         select p_partkey, substr(regexp_replace(case when r='' then 'speaker' else r end,'[^A-Za-z0-9]','_','g'),1,40) slug, case when r='' then 'segment.wav' else substr(regexp_replace(regexp_replace(r,'[\\/:*?"<>|]','_','g'),'^\.+',''),1,180) end safe, len(list_filter(regexp_split_to_array(trim(p_name),'\s+'), lambda x: x<>'')) n_words from r""",
     "fn_15_job_keys": "select o_orderkey, o_custkey, 'cascade-'||o_orderkey \"key\", lower(o_orderpriority)||'-'||o_custkey||'-'||o_orderkey key2 from orders",
     "fn_16_backoff": "with e as (select event_id, event_id%7+1 n from events) select event_id, cast(least(600000.0, 2000*pow(5.0,n-1)) as bigint) fixed, greatest(500, cast(floor(list_reduce(list_transform(string_split(substr(sha256(event_id::varchar),1,8),''), lambda c: (strpos('0123456789abcdef',c)-1)::bigint), lambda a, c: a*16+c)/4294967296.0::double*least(20000.0,1000*pow(2.0,n-1))) as bigint)) jittered from e",
+    "fn_12_retry_after": "select event_id, case event_id%4 when 0 then least(30000, event_id%60*1000) when 1 then null else least(30000, epoch_ms(date_trunc('second', ts))-epoch_ms(date_trunc('minute', ts))) end retry_ms from events",
     "fn_14_word_clamps": _R + """, b as (select programme_id, segment_id, max(e)-120 b from words group by all), c as (select w.*, b, case when e>b and s<b then b else e end e2 from words w join b using (programme_id, segment_id))
         select programme_id, segment_id, bool_or(s>=b) erases, max(greatest(abs(s-ps),abs(e2-pe))) max_shift, cast(sum(e2) as bigint) ends from c group by all""",
     "prd_17_failure_classes": "select event_id, ([" + ",".join(f"'{c}'" for c in _CLASS) + f"])[cast(event_id%{len(_CLASS)}+1 as int)] failure from events",
