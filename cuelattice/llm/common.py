@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
@@ -122,8 +124,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def let_go() -> None:
-    """Forget what an earlier operator kept in this Python worker."""
-    _HELD.clear()
+    """Forget what an earlier operator kept in this Python worker, and give the memory
+    back to the system, where the C library can."""
+    if _HELD:
+        _HELD.clear()
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
 
 
 _HELD: dict = {}
@@ -133,6 +141,6 @@ def held(key: tuple, make):
     """What a Python worker keeps from task to task: one thing at a time, so that
     the caches of several operators never add up."""
     if key not in _HELD:
-        _HELD.clear()
+        let_go()
         _HELD[key] = make()
     return _HELD[key]

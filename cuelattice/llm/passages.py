@@ -39,8 +39,9 @@ from .common import by_bytes, held, materialise, mix64, partitions, shared_dir,
 LENGTH, GRAM = 200, 64
 REACH = LENGTH - GRAM + 1
 HOT = 3_000
-#: Window starts that are hashed at once; below 2**21 with what overlaps.
-BLOCK = 1_000_000
+#: Window starts that are hashed at once, and bytes that are put in order at once; below
+#: 2**20 with what overlaps.
+BLOCK = 500_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _LOW = np.uint64((1 << 21) - 1)
 
@@ -71,7 +72,7 @@ def spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nd
     n = len(data)
     if n < LENGTH:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
-    up, down, word = held(("powers",), lambda: _powers(1 << 21))
+    up, down, word = held(("powers",), lambda: _powers(1 << 20))
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(word[data] * up[:n], out=total[1:])
     gram = mix64((total[GRAM:] - total[: n - GRAM + 1]) * down[: n - GRAM + 1])
