@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, mixing, neighbours, page_text, passages, pieces, quality, simhash, token_files
+from . import clusters, fingerprints, language, mixing, neighbours, page_text, passages, phrases, pieces, quality, shards, simhash, token_files
+from .cluster_sql import cluster_sql
 from .common import table
 
 
@@ -63,7 +64,33 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_passages, op3_fingerprints, op4_language, op5_pieces, op6_token_files, op7_neighbours, op8_page_text, op9_simhash, op10_quality)}
+def op11_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_digest(table(spark, sf_dir, "documents"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mix_sources, op2_passages, op3_fingerprints, op4_language, op5_pieces, op6_token_files, op7_neighbours, op8_page_text, op9_simhash, op10_quality,
+        op11_clusters, op12_shards, op13_phrases,
+    )
+}
+
+def crc_steps(state: str, byte: str) -> str:
+    """One byte of a CRC-32, bit by bit."""
+    c = f"xor({state}, {byte})"
+    for _ in range(8):
+        c = f"list_transform([{c}], lambda c: xor(c >> 1, 3988292384 * (c & 1)))[1]"
+    return c
+
 
 ORACLES = {
     "op1_mix_sources": r"""
@@ -79,4 +106,24 @@ e as (select *, case when source_size > 0 then cast(floor(target / source_size)
 r as (select k.doc_id, k.size, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size rest,
     sum(k.size) over (partition by k.source order by k.key, k.doc_id, k.size rows between unbounded preceding and current row) - k.size / 2 mid from k join e on k.source is not distinct from e.source)
 select doc_id, size, source_size, target, cast((epochs + case when mid <= rest then 1 else 0 end) * size as bigint) taken from r""",
+    "op11_clusters": cluster_sql(),
+    "op12_shards": r"""
+with b as (select doc_id, source, octet_length(encode(coalesce(text, ''))) + 1 size, hex(encode(coalesce(text, ''))) x from documents),
+c as (select doc_id, source, size, xor(list_reduce([4294967295] || list_transform(range(size - 1), lambda i: cast('0x' || substr(x, 2 * i + 1, 2) as bigint)), lambda s, y: STEPS), 4294967295) crc from b),
+k as (select *, cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || ':' || crc || ':12'), 1, 10) as bigint) h, coalesce('=' || source, '') src from c),
+r as (select *, (2 * row_number() over (partition by src order by h, doc_id nulls first, size, crc) - 1)::double / (2 * count(*) over (partition by src))::double share from k),
+p as (select *, row_number() over (order by share, src, h, doc_id nulls first, size, crc) - 1 pos, count(*) over () total from r)
+select doc_id, size, crc text_crc32, 'rows' law, cast(pos * 8 // total as integer) shard, cast(pos - ((pos * 8 // total) * total + 7) // 8 as bigint) slot, cast(null as integer) grown_shard from p""".replace("STEPS", crc_steps("s", "y")),
+    "op13_phrases": r"""
+with p as (select coalesce(lang, 'und') lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) piece from documents),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') w from p), i as (select lang, w, unnest(range(1, len(w) + 1)) i from w),
+n as (select lang, count(*) n from i group by lang),
+g as (select lang, k words, array_to_string(w[i:i + k - 1], ' ') phrase from i, range(1, 6) t(k) where i + k - 1 <= len(w)),
+f as materialized (select lang, words, phrase, count(*) a from g group by all having count(*) >= 100),
+c as (select f.*, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') lp, array_to_string(string_split(phrase, ' ')[k + 1:], ' ') rp from f, range(1, 5) t(k) where k < words),
+s as (select c.lang, c.words, c.phrase, c.a, n.n, k, x.a l, y.a r, (1000::hugeint * c.a * n.n) // (x.a::hugeint * y.a) score from c join f x on x.lang = c.lang and x.phrase = lp join f y on y.lang = c.lang and y.phrase = rp join n on n.lang = c.lang),
+m as (select * from s qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+h as (select lang, array_to_string(string_split(phrase, ' ')[j:j + k - 1], ' ') phrase, max(a) longer from f, range(2, 5) t(k), range(1, 5) u(j) where k < words and j + k - 1 <= words group by 1, 2),
+o as (select m.*, row_number() over (partition by m.lang order by score desc, a desc, phrase) rk from m left join h using (lang, phrase) where longer is null or 100 * longer < 100 * a)
+select lang, rk rank, phrase, a, l, r, n, cast(score as bigint) score from o where rk <= 2000""",
 }
