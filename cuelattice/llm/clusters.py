@@ -26,7 +26,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, Stri
 
 K, ROUNDS, DIMS, SCALE, SEED = 8, 10, 64, 1024, 3
 #: Integers beyond this don't fit the decimals that carry sums; such vectors take no part.
-LARGEST = 2.0**100
+LARGEST = 2.0**80
 COUNT, INERTIA = -1, -2
 RESULT = StructType(
     [
@@ -93,7 +93,8 @@ def _sums(vector: str, centroids: list[list[int]], dims: int, scale: int):
                     here = won == c
                     new = [*part[here].sum(0).tolist(), int(here.sum()), far[here].sum()]
                     total[c] = [a + int(b) for a, b in zip(total.get(c, [0] * (dims + 2)), new, strict=True)]
-        rows = [(c, p, Decimal(v)) for c, vs in total.items() for p, v in zip([*range(dims), COUNT, INERTIA], vs, strict=True)]
+        # A sum of distances that passes a long is null in the end, so it needn't be carried whole.
+        rows = [(c, p, Decimal(min(v, 2**63) if p == INERTIA else v)) for c, vs in total.items() for p, v in zip([*range(dims), COUNT, INERTIA], vs, strict=True)]
         cols = list(zip(*rows, strict=True)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.decimal128(38, 0))], ["cluster", "pos", "total"])
 
@@ -128,7 +129,7 @@ def _long(n: int) -> int | None:
 def cluster(vectors: DataFrame, ident: str = "vec_id", vector: str = "embedding", k: int = K, rounds: int = ROUNDS, dims: int = DIMS, scale: int = SCALE, seed: int = SEED) -> DataFrame:
     """(ident, vector, ...) -> ident, cluster, distance (squared), cluster_inertia,
     inertia, centroid_sha256; one row for each vector that takes part: those with exactly
-    `dims` components, none null or non-finite, and no integer of 2^100 or more.
+    `dims` components, none null or non-finite, and no integer of 2^80 or more.
 
     The first centroids are the k vectors with the smallest sha256 of `seed:ident`, null
     idents last, equal ones by their integers; with fewer vectors there are fewer

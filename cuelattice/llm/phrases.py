@@ -74,7 +74,7 @@ def _chunks(shards: int):
             lang, shard, n, words, ids = open_.pop(lang).row(lang, next(turn) % shards)
             words = pa.array(words, pa.binary()).cast(pa.string())
             words = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
-            return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([shard], pa.int32()), pa.array([n], pa.int64()), words, pa.array([ids], pa.binary())], ["lang", "shard", "n_words", "words", "ids"])
+            return pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([shard], pa.int32()), pa.array([n], pa.int64()), words, pa.array([ids], pa.binary())], ["lang", "shard", "n_words", "words", "ids"])
 
         for batch in batches:
             langs = batch.column(0).to_pylist()
@@ -145,7 +145,7 @@ def _scan(steps, step: int, shards: int, longest: int):
                 for length, first, h, began, n in _active(words, ids, row["lang"], steps.value, step, shards, longest):
                     said = zip(*[[words[i - 1] for i in ids[first + k].tolist()] for k in range(length)], strict=True)
                     size = len(first)
-                    columns = [pa.array([row["lang"]] * size), pa.array([length] * size, pa.int32()), pa.array(map(" ".join, said), pa.string()), pa.array(h.view(np.int64)), pa.array(began, pa.int32()), pa.array(n, pa.int64())]
+                    columns = [pa.array([row["lang"]] * size, pa.string()), pa.array([length] * size, pa.int32()), pa.array(map(" ".join, said), pa.string()), pa.array(h.view(np.int64), pa.int64()), pa.array(began, pa.int32()), pa.array(n, pa.int64())]
                     yield pa.RecordBatch.from_arrays(columns, ["lang", "words", "phrase", "h", "began", "a"])
 
     return run

@@ -84,14 +84,6 @@ QUERIES = {
     )
 }
 
-def crc_steps(state: str, byte: str) -> str:
-    """One byte of a CRC-32, bit by bit."""
-    c = f"xor({state}, {byte})"
-    for _ in range(8):
-        c = f"list_transform([{c}], lambda c: xor(c >> 1, 3988292384 * (c & 1)))[1]"
-    return c
-
-
 ORACLES = {
     "op1_mix_sources": r"""
 with w as (select doc_id, source, text, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) size from documents),
@@ -108,12 +100,13 @@ r as (select k.doc_id, k.size, e.source_size, e.target, e.epochs, e.target - e.e
 select doc_id, size, source_size, target, cast((epochs + case when mid <= rest then 1 else 0 end) * size as bigint) taken from r""",
     "op11_clusters": cluster_sql(),
     "op12_shards": r"""
-with b as (select doc_id, source, octet_length(encode(coalesce(text, ''))) + 1 size, hex(encode(coalesce(text, ''))) x from documents),
-c as (select doc_id, source, size, xor(list_reduce([4294967295] || list_transform(range(size - 1), lambda i: cast('0x' || substr(x, 2 * i + 1, 2) as bigint)), lambda s, y: STEPS), 4294967295) crc from b),
+with t as (select list(list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1))) order by i) t from (select unnest(range(256)) i)),
+b as (select doc_id, source, octet_length(encode(coalesce(text, ''))) + 1 size, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: cast('0x' || h as bigint)) x from documents),
+c as (select doc_id, source, size, xor(list_reduce([4294967295] || x, lambda s, y: xor(s >> 8, t[(xor(s, y) & 255) + 1])), 4294967295) crc from b, t),
 k as (select *, cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || ':' || crc || ':12'), 1, 10) as bigint) h, coalesce('=' || source, '') src from c),
 r as (select *, (2 * row_number() over (partition by src order by h, doc_id nulls first, size, crc) - 1)::double / (2 * count(*) over (partition by src))::double share from k),
 p as (select *, row_number() over (order by share, src, h, doc_id nulls first, size, crc) - 1 pos, count(*) over () total from r)
-select doc_id, size, crc text_crc32, 'rows' law, cast(pos * 8 // total as integer) shard, cast(pos - ((pos * 8 // total) * total + 7) // 8 as bigint) slot, cast(null as integer) grown_shard from p""".replace("STEPS", crc_steps("s", "y")),
+select doc_id, size, crc text_crc32, 'rows' law, cast(pos * 8 // total as integer) shard, cast(pos - ((pos * 8 // total) * total + 7) // 8 as bigint) slot, cast(null as integer) grown_shard from p""",
     "op13_phrases": r"""
 with p as (select coalesce(lang, 'und') lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) piece from documents),
 w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') w from p), i as (select lang, w, unnest(range(1, len(w) + 1)) i from w),
