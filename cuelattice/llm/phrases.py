@@ -25,13 +25,13 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, mix64, release, text_views
 
 LEAST, LONGEST, TOP, PERCENT = 100, 5, 2_000, 100
-SHARDS = 4
+SHARDS = 2
 #: A chunk ends with the text that fills it to so many bytes; those open in a task hold so many together.
 CHUNK, OPEN = 2 << 20, 16 << 20
 #: Slots of the table of steps: SPREAD for each phrase there can be, within these bounds.
@@ -42,7 +42,7 @@ RANK_PARTS = 64
 _BREAK, _NONE = b"\n", b""
 _FOLD = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n ")
 _CHUNKS = "lang string, shard int, n_words long, words array<string>, ids binary"
-_COUNTS = "lang string, words int, phrase string, h long, began int, a long"
+_COUNTS = "lang string, phrase string, began int, a long"
 
 
 class _Chunk:
@@ -100,21 +100,36 @@ def cut_in_chunks(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     return texts.mapInArrow(_chunks(shards), _CHUNKS)
 
 
+def _slots(mask: int):
+    """The slot of each phrase of (lang, phrase), by the hash that chunks use."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = np.zeros(len(batch), np.uint64)
+            for i, (lang, phrase) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                seed = xxhash.xxh64_intdigest(lang)
+                h = np.array([xxhash.xxh64_intdigest(w, seed) for w in phrase.split(" ")], np.uint64)
+                out[i] = reduce(_joined, (h[k : k + 1] for k in range(len(h))))[0]
+            yield pa.RecordBatch.from_arrays([pa.array((out & np.uint64(mask)).astype(np.int64))], ["slot"])
+
+    return run
+
+
 def _joined(h: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Hash of a phrase from that of all but its last word, and the last word's."""
     return mix64(h * np.uint64(0x9E3779B97F4A7C15) + last)
 
 
-def _active(words: list[str], ids: np.ndarray, lang: str, steps: np.ndarray, step: int, shards: int, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Phrases of a chunk that are counted in this step: for each length the words in it,
-    where each distinct one first stands, its hash, since when it is active, its count."""
+def _active(words: list[str], ids: np.ndarray, lang: str, steps: np.ndarray, step: int, shards: int, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Phrases of a chunk that are counted in this step: for each length, where each distinct
+    one first stands, since when it is active, its count."""
     seed, mask = xxhash.xxh64_intdigest(lang), np.uint64(len(steps) - 1)
     hashes = np.array([0, *[xxhash.xxh64_intdigest(w, seed) for w in words]], np.uint64)
     if step < shards:
         n = np.bincount(ids, minlength=len(hashes))
         first = np.empty(len(hashes), np.int64)
         first[ids[::-1]] = np.arange(len(ids) - 1, -1, -1)
-        yield 1, first[1:], hashes[1:], np.zeros(len(words), np.int32), n[1:]
+        yield 1, first[1:], np.zeros(len(words), np.int32), n[1:]
     # Step since when longer phrases may hold the word; a break, like a word below the threshold, holds none.
     since = steps[(hashes & mask).astype(np.int64)]
     since[0] = 0
@@ -125,8 +140,8 @@ def _active(words: list[str], ids: np.ndarray, lang: str, steps: np.ndarray, ste
     for length in range(2, longest + 1):
         now = np.flatnonzero(step - began.astype(np.int32) < shards)
         if len(now):
-            kinds, where, n = np.unique(h[now], return_index=True, return_counts=True)
-            yield length, at[now[where]], kinds, began[now[where]].astype(np.int32), n
+            _, where, n = np.unique(h[now], return_index=True, return_counts=True)
+            yield length, at[now[where]], began[now[where]].astype(np.int32), n
         if length == longest or not len(at):
             return
         since = steps[(h & mask).astype(np.int64)]
@@ -142,15 +157,18 @@ def _scan(steps, step: int, shards: int, longest: int):
         for batch in batches:
             for row in batch.to_pylist():
                 words, ids = row["words"], np.frombuffer(row["ids"], "<i4")
-                for length, first, h, began, n in _active(words, ids, row["lang"], steps.value, step, shards, longest):
+                for length, first, began, n in _active(words, ids, row["lang"], steps.value, step, shards, longest):
                     said = zip(*[[words[i - 1] for i in ids[first + k].tolist()] for k in range(length)], strict=True)
-                    size = len(first)
-                    columns = [pa.array([row["lang"]] * size, pa.string()), pa.array([length] * size, pa.int32()), pa.array(map(" ".join, said), pa.string()), pa.array(h.view(np.int64), pa.int64()), pa.array(began, pa.int32()), pa.array(n, pa.int64())]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "words", "phrase", "h", "began", "a"])
+                    columns = [pa.array([row["lang"]] * len(first), pa.string()), pa.array(map(" ".join, said), pa.string()), pa.array(began, pa.int32()), pa.array(n, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "began", "a"])
 
     return run
 
 
+def _n_words() -> Column:
+    return F.size(F.split("phrase", " "))
+
+
 def frequent(chunks: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS) -> DataFrame:
     """chunks, as a written table, -> lang, words, phrase, a of every phrase of up to
     `longest` words that stands `least` times or more, with its whole count, written too.
@@ -167,19 +185,19 @@ def frequent(chunks: DataFrame, least: int = LEAST, longest: int = LONGEST, shar
         found = chunks.filter(F.col("shard") == step % shards).mapInArrow(_scan(known, step, shards, longest), _COUNTS).withColumn("reached", F.lit(None).cast("int"))
         if tables:
             found = found.unionByName(tables[-1].filter(F.col("began") > step - shards))
-        found = found.groupBy("lang", "words", "phrase").agg(F.first("h").alias("h"), F.min("began").alias("began"), F.sum("a").alias("a"), F.min("reached").alias("reached"))
+        found = found.groupBy("lang", "phrase").agg(F.min("began").alias("began"), F.sum("a").alias("a"), F.min("reached").alias("reached"))
         found = found.withColumn("reached", F.when(F.col("a") >= least, F.coalesce("reached", F.lit(step))))
         # What has been counted for a cycle and stays below the threshold goes.
         tables.append(materialise(found.filter((F.col("began") > step + 1 - shards) | (F.col("a") >= least)), "phrase-counts"))
         known.destroy()
-        new = tables[-1].filter((F.col("reached") == step) & (F.col("words") < longest)).select(F.expr(f"h & {slots - 1}L").alias("slot")).distinct()
-        slot = new.toArrow().column(0).to_numpy()
+        new = tables[-1].filter((F.col("reached") == step) & (_n_words() < longest)).select("lang", "phrase")
+        slot = new.mapInArrow(_slots(slots - 1), "slot long").distinct().toArrow().column(0).to_numpy()
         if len(slot):
             steps = steps.copy()
             steps[slot[steps[slot] == 0]] = step + 1
             last = max(last, step + shards)
         step += 1
-    whole = [t.filter(F.col("began") == i + 1 - shards).select("lang", "words", "phrase", "a") for i, t in enumerate(tables)]
+    whole = [t.filter(F.col("began") == i + 1 - shards).select("lang", _n_words().alias("words"), "phrase", "a") for i, t in enumerate(tables)]
     out = materialise(reduce(DataFrame.unionByName, whole), "phrase-frequent")
     release(*tables)
     return out
