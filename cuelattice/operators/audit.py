@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from . import folds
 
 #: Fixed values that results depend on.
 REPAIR_MS = 250
@@ -41,18 +42,8 @@ def overlap_sweep(rows: DataFrame) -> DataFrame:
     """programme_id, sequence_index, other_index, overlap_ms, repaired: each row that
     begins before the furthest earlier row of its speaker ends. A short overlap that
     erases no word pulls the earlier end back. The furthest row depends on earlier
-    repairs, so a speaker's rows pass through one ordered, native fold."""
-    item = F.struct("start_ms", "end_ms", "sequence_index", F.coalesce("last_word_start", F.lit(-1)).cast("long").alias("w"), F.col("cluster").isNull().alias("x"))
-    per = rows.groupBy("programme_id", "cluster").agg(F.sort_array(F.collect_list(item)).alias("rows"))
-    hit = "struct<sequence_index:bigint,other_index:bigint,overlap_ms:bigint,repaired:boolean>"
-    over = "coalesce(a.e - r.start_ms, 0)"
-    fix = f"({over} > {EPSILON_MS} and {over} <= {REPAIR_MS} and r.start_ms > a.s and a.w < r.start_ms)"
-    fold = f"""aggregate(rows, named_struct('s', cast(null as bigint), 'e', cast(null as bigint), 'i', cast(null as bigint), 'w', cast(null as bigint), 'out', cast(array() as array<{hit}>)),
-        (a, r) -> named_struct(
-          's', if(a.e is null or r.end_ms > if({fix}, r.start_ms, a.e), r.start_ms, a.s), 'e', if(a.e is null or r.end_ms > if({fix}, r.start_ms, a.e), r.end_ms, if({fix}, r.start_ms, a.e)),
-          'i', if(a.e is null or r.end_ms > if({fix}, r.start_ms, a.e), r.sequence_index, a.i), 'w', if(a.e is null or r.end_ms > if({fix}, r.start_ms, a.e), r.w, a.w),
-          'out', if({over} > {EPSILON_MS}, array_append(a.out, named_struct('sequence_index', r.sequence_index, 'other_index', a.i, 'overlap_ms', {over}, 'repaired', {fix})), a.out)), a -> a.out)"""
-    return per.select("programme_id", F.explode(F.expr(fold)).alias("h")).select("programme_id", "h.*")
+    repairs, so a speaker's rows are gone through in order, in blocks."""
+    return folds.furthest_row(rows, rows.schema["programme_id"].dataType.simpleString(), EPSILON_MS, REPAIR_MS)
 
 
 def audit(rows: DataFrame) -> DataFrame:
@@ -163,6 +154,9 @@ SENTENCES = {
     "no_dialogue": "Non-dialogue line: no spoken words to validate, so its window is carried unchanged.",
     "evidence": "Words, timings, boundary and speaker all passed on evidence with nothing overridden.",
 }
+SPAN_REASON = (
+    "Refinement heard ", " different speakers inside this operator-authored line. The line was kept whole rather than divided — splitting it would mean guessing which words belong to which speaker — so its speaker attribution is not proven and needs an operator ruling.",
+)
 OVERRIDES = {
     "provider_timing_rejected": "the transcriber's timing was overruled as physically impossible",
     "capture_restored": "the audio check's timing was replaced by the transcriber's measured window",
@@ -173,10 +167,17 @@ OVERRIDES = {
 }
 
 
-def derive_state(rows: DataFrame) -> DataFrame:
+def with_span_reason(rows: DataFrame) -> DataFrame:
+    """Adds span_reason: of a line kept whole, how many speakers (n_clusters) were heard in it."""
+    said = F.concat(F.lit(SPAN_REASON[0]), F.col("n_clusters").cast("string"), F.lit(SPAN_REASON[1]))
+    return rows.withColumn("span_reason", F.when(F.col("span_unresolved"), said))
+
+
+def derive_state(rows: DataFrame, own_reasons: bool = False) -> DataFrame:
     """Adds unresolved_timing, unresolved_speaker, state, cause (short code of what
     decided it), overrides (codes of disclosed corrections, comma-joined) and
-    state_reason, the sentence shown for it."""
+    state_reason, the sentence shown for it. own_reasons: a row's span_reason or
+    island_reason stands in place of the sentence for its cause, unless null or empty."""
     unmeasured = F.col("authored_preserved") & ~F.col("is_music")
     timing = (
         F.when(unmeasured, "unmeasured_text").when(F.col("unresolved_words") > 0, "unplaced_words").when(F.col("exhausted_words") > 0, "window_edge").when(F.col("near_zero_words") > 0, "too_short")
@@ -206,6 +207,8 @@ def derive_state(rows: DataFrame) -> DataFrame:
     reason = F.when(cause == "overrides", say("Delivered with disclosed evidence-based overrides: ", F.array_join("_o", "; "), "."))
     for code, text in SENTENCES.items():
         known = say(number(counted[code]), text) if code in counted else say(text[0], number("uncovered_words"), text[1]) if code == "no_turn" else F.lit(text)
+        if own_reasons and code in ("several_speakers", "island"):
+            known = F.coalesce(F.nullif(F.col("span_reason" if code == "several_speakers" else "island_reason"), F.lit("")), known)
         reason = reason.when(cause == code, known)
     reason = F.when(also, F.concat(reason, say(OUT_OF_ORDER[0], number("conflict_ms"), OUT_OF_ORDER[1]))).otherwise(reason)
     out = r.withColumns({

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import exprs as X
 from .intervals import BUCKET_MS
 
 #: Fixed values that results depend on.
@@ -14,6 +15,7 @@ TIGHT_MS = 300
 CONTACT_MS = 40
 PROBE_MS = 400
 OVERLAP_MS = 100
+REASON = ("Short speaker island inside overlapping speech; surrounding evidence favors ", ".")
 
 
 def ends_sentence(text: Column) -> Column:
@@ -51,10 +53,13 @@ def competing_ms(rows: DataFrame, turns: DataFrame) -> DataFrame:
 
 def detect_islands(rows: DataFrame, turns: DataFrame) -> DataFrame:
     """Rows (..., sequence_index, start_ms, end_ms, cluster, is_music, n_words, text)
-    with island (boolean), overlap_ms, suggested (the target's cluster) and signals,
-    null where no island is seen."""
+    with island (boolean), overlap_ms, suggested (the target's cluster), signals and
+    island_reason, the sentence that names the favoured speaker; null where no island is
+    seen. speaker_index, if there, numbers speakers whose cluster has no number."""
+    place = F.col("speaker_index") if "speaker_index" in rows.columns else F.lit(0)
+    rows = rows.withColumn("_place", place)
     order = Window.partitionBy("programme_id").orderBy("sequence_index")
-    me = F.struct("cluster", "is_music", "start_ms", "end_ms", "text")
+    me = F.struct("cluster", "is_music", "start_ms", "end_ms", "text", "_place")
     r = rows.withColumns({"_p": F.lag(me).over(order), "_n": F.lead(me).over(order)})
     other = lambda x: F.coalesce(~F.col(x + ".is_music") & (F.col(x + ".cluster") != F.col("cluster")), F.lit(False))
     r = r.withColumns({"_gb": F.greatest(F.lit(0), F.col("start_ms") - F.col("_p.end_ms")), "_ga": F.greatest(F.lit(0), F.col("_n.start_ms") - F.col("end_ms")), "_cp": other("_p"), "_cn": other("_n")})
@@ -79,5 +84,9 @@ def detect_islands(rows: DataFrame, turns: DataFrame) -> DataFrame:
         name("_contact", "contact_seam"), name("_over", "competing_speaker_activity"), name("_attached", "lexical_continuity"),
     ))
     out = r.withColumn("island", fires & F.col("target").isNotNull())
-    out = out.withColumns({"suggested": F.when(F.col("island"), F.col("target")), "signals": F.when(F.col("island"), F.array_join(signals, ","))})
+    favoured = X.speaker_label(F.col("target"), F.coalesce(F.when(F.col("_to_next"), F.col("_n._place")).otherwise(F.col("_p._place")), F.lit(0)))
+    out = out.withColumns({
+        "suggested": F.when(F.col("island"), F.col("target")), "signals": F.when(F.col("island"), F.array_join(signals, ",")),
+        "island_reason": F.when(F.col("island"), F.concat(F.lit(REASON[0]), favoured, F.lit(REASON[1]))),
+    })
     return out.drop("target", *[c for c in out.columns if c.startswith("_")])

@@ -9,17 +9,21 @@ from ..staging import stage
 from . import audit, boundaries, islands, speakers, timing
 
 
-def bounded_rows(words: DataFrame, turns: DataFrame, segments: DataFrame) -> DataFrame:
+def bounded_rows(words: DataFrame, turns: DataFrame, segments: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
     """words as the aligner answers them (see `speakers.reconcile`), turns and segments (see
-    `speakers.attribute`) -> output rows with their boundaries and chronology conflicts."""
-    done = stage(speakers.reconcile(timing.refine_timing(words)))
-    return boundaries.mark_chronology(boundaries.derive_boundaries(stage(speakers.attribute(done, turns, segments))))
-
-
-def refine_programmes(words: DataFrame, turns: DataFrame, segments: DataFrame) -> DataFrame:
-    """One row per output row with its final window, speaker, defects and state."""
-    rows = islands.detect_islands(stage(bounded_rows(words, turns, segments)), turns)
-    return audit.derive_state(audit.audit(stage(audit.own_defects(rows))))
+    `speakers.attribute`) -> output rows with their boundaries and chronology conflicts.
+    lengths (programme_id, duration_ms), where known, end a programme's last lead-out."""
+    rows = stage(speakers.attribute(stage(speakers.reconcile(timing.refine_timing(words))), turns, segments))
+    if lengths is not None:
+        rows = rows.join(lengths.select("programme_id", "duration_ms"), "programme_id", "left")
+    return boundaries.mark_chronology(boundaries.derive_boundaries(rows, None if lengths is None else "duration_ms"))
+
+
+def refine_programmes(words: DataFrame, turns: DataFrame, segments: DataFrame, lengths: DataFrame | None = None, own_reasons: bool = True) -> DataFrame:
+    """One row per output row with its final window, speaker, defects and state. Without
+    own_reasons a disputed speaker is told by the general sentences."""
+    rows = islands.detect_islands(stage(bounded_rows(words, turns, segments, lengths)), turns)
+    return audit.derive_state(audit.audit(stage(audit.own_defects(audit.with_span_reason(rows)))), own_reasons)
 
 
 def export_gate(states: DataFrame) -> DataFrame:

@@ -77,10 +77,17 @@ def liveness(events: DataFrame, gap_seconds: int) -> DataFrame:
     return events.withColumn("session", F.sum(new.cast("int")).over(order)).groupBy("job_id", "session").agg(F.count(F.lit(1)).alias("n_events")).withColumn("session", F.col("session").cast("long"))
 
 
-def liveness_verdicts(events: DataFrame, gap_seconds: int, most: int = 2) -> DataFrame:
+def liveness_verdicts(events: DataFrame, gap_seconds: int, most: int = 2, last: bool = False) -> DataFrame:
     """Per job, how often nothing was heard of it for longer than the gap while it was
-    active, and what that makes of it: alive, stalled, or failed after `most` stalls."""
-    order, at = Window.partitionBy("job_id").orderBy("ts", "event_id"), F.col("ts").cast("timestamp")
-    stall = (F.lag("state").over(order) == "active") & (F.unix_micros(at) - F.unix_micros(F.lag(at).over(order)) > gap_seconds * 1_000_000)
-    g = events.withColumn("_stall", F.coalesce(stall, F.lit(False))).groupBy("job_id").agg(F.count_if("_stall").alias("stalls"))
+    active, and what that makes of it: alive, stalled, or failed after `most` stalls.
+    last: the silence after a job's last event counts too, up to the latest time in the
+    table."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    order = Window.partitionBy("job_id").orderBy("ts", "event_id")
+    e = events.withColumns({"_at": at, "_next": F.lead(at).over(order)})
+    if last:
+        now = events.agg(F.max(at).alias("_now")).withColumn("_one", F.lit(1))
+        e = e.withColumn("_one", F.lit(1)).join(F.broadcast(now), "_one").withColumn("_next", F.coalesce("_next", "_now"))  # now is one row
+    stall = (F.col("state") == "active") & (F.col("_next") - F.col("_at") > gap_seconds * 1_000_000)
+    g = e.groupBy("job_id").agg(F.count_if(F.coalesce(stall, F.lit(False))).alias("stalls"))
     return g.withColumn("verdict", F.when(F.col("stalls") > most, "failed").when(F.col("stalls") > 0, "stalled").otherwise("alive"))

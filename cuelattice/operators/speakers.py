@@ -120,7 +120,7 @@ def attribute(words: DataFrame, turns: DataFrame, segments: DataFrame) -> DataFr
     out = out.withColumn("authored_preserved", (F.col("n_words") == 0) & ~F.col("is_music")).join(plan, ["programme_id", "cluster"], "left")
     order = Window.partitionBy("programme_id").orderBy("start_ms", "end_ms", "segment_id", "group_no")
     out = out.withColumn("sequence_index", (F.row_number().over(order) - 1).cast("long"))
-    return out.drop("provider", "_s", "_e", "_ws", "_we", "_split", "_groups", "first_cluster", "machine_text", "carried_start", "carried_end", "has_words", "source_text", "boundary_source", "n_clusters")
+    return out.drop("provider", "_s", "_e", "_ws", "_we", "_split", "_groups", "first_cluster", "machine_text", "carried_start", "carried_end", "has_words", "source_text", "boundary_source")
 
 
 def cluster_counts(attributed: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Timing refinement of aligned words: disputes, arbitration, clamp, acceptance.
 
 Everything per word is a window inside its programme; only the few disputed runs
-of a programme pass through an ordered fold, as a native aggregate()."""
+of a programme pass through an ordered fold, in ranges where there are many."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..staging import stage
+from . import folds
 
 ORDER = ("segment_id", "word_index")
 
@@ -77,29 +79,18 @@ def disputed_runs(numbered: DataFrame) -> DataFrame:
     )
 
 
-def decide_runs(runs: DataFrame) -> DataFrame:
-    """programme_id, decided: map of run to (aligned_ok, restored, f_in). A programme's
-    runs are decided in order, each seeing the furthest end before it."""
-    item = F.struct("_run", "aligned_ok", "prov_ok", "t", "before", "prov_max", "aligned_max")
-    per = runs.groupBy("programme_id").agg(F.sort_array(F.collect_list(item)).alias("runs"))
-    back = "(r.prov_ok and not r.aligned_ok and coalesce(greatest(a.f, r.before) <= r.t, true))"
-    out = "array<struct<run:bigint,aligned_ok:boolean,restored:boolean,f_in:bigint>>"
-    fold = f"""aggregate(runs, named_struct('f', cast(null as bigint), 'out', cast(array() as {out})), (a, r) -> named_struct(
-        'f', greatest(a.f, r.before, if({back}, r.prov_max, r.aligned_max)),
-        'out', array_append(a.out, named_struct('run', r._run, 'aligned_ok', r.aligned_ok, 'restored', {back}, 'f_in', greatest(a.f, r.before)))), a -> a.out)"""
-    folded = per.select("programme_id", F.expr(fold).alias("d"))
-    return folded.select("programme_id", F.map_from_arrays(F.transform("d", lambda x: x["run"]), "d").alias("decided"))
-
-
 def arbitrate(words: DataFrame) -> DataFrame:
     """Adds outcome (undisputed, restored, provider_timing_rejected,
     alignment_collapsed, unresolved) and the chosen window s, e; the aligned one
     stays as prior_s, prior_e. A decided dispute tells its arbitration_reason and the
-    ceiling, provider's and aligned durations it was judged by. Words stay in their
-    programme's partition throughout: decisions come back by programme."""
-    numbered = number_runs(flag_disputes(words))
-    decided = decide_runs(disputed_runs(numbered))
-    w = numbered.join(decided, "programme_id", "left").withColumn("_d", F.when(F.col("disputed"), F.try_element_at("decided", F.col("_run")))).drop("decided")
+    ceiling, provider's and aligned durations it was judged by. Runs are decided in order
+    (`folds.furthest_end`); decisions, counted first, come to the words where they are."""
+    numbered = stage(number_runs(flag_disputes(words)))
+    runs = disputed_runs(numbered)
+    n, last = runs.agg(F.count(F.lit(1)), F.max("_run")).first()
+    decided = folds.furthest_end(runs, words.schema["programme_id"].dataType.simpleString(), (last or 0) >= folds.RANGE)
+    decided = decided.select("programme_id", "_run", F.struct("aligned_ok", "restored", "f_in").alias("_d"))
+    w = numbered.join(F.broadcast(decided) if n <= folds.BROADCAST else decided, ["programme_id", "_run"], "left")
     back = F.coalesce(F.col("_d.restored"), F.lit(False))
     outcome = F.when(~F.col("disputed"), "undisputed").when(back, "restored").when(F.col("_d.aligned_ok"), "provider_timing_rejected").when(F.col("stacked"), "alignment_collapsed").otherwise("unresolved")
     new_s = F.when(F.col("_first") & (F.col("_d.f_in") > F.col("ps")), F.col("_d.f_in")).otherwise(F.col("ps"))

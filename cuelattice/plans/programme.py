@@ -36,7 +36,7 @@ def with_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def refined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refine.refine_programmes(*_inputs(spark, sf_dir))
+    return refine.refine_programmes(*_inputs(spark, sf_dir), own_reasons=False)
 
 
 def rec_reconciliation(spark, sf_dir):
@@ -92,6 +92,15 @@ def pipe_03_boundaries(spark, sf_dir):
     return bounded(spark, sf_dir).select(*ROW, "start_ms", "end_ms", "boundary", "lead_in_ms", "lead_out_ms", "delta_start_ms", "delta_end_ms", "contradicted", "recovered", "conflict_ms")
 
 
+def pipe_03_boundaries_of_length(spark, sf_dir):
+    """Programmes whose length is known: some end before the last row's lead-out, some within
+    the last word."""
+    words, turns, segments = _inputs(spark, sf_dir)
+    length = (F.max("e") + (F.col("programme_id") * 37) % 300 - 50).alias("duration_ms")
+    rows = refine.bounded_rows(words, turns, segments, words.groupBy("programme_id").agg(length).filter("programme_id % 5 <> 0"))
+    return rows.select(*ROW, "start_ms", "end_ms", "boundary", "lead_in_ms", "lead_out_ms")
+
+
 def agg_08_boundary_report(spark, sf_dir):
     r = boundaries.boundary_report(bounded(spark, sf_dir))
     return r.withColumn("conflict_sequences", F.array_join(F.transform("conflict_sequences", lambda x: x.cast("string")), ","))
@@ -131,6 +140,10 @@ def pipe_06_states(spark, sf_dir):
     return refined_rows(spark, sf_dir).select(*ROW, "state", "cause", "overrides", "unresolved_timing", "unresolved_speaker", "state_reason")
 
 
+def pipe_06_own_reasons(spark, sf_dir):
+    return refine.refine_programmes(*_inputs(spark, sf_dir)).filter("unresolved_speaker").select(*ROW, "state", "cause", "state_reason")
+
+
 def pipe_07_export_gate(spark, sf_dir):
     return refine.export_gate(refined_rows(spark, sf_dir)).select("programme_id", "blocking", "total", "exportable")
 
@@ -142,7 +155,7 @@ def agg_09_state_summary(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        rec_reconciliation, agg_06_word_report, agg_04_word_evidence, pipe_02_attribution, agg_03_row_rollups, agg_02_cluster_counts, pipe_03_boundaries, agg_08_boundary_report,
-        pipe_04_islands, fold_03_overlaps, pipe_05_audit, agg_07_integrity, agg_07_run_report, fold_03_repairs, pipe_06_states, pipe_07_export_gate, agg_09_state_summary, agg_05_capture_report, agg_06_onset_report, agg_06_acceptance_report, agg_06_reconciliation_report,
+        rec_reconciliation, agg_06_word_report, agg_04_word_evidence, pipe_02_attribution, agg_03_row_rollups, agg_02_cluster_counts, pipe_03_boundaries, pipe_03_boundaries_of_length, agg_08_boundary_report,
+        pipe_04_islands, fold_03_overlaps, pipe_05_audit, agg_07_integrity, agg_07_run_report, fold_03_repairs, pipe_06_states, pipe_06_own_reasons, pipe_07_export_gate, agg_09_state_summary, agg_05_capture_report, agg_06_onset_report, agg_06_acceptance_report, agg_06_reconciliation_report,
     )
 }

@@ -1,6 +1,6 @@
 """DuckDB SQL of the programme queries, as one chain of named steps."""
 
-from ..operators import audit
+from ..operators import audit, islands
 from .oracles import _DISPUTED, _FOLD, _RULES, _TURNS, _W
 
 _P = "partition by programme_id"
@@ -108,8 +108,9 @@ def _q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _sentence() -> str:
-    """The sentence of a row's state, from the fixed texts."""
+def _sentence(own: bool = False) -> str:
+    """The sentence of a row's state, from the fixed texts; own: with those that a row
+    brings along for a disputed speaker."""
     s, o = audit.SENTENCES, audit.OVERRIDES
     said = ", ".join((
         f"case when rejected then {_q(o['provider_timing_rejected'])} end", f"case when restored then {_q(o['capture_restored'])} end", f"case when onset_moved then {_q(o['onset_reconstructed'])} end", f"case when cleared_words>0 then cleared_words||{_q(o['unresolved_cleared'])} end",
@@ -118,8 +119,12 @@ def _sentence() -> str:
     plain = {"unmeasured_text", "collapse", "overlap", "chronology", "divergence"}
     timing = " ".join(f"when tm='{c}' then {_q(s[c])}" for c in sorted(plain)) + f" when tm='unplaced_words' then unresolved_words||{_q(s['unplaced_words'])} when tm='window_edge' then exhausted_words||{_q(s['window_edge'])} when tm='too_short' then near_zero_words||{_q(s['too_short'])}"
     late = f"case when conflict_ms>0 and tm<>'chronology' then {_q(audit.OUT_OF_ORDER[0])}||conflict_ms||{_q(audit.OUT_OF_ORDER[1])} else '' end"
+    several, island = _q(s["several_speakers"]), _q(s["island"])
+    if own:
+        several = f"{_q(audit.SPAN_REASON[0])}||heard||{_q(audit.SPAN_REASON[1])}"
+        island = f"{_q(islands.REASON[0])}||'Speaker '||(cast(regexp_extract(suggested,'[0-9]+$') as bigint)+1)||{_q(islands.REASON[1])}"
     return (
-        f"case when override then {_q(s['operator'])} when tm is not null then (case {timing} end)||{late} when sp='no_turn' then {_q(s['no_turn'][0])}||uncovered_words||{_q(s['no_turn'][1])} when sp='several_speakers' then {_q(s['several_speakers'])} when sp='island' then {_q(s['island'])} "
+        f"case when override then {_q(s['operator'])} when tm is not null then (case {timing} end)||{late} when sp='no_turn' then {_q(s['no_turn'][0])}||uncovered_words||{_q(s['no_turn'][1])} when sp='several_speakers' then {several} when sp='island' then {island} "
         f"when is_music then {_q(s['no_dialogue'])} when overrides<>'' then 'Delivered with disclosed evidence-based overrides: '||array_to_string(list_filter([{said}], lambda x: x is not null),'; ')||'.' else {_q(s['evidence'])} end"
     )
 
@@ -159,6 +164,9 @@ ORACLES = {
     "pipe_02_attribution": _A + f" select {_ROW}, sequence_index, cluster, speaker_index, start_ms, end_ms, core_start, core_end, pb_start, pb_end, n_words, span_unresolved, authored_preserved, is_music, text from rows_",
     "agg_03_row_rollups": _A + f" select {_ROW}, unresolved_words, exhausted_words, near_zero_words, cleared_words, uncovered_words, absorbed_ms, max_shift_ms, restored, rejected, collapsed, below_floor_words, restored_ms, rejected_ms, expansion_ms, alignment_pass, floor(mean_confidence*1e6+0.501)/1e6 mean_confidence from rows_",
     "agg_02_cluster_counts": _A + " select programme_id, cluster, count(*) n_rows from rows_ group by all",
+    "pipe_03_boundaries_of_length": _A + _BOUNDS.replace("from rows_)", "from rows_ left join (select programme_id, max(e)+(programme_id*37)%300-50 dur from words where programme_id%5<>0 group by programme_id) using (programme_id))", 1).replace("when nx is null then 200.0", "when nx is null then coalesce(greatest(0.0,dur-core_end),200.0)")
+        + f" select {_ROW}, start_ms, end_ms, boundary, lead_in_ms, lead_out_ms from bounds",
+    "pipe_06_own_reasons": _D + _STATES + f", hd as (select programme_id, segment_id, group_no, count(distinct filled) heard from w6 group by all) select {_ROW}, state, cause, " + _sentence(True) + " state_reason from states left join hd using (programme_id, segment_id, group_no) where unresolved_speaker",
     "pipe_03_boundaries": _B + f" select {_ROW}, start_ms, end_ms, boundary, lead_in_ms, lead_out_ms, delta_start_ms, delta_end_ms, contradicted, recovered, conflict_ms from bounds",
     "agg_08_boundary_report": _B + """ select programme_id, count(*) filter (boundary='validated_words') validated_words, count(*) filter (boundary='validated_words_stable') validated_words_stable, count(*) filter (boundary='music_preserved') music_preserved, count(*) filter (boundary='authored_preserved') authored_preserved,
         count(*) filter (boundary='unresolved_words_preserved') unresolved_words_preserved, count(*) filter (recovered) recovered, count(*) filter (contradicted) contradicted, greatest(0,coalesce(max(end_ms-pb_end) filter (has_core),0)) worst_extension_ms, greatest(0,coalesce(max(pb_end-end_ms) filter (has_core),0)) worst_reduction_ms,
