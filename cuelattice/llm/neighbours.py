@@ -3,7 +3,7 @@
 Centroids come from balanced k-means on a bounded sample: one list for LIST vectors of
 the table, CENTROIDS lists at most, fitted on FIT vectors a list and SAMPLE at least. Every vector joins its nearest list, and lists whose distance is
 within BOUNDARY of that, REPLICAS at most. Centroids are held in memory as a
-neighbour graph and found by best-first search; a query visits the lists within
+neighbour graph and found by best-first search, a block of vectors at a time; a query visits the lists within
 PRUNE of its nearest one, PROBES at most, but at least LEAST lists, and further
 ones until they hold ENOUGH rows. A query that still finds fewer than NEAREST
 while there are more candidates visits all lists. Lists live in Spark: (list, slice) is a shuffle key, a list
@@ -14,7 +14,6 @@ vector it holds, meets in one task.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -26,6 +25,8 @@ from .common import materialise, partitions
 SAMPLE, FIT, CENTROIDS, LIST = 20_000, 8, 16_384, 256
 BOUNDARY, REPLICAS, PRUNE, PROBES = 1.3, 6, 1.4, 64
 SLICE, DEGREE, BEAM = 2_000, 24, 96
+#: Vectors searched together; each takes a byte for every centroid.
+BLOCK = 256
 QUERY_EVERY, NEAREST = 100, 10
 #: A vector is in REPLICAS lists at most, so ENOUGH rows hold twice the vectors needed.
 LEAST, ENOUGH = 8, 2 * REPLICAS * (NEAREST + 1)
@@ -79,54 +80,68 @@ class CentroidGraph:
             for j in list(links[i])[: DEGREE // 2]:
                 links[j].add(i)
             links[i].add((i + 1) % len(c))
-        self.links = [np.array(sorted(s - {i}), dtype=np.int64) for i, s in enumerate(links)]
+        self.links = np.full((len(c), max(1, max(len(s - {i}) for i, s in enumerate(links)))), -1, np.int32)
+        for i, s in enumerate(links):
+            near = sorted(s - {i})
+            self.links[i, : len(near)] = near
         self.entries = np.arange(0, len(c), max(1, len(c) // 16))
 
     def search(self, q: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-        """The beam nearest centroids found, ascending: positions and distances."""
-        seen = set(self.entries.tolist())
-        d = ((self.c[self.entries] - q) ** 2).sum(1)
-        heap: list = []
-        best: list = []
-        for x, i in zip(d.tolist(), self.entries.tolist(), strict=True):
-            heappush(heap, (x, i))
-            heappush(best, (-x, i))
-        while heap:
-            x, i = heappop(heap)
-            if len(best) >= beam and x > -best[0][0]:
+        """For each row of q the beam nearest centroids found, ascending: positions and
+        distances. All rows advance together: each opens its nearest unopened centroid and
+        keeps the best `beam` of what it held and what that one is joined to."""
+        far = lambda at, rows: ((self.c[at] - q[rows][:, None]) ** 2).sum(2)
+        beam, n = min(beam, len(self.c)), len(q)
+        seen = np.zeros((n, len(self.c)), bool)
+        seen[:, self.entries] = True
+        at = np.broadcast_to(self.entries, (n, len(self.entries))).copy()
+        d = far(at, np.arange(n))
+        more = max(0, beam - at.shape[1])
+        at, d = np.pad(at, ((0, 0), (0, more))), np.pad(d, ((0, 0), (0, more)), constant_values=np.inf)
+        opened = ~np.isfinite(d)
+        while True:
+            left = np.where(opened, np.inf, d)
+            pick = left.argmin(1)
+            rows = np.flatnonzero(np.isfinite(left[np.arange(n), pick]))
+            if not len(rows):
                 break
-            new = [j for j in self.links[i].tolist() if j not in seen]
-            seen.update(new)
-            for y, j in zip(((self.c[new] - q) ** 2).sum(1).tolist(), new, strict=True) if new else ():
-                if len(best) < beam or y < -best[0][0]:
-                    heappush(heap, (y, j))
-                    heappush(best, (-y, j))
-                    if len(best) > beam:
-                        heappop(best)
-        got = sorted((-y, j) for y, j in best)
-        return np.array([j for _, j in got]), np.sqrt([y for y, _ in got])
-
-
-def lists_for(graph: CentroidGraph, v: np.ndarray) -> list[int]:
-    """Lists that a vector joins: nearest first, boundary replicas after."""
+            opened[rows, pick[rows]] = True
+            new = self.links[at[rows, pick[rows]]]
+            fresh = (new >= 0) & ~seen[rows[:, None], new]
+            who, where = np.nonzero(fresh)
+            seen[rows[who], new[who, where]] = True
+            dn = np.full(new.shape, np.inf)
+            dn[who, where] = ((self.c[new[who, where]] - q[rows[who]]) ** 2).sum(1)
+            d_all, at_all, opened_all = np.hstack([d[rows], dn]), np.hstack([at[rows], new]), np.hstack([opened[rows], ~fresh])
+            best = np.argpartition(d_all, d.shape[1] - 1, axis=1)[:, : d.shape[1]]
+            d[rows], at[rows], opened[rows] = (np.take_along_axis(x, best, 1) for x in (d_all, at_all, opened_all))
+        order = np.lexsort((at, d), axis=1)[:, :beam]
+        return np.take_along_axis(at, order, 1), np.sqrt(np.take_along_axis(d, order, 1))
+
+
+def lists_for(graph: CentroidGraph, v: np.ndarray) -> list[np.ndarray]:
+    """Lists that each vector joins: nearest first, boundary replicas after."""
     at, d = graph.search(v, beam=32)
-    return at[:REPLICAS][d[:REPLICAS] <= BOUNDARY * d[0] + 1e-12].tolist()
+    at, d = at[:, :REPLICAS], d[:, :REPLICAS]
+    return [a[k] for a, k in zip(at, d <= BOUNDARY * d[:, :1] + 1e-12, strict=True)]
 
 
-def probes_for(graph: CentroidGraph, v: np.ndarray) -> list[int]:
+def probes_for(graph: CentroidGraph, v: np.ndarray) -> list[np.ndarray]:
     at, d = graph.search(v)
-    near = int((d[:PROBES] <= PRUNE * d[0] + 1e-12).sum())
-    full = int(np.searchsorted(np.cumsum(graph.held[at]), ENOUGH)) + 1
-    return at[: max(near, LEAST, full)].tolist()
+    near = (d[:, :PROBES] <= PRUNE * d[:, :1] + 1e-12).sum(1)
+    full = (np.cumsum(graph.held[at], axis=1) < ENOUGH).sum(1) + 1
+    return [a[:n] for a, n in zip(at, np.maximum(np.maximum(near, full), LEAST), strict=True)]
 
 
 def _assign(sent, choose):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            v = pdf["v"].tolist()
-            chosen = [choose(sent.value, np.asarray(x)) for x in v]
-            rep = [len(c) for c in chosen]
-            yield pd.DataFrame({"vec_id": np.repeat(pdf["vec_id"].to_numpy(), rep), "v": [x for x, n in zip(v, rep, strict=True) for _ in range(n)], "list": [c for cs in chosen for c in cs]})
+            for lo in range(0, len(pdf), BLOCK):
+                part = pdf.iloc[lo : lo + BLOCK]
+                v = part["v"].tolist()
+                chosen = choose(sent.value, np.stack([np.asarray(x, np.float64) for x in v]))
+                rep = [len(c) for c in chosen]
+                yield pd.DataFrame({"vec_id": np.repeat(part["vec_id"].to_numpy(), rep), "v": [x for x, n in zip(v, rep, strict=True) for _ in range(n)], "list": np.concatenate(chosen).astype(np.int64)})
 
     return run
 

@@ -42,7 +42,9 @@ RANK_PARTS = 64
 _BREAK, _NONE = b"\n", b""
 _FOLD = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n ")
 _CHUNKS = "lang string, shard int, n_words long, words array<string>, ids binary"
-_COUNTS = "lang string, phrase string, began int, a long"
+#: A counted phrase is one text, so that little is shuffled: the step since when it is active
+#: as a character from FIRST on, the language, a tab, the words joined by spaces.
+_COUNTS, FIRST = "key string, a long", 33
 
 
 class _Chunk:
@@ -100,6 +102,22 @@ def cut_in_chunks(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     return texts.mapInArrow(_chunks(shards), _CHUNKS)
 
 
+def _began() -> Column:
+    return F.ascii("key") - FIRST
+
+
+def _phrase() -> Column:
+    return F.substring_index("key", "\t", -1)
+
+
+def _lang() -> Column:
+    return F.expr("substring(key, 2, length(key) - length(substring_index(key, '\\t', -1)) - 2)")
+
+
+def _n_words() -> Column:
+    return F.size(F.split(_phrase(), " "))
+
+
 def _slots(mask: int):
     """The slot of each phrase of (lang, phrase), by the hash that chunks use."""
 
@@ -159,16 +177,13 @@ def _scan(steps, step: int, shards: int, longest: int):
                 words, ids = row["words"], np.frombuffer(row["ids"], "<i4")
                 for length, first, began, n in _active(words, ids, row["lang"], steps.value, step, shards, longest):
                     said = zip(*[[words[i - 1] for i in ids[first + k].tolist()] for k in range(length)], strict=True)
-                    columns = [pa.array([row["lang"]] * len(first), pa.string()), pa.array(map(" ".join, said), pa.string()), pa.array(began, pa.int32()), pa.array(n, pa.int64())]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "began", "a"])
+                    heads = {b: f"{chr(FIRST + b)}{row['lang']}\t" for b in np.unique(began).tolist()}
+                    keys = [heads[b] + " ".join(w) for b, w in zip(began.tolist(), said, strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(n, pa.int64())], ["key", "a"])
 
     return run
 
 
-def _n_words() -> Column:
-    return F.size(F.split("phrase", " "))
-
-
 def frequent(chunks: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS) -> DataFrame:
     """chunks, as a written table, -> lang, words, phrase, a of every phrase of up to
     `longest` words that stands `least` times or more, with its whole count, written too.
@@ -182,22 +197,23 @@ def frequent(chunks: DataFrame, least: int = LEAST, longest: int = LONGEST, shar
     steps, tables, step, last = np.zeros(slots, np.uint8), [], 0, shards - 1
     while step <= last:
         known = spark.sparkContext.broadcast(steps)
-        found = chunks.filter(F.col("shard") == step % shards).mapInArrow(_scan(known, step, shards, longest), _COUNTS).withColumn("reached", F.lit(None).cast("int"))
+        found = chunks.filter(F.col("shard") == step % shards).mapInArrow(_scan(known, step, shards, longest), _COUNTS)
         if tables:
-            found = found.unionByName(tables[-1].filter(F.col("began") > step - shards))
-        found = found.groupBy("lang", "phrase").agg(F.min("began").alias("began"), F.sum("a").alias("a"), F.min("reached").alias("reached"))
-        found = found.withColumn("reached", F.when(F.col("a") >= least, F.coalesce("reached", F.lit(step))))
+            found = found.unionByName(tables[-1].filter(_began() > step - shards))
+        found = found.groupBy("key").agg(F.sum("a").alias("a"))
         # What has been counted for a cycle and stays below the threshold goes.
-        tables.append(materialise(found.filter((F.col("began") > step + 1 - shards) | (F.col("a") >= least)), "phrase-counts"))
+        tables.append(materialise(found.filter((_began() > step + 1 - shards) | (F.col("a") >= least)), "phrase-counts"))
         known.destroy()
-        new = tables[-1].filter((F.col("reached") == step) & (_n_words() < longest)).select("lang", "phrase")
-        slot = new.mapInArrow(_slots(slots - 1), "slot long").distinct().toArrow().column(0).to_numpy()
+        # Slots of what reached the threshold before are set already, and stay as they are.
+        reached = tables[-1].filter((F.col("a") >= least) & (_n_words() < longest)).select(_lang().alias("lang"), _phrase().alias("phrase"))
+        slot = reached.mapInArrow(_slots(slots - 1), "slot long").distinct().toArrow().column(0).to_numpy()
+        slot = slot[steps[slot] == 0]
         if len(slot):
             steps = steps.copy()
-            steps[slot[steps[slot] == 0]] = step + 1
+            steps[slot] = step + 1
             last = max(last, step + shards)
         step += 1
-    whole = [t.filter(F.col("began") == i + 1 - shards).select("lang", _n_words().alias("words"), "phrase", "a") for i, t in enumerate(tables)]
+    whole = [t.filter(_began() == i + 1 - shards).select(_lang().alias("lang"), _n_words().alias("words"), _phrase().alias("phrase"), "a") for i, t in enumerate(tables)]
     out = materialise(reduce(DataFrame.unionByName, whole), "phrase-frequent")
     release(*tables)
     return out

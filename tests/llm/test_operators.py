@@ -192,7 +192,7 @@ def test_neighbours_fill_up(spark, monkeypatch):
     x = rng.normal(size=(400, 8)) * 0.01 + rng.integers(0, 5, (400, 1)) * 10
     x[::20] = rng.normal(size=(20, 8)) * 1000
     table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
-    for choose in (neighbours.probes_for, lambda graph, v: graph.search(v)[0][:1].tolist()):
+    for choose in (neighbours.probes_for, lambda graph, v: list(graph.search(v)[0][:, :1])):
         monkeypatch.setattr(neighbours, "probes_for", choose)
         out = neighbours.search(table, every=20).collect()
         assert sorted((r["query_id"], r["rank"]) for r in out) == [(q, k) for q in range(0, 400, 20) for k in range(1, 11)]
