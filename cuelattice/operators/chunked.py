@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from . import runs
+from . import ranges, runs
 
 #: Rows of a run are numbered by ranges of so many items, so that no run is sorted whole.
 RANGE_ITEMS = 10_000
@@ -37,8 +37,8 @@ def run_state(plan: DataFrame, results: DataFrame, cap: float, most_failed: int
     chunks, whether the cost cap is breached, and its status: partial once it is, or if
     some chunk failed; failed if all did; running while a chunk may still be dispatched."""
     r = plan.join(results, ["run_id", "chunk_key"], "left")
-    spent = F.coalesce(F.sum("cost_usd").over(Window.partitionBy("run_id").orderBy("chunk_index").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    r = r.withColumn("next_step", F.when(F.col("ok"), "done").when(~F.col("ok"), "failed").when(spent < cap, "dispatch").otherwise("stop"))
+    r = ranges.sum_before(r, ["run_id"], "chunk_index", "cost_usd", "_spent")
+    r = r.withColumn("next_step", F.when(F.col("ok"), "done").when(~F.col("ok"), "failed").when(F.col("_spent") < cap, "dispatch").otherwise("stop"))
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     g = r.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("total_chunks"), F.count_if(F.col("ok").isNotNull()).alias("terminal_chunks"), F.count_if(~F.col("ok")).alias("failed_chunks"), F.count_if(F.col("next_step") == "dispatch").alias("open_chunks"),

@@ -101,17 +101,6 @@ def merge_fragments(pieces: DataFrame) -> DataFrame:
     return per.select("programme_id", "segment_id", F.explode(F.expr(fold)).alias("x")).select("programme_id", "segment_id", "x.*")
 
 
-def captions_srt(cues: DataFrame) -> DataFrame:
-    """cues (programme_id, n, start_ms, end_ms, text) -> one SRT text a programme."""
-    def clock(ms: Column) -> Column:
-        part = lambda v, w: F.lpad(v.cast("string"), w, "0")
-        return F.concat(part(F.floor(ms / 3_600_000), 2), F.lit(":"), part(F.floor(ms / 60_000) % 60, 2), F.lit(":"), part(F.floor(ms / 1000) % 60, 2), F.lit(","), part(ms % 1000, 3))
-
-    block = F.concat_ws("\n", F.col("n").cast("string"), F.concat(clock(F.col("start_ms")), F.lit(" --> "), clock(F.col("end_ms"))), F.coalesce("text", F.lit("")))
-    g = cues.withColumn("_b", block).groupBy("programme_id").agg(F.sort_array(F.collect_list(F.struct("n", "_b"))).alias("_c"))
-    return g.select("programme_id", F.array_join(F.transform("_c", lambda c: c["_b"]), "\n\n").alias("srt"))
-
-
 def language_code(tag: Column) -> Column:
     """Folded language tag; null for auto and blank."""
     t = F.lower(F.regexp_replace(F.trim(tag), "_", "-"))

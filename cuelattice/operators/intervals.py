@@ -1,26 +1,74 @@
-"""Interval joins by time buckets: equality on (programme, bucket), then the exact
-predicate. Work stays near-linear and no nested loop over a programme arises."""
+"""Interval joins by time nodes: equality on (programme, level, node), then the exact
+predicate. Work stays near-linear and no nested loop over a programme arises.
+
+A span lies at the level whose nodes are wide enough for eight of them to hold it, so it
+covers nine nodes at most, however long it is. What is looked up goes to the nodes it
+touches at each level that spans lie at, most often one. Where that is long itself, it goes
+to its own level and coarser ones only, and meets finer spans where those are lifted to its
+level: a span then makes 21 rows at most."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKET_MS = 10_000
+#: Widths of the levels; spans beyond eight of the last one (240 days) cover more nodes.
+WIDTHS = tuple(BUCKET_MS * 8**k for k in range(7))
+
+
+def _nodes(level: int, start: Column, end: Column, lifted: bool = False) -> Column:
+    width = WIDTHS[level]
+    at = F.sequence(F.floor(start / width), F.floor(F.greatest(start, end) / width))
+    return F.transform(at, lambda n: F.struct(F.lit(level).alias("level"), n.alias("node"), F.lit(lifted).alias("lifted")))
+
+
+def level(start: Column, end: Column) -> Column:
+    k = F.lit(len(WIDTHS) - 1)
+    for at in range(len(WIDTHS) - 2, -1, -1):
+        k = F.when(end - start <= 8 * WIDTHS[at], at).otherwise(k)
+    return k
+
+
+def _explode(rows: DataFrame, parts: list[tuple[Column, Column]]) -> DataFrame:
+    """rows once for each node of the parts whose condition holds."""
+    none = F.array().cast("array<struct<level:int,node:bigint,lifted:boolean>>")
+    at = F.flatten(F.array(*[F.when(condition, nodes).otherwise(none) for condition, nodes in parts]))
+    return rows.withColumn("_at", F.explode(at)).select(*rows.columns, "_at.level", "_at.node", "_at.lifted")
+
+
+def cover(spans: DataFrame, start: str, end: str, lift: bool = False) -> DataFrame:
+    """spans once for each node they cover, and with `lift` at each coarser level too."""
+    s, e = F.col(start), F.col(end)
+    own = level(s, e)
+    parts = [(own == k, _nodes(k, s, e)) for k in range(len(WIDTHS))]
+    return _explode(spans, parts + [(own < k, _nodes(k, s, e, True)) for k in range(1, len(WIDTHS)) if lift])
+
+
+def levels_of(spans: DataFrame, start: str, end: str) -> list[int]:
+    """Levels that spans lie at, seven at most."""
+    return sorted(r[0] for r in spans.select(level(F.col(start), F.col(end)).alias("k")).distinct().collect()) or [0]
+
+
+def touch(rows: DataFrame, levels: list[int], start: Column, end: Column, long: bool = False) -> DataFrame:
+    """rows once for each node that [start, end] touches at each of the levels; `long` ones
+    at no finer level than their own, and there at nodes of lifted spans."""
+    own = level(start, end) if long else F.lit(0)
+    parts = [(own <= k, _nodes(k, start, end)) for k in levels]
+    return _explode(rows, parts + [(own == k, _nodes(k, start, end, True)) for k in range(1, len(WIDTHS)) if long])
 
 
-def _buckets(start, end):
-    return F.explode(F.sequence(F.floor(start / BUCKET_MS), F.floor(F.greatest(start, end) / BUCKET_MS)))
+NODE = ["programme_id", "level", "node", "lifted"]
 
 
-def best_overlap(words: DataFrame, turns: DataFrame) -> DataFrame:
+def best_overlap(words: DataFrame, turns: DataFrame, long: bool = False) -> DataFrame:
     """Words (programme_id, segment_id, word_index, s, e, ...) with the cluster of
-    the turn they overlap most, ties to the earliest turn; null without overlap."""
+    the turn they overlap most, ties to the earliest turn; null without overlap. long: what
+    is looked up may be as long as a programme, as rows of music are."""
     t = turns.select("programme_id", "cluster", F.col("start_ms").alias("ts"), F.col("end_ms").alias("te"))
-    t = t.withColumn("b", _buckets(F.col("ts"), F.col("te")))
-    w = words.select("programme_id", "segment_id", "word_index", "s", "e").withColumn("b", _buckets(F.col("s"), F.col("e")))
+    w = touch(words.select("programme_id", "segment_id", "word_index", "s", "e"), levels_of(t, "ts", "te"), F.col("s"), F.col("e"), long)
     over = F.least("e", "te") - F.greatest("s", "ts")
-    hit = w.join(t, ["programme_id", "b"]).withColumn("o", over).filter("o > 0")
+    hit = w.join(cover(t, "ts", "te", long), NODE).withColumn("o", over).filter("o > 0")
     best = hit.groupBy("programme_id", "segment_id", "word_index").agg(F.max(F.struct(F.col("o"), (-F.col("ts")).alias("nts"), (-F.col("te")).alias("nte"), "cluster")).alias("x"))
     best = best.select("programme_id", "segment_id", "word_index", F.col("x.cluster").alias("cluster"), F.col("x.o").alias("overlap_ms"))
     return words.join(best, ["programme_id", "segment_id", "word_index"], "left")
@@ -29,5 +77,5 @@ def best_overlap(words: DataFrame, turns: DataFrame) -> DataFrame:
 def points_in(words: DataFrame, spans: DataFrame) -> DataFrame:
     """(programme_id, s) inside half-open [start_ms, end_ms) of spans; a word may
     match several."""
-    t = spans.withColumn("b", _buckets(F.col("start_ms"), F.col("end_ms")))
-    return words.withColumn("b", F.floor(F.col("s") / BUCKET_MS)).join(t, ["programme_id", "b"]).filter("s >= start_ms and s < end_ms").drop("b")
+    w = touch(words, levels_of(spans, "start_ms", "end_ms"), F.col("s"), F.col("s"))
+    return w.join(cover(spans, "start_ms", "end_ms"), NODE).filter("s >= start_ms and s < end_ms").drop("level", "node", "lifted")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from .intervals import BUCKET_MS
+from .intervals import NODE, cover, levels_of, touch
 
 #: Fixed values that results depend on.
 MAX_WORDS = 2
@@ -30,17 +30,13 @@ def starts_mid_sentence(text: Column) -> Column:
     return F.coalesce(first == F.lower(first), F.lit(False))
 
 
-def _by_bucket(df: DataFrame, start, end) -> DataFrame:
-    return df.withColumn("b", F.explode(F.sequence(F.floor(start / BUCKET_MS), F.floor(F.greatest(start, end) / BUCKET_MS))))
-
-
 def competing_ms(rows: DataFrame, turns: DataFrame) -> DataFrame:
     """rows (programme_id, sequence_index, start_ms, end_ms, cluster, target) ->
     overlap_ms: longest time that the target's cluster is heard with the row's own
     cluster close to the row, or inside the row itself; 0 if never."""
     r = rows.filter("cluster <> '' and target <> '' and cluster <> target").select("programme_id", "sequence_index", "start_ms", "end_ms", "cluster", "target")
-    t = _by_bucket(turns.select("programme_id", F.col("cluster").alias("tc"), F.col("start_ms").alias("ts"), F.col("end_ms").alias("te")), F.col("ts"), F.col("te"))
-    near = _by_bucket(r, F.col("start_ms") - PROBE_MS, F.col("end_ms") + PROBE_MS).join(t, ["programme_id", "b"])
+    t = turns.select("programme_id", F.col("cluster").alias("tc"), F.col("start_ms").alias("ts"), F.col("end_ms").alias("te"))
+    near = touch(r, levels_of(t, "ts", "te"), F.col("start_ms") - PROBE_MS, F.col("end_ms") + PROBE_MS).join(cover(t, "ts", "te"), NODE)
     near = near.filter((F.col("te") > F.col("start_ms") - PROBE_MS) & (F.col("ts") < F.col("end_ms") + PROBE_MS))
     key = ["programme_id", "sequence_index"]
     rival = near.filter("tc = target").select(*key, "start_ms", "end_ms", F.col("ts").alias("rs"), F.col("te").alias("re")).distinct()

@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..ledger import Ledger
+
 FORMATS = ("srt", "vtt", "csv", "json", "txt")
 
 
@@ -28,15 +30,36 @@ def publish(segments: DataFrame, report: DataFrame, path: str, version: str) ->
     report.write.mode("overwrite").parquet(f"{path}/{version}/report")
     kept = spark.read.parquet(f"{path}/{version}/report")
     segments.write.mode("overwrite").parquet(f"{path}/{version}/segments")
-    written = spark.read.parquet(f"{path}/{version}/segments")
+    _check(spark.read.parquet(f"{path}/{version}/segments"), kept)
+    spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at")).write.mode("append").parquet(f"{path}/versions")
+    return published(spark, path)
+
+
+def _check(written: DataFrame, kept: DataFrame) -> None:
     bare = written.select("programme_id").distinct().join(kept, "programme_id", "left_anti")
     if not bare.isEmpty():
         raise ValueError("segments without a report are not published")
     counts = written.groupBy("programme_id").agg(F.count(F.lit(1)).alias("_n")).join(kept.select("programme_id", "n_rows"), "programme_id")
     if not counts.filter("_n <> n_rows").isEmpty():
         raise ValueError("a report counts other rows than were written")
-    spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at")).write.mode("append").parquet(f"{path}/versions")
-    return published(spark, path)
+
+
+def publish_over(segments: DataFrame, report: DataFrame, path: str, base: dict) -> dict:
+    """`publish` for writers that may meet: base is the version that the work started from
+    (`Ledger(spark, path).current()`). Report and segments are written and checked out of
+    sight, then become the next version only if base is still the current one; otherwise
+    `Conflict` is raised and readers see nothing of this writer. Returns the new version."""
+    ledger = Ledger(segments.sparkSession, path)
+    folders = [ledger.write(report, "report"), ledger.write(segments, "segments")]
+    kept, written = (segments.sparkSession.read.parquet(f"{ledger.path}/{f}") for f in folders)
+    _check(written, kept)
+    return ledger.commit(base, folders)
+
+
+def current_segments(spark: SparkSession, path: str) -> DataFrame:
+    """Segments of the current version of `publish_over`."""
+    ledger = Ledger(spark, path)
+    return spark.read.parquet(*[f"{ledger.path}/{f}" for f in ledger.current()["folders"] if f.startswith("segments-")])
 
 
 def published(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .evidence import deterministic_uuid
+from .ranges import sum_before
 
 
 def pending(chunks: DataFrame, completed: DataFrame) -> DataFrame:
@@ -34,8 +35,7 @@ def counters(results: DataFrame, most_failed: int = 200) -> DataFrame:
 
 def cost_stop(chunks: DataFrame, cap: float) -> DataFrame:
     """dispatched: whether the cost committed before a chunk is still below the cap."""
-    before = F.coalesce(F.sum("cost").over(Window.partitionBy("run_id").orderBy("chunk_index").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("decimal(20,2)"))
-    return chunks.withColumn("dispatched", before < F.lit(cap))
+    return sum_before(chunks, ["run_id"], "chunk_index", "cost", "_spent").withColumn("dispatched", F.col("_spent") < F.lit(cap)).drop("_spent")
 
 
 def stale(events: DataFrame, ceiling_seconds: int) -> DataFrame:

@@ -110,7 +110,7 @@ def attribute(words: DataFrame, turns: DataFrame, segments: DataFrame) -> DataFr
     worded = g.join(seg.filter("has_words"), ["programme_id", "segment_id"]).withColumn("_split", (F.col("_groups") > 1) & ~authoritative(F.col("status")))
     worded = worded.withColumns({"span_unresolved": (F.col("_groups") > 1) & authoritative(F.col("status")), "_s": F.col("_ws"), "_e": F.col("_we")})
     bare = seg.filter("not has_words and (is_music or status in ('edited', 'approved'))").withColumn("word_index", F.lit(0)).withColumns({"s": F.col("start_ms"), "e": F.col("end_ms")})
-    bare = intervals.best_overlap(bare, turns).withColumn("cluster", F.coalesce("cluster", "first_cluster"))
+    bare = intervals.best_overlap(bare, turns, long=True).withColumn("cluster", F.coalesce("cluster", "first_cluster"))
     bare = bare.withColumns({"group_no": F.lit(0), "n_words": F.lit(0), "_s": F.col("start_ms"), "_e": F.col("end_ms"), "_split": F.lit(False), "span_unresolved": F.lit(False)}).drop("word_index", "s", "e", "overlap_ms")
     out = worded.unionByName(bare, allowMissingColumns=True)
     counts = ["unresolved_words", "exhausted_words", "near_zero_words", "below_floor_words", "cleared_words", "uncovered_words", "absorbed_ms", "max_shift_ms", "gap_ms", "restored_ms", "rejected_ms", "expansion_ms"]

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..staging import stage_table
 from . import evidence, intervals
 from .speakers import authoritative
 
@@ -23,8 +24,8 @@ DIARIZATION = "struct<diarization:array<struct<speaker:string,start:double,end:d
 
 def parsed(raw: DataFrame, schema: str = RAW) -> DataFrame:
     """raw (programme_id, raw) with the JSON text as column `r`; text that is no JSON,
-    and fields of another type, become null."""
-    return raw.withColumn("r", F.from_json("raw", schema, {"mode": "PERMISSIVE"}))
+    and fields of another type, become null. Rows that have `r` stay as they are."""
+    return raw if "r" in raw.columns else raw.withColumn("r", F.from_json("raw", schema, {"mode": "PERMISSIVE"}))
 
 
 def with_content_hash(raw: DataFrame, column: str = "raw") -> DataFrame:
@@ -111,11 +112,13 @@ def transcript_speakers(segments: DataFrame) -> DataFrame:
 
 def transcribe_normalise(raw: DataFrame, provider: str, frame_rate: int = FRAME_RATE) -> DataFrame:
     """raw (programme_id, raw) of one provider -> the transcript's rows in order, with
-    speaker, timecodes and the programme's cost."""
-    segs = read_utterance_transcripts(raw) if provider == "utterances" else read_word_stream_transcripts(raw)
+    speaker, timecodes and the programme's cost. The text is parsed once, into a typed table
+    that words, utterances and cost read, each its own columns."""
+    p = stage_table(parsed(raw).select("programme_id", "r.*"))
+    p = p.select("programme_id", F.struct(*[c for c in p.columns if c != "programme_id"]).alias("r"))
+    segs = stage_table(read_utterance_transcripts(p) if provider == "utterances" else read_word_stream_transcripts(p))
     rows = segs.join(transcript_speakers(segs), ["programme_id", "speaker_ref"])
     n = F.row_number().over(Window.partitionBy("programme_id").orderBy("segment_id", "chunk")) - 1
-    p = parsed(raw)
     if provider == "utterances":
         cost = p.select("programme_id", X.half_up(F.coalesce("r.audio_duration", F.lit(0.0)) * 1000).alias("duration_ms"), F.coalesce("r.speech_model_used", F.lit("universal-3-5-pro")).alias("model"))
         cost = cost.withColumn("_rate", F.when(F.col("model") == "universal-2", RATES["universal-2"]).otherwise(RATES["universal-3-5-pro"]))

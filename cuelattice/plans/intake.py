@@ -7,10 +7,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..ledger import Conflict, Ledger
 from ..operators import audit, chunked, evidence, publish, rows
 from ..operators import transcripts as T
 from ..sources import derived as D
-from ..staging import folder
+from ..staging import folder, stage
 from .oracles import _TURNS, _W
 
 _R = "with recursive " + _W.removeprefix("with recursive ")
@@ -78,6 +79,20 @@ def snk_01_publish(spark, sf_dir):
     return publish.publish(s, report, path, "v2").select("programme_id", "segment_id", "role", "start_ms", "end_ms", "n_words")
 
 
+def snk_01_publish_over(spark, sf_dir):
+    """Two writers that started from the same version: the second one is refused."""
+    s, path = D.segments(spark, sf_dir), f"{folder(spark)}/published-{uuid.uuid4().hex}"
+    count = lambda df: df.groupBy("programme_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    base = Ledger(spark, path).current()
+    publish.publish_over(s, count(s), path, base)
+    fewer = s.filter("n_words > 3")
+    try:
+        publish.publish_over(fewer, count(fewer), path, base)
+    except Conflict:
+        pass
+    return publish.current_segments(spark, path).select("programme_id", "segment_id", "role", "start_ms", "end_ms", "n_words")
+
+
 def snk_02_captions(spark, sf_dir):
     text = _t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("programme_id"), F.col("turn").alias("segment_id"), "text")
     cues = D.segments(spark, sf_dir).join(text, ["programme_id", "segment_id"]).withColumn("n", F.col("segment_id") + 1)
@@ -140,8 +155,9 @@ def jn_09_refused(spark, sf_dir):
 
 def pipe_08_transcripts(spark, sf_dir):
     cols = ["programme_id", "provider", "sequence_index", "label", "colour", "tc_in", "tc_out", "text", "model", "duration_ms", "cost_usd"]
-    a = T.transcribe_normalise(D.utterance_transcripts(spark, sf_dir), "utterances").withColumn("provider", F.lit("utterances"))
-    b = T.transcribe_normalise(D.stream_transcripts(spark, sf_dir), "word_stream").withColumn("provider", F.lit("word_stream"))
+    words = stage(D.words(spark, sf_dir))
+    a = T.transcribe_normalise(D.utterance_transcripts(spark, sf_dir, words), "utterances").withColumn("provider", F.lit("utterances"))
+    b = T.transcribe_normalise(D.stream_transcripts(spark, sf_dir, words), "word_stream").withColumn("provider", F.lit("word_stream"))
     return a.select(*cols).unionByName(b.select(*cols))
 
 
@@ -312,6 +328,7 @@ ORACLES = {
     "src_07_content_hash": "select conv_id, turn, sha256(text) content_sha256 from conversations",
     "src_08_event_log": "select strftime(ts,'%Y-%m-%d') dt, case when event_id%3=0 then 'warn' else 'info' end as \"level\", event_type as \"event\", count(*) n_events from events group by all",
     "snk_01_publish": _R + _TURNS + " select s.programme_id, s.segment_id, s.role, s.start_ms, s.end_ms, w.n n_words from segs s join (select programme_id, segment_id, count(*) n from words group by all) w using (programme_id, segment_id)",
+    "snk_01_publish_over": _R + _TURNS + " select s.programme_id, s.segment_id, s.role, s.start_ms, s.end_ms, w.n n_words from segs s join (select programme_id, segment_id, count(*) n from words group by all) w using (programme_id, segment_id)",
     "snk_02_captions": _R + _TURNS + ", c as (select programme_id, segment_id+1 n, start_ms, end_ms, text from segs s join conversations c on c.conv_id=s.programme_id and c.turn=s.segment_id) "
         + "select programme_id, 'srt' \"format\", string_agg(n||chr(10)||" + _CLK.format("start_ms", ",") + "||' --> '||" + _CLK.format("end_ms", ",") + "||chr(10)||text, chr(10)||chr(10) order by n) content from c group by all union all "
         + "select programme_id, 'vtt', 'WEBVTT'||chr(10)||chr(10)||string_agg(" + _CLK.format("start_ms", ".") + "||' --> '||" + _CLK.format("end_ms", ".") + "||chr(10)||text, chr(10)||chr(10) order by n) from c group by all union all "

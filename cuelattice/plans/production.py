@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..operators import cascades, chunked, lines, publish, rows, runs, sketches
 from ..operators import evidence as E
-from ..operators import chunked, lines, rows, runs
 from ..operators.transcripts import RATES
 from ..sources import derived as D
+from ..staging import stage
 from .oracles import _EVENTS, _TURNS, _W
 
 #: Target languages of a reseed.
@@ -92,6 +96,22 @@ def jn_15_cascade(spark, sf_dir):
     return rows_(li, "lineitem", 1, "l_orderkey", "l_linenumber", "l_partkey").unionByName(rows_(o, "orders", 2, "o_orderkey")).unionByName(rows_(gone, "customer", 3, "c_custkey"))
 
 
+def jn_15_cascade_plan(spark, sf_dir):
+    """Four levels below some nations; line items hang on orders and on suppliers."""
+    links = [cascades.Link("customer", "c_nationkey", "nation", "n_nationkey"), cascades.Link("supplier", "s_nationkey", "nation", "n_nationkey"), cascades.Link("orders", "o_custkey", "customer", "c_custkey"), cascades.Link("lineitem", "l_orderkey", "orders", "o_orderkey"), cascades.Link("lineitem", "l_suppkey", "supplier", "s_suppkey")]
+    tables = {t: _t(spark, sf_dir, t) for t in ("nation", "customer", "supplier", "orders", "lineitem")}
+    plan = cascades.plan_cascade(tables, links, "nation", tables["nation"].filter("n_nationkey % 7 = 3"))
+    rows_ = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(step).alias("step"), F.lit(name).alias("table_name"), F.lit(goes).alias("goes"), "n_rows") for step, (name, gone, kept) in enumerate(plan) for goes, df in ((True, gone), (False, kept))]
+    return reduce(DataFrame.unionByName, rows_)
+
+
+def agg_14_queue_quantiles(spark, sf_dir):
+    """Waits of each queue over some days, from stored sketches of each day."""
+    days = stage(sketches.sketch_days(_events(spark, sf_dir), ["queue"], "value", F.col("ts")))
+    ranks = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    return sketches.merged_quantiles(days, ["queue"], ranks, first="2024-01-05").select("queue", "n", "largest", *ranks)
+
+
 def snk_03_retention(spark, sf_dir):
     s = _t(spark, sf_dir, "events").groupBy(F.col("event_type").alias("table_name"), F.date_format("ts", "yyyy-MM-dd").alias("dt")).agg(F.count(F.lit(1)).alias("n_rows"))
     return runs.retained(s, 7)
@@ -222,7 +242,7 @@ def fold_02_fragments(spark, sf_dir):
 
 def snk_02_srt(spark, sf_dir):
     s = D.segments(spark, sf_dir).join(_t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("programme_id"), F.col("turn").alias("segment_id"), "text"), ["programme_id", "segment_id"])
-    return E.captions_srt(s.withColumn("n", F.col("segment_id") + 1)).select("programme_id", F.sha2("srt", 256).alias("srt_sha256"))
+    return publish.captions(s.withColumn("n", F.col("segment_id") + 1), "srt").select("programme_id", F.sha2("content", 256).alias("srt_sha256"))
 
 
 _CLK = "lpad(({0}//3600000)::varchar,2,'0')||':'||lpad(({0}//60000%60)::varchar,2,'0')||':'||lpad(({0}//1000%60)::varchar,2,'0')||','||lpad(({0}%1000)::varchar,3,'0')"
@@ -242,6 +262,10 @@ ORACLES = {
     "prd_18_trigger": "select o_custkey, count(*) n, case when o_custkey%3=0 then 'initial_generation' when count(*)>1 then 'bulk_regenerate' else 'operator_regenerate' end kind from orders group by o_custkey",
     "pipe_10_stage_and_flip": "select c_custkey row_id, 'run-0' import_run_id, c_custkey%3<>0 is_active, case when c_custkey%3=0 then 'run-1' end superseded_by, case when c_custkey%3=0 then '2024-03-01 10:00:00' end superseded_at from customer union all select distinct c_custkey, 'run-1', true, null, null from customer where c_custkey%3=0",
     "jn_15_cascade": "with c as (select c_custkey from customer where c_custkey%20=0), o as (select o_orderkey from orders where o_custkey in (from c)) select 3 step, 'customer' table_name, c_custkey::varchar row_key from c union all select 2, 'orders', o_orderkey::varchar from o union all select 1, 'lineitem', l_orderkey||':'||l_linenumber||':'||l_partkey from lineitem where l_orderkey in (from o)",
+    "jn_15_cascade_plan": """with n as (select *, n_nationkey%7=3 g from nation), c as (select c.*, n.g from customer c join n on n_nationkey=c_nationkey), s as (select s.*, n.g from supplier s join n on n_nationkey=s_nationkey), o as (select o.*, c.g from orders o join c on c_custkey=o_custkey),
+        l as (select o.g or s.g g from lineitem join o on o_orderkey=l_orderkey join s on s_suppkey=l_suppkey), t as (select 4 step, 'nation' table_name, g from n union all select 2, 'customer', g from c union all select 3, 'supplier', g from s union all select 1, 'orders', g from o union all select 0, 'lineitem', g from l)
+        select step, table_name, goes, count(*) filter (t.g=goes) n_rows from t, (select unnest([true,false]) goes) group by all""",
+    "agg_14_queue_quantiles": "with " + _EVENTS + " select queue, count(value) n, max(value) largest, quantile_disc(value,0.5) p50, quantile_disc(value,0.95) p95, quantile_disc(value,0.99) p99 from jobs where ts>='2024-01-05' and value is not null group by queue",
     "snk_03_retention": "with s as (select event_type table_name, strftime(ts,'%Y-%m-%d') dt, count(*) n_rows from events group by all) select *, dense_rank() over (partition by table_name order by dt desc)<=7 kept from s",
     "prd_13_missing_duration": _R + _TURNS + " select programme_id, role speaker_id, segment_id clip_no from segs where (programme_id+segment_id)%19=0 or end_ms<=start_ms",
     "prd_15_rewrite": _R + _TURNS + ", r as (select programme_id, segment_id, programme_id+segment_id k, length(text)*1000.0::double/(end_ms-start_ms) r, end_ms-start_ms w from segs s join conversations c on c.conv_id=s.programme_id and c.turn=s.segment_id), f as (select *, case when k%3<>0 then w*(90+k%40)/100.0::double/w end f from r) select programme_id, segment_id, cast(floor(r*1000+0.5) as bigint) rate_milli, cast(floor(f*1000+0.5) as bigint) fit_milli from f where (r<10 or r>14) and (f is null or f>1.1::double)",

@@ -17,8 +17,10 @@ def reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Words, turns and segments, which a deployment has as tables, written once."""
-    return stage(D.engine_words(D.words(spark, sf_dir))), stage(D.turns(spark, sf_dir)), stage(D.segment_table(spark, sf_dir))
+    """Words, turns and segments, which a deployment has as tables: words are derived and
+    written once, the others from them."""
+    words = stage(D.engine_words(D.words(spark, sf_dir)))
+    return words, stage(D.turns(spark, sf_dir, words)), stage(D.segment_table(spark, sf_dir, words))
 
 
 def attributed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import rows
 from ..sources import derived as D
-from ..staging import folder
+from ..staging import folder, stage
 from ..streaming import jobs, ordered
 from .oracles import _EVENTS
 from .oracles import ORACLES as BASE
@@ -106,8 +106,8 @@ def stm_08_published(spark, sf_dir):
     arrivals = jobs.read_events(spark, path, c.schema).select(F.col("conv_id").alias("programme_id"))
 
     def tables(ids):
-        found = (D.engine_words(D.words(spark, sf_dir)), D.turns(spark, sf_dir), D.segment_table(spark, sf_dir))
-        return tuple(t.join(ids, "programme_id", "left_semi") for t in found)
+        words = stage(D.engine_words(D.words(spark, sf_dir)).join(ids, "programme_id", "left_semi"))
+        return words, stage(D.turns(spark, sf_dir, words)), stage(D.segment_table(spark, sf_dir, words))
 
     jobs.publish_incrementally(arrivals, tables, out, _new(spark, "cp"))
     return jobs.published_rows(spark, out).select("programme_id", "segment_id", "group_no", "state", "cause", "exportable")

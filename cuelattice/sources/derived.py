@@ -30,18 +30,19 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (programme, segment) that has words."""
-    w = words(spark, sf_dir)
+def segments(spark: SparkSession, sf_dir: str, found: DataFrame | None = None) -> DataFrame:
+    """One row per (programme, segment) that has words. found: the words, where they have
+    been derived already."""
+    w = words(spark, sf_dir) if found is None else found
     role = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(F.col("conv_id").alias("programme_id"), F.col("turn").alias("segment_id"), "role")
     out = w.groupBy("programme_id", "segment_id").agg(F.min("ps").alias("start_ms"), F.max("pe").alias("end_ms"), F.count(F.lit(1)).alias("n_words"))
     return out.join(role, ["programme_id", "segment_id"])
 
 
-def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def turns(spark: SparkSession, sf_dir: str, found: DataFrame | None = None) -> DataFrame:
     """Diarization turns: overlapping windows, some words uncovered, some split, some
     first words with another cluster. A segment has up to three."""
-    s = segments(spark, sf_dir)
+    s = segments(spark, sf_dir, found)
     n = F.when(F.col("role") == "user", 0).when(F.col("role") == "assistant", 1).otherwise(2)
     key = F.col("programme_id") + F.col("segment_id")
     third = F.floor((F.col("end_ms") - F.col("start_ms")) / 3).cast("long")
@@ -78,10 +79,10 @@ def engine_words(words: DataFrame) -> DataFrame:
         "confidence": F.when(k % 10 != 0, (k % 64) / 64.0), "expansion_ms": F.when(k % 211 == 0, 300 + k % 700).otherwise(0), "alignment_pass": F.when(k % 211 == 0, 2).otherwise(1)})
 
 
-def segment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def segment_table(spark: SparkSession, sf_dir: str, found: DataFrame | None = None) -> DataFrame:
     """Source segments as the attribution operator takes them."""
     src = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(F.col("conv_id").alias("programme_id"), F.col("turn").alias("segment_id"), F.col("text").alias("source_text"))
-    s = segments(spark, sf_dir).join(src, ["programme_id", "segment_id"])
+    s = segments(spark, sf_dir, found).join(src, ["programme_id", "segment_id"])
     k = F.col("programme_id") + F.col("segment_id")
     status = F.when(k % 7 == 0, "edited").when(k % 13 == 0, "approved").otherwise("machine")
     music, carried = F.col("role") == "system", k % 5 == 0
@@ -93,18 +94,18 @@ def segment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _listed(spark: SparkSession, sf_dir: str, found: DataFrame | None = None) -> DataFrame:
     """Words with their place n in their programme, text with music tags, confidence."""
     n = F.row_number().over(Window.partitionBy("programme_id").orderBy("segment_id", "word_index")) - 1
     k = F.col("segment_id") * 31 + F.col("word_index")
     tag = (F.col("word_index") == 0) & ((F.col("programme_id") + F.col("segment_id")) % 6 == 0)
-    w = words(spark, sf_dir).withColumns({"n": n.cast("long"), "k": k, "conf": F.when(k % 7 != 0, (k % 100) / 100.0)})
+    w = (words(spark, sf_dir) if found is None else found).withColumns({"n": n.cast("long"), "k": k, "conf": F.when(k % 7 != 0, (k % 100) / 100.0)})
     return w.withColumn("said", F.when(tag, F.concat(F.lit("[MUSIC] "), "text")).otherwise(F.col("text")))
 
 
-def utterance_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def utterance_transcripts(spark: SparkSession, sf_dir: str, found: DataFrame | None = None) -> DataFrame:
     """programme_id, raw: JSON of utterances over one list of words, in milliseconds."""
-    w = _listed(spark, sf_dir)
+    w = _listed(spark, sf_dir, found)
     item = F.struct("n", F.struct(F.col("said").alias("text"), F.col("ps").alias("start"), F.col("pe").alias("end"), F.col("conf").alias("confidence")).alias("w"))
     lists = w.groupBy("programme_id").agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["w"]).alias("words"), (F.max("pe") / 1000.0).alias("audio_duration"))
     u = w.groupBy("programme_id", "segment_id").agg(F.min("ps").alias("start"), (F.max("pe") + F.when(F.col("segment_id") % 10 == 0, 600).otherwise(0)).alias("end"))
@@ -114,14 +115,14 @@ def utterance_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.join(u, "programme_id").select("programme_id", F.to_json(F.struct("words", "utterances", "audio_duration", model.alias("speech_model_used"))).alias("raw"))
 
 
-def stream_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_transcripts(spark: SparkSession, sf_dir: str, found: DataFrame | None = None) -> DataFrame:
     """programme_id, raw: JSON of one stream of typed words, in seconds."""
     k = F.col("k")
     kind = F.when(k % 29 == 0, "spacing").when(k % 41 == 0, "audio_event").otherwise("word")
     text = F.when(kind == "audio_event", F.when(k % 82 == 0, "(music playing)").otherwise("(laughter)")).otherwise(F.col("text"))
     speaker = F.when(F.col("segment_id") % 3 != 0, F.concat(F.lit("speaker_"), F.col("segment_id") % 3))
     item = F.struct("n", F.struct(text.alias("text"), (F.col("ps") / 1000.0).alias("start"), (F.col("pe") / 1000.0).alias("end"), F.col("conf").alias("confidence"), kind.alias("type"), speaker.alias("speaker_id")).alias("w"))
-    lists = _listed(spark, sf_dir).groupBy("programme_id").agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["w"]).alias("words"))
+    lists = _listed(spark, sf_dir, found).groupBy("programme_id").agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["w"]).alias("words"))
     return lists.select("programme_id", F.to_json(F.struct("words")).alias("raw"))
 
 

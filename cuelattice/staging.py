@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +29,11 @@ def stage(df: DataFrame) -> DataFrame:
     its own tasks."""
     folder(df.sparkSession)
     return df.checkpoint()
+
+
+def stage_table(df: DataFrame) -> DataFrame:
+    """df written to the shared folder as Parquet and read from there: for wide or nested
+    rows of which later steps read some columns each."""
+    path = f"{folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
