@@ -64,8 +64,9 @@ NODE = ["programme_id", "level", "node", "lifted"]
 def best_overlap(words: DataFrame, turns: DataFrame, long: bool = False) -> DataFrame:
     """Words (programme_id, segment_id, word_index, s, e, ...) with the cluster of
     the turn they overlap most, ties to the earliest turn; null without overlap. long: what
-    is looked up may be as long as a programme, as rows of music are."""
-    t = turns.select("programme_id", "cluster", F.col("start_ms").alias("ts"), F.col("end_ms").alias("te"))
+    is looked up may be as long as a programme, as rows of music are. Turns without a start or
+    an end are left out."""
+    t = turns.select("programme_id", "cluster", F.col("start_ms").alias("ts"), F.col("end_ms").alias("te")).filter("ts is not null and te is not null")
     w = touch(words.select("programme_id", "segment_id", "word_index", "s", "e"), levels_of(t, "ts", "te"), F.col("s"), F.col("e"), long)
     over = F.least("e", "te") - F.greatest("s", "ts")
     hit = w.join(cover(t, "ts", "te", long), NODE).withColumn("o", over).filter("o > 0")
