@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..staging import stage_table
+from ..staging import stage
 from . import evidence, intervals
 from .speakers import authoritative
 
@@ -114,9 +114,9 @@ def transcribe_normalise(raw: DataFrame, provider: str, frame_rate: int = FRAME_
     """raw (programme_id, raw) of one provider -> the transcript's rows in order, with
     speaker, timecodes and the programme's cost. The text is parsed once, into a typed table
     that words, utterances and cost read, each its own columns."""
-    p = stage_table(parsed(raw).select("programme_id", "r.*"))
+    p = stage(parsed(raw).select("programme_id", "r.*"))
     p = p.select("programme_id", F.struct(*[c for c in p.columns if c != "programme_id"]).alias("r"))
-    segs = stage_table(read_utterance_transcripts(p) if provider == "utterances" else read_word_stream_transcripts(p))
+    segs = stage(read_utterance_transcripts(p) if provider == "utterances" else read_word_stream_transcripts(p))
     rows = segs.join(transcript_speakers(segs), ["programme_id", "speaker_ref"])
     n = F.row_number().over(Window.partitionBy("programme_id").orderBy("segment_id", "chunk")) - 1
     if provider == "utterances":

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..operators import intervals, rows, timing
 from ..sources import derived as D
+from ..staging import stage
 from ..streaming import jobs
 from . import intake, production, programme, programme_sql, streams
 from . import oracles as base_sql
@@ -42,7 +43,8 @@ def agg_05_outcomes(spark, sf_dir):
 
 
 def jn_02_best_overlap(spark, sf_dir):
-    return intervals.best_overlap(D.words(spark, sf_dir), D.turns(spark, sf_dir)).select(*KEY, "cluster", "overlap_ms")
+    words = stage(D.words(spark, sf_dir))
+    return intervals.best_overlap(words, stage(D.turns(spark, sf_dir, words))).select(*KEY, "cluster", "overlap_ms")
 
 
 def jn_01_points_in_turns(spark, sf_dir):

@@ -24,16 +24,9 @@ def folder(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """df written to the shared folder and read from there, so that later steps that use
-    it more than once don't repeat what made it, and a lost executor costs no more than
-    its own tasks."""
-    folder(df.sparkSession)
-    return df.checkpoint()
-
-
-def stage_table(df: DataFrame) -> DataFrame:
-    """df written to the shared folder as Parquet and read from there: for wide or nested
-    rows of which later steps read some columns each."""
-    path = f"{folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    """df written to the shared folder as Parquet and read from there, so that later steps
+    that use it more than once don't repeat what made it, each reads only its columns, sizes
+    are known to joins, and a lost executor costs no more than its own tasks."""
+    path = f"{folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
