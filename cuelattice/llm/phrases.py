@@ -35,7 +35,7 @@ SHARDS = 2
 #: A chunk ends with the text that fills it to so many bytes; those open in a task hold so many together.
 CHUNK, OPEN = 2 << 20, 16 << 20
 #: Slots of the table of steps: SPREAD for each phrase there can be, within these bounds.
-LEAST_SLOTS, MOST_SLOTS, SPREAD = 1 << 16, 1 << 26, 8
+LEAST_SLOTS, MOST_SLOTS, SPREAD = 1 << 16, 1 << 24, 1
 #: A language's last ranking takes the best of so many parts.
 RANK_PARTS = 64
 
@@ -189,8 +189,8 @@ def frequent(chunks: DataFrame, least: int = LEAST, longest: int = LONGEST, shar
     `longest` words that stands `least` times or more, with its whole count, written too.
     Counting ends one cycle after the last phrase that a longer one could hold reached the
     threshold, so after `longest` cycles at most."""
-    if longest * shards > 254:
-        raise ValueError("longest * shards must be 254 at most")
+    if longest * shards > 90:
+        raise ValueError("longest * shards must be 90 at most")
     spark = chunks.sparkSession
     total = chunks.agg(F.sum("n_words")).first()[0] or 0
     slots = 1 << (min(max(longest * (total // least + 1) * SPREAD, LEAST_SLOTS), MOST_SLOTS) - 1).bit_length()
