@@ -87,7 +87,7 @@ def arbitrate(words: DataFrame) -> DataFrame:
     (`folds.furthest_end`); decisions, counted first, come to the words where they are."""
     numbered = stage(number_runs(flag_disputes(words)))
     runs = disputed_runs(numbered)
-    n, last = runs.agg(F.count(F.lit(1)), F.max("_run")).first()
+    n, last = numbered.filter("disputed").agg(F.count_if("_first"), F.max("_run")).first()
     decided = folds.furthest_end(runs, words.schema["programme_id"].dataType.simpleString(), (last or 0) >= folds.RANGE)
     decided = decided.select("programme_id", "_run", F.struct("aligned_ok", "restored", "f_in").alias("_d"))
     w = numbered.join(F.broadcast(decided) if n <= folds.BROADCAST else decided, ["programme_id", "_run"], "left")
