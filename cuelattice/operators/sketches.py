@@ -1,5 +1,6 @@
 """Quantiles from stored sketches: one for each group and day, merged for any range of
-days, so that no task ever holds a group's values.
+days, so that no task ever holds a group's values. `merged_quantiles` are estimates;
+`exact_quantiles` counts around them.
 
 KLL sketches of size k give a value whose rank is off by about 2.3 / k^0.97 of all values
 (K = 2,000: 0.15 %), 99 times in 100, however many were merged; up to k values they are
@@ -7,9 +8,13 @@ exact. A sketch takes some 8 k bytes."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..staging import stage
+
 K = 2_000
 
 
@@ -24,12 +29,56 @@ def sketch_days(rows: DataFrame, keys: list[str], value: str, at: Column, k: int
     return v.groupBy(*keys, "day").agg(F.count(F.lit(1)).alias("n"), F.sum(d).alias("total"), F.max(d).alias("largest"), F.kll_sketch_agg_double(d, F.lit(k)).alias("sketch"))
 
 
+def _merged(days: DataFrame, keys: list[str], first: str | None, last: str | None, k: int) -> DataFrame:
+    days = _between(days, F.col("day"), first, last)
+    return days.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("largest").alias("largest"), F.kll_merge_agg_double("sketch", F.lit(k)).alias("_all"))
+
+
+def _between(rows: DataFrame, day: Column, first: str | None, last: str | None) -> DataFrame:
+    if first is not None:
+        rows = rows.filter(day >= F.lit(first).cast("date"))
+    return rows if last is None else rows.filter(day <= F.lit(last).cast("date"))
+
+
 def merged_quantiles(days: DataFrame, keys: list[str], ranks: dict[str, float], first: str | None = None, last: str | None = None, k: int = K) -> DataFrame:
     """keys, n, total, largest and a column for each of ranks (name -> 0..1) over the days
     from `first` to `last`, both inclusive: the smallest value that so many reach up to."""
-    if first is not None:
-        days = days.filter(F.col("day") >= F.lit(first).cast("date"))
-    if last is not None:
-        days = days.filter(F.col("day") <= F.lit(last).cast("date"))
-    g = days.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("largest").alias("largest"), F.kll_merge_agg_double("sketch", F.lit(k)).alias("_all"))
+    g = _merged(days, keys, first, last, k)
     return g.withColumns({name: F.kll_sketch_get_quantile_double("_all", F.lit(p)) for name, p in ranks.items()}).drop("_all")
+
+
+def _of_group(rows: DataFrame, marks: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with the columns of their group's marks; null is a key."""
+    m = marks.withColumnsRenamed({c: f"_of_{c}" for c in keys})
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return rows.join(m, same).drop(*[f"_of_{c}" for c in keys])
+
+
+def exact_quantiles(rows: DataFrame, days: DataFrame, keys: list[str], value: str, at: Column, ranks: dict[str, float], first: str | None = None, last: str | None = None, k: int = K) -> DataFrame:
+    """`merged_quantiles` without their error: the ceil(p * n)-th smallest value (the first
+    for p = 0). days: what `sketch_days` made of these rows. Sketches say between which two
+    values a quantile lies; a first reading counts what is below and between them, and only
+    values of the part that holds the rank are ordered. Where a sketch erred, that is the
+    part beside it, so the result never depends on a sketch."""
+    g, near = _merged(days, keys, first, last, k), 2 * rank_error(k)
+    edges = {f"_{side}_{name}": F.kll_sketch_get_quantile_double("_all", F.lit(min(1.0, max(0.0, p + off)))) for name, p in ranks.items() for side, off in (("lo", -near), ("hi", near))}
+    place = {f"_at_{name}": F.greatest(F.lit(1), F.ceil(F.col("n").cast("decimal(20,0)") * F.lit(Decimal(repr(p))))).cast("long") for name, p in ranks.items()}
+    g = stage(g.withColumns({**edges, **place}).drop("_all"))  # merging draws at random: once
+    v = _between(rows.filter(F.col(value).isNotNull()), F.to_date(at), first, last).select(*keys, F.col(value).cast("double").alias("_v"))
+    counts = [f(F.col("_v"), name).alias(f"_{side}n_{name}") for name in ranks for side, f in (("lo", lambda x, n: F.count_if(x < F.col(f"_lo_{n}"))), ("hi", lambda x, n: F.count_if(x <= F.col(f"_hi_{n}"))))]
+    g = _of_group(g, _of_group(v, g.select(*keys, *edges), keys).groupBy(*keys).agg(*counts), keys)
+
+    def part(name: str) -> Column:
+        lo, hi, n_lo, n_hi, at_ = (F.col(f"_{c}_{name}") for c in ("lo", "hi", "lon", "hin", "at"))
+        low, high = F.col("_v") < lo, F.col("_v") > hi
+        holds = F.when(at_ <= n_lo, low).when(at_ > n_hi, high).otherwise(~low & ~high)
+        before = F.when(at_ <= n_lo, 0).when(at_ > n_hi, n_hi).otherwise(n_lo)
+        return F.when(holds, F.struct(F.lit(name).alias("name"), (at_ - before).alias("left")))
+
+    held = _of_group(v, g, keys).select(*keys, "_v", F.explode(F.array_compact(F.array(*map(part, ranks)))).alias("_p")).groupBy(*keys, "_p", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    held = held.withColumn("_upto", F.sum("_c").over(Window.partitionBy(*keys, "_p").orderBy("_v")))
+    found = held.filter((F.col("_upto") >= F.col("_p.left")) & (F.col("_upto") - F.col("_c") < F.col("_p.left")))
+    found = found.groupBy(*keys).agg(*[F.max(F.when(F.col("_p.name") == name, F.col("_v"))).alias(name) for name in ranks])
+    return _of_group(g.select(*keys, "n", "total", "largest"), found, keys)

@@ -1,8 +1,11 @@
 """Cascade plans, compare-and-set publishing, quantile sketches."""
 
+import math
 import random
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cuelattice import ledger
@@ -78,3 +81,19 @@ def test_running_sums_by_ranges(spark):
     for span in (10_000, 7, 1):
         got = ranges.sum_before(spark.createDataFrame(rows, "run long, at long, v long").repartition(3), ["run"], "at", "v", "spent", span).collect()
         assert {r["at"]: r["spent"] for r in got} == {i: sum(v or 0 for k, j, v in rows if k == run and j < i) for run, i, _ in rows}
+
+
+def test_exact_quantiles_whatever_the_sketches_say(spark):
+    v = [(("a", None)[k % 2], (k * 7919) % 9001 / 100 if k % 10 else None, f"2024-01-{1 + k % 9:02d}") for k in range(12_000)]
+    df = spark.createDataFrame([*v, ("one", 2.5, "2024-01-03"), ("early", 1.0, "2024-01-01")], "g string, v double, at string")
+    ranks, at = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}, F.col("at").cast("timestamp")
+    days = sketches.sketch_days(df, ["g"], "v", at, 8)
+    lying = days.withColumn("sketch", F.first("sketch").over(Window.orderBy(F.desc("g"), "day").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    for sketched, k in ((days, 8), (lying, 8)):
+        got = {r["g"]: r for r in sketches.exact_quantiles(df, sketched, ["g"], "v", at, ranks, "2024-01-02", "2024-01-08", k).collect()}
+        assert set(got) == {"a", None, "one"}
+        for g in got:
+            own = sorted(r["v"] for r in df.collect() if r["g"] == g and r["v"] is not None and "2024-01-02" <= r["at"] <= "2024-01-08")
+            assert (got[g]["n"], got[g]["largest"]) == (len(own), own[-1])
+            for name, p in ranks.items():
+                assert got[g][name] == own[max(1, math.ceil(Decimal(str(p)) * len(own))) - 1], (g, name)
