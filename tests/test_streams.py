@@ -233,3 +233,11 @@ def test_refined_words_follow_their_programmes(spark, tmp_path):
     jobs.refine_incrementally(arrivals, words, out, f"{tmp_path}/cp", most=1)
     want = timing.refine_timing(derived.words(spark, str(tmp_path)))
     assert same(jobs.published_rows(spark, out).select(*want.columns), want)
+
+
+def test_means_of_a_trend_are_exact(spark):
+    """1.005 * 100 + 0.5 is 100.99999999999999 in doubles; a sum of doubles depends on its order."""
+    rows = [(k, f"q{q}", "waiting", v) for q, values in enumerate([[1.005], [0.1, 0.2, 0.3, 0.02], [-1.005], [1e22, 0.3, -1e22, 0.02], [float("nan"), 2.0, 2.01]]) for k, v in enumerate(values)] + [(0, "q5", "active", 3.0)]
+    e = spark.createDataFrame(rows, "event_id long, queue string, state string, value double").withColumn("ts", F.lit("2024-01-01 00:30:00").cast("timestamp"))
+    out = jobs.wait_trend(e, "1 hour", "1 hour").select("queue", jobs.cents(F.col("sum_wait"), F.col("n_wait")).alias("c"), "mean_wait", jobs.cents(F.col("sum_work"), F.col("n_work")).alias("k"))
+    assert {r["queue"]: (r["c"], r["k"]) for r in out.collect()} == {"q0": (101, None), "q1": (16, None), "q2": (-100, None), "q3": (16, None), "q4": (201, None), "q5": (None, 300)}
