@@ -5,6 +5,8 @@ import re
 from pyspark.sql import functions as F
 
 from cuelattice.operators import audit, boundaries, evidence, islands, runs, speakers
+from cuelattice.plans import programme
+from cuelattice.sources import derived as D
 
 ROW = "programme_id long, sequence_index long, start_ms long, end_ms long, core_start long, core_end long, n_words long, pb_start long, pb_end long, authored_preserved boolean"
 
@@ -83,3 +85,23 @@ def test_scalar_rules(spark):
     assert {d: s(evidence.retry_after_ms(F.lit(d), now)) for d in dates} == dates
     assert [s(evidence.language_code(F.lit(x).cast("string"))) for x in ("en_US", "iw", "pt-BR", "auto", None)] == ["en_us", "he", "pt", None, None]
     assert s(islands.starts_mid_sentence(F.lit("don't"))) and not s(islands.starts_mid_sentence(F.lit("はい"))) and s(islands.ends_sentence(F.lit("«Yes.»")))
+
+
+def test_words_are_made_once_in_parts_that_grow_with_the_table(spark, tmp_path, monkeypatch):
+    text = "one two three four. " * 40
+    rows = [(c, t, ("user", "assistant")[t % 2], text) for c in range(60) for t in range(4)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    few = D.words(spark, str(tmp_path))
+    monkeypatch.setattr(D, "PART_BYTES", 100)
+    many = D.words(spark, str(tmp_path))
+    assert many.rdd.getNumPartitions() > 4 * few.rdd.getNumPartitions()
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))
+    ids = spark.createDataFrame([(3,), (59,), (99,)], "programme_id long")
+    assert sorted(map(tuple, D.words(spark, str(tmp_path), ids).collect())) == sorted(tuple(r) for r in few.collect() if r["programme_id"] in (3, 59))
+    monkeypatch.setattr(D, "PART_BYTES", 10**6)
+    calls, real = [], D.words
+    monkeypatch.setattr(D, "words", lambda *a: calls.append(a) or real(*a))
+    for query in (programme.fold_03_repairs, programme.agg_07_run_report):
+        calls.clear()
+        query(spark, str(tmp_path))
+        assert len(calls) == 1
