@@ -155,7 +155,7 @@ def jn_09_refused(spark, sf_dir):
 
 def pipe_08_transcripts(spark, sf_dir):
     cols = ["programme_id", "provider", "sequence_index", "label", "colour", "tc_in", "tc_out", "text", "model", "duration_ms", "cost_usd"]
-    words = stage(D.words(spark, sf_dir))
+    words = stage(D.words(spark, sf_dir).select("programme_id", "segment_id", "word_index", "text", "ps", "pe"))
     a = T.transcribe_normalise(D.utterance_transcripts(spark, sf_dir, words), "utterances").withColumn("provider", F.lit("utterances"))
     b = T.transcribe_normalise(D.stream_transcripts(spark, sf_dir, words), "word_stream").withColumn("provider", F.lit("word_stream"))
     return a.select(*cols).unionByName(b.select(*cols))
