@@ -8,10 +8,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cuelattice.llm import clusters, phrases, shards
+from cuelattice.llm import clusters, common, phrases, shards
 
 VECTORS = "vec_id long, embedding array<double>, cluster string, pos int, total int, _hash string, _whole int, inertia int"
 
@@ -204,3 +205,17 @@ def test_phrase_scores_beyond_64_bits(spark):
     rows = [("en", 1, "a", big), ("en", 1, "b", big - 7), ("en", 2, "a b", big - 9)]
     got = phrases.weakest_cuts(spark.createDataFrame(rows, "lang string, words int, phrase string, a long"), spark.createDataFrame([("en", 9 * big)], "lang string, n long")).collect()
     assert [r["score"] for r in got] == [1000 * (big - 9) * 9 * big // (big * (big - 7))]
+
+
+def test_a_steps_shuffle_files_go_and_phrases_lie_in_order(spark, tmp_path):
+    """While steps run, files of the steps before are deleted; keys of a chunk that begin alike lie together."""
+    words, ids = pa.array(["a", "b", "c"]), np.array([2, 1, 0, 1, 2, 0, 1, 3, 0], np.int32)
+    got = pa.Table.from_batches(list(phrases._keys(words, ids, "en", 2, np.array([0, 6, 3]), np.array([1, 1, 0]), np.array([5, 6, 7])))).to_pydict()
+    assert got == {"key": ["!en\ta b", '"en\ta c', '"en\tb a'], "a": [7, 6, 5]}
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: sum(f.getName().startswith("shuffle_") for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllFiles()))
+    docs = documents(spark, talk(2)).repartition(3)
+    chunks = common.materialise(phrases.cut_in_chunks(docs, 2), "test-chunks")
+    before, setting = held(), spark.conf.get(phrases.CLEANUP, None)
+    phrases.frequent(chunks, 5, 4, 2)
+    assert held() <= before and spark.conf.get(phrases.CLEANUP, None) == setting
