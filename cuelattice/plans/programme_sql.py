@@ -65,7 +65,7 @@ bounds as materialized (select *, greatest(0, coalesce(lag(start_ms) over o - st
 _ISLANDS = rf""",
 i0 as (select *, lag(cluster) over o pc, lead(cluster) over o nc, lag(is_music) over o pm, lead(is_music) over o nm, start_ms-lag(end_ms) over o gb0, lead(start_ms) over o - end_ms ga0, lag(text) over o pt, lead(text) over o nt,
   list_filter(string_split(trim(text),''), lambda c: lower(c)<>upper(c))[1] fc from bounds window o as ({_SEQ})),
-i1 as (select *, greatest(0,gb0) gb, greatest(0,ga0) ga, coalesce(not pm and pc<>cluster,false) cp, coalesce(not nm and nc<>cluster,false) cn, regexp_matches(regexp_replace(trim(text),'["''”’»)\]]+$',''),'[.!?…。！？؟।]$') es, regexp_matches(regexp_replace(trim(pt),'["''”’»)\]]+$',''),'[.!?…。！？؟।]$') pes,
+i1 as (select *, greatest(0,gb0) gb, greatest(0,ga0) ga, coalesce(not pm and pc<>cluster,false) cp, coalesce(not nm and nc<>cluster,false) cn, regexp_matches(regexp_replace(regexp_replace(text,'[\s\x0B\x{{85}}\pZ\x{{FEFF}}]+$',''),'["''”’»)\]]+$',''),'[.!?…。！？؟।]$') es, regexp_matches(regexp_replace(regexp_replace(pt,'[\s\x0B\x{{85}}\pZ\x{{FEFF}}]+$',''),'["''”’»)\]]+$',''),'[.!?…。！？؟।]$') pes,
   lead(fc) over ({_SEQ}) nfc from i0),
 i2 as (select *, coalesce(not is_music and cluster is not null and n_words between 1 and 2 and end_ms-start_ms<=400,false) atomic, coalesce(gb0 is not null and gb<=300,false) or coalesce(ga0 is not null and ga<=300,false) seam, cp and cn and coalesce(pc=nc,false) sw,
   cn and ga<=300 and not es and coalesce(nfc=lower(nfc),false) fw, cp and gb<=300 and not pes and coalesce(fc=lower(fc),false) bw from i1),

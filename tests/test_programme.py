@@ -105,3 +105,18 @@ def test_words_are_made_once_in_parts_that_grow_with_the_table(spark, tmp_path,
         calls.clear()
         query(spark, str(tmp_path))
         assert len(calls) == 1
+
+
+def test_a_sentence_ends_before_any_white_space_as_in_the_sql(spark):
+    """White space that trim leaves and a line's end: Spark and DuckDB each saw them in their own way."""
+    import duckdb
+
+    from cuelattice.plans import programme_sql
+
+    texts = ["Yes.", "Yes.\n", "Yes.\n\n", "Yes.\xa0", "Yes.”　", "Yes.\t", "Yes\n", "Yes. ", "Yes.)\x85", "Yes.\n)", "Yes", "", " . "]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k long, text string")
+    got = [r[0] for r in df.orderBy("k").select(islands.ends_sentence(F.col("text"))).collect()]
+    sql = re.search(r"(regexp_matches\(regexp_replace\(regexp_replace\(text.*?) es,", programme_sql._ISLANDS).group(1)
+    con = duckdb.connect()
+    assert got == [con.execute(f"select {sql} from (select ? as text)", [t]).fetchall()[0][0] for t in texts]
+    assert got == [True] * 6 + [False] + [True] * 2 + [False] * 3 + [True]
