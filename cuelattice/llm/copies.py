@@ -1,14 +1,16 @@
 """Near copies: texts whose sets of five-word shingles are alike to 0.8 or more.
 
-A 64-bit SimHash puts such texts so far apart (see the README) that no radius of an
-index reaches them all, so candidates come from an exact prefix filter instead:
+Candidates come from the SimHash index first. A 64-bit SimHash puts many such texts so far
+apart (see the README) that no radius of an index reaches them all; those beyond it are
+found by an exact prefix filter:
 
 1. A text is its set of distinct shingle hashes; equal sets are one node. All sets
    are put in one order, hashes frequent in a sample last. Sets alike to 0.8 or more
    share a hash among the first fifth of each; only these prefixes go on.
-2. First a set is paired with one other, that which leads (is smallest in) most of its
+2. Sets that the SimHash index links, directly or not, are paired with the first of their
+   group. Then a set is paired with one other, that which leads (is smallest in) most of its
    hashes, if it leads a quarter of them; this connects groups of copies by a pair for
-   each. Then, in hashes that still join different components, all pairs of different
+   each. At last, in hashes that still join different components, all pairs of different
    components. What is left out is connected already, so components are those of all
    pairs.
 3. A pair whose prefixes share too little for 0.8 goes; the others are decided by
@@ -94,9 +96,10 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _links(pairs: DataFrame, sets: DataFrame, rows: DataFrame, overlap: bool) -> DataFrame:
-    """Those of the candidates (a, b, n) that are alike. overlap: n is all that their
-    prefixes share, and a pair for which that is too little goes before texts are read."""
+def _links(pairs: DataFrame, sets: DataFrame, rows: DataFrame, overlap: bool | None = None) -> DataFrame:
+    """Those of the candidates (a, b) that are alike. overlap, with a column n: n is all that
+    their prefixes share, and a pair for which that is too little goes before texts are read;
+    False: n is what a leads of b's prefix."""
     for k in "ab":
         pairs = pairs.join(sets.select(F.col("node").alias(k), *[F.col(c).alias(c + k) for c in ("size", "last", "first")]), k)
     pairs = pairs.filter(F.least("sizea", "sizeb") * OF >= F.greatest("sizea", "sizeb") * PART)
@@ -104,7 +107,7 @@ def _links(pairs: DataFrame, sets: DataFrame, rows: DataFrame, overlap: bool) ->
         rest = F.when(F.col("lasta") <= F.col("lastb"), F.col("sizea")).otherwise(F.col("sizeb"))
         most = F.col("n") + F.ceil(rest * PART / OF) - 1
         pairs = pairs.filter(most * (PART + OF) >= (F.col("sizea") + F.col("sizeb")) * PART)
-    else:
+    elif overlap is False:
         pairs = pairs.filter(F.col("n") * LEADS >= F.col("sizeb") - F.ceil(F.col("sizeb") * PART / OF) + 1)
     pairs = materialise(pairs.select("a", "b", "firsta", "firstb"), "copies-pairs")
     asked = materialise(pairs.select(F.explode(F.array("firsta", "firstb")).alias("_row")).distinct(), "copies-asked")
@@ -117,6 +120,17 @@ def _links(pairs: DataFrame, sets: DataFrame, rows: DataFrame, overlap: bool) ->
     return out
 
 
+def close_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Sets (node, first) -> pairs (a, b): each set whose text the SimHash index links to
+    others, directly or not, with the set of the first text among them."""
+    firsts = sets.select(F.col("first").alias("doc_id"))
+    found = simhash.components(narrowed(rows.select(F.col("_row").alias("doc_id"), "text"), firsts, "doc_id", "left_semi"))
+    found = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("of_b"), F.col("component_id").alias("of_a"))
+    for k in "ab":
+        found = found.join(sets.select(F.col("first").alias(f"of_{k}"), F.col("node").alias(k)), f"of_{k}")
+    return found.select("a", "b")
+
+
 def components(rows: DataFrame) -> DataFrame:
     """(_row, text), _row distinct -> _row, component: one number for all rows that
     steps between alike texts connect. Texts without words are alike."""
@@ -134,13 +148,16 @@ def components(rows: DataFrame) -> DataFrame:
     tokens = materialise(tokens.filter("a < z").select("token", "node", "a"), "copies-tokens")
     release(of)
 
+    # each set with the first of those that the SimHash index puts close to it
+    close = _links(close_pairs(rows, sets), sets, rows)
+
     # each set with the one that leads most of its hashes, if those are many
     stars = tokens.filter("node > a").groupBy("a", "node").agg(F.count(F.lit(1)).alias("n"))
     best = stars.groupBy("node").agg(F.max(F.struct("n", "a")).alias("m")).select(F.col("m.a").alias("a"), F.col("node").alias("b"), F.col("m.n").alias("n"))
     links = _links(best, sets, rows, False)
-    rooted = sets.select("node", "size").join(connected_components(links), "node", "left").select("node", "size", F.coalesce("root", "node").alias("root"))
+    rooted = sets.select("node", "size").join(connected_components(links.unionByName(close)), "node", "left").select("node", "size", F.coalesce("root", "node").alias("root"))
     rooted = materialise(rooted, "copies-roots")
-    release(links)
+    release(links, close)
 
     # all others that share a hash: what two sets of different roots share is all open
     held = tokens.select("token", "node").join(rooted, "node")

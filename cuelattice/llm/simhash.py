@@ -206,7 +206,8 @@ def components(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents of `docs` without near-duplicates (see `copies`: five words,
+    """The documents of `docs` without near-duplicates (see `copies`: candidates from this
+    index, then from a prefix filter those beyond its radius; decided by five words and
     similarity 0.8), with the columns of `docs`, whatever their names.
 
     Of each component one row stays whole, that with the smallest id, null ids last; of

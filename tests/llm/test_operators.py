@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import Row
 
-from cuelattice.llm import fingerprints, language, mixing, neighbours, page_text, passages, pieces, quality, queries, simhash, token_files
+from cuelattice.llm import copies, fingerprints, language, mixing, neighbours, page_text, passages, pieces, quality, queries, simhash, token_files
 from cuelattice.llm.components import connected_components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, fp string, _bucket int, key int"
@@ -240,6 +240,21 @@ def test_keep_one_of_null_and_repeated_ids(spark):
     assert sorted(map(str, got)) == sorted(str(Row(doc_id=i, text=t)) for i, t in [(2, a.upper() + " x"), (None, b), (4, c), (4, d), (2, e)])
 
 
+def test_keep_one_takes_candidates_from_the_index(spark, monkeypatch):
+    """Without pairs of the prefix filter, what the index links and the exact check affirms is one."""
+    said = " ".join(f"w{i}" for i in range(400))
+    rows = [(2, said), (1, said + " more"), (3, "quite another text " * 9), (4, None), (5, "")]
+    seen, links = [], copies._links
+
+    def kept_of_index(pairs, sets, rows, overlap=None):
+        seen.append(overlap)
+        return links(pairs if overlap is None else pairs.limit(0), sets, rows, overlap)
+
+    monkeypatch.setattr(copies, "_links", kept_of_index)
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(r.doc_id for r in got.collect()) == [1, 3, 4] and seen[0] is None
+
+
 def test_keep_one_reaches_similarity(spark):
     """Copies planted at five-word Jaccard 0.75 to 0.99, against all pairs."""
     rng = random.Random(9)
