@@ -130,10 +130,16 @@ def let_go() -> None:
     back to the system, where the C library can."""
     if _HELD:
         _HELD.clear()
-        gc.collect()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+        give_back()
+
+
+def give_back() -> None:
+    """Give what is free in this Python worker, Arrow's memory too, back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 _HELD: dict = {}
@@ -143,6 +149,7 @@ def held(key: tuple, make):
     """What a Python worker keeps from task to task: one thing at a time, so that
     the caches of several operators never add up."""
     if key not in _HELD:
-        let_go()
+        _HELD.clear()
+        give_back()
         _HELD[key] = make()
     return _HELD[key]

@@ -33,7 +33,9 @@ from .common import held, mix64, text_views
 
 SPACE = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-CACHE = 500_000
+CACHE = 150_000
+#: Bytes of text that are encoded at once.
+BLOCK = 1_000_000
 MEMO, SIEVE = 20, 22
 _NEVER = np.int64(1 << 40)
 
@@ -298,7 +300,7 @@ class Pieces:
     def blocks(self, texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(lo, hi, ids, ends): the ids of texts lo to hi in a row, and where each
         text's end; as the library's encode() gives them."""
-        for lo, hi, data, ends in U.blocks(texts, b" " if self.dummy else b""):
+        for lo, hi, data, ends in U.blocks(texts, b" " if self.dummy else b"", BLOCK):
             ids, upto = self.cache.encode(data, *U.cut(data, ends, self.apart))
             yield lo, hi, ids, upto
 

@@ -19,10 +19,10 @@ from .common import by_bytes
 BLOCK = 4_000_000
 
 
-def blocks(texts: list[bytes], lead: bytes) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def blocks(texts: list[bytes], lead: bytes, limit: int = BLOCK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(lo, hi, data, ends): texts lo to hi in one array, `lead` before each that is
     not empty, and where each ends."""
-    for lo, hi in by_bytes(texts, BLOCK):
+    for lo, hi in by_bytes(texts, limit):
         some = [lead + t if t else b"" for t in texts[lo:hi]]
         yield lo, hi, np.frombuffer(b"".join(some), np.uint8), np.cumsum([len(t) for t in some], dtype=np.int64)
 

@@ -97,3 +97,12 @@ def test_exact_quantiles_whatever_the_sketches_say(spark):
             assert (got[g]["n"], got[g]["largest"]) == (len(own), own[-1])
             for name, p in ranks.items():
                 assert got[g][name] == own[max(1, math.ceil(Decimal(str(p)) * len(own))) - 1], (g, name)
+
+
+def test_a_worker_gives_memory_back_before_it_holds_a_model(monkeypatch):
+    from cuelattice.llm import common
+
+    calls = []
+    monkeypatch.setattr(common, "_HELD", {})
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    assert [common.held(("a model",), lambda: 7) for _ in range(2)] == [7, 7] and calls == [1]
