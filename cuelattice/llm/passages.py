@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bytes, held, materialise, mix64, partitions, shared_dir, text_views
+from .common import by_bytes, give_back, held, materialise, mix64, partitions, shared_dir, text_views
 
 LENGTH, GRAM = 200, 64
 REACH = LENGTH - GRAM + 1
@@ -112,6 +112,7 @@ def _anchors(only_gram: bool):
                         continue
                     doc = np.searchsorted(ends, a, side="right")
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (rids[lo:hi][doc], a - starts[doc] + cut, (stop - a).astype(np.int16), (p - a).astype(np.int16), gram.view(np.int64), span.view(np.int64))], names=["rid", "a", "more", "off", "gram", "span"])
+        give_back()
 
     return run
 
@@ -232,6 +233,8 @@ def _shard(keep: str):
                 size, last = size + int(upto[-1] - upto[begin]), key[-1]
         if parts:
             yield decide(pd.concat(parts, ignore_index=True))
+            parts.clear()
+        give_back()
 
     return run
 
@@ -376,6 +379,8 @@ def remove_repeats(docs: DataFrame, keep: str = "first") -> DataFrame:
             nulls = batch.column(names.index("text")).is_null().to_pylist()
             text = pa.array([None if z else t.decode("utf-8", "ignore") for z, (t, _) in zip(nulls, _cut(batch), strict=True)], pa.string())
             yield pa.RecordBatch.from_arrays([text if c == "text" else batch.column(k) for k, c in enumerate(names)], names=names)
+            del text, batch
+        give_back()
 
     out = _joined(plain, keep).select(*names, "cuts").mapInArrow(run, plain.schema)
     return out.toDF(*cols)

@@ -255,6 +255,49 @@ def test_keep_one_takes_candidates_from_the_index(spark, monkeypatch):
     assert sorted(r.doc_id for r in got.collect()) == [1, 3, 4] and seen[0] is None
 
 
+def test_near_copies_are_listed_once_and_only_if_they_may_be_alike(spark, monkeypatch):
+    """120 edits of one text, too far from one another: next to no pair is listed. Closer
+    ones are still found, each pair about once, though they share many hashes."""
+    rng, rows, found, open_pairs = random.Random(3), [], [], copies.open_pairs
+    word = lambda: f"w{rng.randrange(10**6)}"
+    for k, edits in ((0, 16), (1, 7)):
+        base = [word() for _ in range(400)]
+        for i in range(120):
+            text = list(base)
+            for _ in range(edits):
+                text[rng.randrange(400)] = word()
+            rows.append((1000 * k + i, " ".join(text)))
+
+    def listed(open_):
+        found.append(open_pairs(open_).collect())
+        return open_pairs(open_)
+
+    monkeypatch.setattr(copies, "LEADS", 1)
+    monkeypatch.setattr(copies, "open_pairs", listed)
+    got = copies.components(spark.createDataFrame(rows, "_row long, text string").repartition(3)).collect()
+    sets = {i: set(copies.shingle_set(t.encode()).tolist()) for i, t in rows}
+    root = {i: i for i in sets}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+            low, high = sorted((root[a], root[b]))
+            root = {i: low if r == high else r for i, r in root.items()}
+    of = {r["_row"]: r["component"] for r in got}
+    assert len(set(zip(root.values(), (of[i] for i in root), strict=True))) == len(set(root.values())) == len(set(of.values()))
+    pairs = Counter((r["nodex"], r["nodey"]) for r in found[0])
+    assert sum(pairs.values()) <= 3 * len(pairs) and len(pairs) < 120 * 119 // 2
+
+
+@pytest.mark.parametrize("n", [0, 1, 500, 513, 3000])
+def test_sketches_never_pass_the_difference(n):
+    rng = np.random.default_rng(n)
+    x = np.unique(rng.integers(0, 2**62, n))
+    y = np.unique(np.r_[x[: n // 2], rng.integers(0, 2**62, n // 3)])
+    a, b = copies.sketch(x), copies.sketch(y)
+    for k in {copies.SKETCH, min(len(a), len(b))}:
+        apart = np.bitwise_count((copies.folded(a, k) ^ copies.folded(b, k)).view(np.uint64)).sum()
+        assert apart <= len(np.setxor1d(x, y)) and len(copies.folded(a, k)) == k
+
+
 def test_keep_one_reaches_similarity(spark):
     """Copies planted at five-word Jaccard 0.75 to 0.99, against all pairs."""
     rng = random.Random(9)
