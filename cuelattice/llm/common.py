@@ -34,13 +34,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialise(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
+def materialise(df: DataFrame, tag: str, by: str | None = None, codec: str | None = None) -> DataFrame:
     """Cut the lineage: write Parquet to the shared folder and read it back. by: a column
     to write folders by; its rows are taken to be large, so few of them make a row group."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     writer = df.write.partitionBy(by).option("parquet.block.size", 16 << 20).option("parquet.page.size.row.check.min", 1) if by else df.write
-    writer.parquet(path)
+    (writer.option("compression", codec) if codec else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written = path
     return out

@@ -207,6 +207,17 @@ def test_phrase_scores_beyond_64_bits(spark):
     assert [r["score"] for r in got] == [1000 * (big - 9) * 9 * big // (big * (big - 7))]
 
 
+@pytest.mark.parametrize("n,size", [(300, 2), (65_535, 2), (65_536, 4)])
+def test_numbers_of_a_chunk_take_two_bytes_where_they_are_enough(n, size):
+    chunk = phrases._Chunk()
+    said = [f"w{i}" for i in range(n)]
+    chunk.add(memoryview((" ".join(said) + ". w7 w8").encode()))
+    _, _, total, words, ids = chunk.row("en", 0)
+    numbers = np.frombuffer(ids, phrases._number(n))
+    assert numbers.itemsize == size and len(ids) == size * len(numbers) and total == n + 2
+    assert [words[i - 1].decode() for i in numbers.tolist() if i] == [*said, "w7", "w8"]
+
+
 def test_a_steps_shuffle_files_go_and_phrases_lie_in_order(spark, tmp_path):
     """While steps run, files of the steps before are deleted; keys of a chunk that begin alike lie together."""
     words, ids = pa.array(["a", "b", "c"]), np.array([2, 1, 0, 1, 2, 0, 1, 3, 0], np.int32)
