@@ -84,11 +84,11 @@ def alignment_gate(runs: DataFrame) -> DataFrame:
     return runs.withColumn("verdict", reason)
 
 
-def merge_fragments(pieces: DataFrame) -> DataFrame:
+def merge_fragments(pieces: DataFrame, *carried: str) -> DataFrame:
     """Sentence pieces (programme_id, segment_id, piece, start_ms, end_ms, n_words)
     with merged: short ones join the piece before, else the piece after, across small
-    gaps. A segment's few pieces pass through one ordered fold."""
-    item = F.struct("piece", "start_ms", "end_ms", "n_words", "next_ms")
+    gaps. A segment's few pieces pass through one ordered fold. carried: columns that stay."""
+    item = F.struct("piece", "start_ms", "end_ms", "n_words", "next_ms", *carried)
     order = Window.partitionBy("programme_id", "segment_id").orderBy("piece")
     per = pieces.withColumn("next_ms", F.lead("start_ms").over(order)).groupBy("programme_id", "segment_id").agg(F.sort_array(F.collect_list(item)).alias("p"))
     frag = f"(r.end_ms - coalesce(a.cs, r.start_ms) < {FRAGMENT_MS} and r.n_words + a.cn < {FRAGMENT_WORDS})"
@@ -98,7 +98,10 @@ def merge_fragments(pieces: DataFrame) -> DataFrame:
     fold = f"""aggregate(p, named_struct('g', -1L, 'pe', cast(null as bigint), 'cs', cast(null as bigint), 'cn', 0L, 'out', cast(array() as {out})), (a, r) -> named_struct(
         'g', if({back} or {on}, a.g, a.g + 1), 'pe', if({on}, a.pe, r.end_ms), 'cs', if({on}, coalesce(a.cs, r.start_ms), cast(null as bigint)), 'cn', if({on}, a.cn + r.n_words, 0L),
         'out', array_append(a.out, named_struct('piece', r.piece, 'merged', if({back}, a.g, a.g + 1)))), a -> a.out)"""
-    return per.select("programme_id", "segment_id", F.explode(F.expr(fold)).alias("x")).select("programme_id", "segment_id", "x.*")
+    if not carried:
+        return per.select("programme_id", "segment_id", F.explode(F.expr(fold)).alias("x")).select("programme_id", "segment_id", "x.*")
+    x = per.withColumn("m", F.expr(fold)).select("programme_id", "segment_id", F.explode(F.arrays_zip("p", "m")).alias("x"))
+    return x.select("programme_id", "segment_id", "x.m.*", *[F.col(f"x.p.{c}") for c in carried])
 
 
 def language_code(tag: Column) -> Column:

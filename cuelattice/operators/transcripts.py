@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..staging import stage
 from . import evidence, intervals
 from .speakers import authoritative
 
@@ -33,24 +32,25 @@ def with_content_hash(raw: DataFrame, column: str = "raw") -> DataFrame:
     return raw.withColumn("content_sha256", F.sha2(F.col(column), 256))
 
 
-def shape(words: DataFrame) -> DataFrame:
-    """words (programme_id, segment_id, word_index, text, start_ms, end_ms, ...) with
-    chunk: cut after a sentence's end or a pause, short fragments merged."""
+def _rollup(words: DataFrame, *keys: str, whole: Column | None = None) -> DataFrame:
+    """words (programme_id, segment_id, word_index, text, start_ms, end_ms, confidence, keys: alike
+    in a segment) -> one row per chunk, word texts in order. Chunks are cut after a sentence's
+    end or a pause, short fragments merged; segments that are `whole` stay so. Nothing is joined,
+    so words dealt by programme are not dealt out again."""
     order = Window.partitionBy("programme_id", "segment_id").orderBy("word_index")
     cut = X.sentence_end(F.trim(F.lag("text").over(order))) | (F.col("start_ms") - F.lag("end_ms").over(order) >= PAUSE_MS)
+    cut = cut if whole is None else cut & ~whole
     w = words.withColumn("piece", F.sum(F.coalesce(cut, F.lit(False)).cast("long")).over(order))
-    spans = w.groupBy("programme_id", "segment_id", "piece").agg(F.min_by("start_ms", "word_index").alias("start_ms"), F.max_by("end_ms", "word_index").alias("end_ms"), F.count(F.lit(1)).alias("n_words"))
-    merged = evidence.merge_fragments(spans).withColumnRenamed("merged", "chunk")
-    return w.join(merged, ["programme_id", "segment_id", "piece"]).drop("piece")
-
-
-def _rollup(words: DataFrame, *keys: str) -> DataFrame:
-    """One row per programme, segment and chunk; word texts in order."""
-    texts = F.transform(F.sort_array(F.collect_list(F.struct("word_index", "text"))), lambda x: x["text"])
-    timing = F.struct("word_index", "text", "start_ms", "end_ms", F.round("confidence", 4).alias("confidence"))
-    return words.groupBy("programme_id", "segment_id", "chunk", *keys).agg(
-        F.min_by("start_ms", "word_index").alias("start_ms"), F.max_by("end_ms", "word_index").alias("end_ms"), F.count(F.lit(1)).alias("n_words"),
-        F.avg("confidence").alias("avg_word_confidence"), F.array_join(texts, " ").alias("_joined"), F.sort_array(F.collect_list(timing)).alias("word_timings"),
+    pieces = w.groupBy("programme_id", "segment_id", *keys, "piece").agg(F.sort_array(F.collect_list(F.struct("word_index", "text", "start_ms", "end_ms", "confidence"))).alias("words"))
+    ends = {"start_ms": F.element_at("words", 1)["start_ms"], "end_ms": F.element_at("words", -1)["end_ms"], "n_words": F.size("words").cast("long")}
+    merged = evidence.merge_fragments(pieces.withColumns(ends), *keys, "words").withColumnRenamed("merged", "chunk")
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("piece", "words"))), lambda x: x["words"])
+    said = F.filter(F.transform("words", lambda x: x["confidence"]), lambda x: x.isNotNull())
+    timing = lambda x: F.struct(x["word_index"], x["text"], x["start_ms"], x["end_ms"], F.round(x["confidence"], 4).alias("confidence"))
+    return merged.groupBy("programme_id", "segment_id", "chunk", *keys).agg(F.flatten(parts).alias("words")).select(
+        "programme_id", "segment_id", "chunk", *keys, *[x.alias(c) for c, x in ends.items()],
+        F.when(F.size(said) > 0, F.aggregate(said, F.lit(0.0), lambda a, x: a + x) / F.size(said)).alias("avg_word_confidence"),
+        F.array_join(F.transform("words", lambda x: x["text"]), " ").alias("_joined"), F.transform("words", timing).alias("word_timings"),
     )
 
 
@@ -69,65 +69,77 @@ _SEGMENT = ["programme_id", "segment_id", "chunk", "speaker_ref", "start_ms", "e
 def read_utterance_transcripts(raw: DataFrame) -> DataFrame:
     """Transcripts of utterances over one list of words, times in milliseconds. A word
     belongs to every utterance it begins in; segment_id is the utterance's number."""
-    p = parsed(raw)
-    w = p.select("programme_id", F.posexplode("r.words").alias("word_index", "w"))
-    w = w.select("programme_id", F.col("word_index").cast("long"), F.col("w.text").alias("text"), X.half_up(F.col("w.start")).alias("s"), X.half_up(F.col("w.end")).alias("e"), F.col("w.confidence").alias("confidence"))
-    u = p.select("programme_id", F.posexplode("r.utterances").alias("segment_id", "u"))
-    u = u.select("programme_id", F.col("segment_id").cast("long"), F.col("u.speaker").alias("speaker_ref"), F.col("u.confidence").alias("_said"), X.half_up(F.col("u.start")).alias("start_ms"), X.half_up(F.col("u.end")).alias("end_ms"))
-    inside = intervals.points_in(w, u).drop("start_ms", "end_ms").withColumnsRenamed({"s": "start_ms", "e": "end_ms"})
-    out = _rollup(shape(inside), "speaker_ref", "_said")
+    return _utterances(parsed(raw)).select(*_SEGMENT)
+
+
+def _utterances(p: DataFrame, *kept: str) -> DataFrame:
+    """kept: columns of p (programme_id, r) that stay."""
+    item = lambda spoken, label: lambda x, n: F.struct(n.cast("long").alias("n"), F.lit(spoken).alias("spoken"), x[label].alias("label"), x["start"].alias("start"), x["end"].alias("end"), x["confidence"].alias("confidence"))
+    p = intervals.with_levels(p, F.transform("r.utterances", lambda u: X.half_up(u["end"]) - X.half_up(u["start"])))
+    x = p.select("programme_id", "levels", *kept, F.explode(F.concat(F.transform("r.words", item(False, "text")), F.transform("r.utterances", item(True, "speaker")))).alias("x")).select("programme_id", "levels", *kept, "x.*")
+    span = F.struct(F.col("n").alias("segment_id"), F.col("label").alias("speaker_ref"), F.col("confidence").alias("_said"), X.half_up(F.col("start")).alias("start_ms"), X.half_up(F.col("end")).alias("end_ms"), *kept)
+    w = x.select("programme_id", "levels", F.when(F.col("spoken"), span).alias("span"), F.col("n").alias("word_index"), F.col("label").alias("text"), X.half_up(F.col("start")).alias("s"), X.half_up(F.col("end")).alias("e"), "confidence")
+    keys = ["speaker_ref", "_said", *kept]
+    inside = intervals.points_by(w).select("programme_id", "span.segment_id", "word_index", "text", F.col("s").alias("start_ms"), F.col("e").alias("end_ms"), "confidence", *[f"span.{k}" for k in keys])
+    out = _rollup(inside, *keys)
     out = out.withColumn("_m", music_mark(F.trim(F.regexp_replace("_joined", r"(?U)\s+", " ")))).select("*", "_m.*")
-    out = out.withColumns({"confidence": F.col("_said"), "avg_word_confidence": F.coalesce("avg_word_confidence", "_said"), "music_source": F.when(F.col("is_music"), "aai_u3_prompt")})
-    return out.select(*_SEGMENT)
+    return out.withColumns({"confidence": F.col("_said"), "avg_word_confidence": F.coalesce("avg_word_confidence", "_said"), "music_source": F.when(F.col("is_music"), "aai_u3_prompt")})
 
 
 def read_word_stream_transcripts(raw: DataFrame) -> DataFrame:
     """Transcripts that are one stream of typed words, times in seconds. segment_id
     numbers the runs of one speaker and of music or speech; music is not cut further."""
+    return _word_stream(parsed(raw)).select(*_SEGMENT)
+
+
+def _word_stream(p: DataFrame, *kept: str) -> DataFrame:
+    """kept: columns of p (programme_id, r) that stay."""
     order = Window.partitionBy("programme_id").orderBy("word_index")
-    w = parsed(raw).select("programme_id", F.posexplode("r.words").alias("word_index", "w"))
+    w = p.select("programme_id", *kept, F.posexplode("r.words").alias("word_index", "w"))
     kind, text = F.coalesce("w.type", F.lit("")), F.coalesce("w.text", F.lit(""))
     music = (kind == "audio_event") & text.rlike("(?i)music|song|singing")
     w = w.filter((kind != "spacing") & ((kind != "audio_event") | music))
     ms = lambda c: X.half_up(F.coalesce(F.col(c), F.lit(0.0)) * 1000)
     speaker = F.when(F.coalesce("w.speaker_id", F.lit("")) == "", "speaker_0").otherwise(F.col("w.speaker_id"))
-    w = w.select("programme_id", F.col("word_index").cast("long"), text.alias("text"), ms("w.start").alias("start_ms"), ms("w.end").alias("end_ms"), F.col("w.confidence").alias("confidence"), speaker.alias("speaker_ref"), music.alias("is_music"))
+    w = w.select("programme_id", *kept, F.col("word_index").cast("long"), text.alias("text"), ms("w.start").alias("start_ms"), ms("w.end").alias("end_ms"), F.col("w.confidence").alias("confidence"), speaker.alias("speaker_ref"), music.alias("is_music"))
     change = (F.lag("speaker_ref").over(order) != F.col("speaker_ref")) | (F.lag("is_music").over(order) != F.col("is_music"))
     w = w.withColumn("segment_id", F.sum(F.coalesce(change, F.lit(False)).cast("long")).over(order))
-    speech = shape(w.filter("not is_music"))
-    out = _rollup(speech.unionByName(w.filter("is_music").withColumn("chunk", F.lit(0).cast("long"))), "speaker_ref", "is_music")
+    out = _rollup(w, "speaker_ref", "is_music", *kept, whole=F.col("is_music"))
     tidy = F.trim(F.regexp_replace(F.regexp_replace("_joined", r"(?U)\s+([,.;:!?])", "$1"), r"(?U)\s+", " "))
-    out = out.withColumns({"text": tidy, "confidence": F.col("avg_word_confidence"), "music_context": F.when(F.col("is_music"), "foreground").otherwise("none"), "music_source": F.when(F.col("is_music"), "scribe_audio_events")})
-    return out.select(*_SEGMENT)
+    return out.withColumns({"text": tidy, "confidence": F.col("avg_word_confidence"), "music_context": F.when(F.col("is_music"), "foreground").otherwise("none"), "music_source": F.when(F.col("is_music"), "scribe_audio_events")})
+
+
+def with_speakers(segments: DataFrame) -> DataFrame:
+    """segments with their speaker's place in the order of first appearance in the programme,
+    label, colour index and number of segments."""
+    own = Window.partitionBy("programme_id", "speaker_ref")
+    s = segments.withColumns({"_first": F.min(F.struct("segment_id", "chunk")).over(own), "segment_count": F.count(F.lit(1)).over(own)})
+    s = s.withColumn("speaker_index", (F.dense_rank().over(Window.partitionBy("programme_id").orderBy("_first")) - 1).cast("long")).drop("_first")
+    return s.withColumns({"label": X.provider_speaker_label(F.col("speaker_ref"), F.col("speaker_index")), "colour": F.col("speaker_index") % X.SPEAKER_COLOURS})
 
 
 def transcript_speakers(segments: DataFrame) -> DataFrame:
     """Speakers of each programme in order of first appearance: label, colour index and
     number of segments."""
-    g = segments.groupBy("programme_id", "speaker_ref").agg(F.min(F.struct("segment_id", "chunk")).alias("_first"), F.count(F.lit(1)).alias("segment_count"))
-    k = (F.row_number().over(Window.partitionBy("programme_id").orderBy("_first")) - 1).cast("long")
-    g = g.withColumn("speaker_index", k)
-    return g.select("programme_id", "speaker_ref", "speaker_index", X.provider_speaker_label(F.col("speaker_ref"), F.col("speaker_index")).alias("label"), (F.col("speaker_index") % X.SPEAKER_COLOURS).alias("colour"), "segment_count")
+    return with_speakers(segments).select("programme_id", "speaker_ref", "speaker_index", "label", "colour", "segment_count").distinct()
 
 
 def transcribe_normalise(raw: DataFrame, provider: str, frame_rate: int = FRAME_RATE) -> DataFrame:
-    """raw (programme_id, raw) of one provider -> the transcript's rows in order, with
-    speaker, timecodes and the programme's cost. The text is parsed once, into a typed table
-    that words, utterances and cost read, each its own columns."""
-    p = stage(parsed(raw).select("programme_id", "r.*"))
-    p = p.select("programme_id", F.struct(*[c for c in p.columns if c != "programme_id"]).alias("r"))
-    segs = stage(read_utterance_transcripts(p) if provider == "utterances" else read_word_stream_transcripts(p))
-    rows = segs.join(transcript_speakers(segs), ["programme_id", "speaker_ref"])
-    n = F.row_number().over(Window.partitionBy("programme_id").orderBy("segment_id", "chunk")) - 1
+    """raw (programme_id, raw) of one provider, a programme a row -> the transcript's rows in order,
+    with speaker, timecodes and the programme's cost; rows without a speaker are left out. Each
+    text is parsed once, and all that follows is grouped by programme: raw rows are dealt out once
+    at most, words never, and nothing is written between."""
+    p = parsed(raw)
     if provider == "utterances":
-        cost = p.select("programme_id", X.half_up(F.coalesce("r.audio_duration", F.lit(0.0)) * 1000).alias("duration_ms"), F.coalesce("r.speech_model_used", F.lit("universal-3-5-pro")).alias("model"))
-        cost = cost.withColumn("_rate", F.when(F.col("model") == "universal-2", RATES["universal-2"]).otherwise(RATES["universal-3-5-pro"]))
+        p = p.select("programme_id", "r", X.half_up(F.coalesce("r.audio_duration", F.lit(0.0)) * 1000).alias("duration_ms"), F.coalesce("r.speech_model_used", F.lit("universal-3-5-pro")).alias("model"))
+        segs, rate = _utterances(p, "duration_ms", "model"), F.when(F.col("model") == "universal-2", RATES["universal-2"]).otherwise(RATES["universal-3-5-pro"])
     else:
-        last = F.try_element_at("r.words", F.lit(-1))
-        cost = p.select("programme_id", X.half_up(F.coalesce(last["end"], F.lit(0.0)) * 1000).alias("duration_ms"), F.lit("scribe_v2").alias("model"), F.lit(RATES["scribe_v2"]).alias("_rate"))
-    usd = F.floor(F.col("duration_ms") / 1000.0 * F.col("_rate") * 10_000 + 0.5) / 10_000
-    rows = rows.join(cost.select("programme_id", "duration_ms", "model", usd.cast("double").alias("cost_usd")), "programme_id")
-    return rows.withColumns({"sequence_index": n.cast("long"), "tc_in": X.timecode(F.col("start_ms"), frame_rate), "tc_out": X.timecode(F.col("end_ms"), frame_rate)})
+        p = p.select("programme_id", "r", X.half_up(F.coalesce(F.try_element_at("r.words", F.lit(-1))["end"], F.lit(0.0)) * 1000).alias("duration_ms"))
+        segs, rate = _word_stream(p, "duration_ms").withColumn("model", F.lit("scribe_v2")), F.lit(RATES["scribe_v2"])
+    rows = with_speakers(segs.select(*_SEGMENT, "duration_ms", "model").filter("speaker_ref is not null"))
+    n = F.row_number().over(Window.partitionBy("programme_id").orderBy("segment_id", "chunk")) - 1
+    usd = F.floor(F.col("duration_ms") / 1000.0 * rate * 10_000 + 0.5) / 10_000
+    return rows.withColumns({"cost_usd": usd.cast("double"), "sequence_index": n.cast("long"), "tc_in": X.timecode(F.col("start_ms"), frame_rate), "tc_out": X.timecode(F.col("end_ms"), frame_rate)})
 
 
 def unusable(raw: DataFrame, segments: DataFrame) -> DataFrame:

@@ -1,10 +1,14 @@
 """Golden cases of raw transcripts, publishing, chunked runs, streams and text rules."""
 
 import json
+import os
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from cuelattice import staging
 from cuelattice.functions import exprs as X
 from cuelattice.operators import audit, chunked, evidence, lines, publish, rows, runs
 from cuelattice.operators import transcripts as T
@@ -32,6 +36,31 @@ def test_word_stream_runs(spark):
     assert [(r["speaker_ref"], r["text"], r["is_music"]) for r in out] == [("speaker_0", "a", False), ("speaker_0", "(music)", True), ("speaker_0", "b", False), ("speaker_1", "c.", False)]
 
 
+def test_transcripts_are_dealt_once_and_written_nowhere(spark):
+    """A programme's words stay where its raw text is: only texts or raw rows are shuffled."""
+    from cuelattice.plans import intake
+
+    before = set(os.listdir(staging.folder(spark)))
+    dealt = re.findall(r"Exchange .*", intake.pipe_08_transcripts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString())
+    assert len(dealt) == 2 and all("hashpartitioning(conv_id" in x and "REPARTITION_BY_NUM" in x for x in dealt)
+    raw = spark.createDataFrame([(1, "{}")], "programme_id long, raw string")
+    for provider in ("utterances", "word_stream"):
+        df = T.transcribe_normalise(raw, provider)
+        assert len(re.findall(r"Exchange .*", df._jdf.queryExecution().executedPlan().toString())) <= 1 and df.count() == 0
+    assert set(os.listdir(staging.folder(spark))) == before
+
+
+def test_utterances_that_overlap_and_last_long(spark):
+    """Words of several utterances, some of hours, some of no length, some without times."""
+    rng = random.Random(3)
+    words = [{"text": f"w{i}", "start": rng.choice([None, *[rng.randint(-5_000, 9_000_000)] * 9]), "end": i, "confidence": 0.5} for i in range(300)] + [None]
+    ends = [(a := rng.randint(-5_000, 9_000_000), a + rng.choice([-5, 0, 900, 70_000, 700_000, 8_000_000])) for _ in range(25)]
+    said = [{"speaker": "A", "start": a, "end": b} for a, b in [*ends, (None, 5), (5, None)]]
+    raw = spark.createDataFrame([(p, json.dumps({"words": words, "utterances": said})) for p in (1, 2)], "programme_id long, raw string")
+    got = {(r["programme_id"], r["segment_id"], t["text"]) for r in T.read_utterance_transcripts(raw).collect() for t in r["word_timings"]}
+    assert got == {(p, k, w["text"]) for p in (1, 2) for k, (a, b) in enumerate(ends) for w in words if w and w["start"] is not None and a <= w["start"] < b}
+
+
 def test_turns_and_words_with_rejects(spark):
     raw = json.dumps({"diarization": [{"speaker": "S1", "start": 2.0, "end": 3.0, "confidence": {"S1": 80}}, {"speaker": None, "start": 0, "end": 1}, {"speaker": "S0", "start": 1.0, "end": 1.5}]})
     turns, none = T.read_turns(spark.createDataFrame([(1, raw), (2, '{"diarization": []}')], "programme_id long, raw string"))
