@@ -10,9 +10,10 @@ found by an exact prefix filter:
 2. Sets that the SimHash index links, directly or not, are paired with the first of their
    group. Then a set is paired with up to four others, those that lead (are first by four
    orders in) most of its hashes, if they lead a quarter of them; this connects groups of
-   copies by a few pairs for each. At last, in hashes that still join different components,
-   pairs of different components that may be alike. What is left out is connected already,
-   so components are those of all pairs.
+   copies by a few pairs for each. Hashes that still join many components go through turns
+   with other orders, so other leaders, as long as these connect much. At last, in hashes that
+   join different components, pairs of different components that may be alike. What is left
+   out is connected already, so components are those of all pairs.
 3. Every set has a sketch: the parities of how many of its hashes fall to each of its bits,
    about as many as hashes, which fold to 512. Two sets differ in at least as many hashes as
    their sketches in bits, so a pair whose sketches differ too much for 0.8 goes. A pair is
@@ -26,6 +27,7 @@ Nothing is lost but by collisions of 63-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,8 @@ SAMPLE, FREQUENT, HOT = 5_000, 3, 200_000
 #: Which pairs are tried first; the others are tried after, so the result doesn't depend on it.
 #: The first of a hash by each order is its smallest node once the bits of ORDERS are flipped.
 LEADS, ORDERS = 4, (0, -1, 1 << 62, ~(1 << 62))
+#: A hash of more components goes through turns; such a group then makes about so many pairs a set.
+CROWD = 16
 #: Numbers of 64 bits in a folded sketch, and in the widest. A hash comes with the BEFORE ahead of it.
 SKETCH, WIDEST, BEFORE = 8, 1024, 4
 SKETCHES = [f"sketch{k}" for k in range(SKETCH)]
@@ -184,6 +188,45 @@ def leaders(tokens: DataFrame) -> DataFrame:
     return most.groupBy(F.col("m.a").alias("a"), F.col("node").alias("b")).agg(F.max("m.n").alias("n"))
 
 
+def _rooted(sets: DataFrame, edges: DataFrame) -> DataFrame:
+    out = sets.join(connected_components(edges), "node", "left").select("node", "size", F.coalesce("root", "node").alias("root"), *SKETCHES)
+    return materialise(out, "copies-roots")
+
+
+def _shared(tokens: DataFrame, rooted: DataFrame) -> DataFrame:
+    """(token, node) -> token, roots: of those that join different components, how many."""
+    held = tokens.select("token", "node").join(rooted.select("node", "root"), "node").select("token", "root").distinct()
+    return held.groupBy("token").agg(F.count(F.lit(1)).alias("roots")).filter("roots > 1")
+
+
+def other_leads(tokens: DataFrame, turn: int) -> DataFrame:
+    """(token, node, root) -> token, node, leads: the token's first nodes by orders of this turn,
+    the node itself in place of those of its own root."""
+    masks = [F.lit(x).cast("long") for x in np.random.default_rng([simhash.SEED, turn]).integers(-(2**63), 2**63, len(ORDERS)).tolist()]
+    firsts = [F.min(F.struct(F.col("node").bitwiseXOR(m).alias("far"), "root")) for m in masks]
+    first = tokens.groupBy("token").agg(*[x.alias(f"f{k}") for k, x in enumerate(firsts)])
+    leads = [F.when(F.col(f"f{k}.root") == F.col("root"), F.col("node")).otherwise(F.col(f"f{k}.far").bitwiseXOR(m)) for k, m in enumerate(masks)]
+    return tokens.join(first, "token").select("token", "node", F.array(*leads).alias("leads"))
+
+
+def gathered(tokens: DataFrame, crowd: DataFrame, rooted: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """`rooted` after turns over the tokens in crowd (token, roots): each set is paired with those
+    of other roots that lead most of its tokens. A token takes part as long as it has more than
+    CROWD roots and a turn takes a quarter of them; the others are left to `open_pairs`."""
+    own = materialise(tokens.join(crowd.select("token"), "token").select("token", "node"), "copies-crowded")
+    for turn in count():
+        play = own.join(crowd.select("token"), "token").join(rooted.select("node", "root"), "node")
+        more = _links(leaders(other_leads(play, turn)).select("a", "b"), sets, rows)
+        new = _rooted(sets, more.unionByName(rooted.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        left = _shared(own, new).join(crowd.select("token", F.col("roots").alias("was")), "token")
+        left = materialise(left.filter((F.col("roots") > CROWD) & (F.col("roots") * 4 <= F.col("was") * 3)).select("token", "roots"), "copies-crowd")
+        release(more, rooted, crowd)
+        rooted, crowd = new, left
+        if crowd.isEmpty():
+            release(own, crowd)
+            return rooted
+
+
 def open_pairs(open_: DataFrame) -> DataFrame:
     """(token, node, at, size, root, sketch) -> nodex, nodey of sets of different roots that
     share a hash and may be alike. at: hashes before it in the set's order. The first
@@ -221,14 +264,20 @@ def components(rows: DataFrame) -> DataFrame:
 
     # each set with those that lead most of its hashes, if those are many
     links = _links(leaders(tokens), sets, rows, False)
-    rooted = sets.join(connected_components(links.unionByName(close)), "node", "left").select("node", "size", F.coalesce("root", "node").alias("root"), *SKETCHES)
-    rooted = materialise(rooted, "copies-roots")
+    rooted = _rooted(sets, links.unionByName(close))
     release(links, close)
+    shared = materialise(_shared(tokens, rooted), "copies-shared")
+
+    # where hashes still join many components, with others that lead them
+    crowd = materialise(shared.filter(F.col("roots") > CROWD), "copies-crowd")
+    if not crowd.isEmpty():
+        rooted = gathered(tokens, crowd, rooted, sets, rows)
+        release(shared)
+        shared = materialise(_shared(tokens, rooted), "copies-shared")
 
     # all others that share a hash and may be alike
-    held = tokens.select("token", "node", "at").join(rooted.select("node", "root"), "node")
-    shared = materialise(held.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token"), "copies-shared")
-    open_ = materialise(held.join(shared, "token").select("token", "node", "at"), "copies-open")
+    held = tokens.select("token", "node", "at")
+    open_ = materialise(held.join(shared.select("token"), "token").select("token", "node", "at"), "copies-open")
     pairs = open_pairs(open_.join(rooted, "node")).select(F.col("nodex").alias("a"), F.col("nodey").alias("b")).distinct()
     more = _links(pairs, sets, rows, True)
     known = rooted.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))

@@ -287,6 +287,36 @@ def test_near_copies_are_listed_once_and_only_if_they_may_be_alike(spark, monkey
     assert sum(pairs.values()) <= 3 * len(pairs) and len(pairs) < 120 * 119 // 2
 
 
+def test_large_groups_of_near_copies_are_not_paired_with_one_another(spark, monkeypatch):
+    """300 edits of one text, many pairs of them alike: leaders that change connect them, so
+    that few pairs are left to list, and the same ones are together."""
+    rng, rows, tried, links = random.Random(5), [], [], copies._links
+    word = lambda: f"w{rng.randrange(10**6)}"
+    base = [word() for _ in range(400)]
+    for i in range(300):
+        text = list(base)
+        for _ in range(rng.choice([4, 5, 5, 6])):
+            text[rng.randrange(400)] = word()
+        rows.append((i, " ".join(text)))
+
+    def counted(pairs, sets, rows, overlap=None):
+        pairs = copies.materialise(pairs, "test-pairs")
+        tried.append(pairs.count())
+        return links(pairs, sets, rows, overlap)
+
+    monkeypatch.setattr(copies, "close_pairs", lambda rows, sets: spark.createDataFrame([], "a long, b long"))
+    monkeypatch.setattr(copies, "_links", counted)
+    of = {r["_row"]: r["component"] for r in copies.components(spark.createDataFrame(rows, "_row long, text string").repartition(3)).collect()}
+    sets = {i: set(copies.shingle_set(t.encode()).tolist()) for i, t in rows}
+    alike = [(a, b) for a, b in itertools.combinations(sets, 2) if copies.alike(len(sets[a] & sets[b]), len(sets[a]), len(sets[b]))]
+    root = {i: i for i in sets}
+    for a, b in alike:
+        low, high = sorted((root[a], root[b]))
+        root = {i: low if r == high else r for i, r in root.items()} if low < high else root
+    assert len(set(zip(root.values(), (of[i] for i in root), strict=True))) == len(set(root.values())) == len(set(of.values()))
+    assert len(alike) > 5_000 and tried[-1] < 4 * copies.LEADS * len(rows), (len(alike), tried)
+
+
 @pytest.mark.parametrize("n", [0, 1, 500, 513, 3000])
 def test_sketches_never_pass_the_difference(n):
     rng = np.random.default_rng(n)
